@@ -66,3 +66,23 @@ def crc32_text(doc_id: Column) -> Column:
 def bottom_k(ids: DataFrame, key: str, k: int) -> DataFrame:
     """k rows at most, chosen by the hash of their key: the same ones in every run and in any partitioning."""
     return ids.orderBy(F.xxhash64(key), key).limit(k)
+
+
+class Remembered(dict):
+    """A worker's cache of two generations: when the younger is full it becomes the older, whose entries live on where they are asked for again."""
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.older = most, {}
+
+    def __missing__(self, key):
+        self[key] = value = self.older[key]
+        return value
+
+    def has(self, key) -> bool:
+        return key in self or key in self.older
+
+    def age(self) -> None:
+        if len(self) > self.most:
+            self.older = dict(self)
+            self.clear()

@@ -2,13 +2,35 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidefleet.llm import decontaminate, simhash
-from tidefleet.llm.common import table
+from tidefleet.llm import decontaminate, line_dedup, quality_rules, sentencepiece_bpe, simhash, token_files, url_filter
+from tidefleet.llm.common import shared_dir, table, vocabulary
+
+
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    token_files.write(table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"))
+    return token_files.checksums(token_files.read(spark, path))
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sentencepiece_bpe.encode_decode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.clean(table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", F.col("__dropped").cast("long").alias("n_dropped"), "text")
 
 
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,8 +43,14 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
+    found = url_filter.judge(table(spark, sf_dir, "pages"), outcomes)
+    return found.select("page_id", "host", "path", "rule", "verdict", F.round("posterior", 6).alias("posterior"), F.round("bound", 6).alias("bound"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_simhash_dedup, op9_decontaminate)}
+    return {f.__name__: f for f in (op1_token_files, op2_quality_rules, op4_sentencepiece, op6_line_dedup, op7_simhash_dedup, op8_url_filter, op9_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
