@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidefleet.llm import decontaminate, line_dedup, quality_rules, sentencepiece_bpe, simhash, token_files, url_filter
+from tidefleet.llm import decontaminate, line_dedup, quality_classifier, quality_rules, sentencepiece_bpe, simhash, token_files, toxicity, url_filter
 from tidefleet.llm.common import shared_dir, table, vocabulary
 
 
@@ -28,6 +28,10 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.clean(table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", F.col("__dropped").cast("long").alias("n_dropped"), "text")
@@ -49,8 +53,12 @@ def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "host", "path", "rule", "verdict", F.round("posterior", 6).alias("posterior"), F.round("bound", 6).alias("bound"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_files, op2_quality_rules, op4_sentencepiece, op6_line_dedup, op7_simhash_dedup, op8_url_filter, op9_decontaminate)}
+    return {f.__name__: f for f in (op1_token_files, op2_quality_rules, op4_sentencepiece, op5_quality_classifier, op6_line_dedup, op7_simhash_dedup, op8_url_filter, op9_decontaminate, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
