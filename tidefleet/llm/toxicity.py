@@ -24,12 +24,14 @@ from tidefleet.llm.hashed import LETTERS, PACKED, Hasher, Rows, gathered, packed
 
 #: General lexicons: plain words of abuse.
 NOUNS = frozenset("clown clowns creep dumbass fool fools freak idiot idiots imbecile jerk jerks loser losers moron morons pig pigs scum scumbag swine trash vermin".split())
-ADJECTIVES = frozenset("brainless contemptible despicable disgusting dumb filthy hateful pathetic repulsive revolting stupid ugly vile worthless".split())
+ADJECTIVES = frozenset("brainless contemptible despicable disgusting dumb filthy hateful pathetic repulsive revolting stupid ugly worthless".split())
 #: Signs that stand for letters in disguised words.
 DISGUISES = {"a": "@4", "e": "3", "i": "1!", "o": "0", "s": "$5", "t": "7"}
 LABELLED_ROWS = 8192
 MINED_WORDS, MINED_PREFIXES, MINED_GROUPS, PREFIX = 400, 60, 4, 5
-VOTERS = ("nouns", "adjectives", "disguised", *(f"mined {i}" for i in range(MINED_GROUPS)), "prefixes", "several", "none")
+#: A word is mined if toxic rows have it so many standard deviations more often than chance would.
+BEYOND_CHANCE = 6.0
+VOTERS = ("nouns", "adjectives", "disguised", *(f"mined {i}" for i in range(MINED_GROUPS)), "prefixes", "several", "dense", "none")
 #: Voters whose votes go together this much, given the class, are modelled together, three at most.
 TOGETHER, MOST_TOGETHER = 0.2, 3
 WORD_SLOTS = 1 << 15
@@ -73,8 +75,10 @@ class Lexicons:
         for w in mined:
             fired[3 + self.group[w]] = 1
         hits = len(nouns | adjectives | mined)
-        fired[-3], fired[-2] = starts > 1, hits > 1
-        fired[-1] = not hits and not fired[2] and starts < 2
+        chance = len(words) / 250  # in a long text a few words have such prefixes by chance
+        fired[-4], fired[-3] = starts > max(1, chance), hits > max(1, chance)
+        fired[-2] = max(hits, starts) >= max(1, len(words) / 50)
+        fired[-1] = not fired[:-1].any()
         return fired, hits, words
 
 
@@ -99,12 +103,16 @@ def mine(sample: DataFrame) -> Lexicons:
     each = sample.select("id", F.col("toxic").cast("int").alias("toxic"), F.explode(word).alias("word"))
     started = each.filter(F.length("word") > PREFIX).groupBy("id", "toxic", F.substring("word", 1, PREFIX).alias("word")).agg(F.count("*").alias("n")).filter("n > 1")
 
-    def marks(rows: DataFrame, least: int, share: float, most: int) -> frozenset[str]:
+    base = sample.agg(F.avg("toxic")).collect()[0][0] or 0.0
+    base = min(0.5, max(0.01, base))
+
+    def marks(rows: DataFrame, most: int) -> frozenset[str]:
         counted = rows.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n"))
-        best = counted.filter((F.col("toxic") >= least) & (F.col("toxic") >= share * (F.col("n") + 1))).orderBy(F.desc("toxic"), "n", "word").limit(most)
+        beyond = (F.col("toxic") - base * F.col("n")) / F.sqrt(base * (1 - base) * F.col("n"))
+        best = counted.filter((F.col("toxic") >= 0.6 * F.col("n")) & (beyond >= BEYOND_CHANCE)).orderBy(F.desc("toxic"), "n", "word").limit(most)
         return frozenset(r[0] for r in best.select("word").collect())
 
-    return Lexicons(marks(each, 3, 0.6, MINED_WORDS), marks(started, 4, 0.7, MINED_PREFIXES))
+    return Lexicons(marks(each, MINED_WORDS), marks(started, MINED_PREFIXES))
 
 
 def label_model(patterns: dict[int, float], anchors: dict[tuple[int, int], float], rounds: int = 30) -> dict[int, float]:
@@ -200,7 +208,7 @@ def classify(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_R
             each = [_code(lexicons.votes(t)[0]) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(each, pa.int64()), *(batch.column(c) for c in batch.schema.names if c == "toxic")], [c for c in ("code", "toxic") if c == "code" or c in batch.schema.names])
 
-    # a row for each pattern of votes, 1024 at most
+    # a row for each pattern of votes, 2048 at most
     counted = docs.select("text").mapInArrow(coded, "code long").groupBy("code").count().collect()
     known = sample.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(coded, "code long, toxic int").groupBy("code", "toxic").count().collect()
     posterior = label_model({r["code"]: float(r["count"]) for r in counted}, {(r["code"], int(r["toxic"] > 0)): float(r["count"]) for r in known})
