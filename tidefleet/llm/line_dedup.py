@@ -67,5 +67,9 @@ def clean(pages: DataFrame, site: str = "source", ratio: float = RATIO, min_page
 
 
 def without_boilerplate(docs: DataFrame, site: str = "source") -> DataFrame:
-    """docs with boilerplate lines gone from their texts; columns and rows as they were."""
-    return clean(docs, site).drop("__dropped")
+    """docs with boilerplate lines gone from their texts, n_chars (if there) counted anew where a text changed; columns and rows as they were."""
+    cleaned = clean(docs, site)
+    if "n_chars" in docs.columns:
+        new = F.length("text").cast(docs.schema["n_chars"].dataType)
+        cleaned = cleaned.withColumn("n_chars", F.when(F.col("__dropped") > 0, new).otherwise(F.col("n_chars")))
+    return cleaned.drop("__dropped")

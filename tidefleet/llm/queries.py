@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidefleet.llm import decontaminate, line_dedup, quality_classifier, quality_rules, sentencepiece_bpe, simhash, token_files, toxicity, url_filter
+from tidefleet.llm import decontaminate, html_blocks, line_dedup, quality_classifier, quality_rules, sentencepiece_bpe, simhash, token_files, toxicity, url_filter
 from tidefleet.llm.common import shared_dir, table, vocabulary
 
 
@@ -22,10 +22,17 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = sentencepiece_bpe.encode_decode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+def op3_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_blocks.extract(table(spark, sf_dir, "pages"))
+
+
+def sentencepiece_digest(encoded: DataFrame) -> DataFrame:
     listed = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_digest(sentencepiece_bpe.encode_decode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model")))
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +65,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_files, op2_quality_rules, op4_sentencepiece, op5_quality_classifier, op6_line_dedup, op7_simhash_dedup, op8_url_filter, op9_decontaminate, op10_toxicity)}
+    return {f.__name__: f for f in (op1_token_files, op2_quality_rules, op3_html_blocks, op4_sentencepiece, op5_quality_classifier, op6_line_dedup, op7_simhash_dedup, op8_url_filter, op9_decontaminate, op10_toxicity)}
 
 
 def oracle_sql() -> dict[str, str]:
