@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidefleet.operators import cleaning, status
@@ -35,43 +35,44 @@ def filtered(rows: DataFrame, routes: list[str] | None = None, directions: list[
     return rows if days is None else rows.filter(F.col("date").between(*(F.lit(x).cast("date") for x in days)))
 
 
-def _add(name: str, source: str, columns: list[tuple[Column, str, str]], by: tuple[str, ...] = (), where: str | None = None, having: str | None = None) -> None:
-    """A grouped query: (Spark aggregate, SQL aggregate, name) columns by some keys of G or T."""
+def _add(name: str, source: str, columns: list[str | tuple[str, str]], by: tuple[str, ...] = (), where: str | tuple[str, str] | None = None) -> None:
+    """A grouped query by some keys of G or T; a pair says the same for Spark and for the other engine where they differ."""
+    mine, theirs = ([c if isinstance(c, str) else c[i] for c in columns] for i in (0, 1))
+    conditions = (where, where) if where is None or isinstance(where, str) else where
 
     def run(s: SparkSession, d: str) -> DataFrame:
         rows = (G if source == "g" else T)(s, d)
-        rows = rows.filter(where) if where else rows
-        return rows.groupBy(*by).agg(*(c.alias(n) for c, _, n in columns))
+        rows = rows.filter(conditions[0]) if conditions[0] else rows
+        return rows.groupBy(*by).agg(*map(F.expr, mine))
 
     run.__name__ = name
     Q[name] = run
-    listed = ", ".join([*by, *(f"{q} AS {n}" for _, q, n in columns)])
-    SQL[name] = f"WITH {G_SQL if source == 'g' else T_SQL} SELECT {listed} FROM {source}{f' WHERE {where}' if where else ''}{f' GROUP BY {", ".join(by)}' if by else ''}"
-
-
-_COUNT = (F.count("*"), "COUNT(*)", "n")
-_add("kpi_active_buses", "t", [(F.count_distinct("vehicle"), "COUNT(DISTINCT vehicle)", "buses")])
-_add("kpi_active_routes", "t", [(F.count_distinct("route_no"), "COUNT(DISTINCT route_no)", "routes")])
-_add("kpi_total_trips", "t", [(F.count("trip_id"), "COUNT(trip_id)", "trips")])
-_add("kpi_total_distance", "t", [(F.round(F.sum("total_km"), 3), "ROUND(SUM(total_km), 3)", "km")])
-_add("kpi_avg_duration", "t", [(F.round(F.avg("minutes"), 4), "ROUND(AVG(minutes), 4)", "minutes")])
-_add("kpi_avg_speed", "g", [(F.round(F.avg("speed"), 4), "ROUND(AVG(speed), 4)", "speed")], where="speed > 0")
-_add("avg_speed_by_route", "g", [(F.round(F.avg("speed"), 4), "ROUND(AVG(speed), 4)", "speed")], ("route_no",), "speed > 0")
-_add("speed_by_hour_daytype", "g", [(F.round(F.avg("speed"), 4), "ROUND(AVG(speed), 4)", "speed")], ("hour", "day_type"), "speed > 0")
-_add("speed_level_share", "g", [_COUNT], ("speed_level",))
-_add("direction_share", "t", [_COUNT], ("direction",))
-_add("trips_by_route", "t", [_COUNT], ("route_no",))
-_add("trips_by_hour", "t", [_COUNT], ("hour_vn",))
-_add("active_bus_by_hour", "g", [(F.count_distinct(F.when(F.col("speed").isNotNull(), F.col("vehicle"))), "COUNT(DISTINCT CASE WHEN speed IS NOT NULL THEN vehicle END)", "buses"), (F.round(F.avg(F.when(F.col("speed") > 0, F.col("speed"))), 4), "ROUND(AVG(CASE WHEN speed > 0 THEN speed END), 4)", "moving_speed")], ("hour",), "hour BETWEEN 4 AND 21")
-_add("bus_table", "g", [(F.round(F.avg("speed"), 4), "ROUND(AVG(speed), 4)", "avg_speed"), (F.max("speed"), "MAX(speed)", "max_speed"), _COUNT], ("route_no", "vehicle"))
-_add("completed_by_route", "t", [_COUNT], ("route_no",), "is_completed")
-_add("completion_ratio", "t", [(F.round(F.sum(F.when(F.col("is_completed"), 1.0).otherwise(0.0)) / F.nullif(F.count("*"), F.lit(0)), 6), "ROUND(CAST(COUNT(*) FILTER (WHERE is_completed) AS DOUBLE) / NULLIF(COUNT(*), 0), 6)", "ratio")], ("route_no",))
-_add("hourly_direction", "t", [_COUNT], ("date", "hour_vn", "direction"))
-_add("direction_by_route", "t", [_COUNT], ("direction", "route_no"))
-_add("overview_table", "t", [_COUNT, (F.round(F.avg("avg_speed"), 4), "ROUND(AVG(avg_speed), 4)", "avg_speed")], ("route_no", "vehicle"))
-_add("max_route_number", "g", [(F.max(F.expr("try_cast(route_no as double)")), "MAX(TRY_CAST(route_no AS DOUBLE))", "number"), (F.max(F.col("route_id").cast("double")), "MAX(CAST(route_id AS DOUBLE))", "id")])
-_add("live_positions", "g", [(F.max_by("x", F.struct("ep", "event_id")), "arg_max(x, struct_pack(a := ep, b := event_id))", "x"), (F.max_by("y", F.struct("ep", "event_id")), "arg_max(y, struct_pack(a := ep, b := event_id))", "y"), (F.max("ep"), "MAX(ep)", "ep")], ("vehicle",), "route_no RLIKE '^[A-I]'")
-SQL["live_positions"] = SQL["live_positions"].replace("route_no RLIKE '^[A-I]'", "regexp_matches(route_no, '^[A-I]')")
+    filter_ = f" WHERE {conditions[1]}" if conditions[1] else ""
+    SQL[name] = f"WITH {G_SQL if source == 'g' else T_SQL} SELECT {', '.join([*by, *theirs])} FROM {source}{filter_}{f' GROUP BY {", ".join(by)}' if by else ''}"
+
+
+_NEWEST = [(f"max_by({c}, struct(ep, event_id)) AS {c}", f"arg_max({c}, struct_pack(a := ep, b := event_id)) AS {c}") for c in ("x", "y")]
+_add("kpi_active_buses", "t", ["COUNT(DISTINCT vehicle) AS buses"])
+_add("kpi_active_routes", "t", ["COUNT(DISTINCT route_no) AS routes"])
+_add("kpi_total_trips", "t", ["COUNT(trip_id) AS trips"])
+_add("kpi_total_distance", "t", ["ROUND(SUM(total_km), 3) AS km"])
+_add("kpi_avg_duration", "t", ["ROUND(AVG(minutes), 4) AS minutes"])
+_add("kpi_avg_speed", "g", ["ROUND(AVG(speed), 4) AS speed"], where="speed > 0")
+_add("avg_speed_by_route", "g", ["ROUND(AVG(speed), 4) AS speed"], ("route_no",), "speed > 0")
+_add("speed_by_hour_daytype", "g", ["ROUND(AVG(speed), 4) AS speed"], ("hour", "day_type"), "speed > 0")
+_add("speed_level_share", "g", ["COUNT(*) AS n"], ("speed_level",))
+_add("direction_share", "t", ["COUNT(*) AS n"], ("direction",))
+_add("trips_by_route", "t", ["COUNT(*) AS n"], ("route_no",))
+_add("trips_by_hour", "t", ["COUNT(*) AS n"], ("hour_vn",))
+_add("active_bus_by_hour", "g", ["COUNT(DISTINCT CASE WHEN speed IS NOT NULL THEN vehicle END) AS buses", "ROUND(AVG(CASE WHEN speed > 0 THEN speed END), 4) AS moving_speed"], ("hour",), "hour BETWEEN 4 AND 21")
+_add("bus_table", "g", ["ROUND(AVG(speed), 4) AS avg_speed", "MAX(speed) AS max_speed", "COUNT(*) AS n"], ("route_no", "vehicle"))
+_add("completed_by_route", "t", ["COUNT(*) AS n"], ("route_no",), "is_completed")
+_add("completion_ratio", "t", ["ROUND(CAST(COUNT(CASE WHEN is_completed THEN 1 END) AS DOUBLE) / NULLIF(COUNT(*), 0), 6) AS ratio"], ("route_no",))
+_add("hourly_direction", "t", ["COUNT(*) AS n"], ("date", "hour_vn", "direction"))
+_add("direction_by_route", "t", ["COUNT(*) AS n"], ("direction", "route_no"))
+_add("overview_table", "t", ["COUNT(*) AS n", "ROUND(AVG(avg_speed), 4) AS avg_speed"], ("route_no", "vehicle"))
+_add("max_route_number", "g", ["MAX(TRY_CAST(route_no AS DOUBLE)) AS number", "MAX(CAST(route_id AS DOUBLE)) AS id"])
+_add("live_positions", "g", [*_NEWEST, "MAX(ep) AS ep"], ("vehicle",), ("route_no RLIKE '[02468]$'", "regexp_matches(route_no, '[02468]$')"))
 
 
 def position_scatter(s: SparkSession, d: str) -> DataFrame:

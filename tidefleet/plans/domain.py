@@ -72,8 +72,8 @@ def terminal_candidates(s: SparkSession, d: str) -> DataFrame:
     return stops.terminal_candidates(sessions(s, d)).withColumn("lng", F.round("lng", 6)).withColumn("lat", F.round("lat", 6))
 
 
-@query(f"""WITH {CANDIDATES_SQL}, p AS (SELECT a.route_id, a.anchor AS a_anchor, b.anchor AS b_anchor, {haversine_sql('a.lat', 'a.lng', 'b.lat', 'b.lng')} AS km, a.density + b.density AS both FROM ca a JOIN ca b ON a.route_id = b.route_id AND a.anchor < b.anchor)
- SELECT route_id, a_anchor, b_anchor, ROUND(km, 6) AS km, 'density-neighborhood' AS method FROM (SELECT *, row_number() OVER (PARTITION BY route_id ORDER BY km DESC, both DESC, a_anchor, b_anchor) AS rn FROM p) WHERE rn = 1""")
+@query(f"""WITH {CANDIDATES_SQL}, p AS (SELECT a.route_id, a.anchor AS a_anchor, b.anchor AS b_anchor, {haversine_sql('a.lat', 'a.lng', 'b.lat', 'b.lng')} AS km, a.density + b.density AS dens FROM ca a JOIN ca b ON a.route_id = b.route_id AND a.anchor < b.anchor)
+ SELECT route_id, a_anchor, b_anchor, ROUND(km, 6) AS km, 'density-neighborhood' AS method FROM (SELECT *, row_number() OVER (PARTITION BY route_id ORDER BY km DESC, dens DESC, a_anchor, b_anchor) AS rn FROM p) WHERE rn = 1""")
 def terminal_pair(s: SparkSession, d: str) -> DataFrame:
     pair = stops.terminal_pair(stops.terminal_candidates(sessions(s, d)))
     return pair.select("route_id", "a_anchor", "b_anchor", F.round("km", 6).alias("km"), "method")
@@ -167,9 +167,10 @@ kf AS (SELECT vehicle, seq, event_id, ept, x, y, CAST(0 AS DOUBLE) AS vx, CAST(0
    SELECT vehicle, seq, event_id, ept, mx, my, CASE WHEN rest THEN sx ELSE sx + dt * svx END AS px, CASE WHEN rest THEN sy ELSE sy + dt * svy END AS py, CASE WHEN rest THEN 0 ELSE svx END AS pvx, CASE WHEN rest THEN 0 ELSE svy END AS pvy,
     CASE WHEN rest THEN sp + CAST(1e-12 AS DOUBLE) ELSE sp + 2 * dt * sc + dt * dt * sq + CAST(1e-11 AS DOUBLE) * pow(dt, 4) / 4 END AS pp,
     CASE WHEN rest THEN 0 ELSE sc + dt * sq + CAST(1e-11 AS DOUBLE) * pow(dt, 3) / 2 END AS pc, CASE WHEN rest THEN 0 ELSE sq + CAST(1e-11 AS DOUBLE) * dt * dt END AS pq FROM (
-    SELECT d.vehicle, d.seq, d.event_id, d.ept, d.x AS mx, d.y AS my, d.speed <= 2 AS rest, CASE WHEN r THEN 1 ELSE d.ept - k.ept END AS dt, CASE WHEN r THEN d.x ELSE k.x END AS sx, CASE WHEN r THEN d.y ELSE k.y END AS sy,
-     CASE WHEN r THEN 0 ELSE k.vx END AS svx, CASE WHEN r THEN 0 ELSE k.vy END AS svy, CASE WHEN r THEN CAST(0.1 AS DOUBLE) ELSE k.p END AS sp, CASE WHEN r THEN 0 ELSE k.c END AS sc, CASE WHEN r THEN 1 ELSE k.q END AS sq
-     FROM kf k JOIN dw d ON d.vehicle = k.vehicle AND d.seq = k.seq + 1, LATERAL (SELECT d.ept - k.ept > 15 OR d.ept - k.ept <= 0 AS r) AS t)))))"""
+    SELECT vehicle, seq, event_id, ept, mx, my, rest, CASE WHEN r THEN 1 ELSE step END AS dt, CASE WHEN r THEN mx ELSE kx END AS sx, CASE WHEN r THEN my ELSE ky END AS sy,
+     CASE WHEN r THEN 0 ELSE vx END AS svx, CASE WHEN r THEN 0 ELSE vy END AS svy, CASE WHEN r THEN CAST(0.1 AS DOUBLE) ELSE p END AS sp, CASE WHEN r THEN 0 ELSE c END AS sc, CASE WHEN r THEN 1 ELSE q END AS sq FROM (
+     SELECT d.vehicle, d.seq, d.event_id, d.ept, d.x AS mx, d.y AS my, d.speed <= 2 AS rest, d.ept - k.ept AS step, d.ept - k.ept > 15 OR d.ept - k.ept <= 0 AS r, k.x AS kx, k.y AS ky, k.vx, k.vy, k.p, k.c, k.q
+      FROM kf k JOIN dw d ON d.vehicle = k.vehicle AND d.seq = k.seq + 1)))))"""
 
 
 @query(f"{KALMAN_SQL} SELECT event_id, vehicle, ROUND(x, 6) AS x, ROUND(y, 6) AS y FROM kf")

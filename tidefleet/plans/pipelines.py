@@ -44,10 +44,9 @@ def ran(df: DataFrame, write, checkpoint: str, mode: str = "append") -> None:
         q.stop()
 
 
-def _pings(s: SparkSession, d: str, parts: int, root: str, dense: bool = False) -> tuple[str, T.StructType]:
+def _pings(s: SparkSession, d: str, parts: int, root: str) -> tuple[str, T.StructType]:
     """Pings with instants, in files by time, for a file stream that reads one at a time."""
-    w = (b.dense_waypoints if dense else b.waypoints)(s, d).drop("props")
-    w = w.withColumn("timestamp", F.timestamp_seconds("ept" if dense else "ep"))
+    w = b.waypoints(s, d).drop("props").withColumn("timestamp", F.timestamp_seconds("ep"))
     w.repartitionByRange(parts, "timestamp").sortWithinPartitions("timestamp").write.parquet(f"{root}/in")
     return f"{root}/in", w.schema
 
@@ -96,8 +95,10 @@ def stream_dedup_enrich(s: SparkSession, d: str) -> DataFrame:
 @query(f"{KALMAN_SQL} SELECT event_id, vehicle, ROUND(x, 6) AS x, ROUND(y, 6) AS y FROM kf")
 def stream_kalman_state(s: SparkSession, d: str) -> DataFrame:
     root = work_dir(s)
-    path, schema = _pings(s, d, 2, root, dense=True)
-    smoothed = p.smooth_stream(readers.table_stream(s, path, schema, 1), "ept")
+    w = b.dense_waypoints(s, d).drop("props").withColumn("timestamp", F.timestamp_seconds("ept"))
+    for part in ("seq <= 40", "seq > 40"):  # one file after the other: a stream takes the older first
+        w.filter(part).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    smoothed = p.smooth_stream(readers.table_stream(s, f"{root}/in", w.schema, 1), "ept", "1 day")
     ran(smoothed, lambda batch, n: writers.overwrite(batch.select("event_id", "vehicle", "x", "y"), f"{root}/out/version={n}"), f"{root}/state")
     return s.read.parquet(f"{root}/out").select("event_id", "vehicle", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
 

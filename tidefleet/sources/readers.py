@@ -6,15 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Fixed by the message format.
-PING = T.StructType.fromDDL(
+#: Schemas, fixed by the formats of messages and files.
+PING = (
     "vehicle string, driver string, speed float, datetime int, x double, y double, z float, heading float, ignition boolean, aircon boolean, door_up boolean, door_down boolean, sos boolean, working boolean, analog1 float, analog2 float"
 )
-ENVELOPE = T.StructType([T.StructField("msgType", T.StringType()), T.StructField("msgBusWayPoint", PING)])
-MAPPING = T.StructType.fromDDL("vehicle string, route_id int, route_no string")
-ROUTE_PATH = T.StructType.fromDDL("RouteId int, RouteNo string, RouteVarId int, RouteVarName string, Outbound boolean, lat array<double>, lng array<double>")
-ROUTE_INFO = T.StructType.fromDDL("RouteId int, RouteNo string, Vars array<struct<RouteVarId:int,RouteVarName:string,Outbound:boolean,Distance:double,RunningTime:int,StartStop:string,EndStop:string>>")
-ROUTE_STOP = T.StructType.fromDDL(
+ENVELOPE = f"msgType string, msgBusWayPoint struct<{PING}>"
+MAPPING = "vehicle string, route_id int, route_no string"
+ROUTE_PATH = "RouteId int, RouteNo string, RouteVarId int, RouteVarName string, Outbound boolean, lat array<double>, lng array<double>"
+ROUTE_INFO = "RouteId int, RouteNo string, Vars array<struct<RouteVarId:int,RouteVarName:string,Outbound:boolean,Distance:double,RunningTime:int,StartStop:string,EndStop:string>>"
+ROUTE_STOP = (
     "RouteId int, RouteVarId int, StopId int, Code string, Name string, StopType string, Zone string, Ward string, AddressNo string, Street string, Lng double, Lat double, Routes string, Outbound boolean"
 )
 PING_MESSAGE = "MsgType_BusWayPoint"
@@ -39,13 +39,13 @@ def json_lines(spark: SparkSession, path: str, files_per_trigger: int | None = N
     return (reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader).load(path)
 
 
-def table_stream(spark: SparkSession, path: str, schema: T.StructType, files_per_trigger: int | None = None) -> DataFrame:
+def table_stream(spark: SparkSession, path: str, schema: T.StructType | str, files_per_trigger: int | None = None) -> DataFrame:
     """A Parquet folder as a stream of what is appended to it."""
     reader = spark.readStream.schema(schema)
     return (reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader).parquet(path)
 
 
-def multiline_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def multiline_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 

@@ -7,7 +7,6 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -42,21 +41,26 @@ def vehicle_sessions(stream: DataFrame, gap: str, late: str = "10 minutes") -> D
 STATE = "ep double, x double, y double, vx double, vy double, place double, cross double, speed double"
 
 
-def smooth_stream(stream: DataFrame, time: str = "ep", seconds: int = STATE_SECONDS) -> DataFrame:
-    """x and y replaced by the Kalman filter's, whose state goes on from batch to batch and is dropped after a pause."""
+def smooth_stream(stream: DataFrame, time: str = "ep", late: str = "15 minutes", seconds: int = STATE_SECONDS) -> DataFrame:
+    """x and y replaced by the Kalman filter's, whose state goes on from batch to batch.
+
+    timestamp is the instant of time (epoch seconds). A vehicle's state is dropped
+    when the watermark is so many seconds past its last ping.
+    """
 
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        rows = pd.concat(list(parts)).sort_values([time, "event_id"])
+        rows = pd.concat(list(parts)).sort_values([time, "event_id"])  # a vehicle's pings of one batch
         before = State(*state.get) if state.exists else None
         after, x, y = run(before, rows[time].to_numpy(float), rows["x"].to_numpy(float), rows["y"].to_numpy(float), _resting(rows["speed"]))
         state.update(state_columns(after))
-        state.setTimeoutDuration(seconds * 1000)
+        state.setTimeoutTimestamp(max(int(after.ep + seconds) * 1000, state.getCurrentWatermarkMs() + 1))
         yield rows.assign(x=x, y=y)
 
-    return stream.groupBy("vehicle").applyInPandasWithState(step, stream.schema, T._parse_datatype_string(STATE), "append", GroupStateTimeout.ProcessingTimeTimeout)
+    grouped = stream.withWatermark("timestamp", late).groupBy("vehicle")
+    return grouped.applyInPandasWithState(step, stream.schema, STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def to_batches(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append", trigger: dict | None = None) -> StreamingQuery:
