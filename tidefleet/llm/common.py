@@ -53,6 +53,11 @@ class SharedTables:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def as_row(df: DataFrame) -> DataFrame:
+    """df as one struct column, row: its own names can't clash with those that an operator adds beside it."""
+    return df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"))
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, nothing else. lower() does just that where every character is one byte long."""
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(F.translate(text, UPPER, UPPER.lower()))

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidefleet.llm.common import ascii_lower
+from tidefleet.llm.common import as_row, ascii_lower
 
 WINDOW = 10
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -105,21 +105,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, broadcast_windows: int
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, most_hit_share: float = 0.0) -> DataFrame:
     """docs without the documents of which a larger share of words than most_hit_share is hit; columns stay as they are."""
-    names, key = docs.columns, "__row_key"
-    bad = contamination(docs, benchmark).filter((F.col("n_hit") > 0) & (F.col("n_hit") > most_hit_share * F.col("n_words"))).select(F.col("doc_id").alias("__doc_id"), F.col("row_key").alias(key)).distinct()
-    keyed = docs.withColumn("__key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    return keyed.join(bad, F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("__key") == F.col(key)), "left_anti").select(*names)
+    bad = contamination(docs, benchmark).filter((F.col("n_hit") > 0) & (F.col("n_hit") > most_hit_share * F.col("n_words"))).select("doc_id", "row_key").distinct()
+    return as_row(docs).join(bad, _same_row(), "left_anti").select("row.*")
+
+
+def _same_row() -> Column:
+    return F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.xxhash64(F.coalesce("row.text", F.lit(""))) == F.col("row_key"))
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs with the hit words cut out of their texts; what stands between other words stays as it was."""
-    names = docs.columns
     each = hits(docs, benchmark).select("doc_id", "row_key", F.explode(F.sequence("start", F.col("start") + F.col("w_size") - 1)).alias("at"))
-    cut = each.groupBy("doc_id", "row_key").agg(F.collect_set("at").alias("__cut")).select(F.col("doc_id").alias("__doc_id"), F.col("row_key").alias("__row_key"), "__cut")
-    keyed = docs.withColumn("__key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    joined = keyed.join(cut, F.col("doc_id").eqNullSafe(F.col("__doc_id")) & (F.col("__key") == F.col("__row_key")), "left")
-    gaps, kept = F.split("text", WORD), F.regexp_extract_all("text", F.lit(WORD), F.lit(0))
-    marked = F.transform(kept, lambda w, i: F.when(F.array_contains("__cut", i), F.lit("")).otherwise(w))
+    cut = each.groupBy("doc_id", "row_key").agg(F.collect_set("at").alias("cut"))
+    gaps, found = F.split("row.text", WORD), F.regexp_extract_all("row.text", F.lit(WORD), F.lit(0))
+    marked = F.transform(found, lambda w, i: F.when(F.array_contains("cut", i), F.lit("")).otherwise(w))
     rebuilt = F.array_join(F.zip_with(gaps, marked, lambda g, w: F.concat(g, F.coalesce(w, F.lit("")))), "")
-    text = F.when(F.col("__cut").isNull(), F.col("text")).otherwise(rebuilt)
-    return joined.withColumn("text", text).select(*names)
+    text = F.when(F.col("cut").isNull(), F.col("row.text")).otherwise(rebuilt)
+    return as_row(docs).join(cut, _same_row(), "left").select(F.col("row").withField("text", text).alias("row")).select("row.*")

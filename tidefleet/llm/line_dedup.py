@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidefleet.llm.common import SharedTables
+from tidefleet.llm.common import SharedTables, as_row
 
 #: A line on more than this share of a site's pages is boilerplate,
 RATIO = 0.05
@@ -44,32 +44,30 @@ def boilerplate(pages: DataFrame, tables: SharedTables, site: str = "source", ra
 
 
 def clean(pages: DataFrame, site: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, most_removed: float = MOST_REMOVED) -> DataFrame:
-    """pages with a column __dropped (lines taken out, int) and the boilerplate lines gone from text; other columns as they were.
+    """(row, dropped): the rows of pages as structs, with boilerplate lines gone from text, and how many lines went (int).
 
     Lines stand between newlines and are compared without spaces at their ends;
     blank lines always stay. Null texts stay null; a null site is a site of its
     own, together with the empty one. Ties cannot arise; repeated rows count as
     one page and are cleaned alike; an empty table stays empty.
     """
-    names = pages.columns
     tables = SharedTables(pages.sparkSession)
     found = boilerplate(pages, tables, site, ratio, min_pages)
     entries = found.agg(F.sum(F.size("lines") + 4)).collect()[0][0] or 0
-    bad = found.select(F.col("site").alias("__site"), F.col("lines").alias("__bad"))
-    joined = pages.withColumn("__key", F.coalesce(site, F.lit(""))).join(F.broadcast(bad) if entries <= BROADCAST_LINES else bad, F.col("__key") == F.col("__site"), "left")
-    kept = F.filter(_lines(F.col("text")), lambda x: ~F.array_contains("__bad", _line(x)) | (F.trim(x) == ""))
-    cut = joined.withColumn("__kept", F.when(F.col("__bad").isNotNull() & F.col("text").isNotNull(), kept))
-    shorter = F.array_join("__kept", "\n")
-    cut = cut.withColumn("__shorter", shorter).withColumn("__lines", F.size(_lines(F.col("text"))) - F.size("__kept"))
-    taken = (F.coalesce("__lines", F.lit(0)) > 0) & (F.length("text") - F.length("__shorter") <= most_removed * F.length("text"))
-    out = [F.when(taken, F.col("__shorter")).otherwise(F.col("text")).alias("text") if c == "text" else F.col(f"`{c}`") for c in names]
-    return cut.select(*out, F.when(taken, F.col("__lines")).otherwise(0).alias("__dropped"))
+    bad = found.select(F.col("site"), F.col("lines").alias("bad"))
+    text = F.col("row.text")
+    joined = as_row(pages).join(F.broadcast(bad) if entries <= BROADCAST_LINES else bad, F.coalesce(f"row.{site}", F.lit("")) == F.col("site"), "left")
+    kept = F.filter(_lines(text), lambda x: ~F.array_contains("bad", _line(x)) | (F.trim(x) == ""))
+    cut = joined.select("row", F.when(F.col("bad").isNotNull() & text.isNotNull(), kept).alias("kept"))
+    cut = cut.withColumn("shorter", F.array_join("kept", "\n")).withColumn("fewer", F.size(_lines(text)) - F.size("kept"))
+    taken = (F.coalesce("fewer", F.lit(0)) > 0) & (F.length(text) - F.length("shorter") <= most_removed * F.length(text))
+    return cut.select(F.col("row").withField("text", F.when(taken, F.col("shorter")).otherwise(text)).alias("row"), F.when(taken, F.col("fewer")).otherwise(0).alias("dropped"))
 
 
 def without_boilerplate(docs: DataFrame, site: str = "source") -> DataFrame:
     """docs with boilerplate lines gone from their texts, n_chars (if there) counted anew where a text changed; columns and rows as they were."""
     cleaned = clean(docs, site)
     if "n_chars" in docs.columns:
-        new = F.length("text").cast(docs.schema["n_chars"].dataType)
-        cleaned = cleaned.withColumn("n_chars", F.when(F.col("__dropped") > 0, new).otherwise(F.col("n_chars")))
-    return cleaned.drop("__dropped")
+        new = F.length("row.text").cast(docs.schema["n_chars"].dataType)
+        cleaned = cleaned.withColumn("row", F.col("row").withField("n_chars", F.when(F.col("dropped") > 0, new).otherwise(F.col("row.n_chars"))))
+    return cleaned.select("row.*")

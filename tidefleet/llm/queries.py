@@ -41,7 +41,7 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.clean(table(spark, sf_dir, "documents"))
-    return cleaned.select("doc_id", F.col("__dropped").cast("long").alias("n_dropped"), "text")
+    return cleaned.select("row.doc_id", F.col("dropped").cast("long").alias("n_dropped"), "row.text")
 
 
 def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidefleet.llm.common import SharedTables
+from tidefleet.llm.common import SharedTables, as_row
 
 SHINGLE, SEED, MOST_BITS = 4, 42, 4
 SEGMENTS = ((0, 21), (21, 21), (42, 22))  # first bit, bits
@@ -75,8 +75,11 @@ def _decoder() -> np.ndarray:
     errors = np.array([0, *one, *(a | b for i, a in enumerate(one) for b in one[:i]), *(a | b | c for i, a in enumerate(one) for j, b in enumerate(one[:i]) for c in one[:j])])
     leader = np.zeros(2048, np.int64)
     leader[remainder(errors)] = errors
-    words = np.arange(1 << 23)
-    return ((words ^ leader[remainder(words)]) >> 11).astype(np.uint16)
+    out = np.empty(1 << 23, np.uint16)
+    for at in range(0, 1 << 23, 1 << 17):  # in pieces: the whole would take hundreds of MB on its way
+        words = np.arange(at, at + (1 << 17))
+        out[at : at + (1 << 17)] = (words ^ leader[remainder(words)]) >> 11
+    return out
 
 
 def _indices(segment: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -290,6 +293,5 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
 
     Rows without an id stay only in groups where no row has one, each text once.
     """
-    names = docs.columns
-    kept = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__doc_id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__doc_id")), "left_semi").dropDuplicates(["doc_id", "text"]).select(*names)
+    kept = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    return as_row(docs).join(kept, F.col("row.doc_id").eqNullSafe(F.col("doc_id")), "left_semi").select("row.*").dropDuplicates(["doc_id", "text"])

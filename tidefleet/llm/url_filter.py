@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidefleet.llm.common import ascii_lower
+from tidefleet.llm.common import as_row, ascii_lower
 
 #: (verdict, host and path prefix): a rule fits its host and all subdomains; the longest wins.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
@@ -100,6 +100,6 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, min_good: float =
 
 def allowed(pages: DataFrame, outcomes: DataFrame, rules=RULES, min_good: float = MIN_GOOD, z: float = Z) -> DataFrame:
     """The rows of pages that judge() allows, all their columns as they were; rows of one page_id and url fare alike."""
-    host, path = host_and_path(F.coalesce("url", F.lit("")))
-    verdicts = judge(pages, outcomes, rules, min_good, z).filter("verdict = 'allow'").select(F.col("host").alias("__host"), F.col("path").alias("__path")).distinct()
-    return pages.join(verdicts, (host == F.col("__host")) & (path == F.col("__path")), "left_semi")
+    host, path = host_and_path(F.coalesce("row.url", F.lit("")))
+    verdicts = judge(pages, outcomes, rules, min_good, z).filter("verdict = 'allow'").select("host", "path").distinct()
+    return as_row(pages).join(verdicts, (host == F.col("host")) & (path == F.col("path")), "left_semi").select("row.*")
