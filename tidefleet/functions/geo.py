@@ -12,7 +12,7 @@ def haversine_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Colu
     """Great-circle distance; null if any coordinate is."""
     north, east = F.radians(lat2 - lat1), F.radians(lng2 - lng1)
     a = F.sin(north / 2) * F.sin(north / 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.sin(east / 2) * F.sin(east / 2)
-    return F.lit(2 * EARTH_KM) * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
+    return F.lit(2 * EARTH_KM) * F.asin(F.sqrt(F.when(a > 1, 1.0).otherwise(a)))
 
 
 def cell(x: Column, size: float) -> Column:
