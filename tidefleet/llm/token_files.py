@@ -30,7 +30,7 @@ FILE_SCHEMA = "doc_id {0}, before long, n_tokens long, ids array<int>"
 #: Letters that normalization leaves as they are whatever stands around them, but for a combining mark; and signs that are tokenized alone after letters.
 PLAIN_WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
 #: Entries in each generation of a worker's caches, and words in one call of the library.
-REMEMBERED, REMEMBERED_WORDS, TOGETHER = 400_000, 600_000, 200
+REMEMBERED, REMEMBERED_WORDS, TOGETHER = 300_000, 500_000, 200
 
 
 class Encoder:
