@@ -6,10 +6,9 @@ import zlib
 from collections import Counter
 
 import numpy as np
-import pytest
 
 from tests.llm.fixtures import documents, labels, odd_texts, prose
-from tidefleet.llm import html_blocks, line_dedup, quality_rules, sentencepiece_bpe, token_files, url_filter
+from tidefleet.llm import line_dedup, quality_rules, sentencepiece_bpe, token_files, url_filter
 from tidefleet.llm.common import vocabulary
 
 
@@ -128,28 +127,3 @@ def test_url_rules_and_reputation(spark):
     assert kept.columns == pages.columns and {r.page_id for r in kept.collect()} == {p for p, r in found.items() if r.verdict == "allow"}
     assert all(r.verdict == "allow" or r.rule for r in url_filter.judge(pages, outcomes.limit(0)).collect())
     assert url_filter.judge(pages.limit(0), outcomes).collect() == []
-
-
-def test_main_text(spark):
-    page = (
-        '<html><head><title>no</title><script>x="<p>no</p>"</script></head><body><nav><a href="/">no</a></nav><!-- <p>no</p> --><div class="cookie-banner">we use no cookies</div><main><h1>Yes &amp;\n yes</h1>'
-        '<p>Some <b>bold</b>&nbsp;text<br>here<p>x<form><input value="a>b">no</form><aside>no no</aside><p>last</main><div id="comments"><p>no comment</p></div><footer>no</footer></body></html>'
-    )
-    rows = [(1, "u", page, "x"), (2, None, None, "x"), (3, "u", "", "x"), (4, "u", "<article><p>open", "x"), (1, "u", page, "x"), (None, "u", "<<<>>", "x")]
-    found = [tuple(r) for r in html_blocks.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()]
-    text = "Yes & yes Some bold text here x last"
-    assert found[0] == (1, "u", text, len(text)) == found[4]
-    assert [r[2] for r in found[1:4]] == ["", "", "open"] and found[1][3] == 0
-    assert html_blocks.extract(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
-
-
-@pytest.mark.parametrize("sf", ["/root/testdata/sf0.01"])
-def test_pages_of_the_test_data(sf):
-    import html
-
-    import pyarrow.parquet as pq
-
-    tree = html_blocks.trained()
-    for r in pq.read_table(f"{sf}/pages.parquet").to_pylist():
-        article = re.search(r"<article>(.*?)(</article>|\Z)", r["html"], re.DOTALL)[1]
-        assert html_blocks.main_text(r["html"], tree) == " ".join(html.unescape(re.sub(r"<[^>]*>", " ", article)).split())

@@ -1,9 +1,11 @@
 """Main-text extraction: flat text blocks, their neighbours, and a decision tree.
 
-A page is cut into flat blocks at block-level tags. A block is described by its
-words and link density, those of the blocks beside it, the page-wide weight of
-blocks like it, and the kind of container it stands in; a decision tree grown on
-a small labelled table says which blocks are main text.
+A page is cut into flat blocks at block-level tags in one pass. A block is
+described by its words and link density, those of the blocks beside it and of
+the section that it shares with its siblings, and what its tags and names say; a
+decision tree grown on a small labelled table says which blocks are main text.
+In most of that table names are missing or misleading, so that words and links
+must decide; a name counts only on what holds less than half of a page's words.
 """
 
 from __future__ import annotations
@@ -11,6 +13,7 @@ from __future__ import annotations
 import functools
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -18,27 +21,32 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-#: What never shows as text: comments, and elements with all that they hold.
-HIDDEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<(script|style|noscript|template|svg|math|textarea|select|iframe|object|title|button)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.IGNORECASE | re.DOTALL
-)
-TAG = re.compile(r"""<(/?)([a-zA-Z][\w:-]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|<[!?][^>]*>""")
-NAMED = re.compile(r"""\b(?:class|id|role|aria-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
-BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split())
+#: Elements that never show as text, with all that they hold.
+HIDDEN = frozenset("audio button canvas datalist iframe math noframes noscript object option script select style svg template textarea title video".split())
+#: A tag: a quote opens a value only after an equals sign. Nothing here is tried twice, so a page takes time in proportion to its length.
+TAG = re.compile(r"""<(/?+)([a-zA-Z][^\s/>]*+)((?>[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')|["'=])*+)(>?+)""")
+CLOSING = {name: re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE) for name in HIDDEN}
+NAMED = re.compile(r"""\b(?:class|id|role|aria-label)\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
+BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol optgroup p pre search section summary table tbody td tfoot th thead tr ul".split())
+#: Containers, and among them those that begin no section of their own: their blocks belong to what holds them.
 CONTAINERS = frozenset("article aside body blockquote details dialog dl div fieldset figure footer form head header html main menu nav ol search section table ul".split())
+PARTS = frozenset("blockquote details dl figure ol table ul".split())
 AROUND = frozenset("aside dialog fieldset footer form head menu nav search".split())
 MAIN = frozenset("article main".split())
-#: Words of class, id and role attributes that tell of what stands around the main text, and of the main text itself.
+#: Words of class, id and role attributes that tell of what stands around the main text.
 AROUND_NAMES = frozenset(
-    "ad ads adv advert advertisement adverts alert author-box banner breadcrumb breadcrumbs byline captcha categories comment commentlist comments consent contentinfo cookie cookies copyright dialog disclaimer discussion disqus donate feedback footer form gdpr header login masthead menu menubar meta modal more nav navbar navigation navigation newsletter note notice notices notification outbrain overlay pager paging pagination paywall popup privacy promo promoted promotion recommended register related replies reply respond responses search share sharing shop sidebar signup site-footer site-header skip social sponsor sponsored subscribe subscription taboola tags teaser toc tool toolbar tooltip topbar trending warning widget".split()
+    "ad ads adv advert advertisement adverts alert author-box banner breadcrumb breadcrumbs byline captcha comment commentlist comments consent cookie cookies disclaimer discussion footer form gdpr login masthead menu menubar nav navbar navigation newsletter note notice notices notification overlay pager pagination paywall popup privacy promo promoted promotion recommended register related replies reply respond search share sharing sidebar signup site-footer site-header skip social sponsor sponsored subscribe tags teaser toc toolbar tooltip topbar trending warning widget".split()
 )
-MAIN_NAMES = frozenset("article articlebody article-body body-text content entry entry-content main main-content maincontent post post-body post-content story story-body text".split())
 SPLIT_NAMES = re.compile(r"[^a-z0-9]+")
-HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+HEADINGS = {f"h{i}": i for i in range(1, 7)}
+ITEMS = frozenset("dd dt li td th".split())
+LONG_REFERENCE = re.compile("&#([0-9]{8,});?")
 FEATURES = (
-    "words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "heading", "item",
-    "around", "main", "page_header", "longest_near",
+    "words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "longest_near",
+    "section_words", "section_share", "section_link_density", "section_heading", "heading", "item", "bare", "after_title", "around", "named", "main", "page_header",
 )
+#: Rows of a tree at most, so many levels down.
+DEPTH, LEAST = 10, 4
 
 
 @dataclass
@@ -47,85 +55,146 @@ class Block:
     words: int
     linked: int
     tag: str
-    kinds: tuple[int, ...]  # around_depth, around_name, main_depth, main_name, page_header
+    named: bool
+    node: int
 
 
 @dataclass
-class Container:
-    tag: str
-    kinds: tuple[int, ...]
+class Page:
+    """Flat blocks, and the containers that they stand in: for each its parent, tag and whether its names tell of surroundings."""
+
+    blocks: list[Block] = field(default_factory=list)
+    parent: list[int] = field(default_factory=lambda: [0])
+    tag: list[str] = field(default_factory=lambda: [""])
+    named: list[bool] = field(default_factory=lambda: [False])
+
 
+def _named(attributes: str) -> bool:
+    """Whether names tell of what stands around main text."""
+    for m in NAMED.finditer(attributes):
+        for whole in (m[1] or m[2] or m[3] or "").lower().split():
+            if whole in AROUND_NAMES or any(n in AROUND_NAMES for n in SPLIT_NAMES.split(whole)):
+                return True
+    return False
 
-def _kinds(tag: str, attributes: str, above: tuple[int, ...]) -> tuple[int, ...]:
-    around, around_name, main, main_name, page_header = above
-    names = {n for m in NAMED.finditer(attributes) for whole in (next(filter(None, m.groups()), "").lower().split()) for n in (whole, *SPLIT_NAMES.split(whole))} if attributes else set()
-    telling = tag not in ("html", "body", "article", "main")
-    return (
-        around + (tag in AROUND), around_name + (telling and bool(names & AROUND_NAMES)), main + (tag in MAIN), main_name + bool(names & MAIN_NAMES), page_header + (tag == "header" and not main),
-    )
 
+def _reference(m: re.Match) -> str:
+    digits = m[1].lstrip("0")
+    return f"&#{digits or 0};" if len(digits) < 8 else "�"
 
-def blocks(page: str | None) -> list[Block]:
-    """Flat blocks of a page in its order; a null page has none."""
-    page = HIDDEN.sub(" ", page or "")
-    out: list[Block] = []
-    stack: list[Container] = [Container("", (0, 0, 0, 0, 0))]
+
+def plain(raw: str) -> str:
+    """Character references decoded, white space runs turned into one space, trimmed."""
+    if "&" in raw:
+        raw = html.unescape(LONG_REFERENCE.sub(_reference, raw))
+    return " ".join(raw.split())
+
+
+def parsed(page: str | None) -> Page:
+    """Blocks and containers of a page in its order, in one pass; a null page has none."""
+    page, out = page or "", Page()
+    stack, held = [0], Counter()
     pieces: list[str] = []
     linked: list[str] = []
-    tag, links, own = "", 0, (0, 0)
+    tag, own, links = "", False, False
+    at, end = 0, len(page)
 
     def close() -> None:
-        text = " ".join(html.unescape("".join(pieces)).split())
+        text = plain("".join(pieces))
         if text:
-            kinds = stack[-1].kinds
-            kinds = (kinds[0], kinds[1] + own[1], kinds[2], kinds[3], kinds[4])
-            out.append(Block(text, len(text.split()), min(len(text.split()), len(html.unescape(" ".join(linked)).split())), tag, kinds))
+            n = text.count(" ") + 1
+            out.blocks.append(Block(text, n, min(n, len(plain(" ".join(linked)).split())) if linked else 0, tag, own, stack[-1]))
         pieces.clear()
         linked.clear()
 
-    at = 0
-    for m in TAG.finditer(page):
-        if m.start() > at:
-            pieces.append(page[at : m.start()])
+    while at < end:
+        lt = page.find("<", at)
+        m = TAG.match(page, lt) if lt >= 0 else None
+        stop = end if lt < 0 else lt
+        if stop > at:
+            pieces.append(page[at:stop])
             if links:
-                linked.append(page[at : m.start()])
-        at = m.end()
-        name = (m[2] or "").lower()
-        if name == "a":
-            links = 0 if m[1] else 1
+                linked.append(page[at:stop])
+        if lt < 0:
+            break
+        if not m:
+            if page.startswith(("<!", "<?", "</"), lt):
+                finish = "-->" if page.startswith("<!--", lt) else "]]>" if page.startswith("<![CDATA[", lt) else ">"
+                at = page.find(finish, lt + 2)
+                at = end if at < 0 else at + len(finish)
+            else:  # a sign, not a tag
+                pieces.append("<")
+                at = lt + 1
+            continue
+        if not m[4]:
+            break  # a tag that never ends holds the rest of the page
+        at, name, closing = m.end(), m[2].lower(), bool(m[1])
+        if name in HIDDEN:
+            if not closing and not (name in ("svg", "math") and m[3].endswith("/")):
+                until = CLOSING[name].search(page, at)
+                at = end if until is None or (gt := page.find(">", until.end())) < 0 else gt + 1
+            pieces.append(" ")
+        elif name == "a":
+            links = not closing
         elif name == "br":
             pieces.append(" ")
         elif name in BLOCKS:
             close()
+            tag, own = ("", False) if closing or name in CONTAINERS else (name, bool(m[3]) and _named(m[3]))
             if name in CONTAINERS:
-                if m[1]:
-                    held = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == name), 0)
-                    if held:
-                        del stack[held:]
-                        links = 0
-                else:
-                    stack.append(Container(name, _kinds(name, m[3], stack[-1].kinds)))
-                tag, own = "", (0, 0)
-            elif m[1]:
-                tag, own = "", (0, 0)
-            else:
-                tag, own = name, _kinds(name, m[3], (0, 0, 0, 0, 0))[:2] if m[3] else (0, 0)
-    pieces.append(page[at:])
+                if not closing:
+                    out.parent.append(stack[-1])
+                    out.tag.append(name)
+                    out.named.append(bool(m[3]) and _named(m[3]))
+                    stack.append(len(out.tag) - 1)
+                    held[name] += 1
+                elif held[name]:
+                    links = False
+                    while (gone := out.tag[stack.pop()]) != name:
+                        held[gone] -= 1
+                    held[name] -= 1
     close()
     return out
 
 
-def described(found: list[Block]) -> np.ndarray:
+def described(page: Page) -> np.ndarray:
     """FEATURES of each block."""
+    found, nodes = page.blocks, len(page.tag)
     words, linked = np.array([b.words for b in found], float), np.array([b.linked for b in found], float)
-    density = linked / np.maximum(words, 1)
+    density, free = linked / np.maximum(words, 1), words - linked
     before, after = np.concatenate([[0], words[:-1]]), np.concatenate([words[1:], [0]])
     density_before, density_after = np.concatenate([[0], density[:-1]]), np.concatenate([density[1:], [0]])
-    plain = np.where(density < 0.3, words, 0)
-    near = np.max([np.concatenate([np.zeros(max(0, k)), plain, np.zeros(max(0, -k))])[max(0, -k) : max(0, -k) + len(plain)] for k in range(-3, 4)], axis=0)
-    tags = np.array([[b.tag in HEADINGS, b.tag in ("li", "dd", "dt", "td", "th")] for b in found], float)
-    kinds = np.array([(k[0] + k[1], k[2] + k[3], k[4]) for k in (b.kinds for b in found)], float)
-    return np.column_stack([words, density, before, density_before, after, density_after, tags, kinds, near])
+    prose = np.concatenate([np.zeros(3), np.where(density < 0.3, words, 0), np.zeros(3)])
+    near = np.lib.stride_tricks.sliding_window_view(prose, 7).max(1)
+
+    node = np.array([b.node for b in found])
+    under = np.bincount(node, words, nodes)  # words of all that a container holds
+    section, around, named, main, header = list(range(nodes)), [0] * nodes, [0] * nodes, [0] * nodes, [0] * nodes
+    for i in range(nodes - 1, 0, -1):
+        under[page.parent[i]] += under[i]
+    for i in range(1, nodes):
+        up, tag = page.parent[i], page.tag[i]
+        section[i] = section[up] if tag in PARTS else i
+        around[i] = around[up] + (tag in AROUND)
+        named[i] = named[up] + (page.named[i] and 2 * under[i] < under[0])
+        main[i] = main[up] + (tag in MAIN)
+        header[i] = header[up] + (tag == "header" and not main[i])
+    sections = np.array(section)[node]
+    total, total_linked = np.bincount(sections, words, nodes), np.bincount(sections, linked, nodes)
+    section_free = total - total_linked
+    heading = np.array([HEADINGS.get(b.tag, 0) for b in found])
+    top = np.full(nodes, 7)
+    np.minimum.at(top, sections, np.where(heading, heading, 7))
+    rank = top[sections]
+    outside = np.array(around)[node] + np.array(named)[node] + np.array([b.named for b in found])
+    titles = np.flatnonzero((heading == 1) & (outside == 0) & (np.array(header)[node] == 0))
+    after_title = np.arange(len(found)) >= titles[0] if len(titles) else np.full(len(found), 0.5)
+    own = np.array([(b.tag in ITEMS, b.tag == "", b.named) for b in found], float)
+    return np.column_stack([
+        words, density, before, density_before, after, density_after, near,
+        section_free[sections], section_free[sections] / max(1.0, section_free.max()), total_linked[sections] / np.maximum(total[sections], 1), rank, heading > 0, own[:, :2], after_title,
+        np.array(around)[node], np.array(named)[node] + own[:, 2], np.array(main)[node], np.array(header)[node],
+    ])
 
 
 @dataclass
@@ -137,7 +206,7 @@ class Node:
     above: Node | None = field(default=None, repr=False)
 
 
-def grow(x: np.ndarray, y: np.ndarray, depth: int = 7, least: int = 2) -> Node:
+def grow(x: np.ndarray, y: np.ndarray, depth: int = DEPTH, least: int = LEAST) -> Node:
     """A decision tree by Gini impurity, on rows of features and labels 0 or 1."""
     node = Node(float(y.mean()))
     if depth == 0 or len(y) < 2 * least or y.min() == y.max():
@@ -183,25 +252,27 @@ def trained() -> Node:
 
     x, y = [], []
     for page in pages():
-        found = blocks(page)
+        found = parsed(page)
         x.append(described(found))
-        y += [b.text.startswith(MARKED) for b in found]
+        y += [b.text.startswith(MARKED) for b in found.blocks]
     return grow(np.concatenate(x), np.array(y, float))
 
 
 def main_text(page: str | None, tree: Node) -> str:
-    found = blocks(page)
-    if not found:
+    found = parsed(page)
+    if not found.blocks:
         return ""
-    return " ".join(b.text for b, main in zip(found, judged(tree, described(found)), strict=True) if main)
+    return " ".join(b.text for b, main in zip(found.blocks, judged(tree, described(found)), strict=True) if main)
 
 
 def extract(pages: DataFrame) -> DataFrame:
     """Per row of pages: page_id, url, text (main text), n_chars.
 
-    Null and empty html give an empty text; markup that doesn't close is closed
-    at the page's end; repeated rows and null ids get their results; an empty
-    table gives none. Other columns are not read.
+    Null and empty html give an empty text; elements that don't close are closed
+    at the page's end, and a tag without an end holds the rest of the page; a
+    page of any length takes time in proportion to it; repeated rows and null ids
+    get their results; ties cannot arise; an empty table gives none. Other
+    columns are not read.
     """
     tree = trained()
 
