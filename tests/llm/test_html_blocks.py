@@ -105,13 +105,13 @@ def test_words_and_links_of_neighbours_decide():
 
     def walk(node, depth):
         if node.feature >= 0:
-            used.setdefault(H.FEATURES[node.feature], depth)
+            used[H.FEATURES[node.feature]] = min(depth, used.get(H.FEATURES[node.feature], 99))
             walk(node.below, depth + 1)
             walk(node.above, depth + 1)
 
     walk(H.trained(), 0)
-    assert {"words", "link_density", "link_density_before", "longest_near", "section_words", "section_link_density"} <= set(used)
-    assert min(used.values()) == used["section_words"] and used["link_density"] == 1
+    assert {"words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "section_words"} <= set(used)
+    assert used["section_words"] == 0 and used["link_density"] == 1
 
 
 def test_held_out_pages():

@@ -50,16 +50,24 @@ def test_boilerplate_lines_by_site(spark):
     sources += ["a", "a", None] + ["a"] * 10
     docs = documents(spark, texts, sources)
     found = {r.row.doc_id: r for r in line_dedup.clean(docs).collect()}
+    assert {r.row.doc_id: r for r in line_dedup.clean(docs, broadcast_lines=0).collect()} == found
     for i in range(60):
         dropped = "subscribe now" in texts[i]  # on two thirds of the pages of either site
         assert found[i].row.text == (texts[i].replace("subscribe now\n", "") if dropped else texts[i]) and found[i].dropped == int(dropped)
-    assert found[60].row.text == "subscribe now"  # all of the page: it stays
+    assert found[60].row.text == "" and found[60].dropped == 1  # all of the page
     assert found[61].row.text is None and found[62].row.text == "" and found[63].row.text == texts[63]
     out = line_dedup.without_boilerplate(docs)
-    assert out.columns == docs.columns and all(r.n_chars == len(r.text) for r in out.collect() if r.text)
+    assert out.columns == docs.columns and all(r.n_chars == len(r.text) for r in out.collect() if r.text is not None)
     assert line_dedup.clean(docs.limit(0)).collect() == []
 
 
+def test_every_line_over_the_ratio_goes(spark):
+    """Also where it is most of a page: the lines that are left are on 5 % of a site's pages at most."""
+    docs = documents(spark, [f"first {i}\nthe same long line of every page of this site\n{'pair' + str(i // 2)}" for i in range(40)])
+    left = [r.text.split("\n") for r in line_dedup.without_boilerplate(docs).collect()]
+    assert sorted(left) == sorted([f"first {i}", f"pair{i // 2}"] for i in range(40))
+
+
 ALPHABET = [*" \n\t ▁abceo.,th\x00\x01ﬁéß漢字😀áΣσÀİ　​\r\x85̧́", "the ", "  ", "▁▁", "<s>", "</s>", "<unk>", "<0x0A>", "ing", "\n\n", "'s", "'ll", "<|endoftext|>", "1", "²", "Ω", "É", "×", "ÿ"]
 
 
@@ -127,3 +135,61 @@ def test_url_rules_and_reputation(spark):
     assert kept.columns == pages.columns and {r.page_id for r in kept.collect()} == {p for p, r in found.items() if r.verdict == "allow"}
     assert all(r.verdict == "allow" or r.rule for r in url_filter.judge(pages, outcomes.limit(0)).collect())
     assert url_filter.judge(pages.limit(0), outcomes).collect() == []
+
+
+def test_one_bad_outcome_blocks_nothing_elsewhere(spark):
+    """Fifty pages on hosts of seven domains, one or two outcomes: nothing can be learnt about hosts without one."""
+    pages = spark.createDataFrame([(i, f"http://h{i}.d{i % 7}.net/") for i in range(50)], "page_id long, url string")
+    for marks in ([(0, 0)], [(0, 0), (1, 1)], [(0, 0), (7, 0), (1, 1)], [(i, 1) for i in range(1, 50)] + [(0, 0)]):
+        found = url_filter.judge(pages, spark.createDataFrame(marks, "page_id long, good int")).collect()
+        assert {r.page_id for r in found if r.verdict == "block"} <= {p for p, good in marks if not good}
+
+
+def test_a_bad_host_is_blocked_and_its_domain_suspected(spark):
+    pages = [(i, f"http://bad.site.net/{i}") for i in range(40)] + [(100, "http://other.site.net/"), (101, "http://elsewhere.org/")] + [(200 + i, f"http://g{i % 6}.good{i % 3}.net/{i}") for i in range(60)]
+    marks = [(i, 0) for i in range(40)] + [(200 + i, int(i % 10 > 0)) for i in range(60)]
+    found = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(pages, "page_id long, url string"), spark.createDataFrame(marks, "page_id long, good int")).collect()}
+    assert all(found[i].verdict == "block" for i in range(40)) and all(found[200 + i].verdict == "allow" for i in range(60))
+    assert found[101].verdict == "allow" and found[100].posterior < found[101].posterior
+
+
+def plain_reputations(hosts):
+    """Posterior means and bounds from (host, suffix, domain, n, good), by loops over members."""
+    total_n, total_good = sum(h[3] for h in hosts), sum(h[4] for h in hosts)
+    inherited, strength, out = {}, None, {}
+    for depth in (1, 2, 3):
+        members = {}
+        for host, suffix, domain, n, good in hosts:
+            key = (suffix, domain, host)[:depth]
+            a, b = members.get(key, (0, 0))
+            members[key] = (a + n, b + good)
+        means = {}
+        for key, (n, good) in members.items():
+            if depth == 1:
+                means[key] = (total_good - good + 1) / (total_n - n + 2)
+            else:
+                p, (up_n, up_good) = inherited[key[:-1]]
+                means[key] = (strength * p + up_good - good) / (strength + up_n - n)
+        more = spread = 0
+        for key, (n, good) in members.items():
+            if n > 1:
+                spread += (good - n * means[key]) ** 2 / (n * means[key] * (1 - means[key])) - 1
+                more += n - 1
+        rho = (spread + 10 * 0.5) / (more + 10)
+        strength = min(1000, max(1, 1 / rho - 1)) if rho > 0 else 1000
+        inherited = {k: (means[k], members[k]) for k in members}
+    for key, (p, (n, good)) in inherited.items():
+        a, b = strength * p + good, strength * (1 - p) + n - good
+        out[key[-1]] = (a / (a + b), min(1, max(0, a / (a + b) + 1.64 * (a * b / ((a + b) ** 2 * (a + b + 1))) ** 0.5)))
+    return out
+
+
+def test_reputations_by_brute_force(spark):
+    r = random.Random(3)
+    hosts = []
+    for i in range(60):
+        n = r.choice([0, 0, 1, 2, 5, 30])
+        hosts.append((f"h{i}.d{i % 11}.{'net' if i % 11 < 6 else 'org'}", "net" if i % 11 < 6 else "org", f"d{i % 11}.{'net' if i % 11 < 6 else 'org'}", n, sum(r.random() < (0.2 if i % 4 == 0 else 0.9) for _ in range(n))))
+    found = {x.host: (x.posterior, x.bound) for x in url_filter.reputations(spark.createDataFrame([(h[0], h[3], h[4]) for h in hosts], "host string, n long, good long")).collect()}
+    expected = plain_reputations(hosts)
+    assert found.keys() == expected.keys() and all(np.allclose(found[h], expected[h], atol=1e-9) for h in found)

@@ -9,12 +9,12 @@ from tidefleet.llm.common import SharedTables, as_row
 
 #: A line on more than this share of a site's pages is boilerplate,
 RATIO = 0.05
-#: but not if fewer pages hold it,
+#: but not if fewer pages hold it.
 MIN_PAGES = 4
-#: and a page of which boilerplate would take more than this share of the characters is a copy of other pages, not a page with boilerplate: it stays whole.
-MOST_REMOVED = 0.5
-#: Line hashes of all sites' boilerplate that a broadcast may hold (about 64 MB); beyond it the pages are joined by site.
+#: Line hashes of all sites' boilerplate that a broadcast may hold (about 64 MB); beyond it the pages are joined by site,
 BROADCAST_LINES = 4_000_000
+#: each site's in so many parts, so that no site's pages come to one task.
+PARTS = 64
 
 
 def _line(line: Column) -> Column:
@@ -43,25 +43,33 @@ def boilerplate(pages: DataFrame, tables: SharedTables, site: str = "source", ra
     return tables.keep(bad.groupBy("site").agg(F.collect_set("line").alias("lines")))
 
 
-def clean(pages: DataFrame, site: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, most_removed: float = MOST_REMOVED) -> DataFrame:
+def clean(pages: DataFrame, site: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, broadcast_lines: int = BROADCAST_LINES) -> DataFrame:
     """(row, dropped): the rows of pages as structs, with boilerplate lines gone from text, and how many lines went (int).
 
     Lines stand between newlines and are compared without spaces at their ends;
-    blank lines always stay. Null texts stay null; a null site is a site of its
-    own, together with the empty one. Ties cannot arise; repeated rows count as
-    one page and are cleaned alike; an empty table stays empty.
+    blank lines always stay, and every line over the ratio goes, be it all that a
+    page has. A line on just ratio of the pages stays. Null texts stay null; a
+    null site is a site of its own, together with the empty one; texts of any
+    length are split whole; repeated rows count as one page and are cleaned
+    alike; an empty table stays empty; columns of any name are carried along.
     """
     tables = SharedTables(pages.sparkSession)
     found = boilerplate(pages, tables, site, ratio, min_pages)
     entries = found.agg(F.sum(F.size("lines") + 4)).collect()[0][0] or 0
-    bad = found.select(F.col("site"), F.col("lines").alias("bad"))
-    text = F.col("row.text")
-    joined = as_row(pages).join(F.broadcast(bad) if entries <= BROADCAST_LINES else bad, F.coalesce(f"row.{site}", F.lit("")) == F.col("site"), "left")
+    bad = found.select(F.col("site").alias("at"), F.col("lines").alias("bad"))
+    rows, text = as_row(pages), F.col("row.text")
+    here = F.coalesce(f"row.{site}", F.lit(""))
+    if entries <= broadcast_lines:
+        joined = rows.join(F.broadcast(bad), here == F.col("at"), "left")
+    else:
+        part = F.pmod(F.xxhash64(F.coalesce(text, F.lit(""))), F.lit(PARTS))
+        dealt = bad.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+        joined = rows.join(dealt, (here == F.col("at")) & (part == F.col("part")), "left")
     kept = F.filter(_lines(text), lambda x: ~F.array_contains("bad", _line(x)) | (F.trim(x) == ""))
     cut = joined.select("row", F.when(F.col("bad").isNotNull() & text.isNotNull(), kept).alias("kept"))
-    cut = cut.withColumn("shorter", F.array_join("kept", "\n")).withColumn("fewer", F.size(_lines(text)) - F.size("kept"))
-    taken = (F.coalesce("fewer", F.lit(0)) > 0) & (F.length(text) - F.length("shorter") <= most_removed * F.length(text))
-    return cut.select(F.col("row").withField("text", F.when(taken, F.col("shorter")).otherwise(text)).alias("row"), F.when(taken, F.col("fewer")).otherwise(0).alias("dropped"))
+    cut = cut.withColumn("fewer", F.coalesce(F.size(_lines(text)) - F.size("kept"), F.lit(0)))
+    taken = F.col("kept").isNotNull() & (F.col("fewer") > 0)
+    return cut.select(F.col("row").withField("text", F.when(taken, F.array_join("kept", "\n")).otherwise(text)).alias("row"), F.when(taken, F.col("fewer")).otherwise(0).alias("dropped"))
 
 
 def without_boilerplate(docs: DataFrame, site: str = "source") -> DataFrame:

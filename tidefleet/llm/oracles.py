@@ -14,7 +14,7 @@ bad AS (SELECT l.site, line FROM l JOIN total ON l.site = total.site GROUP BY l.
 lists AS (SELECT site, list(line) AS bad FROM bad GROUP BY 1),
 cut AS (SELECT p.*, list_filter(lines, lambda x: trim(x) = '' OR NOT list_contains(coalesce(bad, []), trim(x))) AS kept FROM p LEFT JOIN lists ON p.site = lists.site),
 j AS (SELECT *, array_to_string(kept, chr(10)) AS shorter FROM cut),
-t AS (SELECT *, text IS NOT NULL AND len(kept) < len(lines) AND length(text) - length(shorter) <= CAST({line_dedup.MOST_REMOVED} AS DOUBLE) * length(text) AS taken FROM j)
+t AS (SELECT *, text IS NOT NULL AND len(kept) < len(lines) AS taken FROM j)
 SELECT doc_id, CAST(CASE WHEN taken THEN len(lines) - len(kept) ELSE 0 END AS BIGINT) AS n_dropped, CASE WHEN taken THEN shorter ELSE text END AS text FROM t"""
 
 OP9 = f"""WITH b AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, {_WORDS} AS w FROM benchmark), bm AS (SELECT *, least(len(w), 10) AS m FROM b WHERE len(w) > 0),
@@ -29,12 +29,12 @@ FROM d LEFT JOIN n ON d.doc_id = n.doc_id LEFT JOIN k ON d.doc_id = k.doc_id"""
 
 
 def _level(name: str, keys: str, above: str) -> str:
-    """Members of one level with their priors p, the level's strength, and posteriors."""
-    s, low, high = f"{name}_s", url_filter.LEAST_STRENGTH, url_filter.MOST_STRENGTH
+    """Members of one level with the mean p that each inherits, and the level's strength s by the spread among members of several outcomes."""
+    low, high, usual, weight = (f"CAST({x} AS DOUBLE)" for x in (url_filter.LEAST_STRENGTH, url_filter.MOST_STRENGTH, url_filter.USUAL_CORRELATION, url_filter.USUAL_WEIGHT))
     return f"""{name}_m AS ({above}),
-{name}_r AS (SELECT sum(pow(good - n * p, 2) / (n * p * (1 - p))) AS spread, count(*) AS g, sum(n - 1) AS more FROM {name}_m WHERE n > 0),
-{s} AS (SELECT CASE WHEN rho > 0 THEN least(CAST({high} AS DOUBLE), greatest(CAST({low} AS DOUBLE), 1 / rho - 1)) ELSE {high} END AS s FROM (SELECT CASE WHEN more > 0 THEN (spread - g) / more WHEN g > 0 THEN 0 ELSE 1 END AS rho FROM {name}_r)),
-{name}_p AS (SELECT {keys}, s * p + good AS a, s * (1 - p) + n - good AS b FROM {name}_m, {s})"""
+{name}_r AS (SELECT (coalesce(sum(pow(good - n * p, 2) / (n * p * (1 - p)) - 1), 0) + {weight} * {usual}) / (coalesce(sum(n - 1), 0) + {weight}) AS rho FROM {name}_m WHERE n > 1),
+{name}_s AS (SELECT CASE WHEN rho > 0 THEN least({high}, greatest({low}, 1 / rho - 1)) ELSE {high} END AS s FROM {name}_r),
+{name}_p AS (SELECT {keys}, p, n, good, s FROM {name}_m, {name}_s)"""
 
 
 _RULES = " ".join(
@@ -53,10 +53,11 @@ h2 AS (SELECT *, string_split(bare, '.') AS parts, regexp_matches(bare, '^[0-9.]
 h3 AS (SELECT *, array_to_string(parts[greatest(len(parts) - 1, 1):], '.') AS last2, array_to_string(parts[greatest(len(parts) - 2, 1):], '.') AS last3 FROM h2),
 h4 AS (SELECT host, n, good, CASE WHEN address THEN bare WHEN last2 IN ({_LONG}) THEN last3 ELSE last2 END AS domain, address FROM h3),
 h AS (SELECT host, n, good, domain, CASE WHEN address THEN '' ELSE regexp_replace(domain, '^[^.]*\\.?', '') END AS suffix FROM h4),
-{_level("suffix", "suffix", f"SELECT suffix, {_SUM}, (SELECT (sum(good) + CAST(1 AS DOUBLE)) / (sum(n) + 2) FROM h) AS p FROM h GROUP BY suffix")},
-{_level("domain", "suffix, domain", f"SELECT x.*, a / (a + b) AS p FROM (SELECT suffix, domain, {_SUM} FROM h GROUP BY 1, 2) x JOIN suffix_p u ON x.suffix = u.suffix")},
-{_level("host", "host", f"SELECT x.*, a / (a + b) AS p FROM (SELECT suffix, domain, host, {_SUM} FROM h GROUP BY 1, 2, 3) x JOIN domain_p u ON x.suffix = u.suffix AND x.domain = u.domain")},
-v AS (SELECT host, a / (a + b) AS posterior, greatest(0, least(1, a / (a + b) + CAST({url_filter.Z} AS DOUBLE) * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))))) AS bound FROM host_p),
+{_level("suffix", "suffix", f"SELECT suffix, n, good, (tg - good + 1) / (tn - n + 2) AS p FROM (SELECT suffix, {_SUM} FROM h GROUP BY 1), (SELECT CAST(sum(good) AS DOUBLE) AS tg, CAST(sum(n) AS DOUBLE) AS tn FROM h)")},
+{_level("domain", "suffix, domain", f"SELECT x.*, (u.s * u.p + u.good - x.good) / (u.s + u.n - x.n) AS p FROM (SELECT suffix, domain, {_SUM} FROM h GROUP BY 1, 2) x JOIN suffix_p u ON x.suffix = u.suffix")},
+{_level("host", "host", f"SELECT x.*, (u.s * u.p + u.good - x.good) / (u.s + u.n - x.n) AS p FROM (SELECT suffix, domain, host, {_SUM} FROM h GROUP BY 1, 2, 3) x JOIN domain_p u ON x.suffix = u.suffix AND x.domain = u.domain")},
+ab AS (SELECT host, s * p + good AS a, s * (1 - p) + n - good AS b FROM host_p),
+v AS (SELECT host, a / (a + b) AS posterior, greatest(0, least(1, a / (a + b) + CAST({url_filter.Z} AS DOUBLE) * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))))) AS bound FROM ab),
 w AS (SELECT q.page_id, q.host, q.path, CASE {_RULES} END AS rule, posterior, bound FROM (SELECT * FROM q) q JOIN v ON q.host = v.host)
 SELECT page_id, host, path, rule, CASE rule {_VERDICTS} ELSE CASE WHEN bound < {url_filter.MIN_GOOD} THEN 'block' ELSE 'allow' END END AS verdict, round(posterior, 6) AS posterior, round(bound, 6) AS bound FROM w"""
 OP8 = OP8.replace("(host = '", "(q.host = '").replace(" OR host LIKE", " OR q.host LIKE")

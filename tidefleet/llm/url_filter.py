@@ -2,9 +2,11 @@
 
 Labelled page outcomes are counted by host; beta-binomial priors lead from the
 whole corpus to the suffix, from there to the registered domain and on to the
-host, each level shrunk towards the one above it by a strength that the spread
-among its own members sets. A page is blocked if even the upper posterior bound
-of its host's share of good pages is low.
+host. What a member inherits from the level above never holds its own outcomes,
+so that each outcome counts once on a host's way; how strongly a level pulls is
+learnt from the spread among its members that have several outcomes, and is weak
+as long as there are few. A page is blocked if even the upper posterior bound of
+its host's share of good pages is low.
 """
 
 from __future__ import annotations
@@ -12,14 +14,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidefleet.llm.common import as_row, ascii_lower
+from tidefleet.llm.common import SharedTables, as_row, ascii_lower
 
 #: (verdict, host and path prefix): a rule fits its host and all subdomains; the longest wins.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
-#: Suffixes of more than one label under which domains are registered.
+#: Suffixes of more than one label under which domains are registered; a fuller list, such as the public suffix list's, may be given instead.
 LONG_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "net.au", "co.jp", "co.nz", "com.br", "co.in", "co.za")
 MIN_GOOD, Z = 0.6, 1.64
 LEAST_STRENGTH, MOST_STRENGTH = 1.0, 1000.0
+#: Correlation of outcomes within a member that is taken for granted, and how many outcomes' worth of evidence that is.
+USUAL_CORRELATION, USUAL_WEIGHT = 0.5, 10.0
+#: Hosts whose reputations a broadcast may hold (about 100 MB); with more, pages are joined by host.
+BROADCAST_HOSTS = 1_000_000
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -39,12 +45,12 @@ def _rule(host: Column, path: Column, rules) -> tuple[Column, Column]:
     return verdict, text
 
 
-def _levels(host: Column) -> dict[str, Column]:
+def _levels(host: Column, long_suffixes: tuple[str, ...]) -> dict[str, Column]:
     bare = F.regexp_replace(F.regexp_replace(host, "^.*@", ""), ":[0-9]*$", "")
     address = bare.rlike(r"^[0-9.]*$|^\[")
     labels = F.split(bare, r"\.")
     last2, last3 = (F.array_join(F.slice(labels, F.greatest(F.size(labels) - n + 1, F.lit(1)), F.lit(n)), ".") for n in (2, 3))
-    domain = F.when(address, bare).when(last2.isin(*LONG_SUFFIXES), last3).otherwise(last2)
+    domain = F.when(address, bare).when(last2.isin(*long_suffixes), last3).otherwise(last2)
     suffix = F.when(address, "").otherwise(F.regexp_replace(domain, r"^[^.]*\.?", ""))
     return {"suffix": suffix, "domain": domain}
 
@@ -53,49 +59,62 @@ def _clamp(x: Column, low: float, high: float) -> Column:
     return F.greatest(F.lit(low), F.least(F.lit(high), x))
 
 
-def reputations(hosts: DataFrame, z: float = Z) -> DataFrame:
+def reputations(hosts: DataFrame, z: float = Z, long_suffixes: tuple[str, ...] = LONG_SUFFIXES) -> DataFrame:
     """(host, posterior, bound) from rows (host, n, good), one per host; n may be zero.
 
-    Per level: with p the mean that a member inherits, q = p (1 - p),
-    S = sum (good - n p)^2 / (n q) and G members, rho = (S - G) / sum (n - 1)
-    and the prior's strength is 1 / rho - 1, within fixed limits.
+    The corpus gives the suffix s the mean p_s = (good + 1) / (n + 2) over what
+    isn't under s. A level of strength S gives each member m the mean
+    p_m = (S p + good) / (S + n), with p the mean that the level itself got and
+    good, n over what is in the level but not in m. A host's posterior is
+    beta(S p + good, S (1 - p) + n - good). A level's strength is 1 / rho - 1
+    within fixed limits, with rho = (X + w r) / (N + w), where w and r are what
+    is taken for granted (USUAL), and over members of several outcomes
+    X = sum ((good - n p)^2 / (n p (1 - p)) - 1) and N = sum (n - 1).
     """
-    named = hosts.select("host", "n", "good", *(c.alias(k) for k, c in _levels(F.col("host")).items()))
+    named = hosts.select("host", "n", "good", *(c.alias(k) for k, c in _levels(F.col("host"), long_suffixes).items()))
     total = named.agg(F.sum("good"), F.sum("n")).collect()[0]
-    above = F.lit(((total[0] or 0) + 1.0) / ((total[1] or 0) + 2.0))
+    total_good, total_n = float(total[0] or 0), float(total[1] or 0)
+    p, n, good = F.col("p"), F.col("n"), F.col("good")
     parent = None
-    for level in ("suffix", "domain", "host"):
-        keys = {"suffix": ["suffix"], "domain": ["suffix", "domain"], "host": ["suffix", "domain", "host"]}[level]
+    for keys in (["suffix"], ["suffix", "domain"], ["suffix", "domain", "host"]):
         members = named.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
-        members = members.withColumn("p", above) if parent is None else members.join(parent, keys[:-1])
-        p, n = F.col("p"), F.col("n")
-        seen = members.filter("n > 0").agg(F.sum((F.col("good") - n * p) ** 2 / (n * p * (1 - p))), F.count("*"), F.sum(n - 1)).collect()[0]
-        rho = (seen[0] - seen[1]) / seen[2] if seen[2] else 0.0 if seen[1] else 1.0  # nothing seen: the weakest prior
+        if parent is None:
+            members = members.withColumn("p", (F.lit(total_good) - good + 1) / (F.lit(total_n) - n + 2))
+        else:  # strength is that of the level above, above_* are its counts and the mean it got
+            members = members.join(parent, keys[:-1]).withColumn("p", (strength * F.col("above_p") + F.col("above_good") - good) / (strength + F.col("above_n") - n))
+        several = members.filter("n > 1").agg(F.sum((good - n * p) ** 2 / (n * p * (1 - p)) - 1), F.sum(n - 1)).collect()[0]
+        rho = (float(several[0] or 0) + USUAL_WEIGHT * USUAL_CORRELATION) / (float(several[1] or 0) + USUAL_WEIGHT)
         strength = min(MOST_STRENGTH, max(LEAST_STRENGTH, 1 / rho - 1)) if rho > 0 else MOST_STRENGTH
-        a, b = strength * p + F.col("good"), strength * (1 - p) + n - F.col("good")
-        members = members.withColumn("a", a).withColumn("b", b).withColumn("mean", F.col("a") / (F.col("a") + F.col("b")))
-        parent = members.select(*keys, F.col("mean").alias("p"))
-    a, b = F.col("a"), F.col("b")
-    bound = F.col("mean") + z * F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
-    return members.select("host", F.col("mean").alias("posterior"), _clamp(bound, 0.0, 1.0).alias("bound"))
+        parent = members.select(*keys, p.alias("above_p"), good.alias("above_good"), n.alias("above_n"))
+    a, b = strength * p + good, strength * (1 - p) + n - good
+    mean = a / (a + b)
+    bound = mean + z * F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
+    return members.select("host", mean.alias("posterior"), _clamp(bound, 0.0, 1.0).alias("bound"))
 
 
-def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, min_good: float = MIN_GOOD, z: float = Z) -> DataFrame:
+def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, min_good: float = MIN_GOOD, z: float = Z, long_suffixes: tuple[str, ...] = LONG_SUFFIXES, broadcast_hosts: int = BROADCAST_HOSTS) -> DataFrame:
     """Per row of pages: page_id, host, path, rule, posterior, bound, verdict.
 
     outcomes has (page_id, good 0 or 1), of several for a page the least. Null
     urls and those without :// have an empty host, which has a reputation like
-    any other; a host without outcomes has its domain's; repeated rows and null
-    ids get their results; without outcomes nothing but rules blocks, as the
-    prior is then one half with a wide bound. Other columns are not read.
+    any other; urls of any length are read whole; a host without outcomes has
+    what its domain gives it; a bound of just min_good allows; repeated rows and
+    null ids get their results; without outcomes nothing but rules blocks, as the
+    prior is then one half with a wide bound; an empty table gives none. Other
+    columns are not read. The counts of hosts are written once to the shared
+    folder, and their reputations are broadcast up to broadcast_hosts hosts.
     """
+    tables = SharedTables(pages.sparkSession)
     host, path = host_and_path(F.coalesce("url", F.lit("")))
     parsed = pages.select("page_id", host.alias("host"), path.alias("path"))
     known = outcomes.filter("page_id is not null and good is not null").groupBy("page_id").agg(F.min("good").cast("long").alias("good"))
     counted = parsed.select("page_id", "host").join(known, "page_id", "left").groupBy("host").agg(F.count("good").alias("n"), F.sum(F.coalesce("good", F.lit(0))).alias("good"))
+    known_hosts = tables.keep(counted)
+    found = tables.keep(reputations(known_hosts, z, long_suffixes))
     verdict, rule = _rule(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("bound") < min_good, "block").otherwise("allow")
-    return parsed.join(reputations(counted, z), "host").select("page_id", "host", "path", rule.alias("rule"), "posterior", "bound", F.coalesce(verdict, own).alias("verdict"))
+    joined = parsed.join(F.broadcast(found) if found.count() <= broadcast_hosts else found, "host")
+    return joined.select("page_id", "host", "path", rule.alias("rule"), "posterior", "bound", F.coalesce(verdict, own).alias("verdict"))
 
 
 def allowed(pages: DataFrame, outcomes: DataFrame, rules=RULES, min_good: float = MIN_GOOD, z: float = Z) -> DataFrame:
