@@ -1,5 +1,6 @@
 import numpy as np
 import pyarrow as pa
+import pytest
 import xxhash
 
 from tests.llm.fixtures import documents, odd_texts, prose
@@ -84,14 +85,48 @@ def test_runs_in_pieces_lose_no_link(monkeypatch):
     assert [find(i) for i in range(len(order))] == plain_components(fps.tolist())
 
 
-def test_one_of_each_group_stays(spark):
+@pytest.mark.parametrize("most", [S.BROADCAST_ROWS, 0])
+def test_one_of_each_group_stays(spark, most):
     texts = [prose(1, 50), prose(1, 50), prose(2, 50), None, "", prose(2, 50)]
     docs = documents(spark, texts, ids=[4, 2, 9, 7, 8, None])
-    kept = S.drop_near_duplicates(docs)
+    kept = S.drop_near_duplicates(docs, most)
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [2, 7, 9]
-    twice = documents(spark, [prose(3, 20)] * 2, ids=[5, 5])
-    assert S.drop_near_duplicates(twice).count() == 1
+    twice = documents(spark, [prose(3, 20)] * 3, sources=["b", "a", "c"], ids=[5, 5, 5])
+    assert [r.source for r in S.drop_near_duplicates(twice, most).collect()] == ["a"]
+
+
+@pytest.mark.parametrize("most", [S.BROADCAST_ROWS, 0])
+def test_rows_of_one_id_are_kept_apart(spark, most):
+    """Two texts of id 1 are groups of their own: one is a copy of id 0's and goes, the other stays; of two texts of one group and id one stays."""
+    near = prose(6, 200)
+    docs = documents(spark, [prose(1, 50), prose(1, 50), prose(2, 50), near + " x", near + " y", prose(4, 30), prose(4, 30), prose(5, 30)], ids=[0, 1, 1, 3, 3, None, None, None])
+    kept = sorted((r.doc_id if r.doc_id is not None else -1, r.text[-1:]) for r in S.drop_near_duplicates(docs, most).collect())
+    assert [k[0] for k in kept] == [-1, -1, 0, 1, 3]
+
+
+def test_ten_thousand_fingerprints_of_one_key(spark, monkeypatch):
+    """Pieces of one key are compared pair by pair, in several tasks, and lose no link."""
+    r = np.random.default_rng(8)
+    one = r.integers(0, 1 << 64, dtype=np.uint64)
+    fps = np.unique([one ^ sum((np.uint64(1) << np.uint64(b) for b in r.choice(64, 3, replace=False)), np.uint64(0)) for _ in range(10_000)]).astype(np.uint64)
+    rows = [(7, i, [int(f) for f in fps[at : at + 1500].view(np.int64)]) for i, at in enumerate(range(0, len(fps), 1500))]
+    pieces = spark.createDataFrame(rows, "key long, piece int, fps array<long>")
+    found = S.crossed(pieces)
+    assert found.rdd.getNumPartitions() >= len(rows) * (len(rows) - 1) // 2
+    root = {int(f): int(f) for f in fps.view(np.int64)}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for link in found.collect():
+        assert bin((link.a ^ link.b) & (2**64 - 1)).count("1") <= 4
+        a, b = find(link.a), find(link.b)
+        root[max(a, b)] = min(a, b)
+    expected = S.spanning_links(fps)
+    assert len({find(int(f)) for f in fps.view(np.int64)}) == len(fps) - sum(len(others) for _, others in expected)
 
 
 def test_empty_table(spark):

@@ -20,7 +20,7 @@ from itertools import accumulate
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidefleet.llm.common import SharedTables, as_row
@@ -32,6 +32,10 @@ GENERATOR = 0b110001110101  # of the Golay code
 PIECE = 16_384
 #: Links whose components one task finds at a time.
 LOCAL_LINKS = 500_000
+#: Fingerprints whose keys, about ninety each, one task makes.
+KEYED_ROWS = 50_000
+#: Rows to leave out whose hashes a broadcast may hold (about 64 MB); with more, rows are joined by their hashes.
+BROADCAST_ROWS = 1_000_000
 
 
 def fingerprint(text: bytes | None) -> int:
@@ -51,9 +55,10 @@ def fingerprint(text: bytes | None) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, text and further columns to doc_id, fp and those."""
     for batch in batches:
         each = np.array([fingerprint(t) for t in batch.column(1).cast(pa.binary()).to_pylist()], np.uint64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(each.view(np.int64))], ["doc_id", "fp"])
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(each.view(np.int64)), *batch.columns[2:]], ["doc_id", "fp", *batch.schema.names[2:]])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -262,36 +267,77 @@ def components(links: DataFrame, tables: SharedTables) -> DataFrame:
         before = state
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per row of docs: doc_id, fp (signed long) and component_id, the smallest doc_id that links reach.
+def _row_hash(text: Column, doc_id: Column) -> list[Column]:
+    """Two hashes that tell rows apart by id and text."""
+    text, doc_id = F.coalesce(text, F.lit("")), F.coalesce(doc_id.cast("string"), F.lit("null"))
+    return [F.xxhash64(doc_id, text).alias("h1"), F.xxhash64(text, F.lit(1), doc_id).alias("h2")]
 
-    Null and empty texts have fingerprint zero and are linked like any other.
-    Repeated rows and rows of one id each get their result; a null id never
-    is a component's smallest unless there is no other. An empty table gives an
-    empty result. Other columns are not read.
-    """
-    spark = docs.sparkSession
-    tables = SharedTables(spark)
-    prints = tables.keep(fingerprints(docs))
+
+def with_components(prints: DataFrame, tables: SharedTables) -> DataFrame:
+    """prints, rows with doc_id and fp, with root, one fingerprint for each component, and component_id, the smallest doc_id that links reach."""
     members = tables.keep(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
-    keyed = members.select("fp").mapInArrow(_keyed, "key long, fp long").repartition("key").sortWithinPartitions("key", "fp")
+    tasks = max(-(-members.count() // KEYED_ROWS), members.sparkSession.sparkContext.defaultParallelism)
+    keyed = members.select("fp").repartition(tasks, "fp").mapInArrow(_keyed, "key long, fp long").repartition("key").sortWithinPartitions("key", "fp")
     found = tables.keep(keyed.mapInArrow(_links, LINKS))
-    links, pieces = found.filter("a is not null").select("a", "b"), found.filter("piece is not null")
+    links, pieces = found.filter("a is not null").select("a", "b"), found.filter("piece is not null").select("key", "piece", "fps")
     if not pieces.isEmpty():
-        x, y = pieces.select("key", "piece", "fps"), pieces.select(F.col("key").alias("k"), F.col("piece").alias("p"), F.col("fps").alias("more"))
-        crossed = x.join(y, (F.col("key") == F.col("k")) & (F.col("piece") < F.col("p"))).select("fps", "more")
-        links = links.unionAll(crossed.mapInArrow(_piece_links, LINKS).select("a", "b"))
+        links = links.unionAll(crossed(pieces))
     roots = components(links, tables)
     rooted = members.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
-    linked = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = rooted.join(linked, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    named = rooted.join(least, "root").select("fp", "root", "component_id")
+    return prints.join(named, "fp")
+
+
+def crossed(pieces: DataFrame) -> DataFrame:
+    """(a, b): links among the pieces (key, piece, fps) of each key, of which each has two at least; every pair of pieces is a unit of its own."""
+    counted = pieces.groupBy("key").agg(F.count("*").alias("n"))
+    pairs = counted.agg(F.sum(F.expr("n * (n - 1) div 2"))).collect()[0][0]
+    tasks = max(pieces.sparkSession.sparkContext.defaultParallelism, min(2000, pairs))
+    mine = pieces.join(counted, "key").withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1))).filter("other <> piece")
+    mine = mine.select("key", "piece", "fps", F.least("piece", "other").alias("low"), F.greatest("piece", "other").alias("high")).repartition(tasks, "key", "low", "high")
+    both = mine.groupBy("key", "low", "high").agg(F.min_by("fps", "piece").alias("fps"), F.max_by("fps", "piece").alias("more"))
+    return both.select("fps", "more").mapInArrow(_piece_links, LINKS).select("a", "b")
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """Per row of docs: doc_id, fp (signed long) and component_id, the smallest doc_id that links reach.
+
+    Null and empty texts have fingerprint zero and are linked like any other;
+    texts of any length are hashed whole. Repeated rows and rows of one id each
+    get their result; a null id never is a component's smallest unless there is
+    no other. An empty table gives an empty result. Other columns are not read.
+    """
+    tables = SharedTables(docs.sparkSession)
+    return with_components(tables.keep(fingerprints(docs)), tables).select("doc_id", "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """docs with one document of each group: the one of the smallest doc_id. Columns stay as they are; repeated rows are one document.
+def drop_near_duplicates(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """docs with one document of each group: the one of the smallest doc_id. Columns stay as they are.
 
-    Rows without an id stay only in groups where no row has one, each text once.
+    Null and empty texts are one group. Of rows of one id and one text one stays,
+    by the order of their other columns; of rows of one id and different texts
+    each group keeps one, that of the least hash. Rows without an id stay only in
+    groups where no row has one. An empty table stays empty. Texts aren't
+    shuffled unless there are more than broadcast_rows rows to leave out.
     """
-    kept = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return as_row(docs).join(kept, F.col("row.doc_id").eqNullSafe(F.col("doc_id")), "left_semi").select("row.*").dropDuplicates(["doc_id", "text"])
+    tables = SharedTables(docs.sparkSession)
+    hashed = docs.select("doc_id", "text", *_row_hash(F.col("text"), F.col("doc_id")))
+    prints = tables.keep(hashed.mapInArrow(_fingerprints, f"doc_id {dict(docs.dtypes)['doc_id']}, fp long, h1 long, h2 long"))
+    each = with_components(prints, tables).groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("root").alias("root"), F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("least"))
+    each = tables.keep(each)
+    best = each.filter("least").groupBy("root").agg(F.min(F.struct("h1", "h2")).alias("one")).select("one.*")
+    gone = tables.keep(each.join(best, ["h1", "h2"], "left_anti").select("h1", "h2"))
+    again = tables.keep(each.filter("n > 1").join(best, ["h1", "h2"], "left_semi").select("h1", "h2"))
+    repeated = again.count()
+    rows = as_row(docs)
+    rows = rows.select("row", *_row_hash(F.col("row.text"), F.col("row.doc_id")))
+    rest = F.to_json(F.struct(F.lit(0).alias("0"), *(F.col(f"row.`{c}`") for c in docs.columns if c != "text")))
+    if gone.count() + repeated <= broadcast_rows:
+        once = rows.join(F.broadcast(gone.unionAll(again)), ["h1", "h2"], "left_anti").select("row.*")
+        if not repeated:
+            return once
+        several = rows.join(F.broadcast(again), ["h1", "h2"], "left_semi")
+        return once.unionAll(several.groupBy("h1", "h2").agg(F.min_by("row", rest).alias("row")).select("row.*"))
+    kept = rows.join(each.join(gone, ["h1", "h2"], "left_anti").select("h1", "h2"), ["h1", "h2"], "left_semi")
+    return (kept.groupBy("h1", "h2").agg(F.min_by("row", rest).alias("row")) if repeated else kept).select("row.*")
