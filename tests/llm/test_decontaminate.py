@@ -50,6 +50,7 @@ def test_rows_are_kept_apart(spark):
     docs = documents(spark, [items[0][1], prose(30, 20), items[0][1], "x"], ids=[1, 1, None, None])
     found = sorted((r.n_words, r.n_hit) for r in D.contamination(docs, bench).collect())
     assert found == [(1, 0), (20, 0), (25, 25), (25, 25)]
+    assert D.drop_contaminated(docs, bench, broadcast_rows=0).count() == 2
     kept = D.drop_contaminated(docs, bench)
     assert kept.columns == docs.columns and sorted(r.text for r in kept.collect()) == sorted(["x", prose(30, 20)])
 

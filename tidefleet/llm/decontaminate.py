@@ -13,13 +13,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidefleet.llm.common import as_row, ascii_lower
+from tidefleet.llm.common import SharedTables, as_row, ascii_lower
 
 WINDOW = 10
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Windows in one broadcast: about 64 MB with their words. A larger benchmark is taken in blocks of so many, each in a scan of its own.
 BROADCAST_WINDOWS = 200_000
+#: Documents to leave out whose hashes a broadcast may hold (about 64 MB).
+BROADCAST_ROWS = 1_000_000
 
 
 def words(text: Column) -> Column:
@@ -58,55 +60,65 @@ def _row_key(docs: DataFrame) -> list[Column]:
     return [F.col("doc_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("row_key")]
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
-    """(doc_id, row_key, start, w_size, w_items): verified occurrences of benchmark windows in documents."""
+def _probed(docs: DataFrame, benchmark: DataFrame, broadcast_windows: int) -> DataFrame:
+    """(doc_id, row_key, n_words, start, w_size, w_items): a row without start for each document, and one for each verified occurrence of a window."""
     windows = benchmark_windows(benchmark)
     sizes = {r["w_size"]: r["n"] for r in windows.groupBy("w_size").agg(F.count("*").alias("n")).collect()}  # ten rows at most
     lengths, total = sorted(sizes) or [WINDOW], sum(sizes.values())
     scanned = docs.select(*_row_key(docs), words(F.col("text")).alias("all"))
-    each = lambda h: F.concat(*(_windows(h, n) for n in lengths))
+    each = lambda h: F.concat(F.array(F.lit(None).cast("long")), *(_windows(h, n) for n in lengths))
     scanned = scanned.select("doc_id", "row_key", "all", _once(F.transform("all", lambda w: F.xxhash64(w)), each).alias("windows"))
     # outer: else a filter on the array's size is inferred, which computes every array a second time
     probes = scanned.select("doc_id", "row_key", "all", F.posexplode_outer("windows").alias("at", "w_hash"))
-    before, offset = F.lit(0), F.lit(0)
-    for n in lengths:  # windows of each length stand one after another in the array
+    before, offset = F.lit(1), F.lit(1)
+    for n in lengths:  # the document itself stands first, then windows of each length one after another
         offset = F.when(F.col("w_size") == n, before).otherwise(offset)
         before = before + F.greatest(F.size("all") - n + 1, F.lit(0))
     start = F.col("at") - offset
     same = (start >= 0) & (F.slice("all", F.greatest(start, F.lit(0)) + 1, F.col("w_size")) == F.col("w_words"))
     blocks = -(-total // broadcast_windows) or 1
     parts = [windows if blocks == 1 else windows.filter(F.pmod(F.xxhash64("w_hash"), F.lit(blocks)) == b) for b in range(blocks)]
-    found = [probes.join(F.broadcast(p), "w_hash").filter(same).select("doc_id", "row_key", start.alias("start"), "w_size", "w_items") for p in parts]
-    return reduce(DataFrame.unionAll, found)
+    wanted = lambda i: (F.col("at") == 0) | same if i == 0 else (F.col("at") > 0) & same
+    found = [probes.join(F.broadcast(p), "w_hash", "left").filter(wanted(i)) for i, p in enumerate(parts)]
+    columns = ["doc_id", "row_key", F.size("all").cast("long").alias("n_words"), F.when(F.col("at") > 0, start).alias("start"), "w_size", "w_items"]
+    return reduce(DataFrame.unionAll, [f.select(*columns) for f in found])
+
+
+def hits(docs: DataFrame, benchmark: DataFrame, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+    """(doc_id, row_key, start, w_size, w_items): verified occurrences of benchmark windows in documents."""
+    return _probed(docs, benchmark, broadcast_windows).filter("start is not null").drop("n_words")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """Per row of docs: doc_id, row_key, n_words, n_hit, item_ids (sorted as strings), n_items, contaminated.
 
-    Null and empty texts have no words and no hits; repeated rows get a result
-    each; an empty benchmark hits nothing; other columns are not read.
+    Null and empty texts have no words and no hits; texts of any length are read
+    whole; repeated rows and null ids get a result each; an empty benchmark hits
+    nothing; an empty table gives none; other columns are not read.
     """
     same_doc = ["doc_id", "row_key"]
-    found = hits(docs, benchmark, broadcast_windows).groupBy(*same_doc, "start", "w_size").agg(F.first("w_items").alias("w_items"))
+    found = _probed(docs, benchmark, broadcast_windows).groupBy(*same_doc, "n_words", "start", "w_size").agg(F.first("w_items").alias("w_items"), F.count("*").alias("n"))
     earlier = Window.partitionBy(*same_doc).orderBy("start", "w_size").rowsBetween(Window.unboundedPreceding, -1)
     end = F.col("start") + F.col("w_size")
     new = end - F.greatest("start", F.least(F.coalesce(F.max(end).over(earlier), F.lit(0)), end))
     per_doc = found.withColumn("new", new).groupBy(*same_doc).agg(
-        F.sum("new").cast("long").alias("n_hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("w_items")))).alias("item_ids")
-    )
-    sized = docs.select(*_row_key(docs), F.size(words(F.col("text"))).cast("long").alias("n_words"))
-    a, b = sized.alias("a"), per_doc.alias("b")
-    joined = a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.row_key") == F.col("b.row_key")), "left")
-    n_hit, item_ids = F.coalesce("n_hit", F.lit(0).cast("long")), F.coalesce("item_ids", F.array().cast("array<string>"))
-    return joined.select(
-        "a.doc_id", "a.row_key", "n_words", n_hit.alias("n_hit"), item_ids.alias("item_ids"), F.size(item_ids).cast("long").alias("n_items"), (n_hit > 0).alias("contaminated")
-    )
-
-
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, most_hit_share: float = 0.0) -> DataFrame:
-    """docs without the documents of which a larger share of words than most_hit_share is hit; columns stay as they are."""
+        F.max("n_words").alias("n_words"), F.coalesce(F.sum("new"), F.lit(0)).cast("long").alias("n_hit"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("w_items")))).alias("item_ids"),
+        F.max(F.when(F.col("start").isNull(), F.col("n"))).alias("rows"),
+    )
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("rows"))).alias("copy")
+    return per_doc.select("*", copies).select(*same_doc, "n_words", "n_hit", "item_ids", F.size("item_ids").cast("long").alias("n_items"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, most_hit_share: float = 0.0, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """docs without the documents of which a larger share of words than most_hit_share is hit; columns stay as they are.
+
+    Null and empty texts stay; rows of one id and one text fare alike; an empty
+    benchmark or table changes nothing. The hashes of what goes are written once;
+    texts aren't shuffled unless there are more than broadcast_rows of them.
+    """
     bad = contamination(docs, benchmark).filter((F.col("n_hit") > 0) & (F.col("n_hit") > most_hit_share * F.col("n_words"))).select("doc_id", "row_key").distinct()
-    return as_row(docs).join(bad, _same_row(), "left_anti").select("row.*")
+    bad = SharedTables(docs.sparkSession).keep(bad)
+    return as_row(docs).join(F.broadcast(bad) if bad.count() <= broadcast_rows else bad, _same_row(), "left_anti").select("row.*")
 
 
 def _same_row() -> Column:
