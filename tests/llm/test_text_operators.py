@@ -41,6 +41,59 @@ def test_forest_rejects_junk_and_keeps_prose(spark):
     assert quality_rules.judge(docs.limit(0), marks).collect() == []
 
 
+def test_forest_by_plain_code():
+    """Paths, scores and the threshold, row by row and node by node."""
+    r = np.random.default_rng(5)
+    x = np.clip(np.concatenate([r.normal(0.4, 0.02, (300, 6)), r.uniform(0, 1, (20, 6))]), 0, 1)
+    f = quality_rules.grow(x[:300], trees=20)
+    for row, path, score in zip(x, f.paths(x), f.scores(x), strict=True):
+        lengths = []
+        for root in f.roots:
+            node, depth = root, 0
+            while f.feature[node] >= 0:
+                node, depth = f.below[node] + (row[f.feature[node]] >= f.split[node]), depth + 1
+            assert depth <= quality_rules.DEPTH and f.path[node] >= depth
+            lengths.append(f.path[node])
+        assert abs(path - sum(lengths) / len(lengths)) < 1e-9 and abs(score - 2 ** (-path / f.norm)) < 1e-9
+    assert f.scores(x[300:]).mean() > f.scores(x[:300]).max() > 0
+    assert len(f.roots) == 20
+
+
+def test_trees_hold_their_rows():
+    """Each leaf's path is its depth and the mean path among the rows that reach it."""
+    x = np.random.default_rng(6).uniform(0, 1, (64, 6))
+    f = quality_rules.grow(x, trees=1, per_tree=64)
+    reached = {}
+    for row in x:
+        node, depth = f.roots[0], 0
+        while f.feature[node] >= 0:
+            node, depth = f.below[node] + (row[f.feature[node]] >= f.split[node]), depth + 1
+        reached.setdefault((int(node), depth), []).append(row)
+    for (node, depth), rows in reached.items():
+        n = len(rows)
+        mean = 0 if n < 2 else 1 if n == 2 else 2 * (np.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
+        assert abs(f.path[node] - depth - mean) < 1e-9 and (n < 2 or depth == quality_rules.DEPTH)
+
+
+def test_threshold_errs_least():
+    """No other threshold on the labelled rows' scores costs less, and rows of one score share a verdict."""
+    r = np.random.default_rng(7)
+    counts = np.stack([np.full(400, 100), r.integers(450, 560, 400), np.where(np.arange(400) < 40, r.integers(0, 60, 400), 0), np.zeros(400), np.zeros(400), np.full(400, 5), r.integers(80, 95, 400), np.zeros(400)], 1).astype(np.int64)
+    good = np.arange(400) >= 35
+    f = quality_rules.calibrated(counts, good)
+    scores = f.scores(quality_rules.statistics(counts))
+    cost = lambda t: quality_rules.GOOD_WEIGHT * (good & (scores >= t)).sum() - (~good & (scores >= t)).sum()
+    assert cost(f.threshold) == min(map(cost, [*np.unique(scores), np.inf])) < 0
+
+
+def test_repeated_rows_do_not_move_the_forest(spark):
+    texts = [prose(i, 40 + i) for i in range(60)] + [" ".join(f"{w}###" for w in prose(300 + i, 40).split()) for i in range(6)]
+    docs = documents(spark, texts)
+    marks = labels(spark, [(i, int(i < 60), 0) for i in range(66)])
+    a, b = (quality_rules.fit(d, m) for d, m in ((docs, marks), (docs.unionAll(docs.limit(30)).repartition(7), marks.unionAll(marks))))
+    assert a.threshold == b.threshold and np.array_equal(a.split, b.split)
+
+
 def test_boilerplate_lines_by_site(spark):
     texts, sources = [], []
     for i in range(60):
