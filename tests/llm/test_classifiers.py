@@ -2,10 +2,13 @@
 
 import os
 
+import numpy as np
 import pytest
 
 from tests.llm.fixtures import documents, labels, odd_texts, prose
 from tidefleet.llm import quality_classifier, toxicity
+from tidefleet.llm.common import SharedTables
+from tidefleet.llm.hashed import Rows
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 
@@ -37,8 +40,101 @@ def test_labels_of_held_out_rows_are_not_learnt(spark):
         assert {r.doc_id: r.score for r in operator.classify(docs, flipped).collect()} == {i: r.score for i, r in a.items()}
 
 
+def code(**levels):
+    return sum(level << 2 * toxicity.VOTERS.index(name.replace("_", " ")) for name, level in levels.items())
+
+
 def test_posteriors_follow_the_votes():
-    v = {n: 1 << i for i, n in enumerate(toxicity.VOTERS)}
-    counts = {v["none"]: 900.0, v["nouns"] | v["several"]: 40.0, v["nouns"] | v["adjectives"] | v["several"] | v["dense"]: 40.0, v["mined 0"]: 20.0}
-    p = toxicity.label_model(counts, {})
-    assert p[v["none"]] < 0.1 and p[v["nouns"] | v["adjectives"] | v["several"] | v["dense"]] > 0.9
+    both, words = code(nouns=2, adjectives=2, words_a=1), code(nouns=1, words_a=2, words_b=2)
+    counts = {0: 900.0, code(nouns=1): 10.0, both: 40.0, words: 30.0, code(disguised=1): 5.0}
+    p = toxicity.label_model(counts, {(0, 0): 90.0, (both, 1): 5.0, (words, 1): 4.0})
+    assert p[0] < 0.05 and p[both] > 0.9 and p[words] > 0.9
+    assert toxicity.label_model({}, {}) == {}
+
+
+def test_label_model_by_enumeration():
+    """Expectation maximisation document by document, with a table a voter and class, against the one by patterns."""
+    r = np.random.default_rng(3)
+    truth = r.random(400) < 0.2
+    levels = np.where(truth[:, None], r.choice(3, (400, len(toxicity.VOTERS)), p=[0.4, 0.3, 0.3]), r.choice(3, (400, len(toxicity.VOTERS)), p=[0.9, 0.08, 0.02]))
+    start = np.where(levels.sum(1) > 4, 0.9, 0.1)
+    posterior = start.copy()
+    for _ in range(5):
+        prior = [sum(1 - posterior) + 1, sum(posterior) + 1]
+        odds = []
+        for row in levels:
+            p = list(prior)
+            for v, level in enumerate(row):
+                for y in (0, 1):
+                    weight = posterior if y else 1 - posterior
+                    p[y] *= (weight[levels[:, v] == level].sum() + 0.5) / (weight.sum() + 1.5)
+            odds.append(p[1] / (p[0] + p[1]))
+        posterior = np.array(odds)
+    patterns, place, count = np.unique(levels, axis=0, return_inverse=True, return_counts=True)
+    begin = np.zeros(len(patterns))
+    begin[place] = start
+    found = toxicity.fitted(patterns, count.astype(float), np.zeros((len(patterns), 2)), [[i] for i in range(len(toxicity.VOTERS))], begin, 5)
+    assert np.allclose(found[place], posterior, atol=1e-9) and ((posterior > 0.5) == truth).mean() > 0.95
+
+
+def test_copies_of_a_voter_count_once():
+    """Voters that always agree get one joint table, so that they say no more than one of them."""
+    r = np.random.default_rng(4)
+    truth = r.random(4000) < 0.3
+    vote = lambda: np.where(truth, r.random(4000) < 0.7, r.random(4000) < 0.2).astype(int)
+    one, two = vote(), vote()
+    copied = np.stack([one, one, one, two], 1)
+    groups = toxicity.together(copied, np.stack([~truth, truth]).astype(float))
+    assert sorted(map(sorted, groups)) == [[0, 1, 2], [3]]
+    fit = lambda levels, groups: toxicity.fitted(levels, np.zeros(4000), np.stack([~truth, truth], 1).astype(float), groups, np.zeros(4000), 1)
+    assert np.allclose(fit(copied, groups), fit(np.stack([one, two], 1), [[0], [1]]), atol=0.01)
+
+
+def test_lexicons_come_from_both_halves(spark):
+    docs = documents(spark, [prose(i, 30) + (" vexatious vexations glumly" if i % 4 == 0 else "") for i in range(400)])
+    marks = labels(spark, [(i, 1, int(i % 4 == 0)) for i in range(400)])
+    sample = toxicity.sampled(docs, marks, 1000, 10, SharedTables(spark))
+    found = toxicity.mine(sample)
+    assert all("glumly" in w and "vexatious" in w for w in found.words) and all("vexat" in s for s in found.stems)
+    level, hits, words = found.votes("Vexatious vexations, glumly! You 1diot; ABSCHAUM")
+    assert {v: int(n) for v, n in zip(toxicity.VOTERS, level) if n} == {"german": 1, "disguised": 1, "words a": 2, "words b": 2, "stems a": 1, "stems b": 1} and hits == 4
+    assert toxicity.mine(sample.filter("toxic = 0")) == toxicity.Lexicons()
+
+
+def test_factorisation_by_all_pairs():
+    """The linear-time margin and the gradient of a step against loops over all pairs of features."""
+    r = np.random.default_rng(5)
+    size = quality_classifier.SLOTS
+    m = quality_classifier.Machine(0.3, r.normal(0, 1, size), r.normal(0, 0.5, (size, quality_classifier.FACTORS)))
+    rows = [(np.sort(r.choice(size, n, replace=False)).astype(np.int32), r.normal(0, 1, n).astype(np.float32)) for n in (1, 2, 9, 40)]
+
+    def margin(weight, factor, slots, values):
+        total = 0.3 + sum(weight[i] * x for i, x in zip(slots, values))
+        for a in range(len(slots)):
+            for b in range(a):
+                total += float(factor[slots[a]] @ factor[slots[b]]) * values[a] * values[b]
+        return total
+
+    packed_rows = Rows.of(rows)
+    found, x, total = m.parts(packed_rows)
+    assert np.allclose(found, [margin(m.weight, m.factor, *row) for row in rows], rtol=1e-4)
+    for k, (slots, values) in enumerate(rows):
+        begin = packed_rows.ends[k]
+        for i in range(min(3, len(slots))):
+            for f in (0, 5):
+                up, down = m.factor.copy(), m.factor.copy()
+                up[slots[i], f] += 1e-4
+                down[slots[i], f] -= 1e-4
+                slope = (margin(m.weight, up, slots, values) - margin(m.weight, down, slots, values)) / 2e-4
+                assert np.isclose(slope, float(values[i]) * (total[k, f] - x[begin + i, f]), rtol=1e-2, atol=1e-2)
+
+
+@pytest.mark.parametrize("operator", [quality_classifier, toxicity])
+def test_repeated_rows_do_not_move_the_fit(spark, operator):
+    docs = documents(spark, [prose(i, 30) + (" idiot ###" if i % 5 == 0 else "") for i in range(60)])
+    marks = labels(spark, [(i, int(i % 5 > 0), int(i % 5 == 0)) for i in range(60)])
+    a = {r.doc_id: r.score for r in operator.classify(docs, marks).collect()}
+    b = {r.doc_id: r.score for r in operator.classify(docs.repartition(5), marks.unionAll(marks)).collect()}
+    assert a == b
+    if operator is quality_classifier:  # toxicity counts votes over all rows
+        assert a == {r.doc_id: r.score for r in operator.classify(docs.unionAll(docs.limit(20)), marks).distinct().collect()}

@@ -68,6 +68,17 @@ def crc32_text(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary"))
 
 
+def labelled_ids(labels: DataFrame, label: str, k: int) -> DataFrame:
+    """(id, label) of k labelled ids at most, chosen by their hashes; of several labels of one id the least counts."""
+    known = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy(F.col("doc_id").alias("id")).agg(F.min(F.col(label).cast("int")).alias(label))
+    return bottom_k(known, "id", k)
+
+
+def once_an_id(rows: DataFrame) -> DataFrame:
+    """rows without their column id, one for each id: the least by its columns in their order."""
+    return rows.groupBy("id").agg(F.min(F.struct(*(c for c in rows.columns if c != "id"))).alias("one")).select("one.*")
+
+
 def bottom_k(ids: DataFrame, key: str, k: int) -> DataFrame:
     """k rows at most, chosen by the hash of their key: the same ones in every run and in any partitioning."""
     return ids.orderBy(F.xxhash64(key), key).limit(k)

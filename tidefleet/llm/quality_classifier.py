@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidefleet.llm.common import bottom_k, crc32_text
+from tidefleet.llm.common import crc32_text, labelled_ids, once_an_id
 from tidefleet.llm.hashed import PACKED, Hasher, Rows, gathered, packed, sigmoid
 from tidefleet.llm.quality_rules import text_counts
 
@@ -103,25 +103,25 @@ def _features(batch: pa.RecordBatch) -> list[tuple[np.ndarray, np.ndarray]]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS) -> Machine | None:
-    """The machine, from labelled_rows rows at most of those that aren't held out; None if there are none."""
+    """The machine, from labelled_rows ids at most of those that aren't held out, a row each; None if there are none."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*packed(_features(batch)), batch.column("quality").cast(pa.int32())], ["slots", "row_values", "quality"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), *packed(_features(batch)), batch.column("quality")], ["id", "slots", "row_values", "quality"])
 
-    open_ = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("id"), "quality")
-    some = bottom_k(open_, "id", labelled_rows)
-    joined = _with_length(docs).join(F.broadcast(some), F.col("doc_id") == F.col("id")).select("text", "n_chars", "quality")
-    found, target = gathered(joined.mapInArrow(rows, f"{PACKED}, quality int").limit(2 * labelled_rows), "quality")
+    some = labelled_ids(labels.filter(~held_out(F.col("doc_id"))), "quality", labelled_rows)
+    joined = _with_length(docs).join(F.broadcast(some), F.col("doc_id") == F.col("id")).select("id", "text", "n_chars", "quality")
+    found, target = gathered(once_an_id(joined.mapInArrow(rows, f"id {dict(some.dtypes)['id']}, {PACKED}, quality int")), "quality")
     return fit_rows(found, target) if len(found) else None
 
 
 def classify(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS) -> DataFrame:
     """Per row of docs: doc_id, held_out, score (0 to 1), predicted (1 if score >= KEEP).
 
-    Null and empty texts are scored by their statistics; null ids are not held
-    out; repeated rows get a result each; an empty table gives none; without
-    labels every score is 0.5. Only text, n_chars and doc_id are read.
+    Null and empty texts are scored by their statistics; texts of any length are
+    read whole; a score of just KEEP is predicted 1; null ids are not held out;
+    repeated rows get a result each and don't move the fit; an empty table gives
+    none; without labels every score is 0.5. Only text, n_chars and doc_id are read.
     """
     machine = fit(docs, labels, labelled_rows)
 

@@ -1,16 +1,17 @@
 """Toxicity by weak supervision.
 
-Many lexicon and pattern voters look at every document; a generative label model
-estimates from the votes of all documents how accurate each voter is and which
-voters go together, and gives each pattern of votes a posterior; a linear
-classifier over hashed words and votes is trained on those posteriors and scores
-every document.
+Lexicon and pattern voters look at every document: general lexicons of several
+languages, disguised spellings, and words and stems mined from two disjoint
+halves of the labelled rows. A voter says how much it finds: nothing, once, or
+more. A generative label model estimates from the votes of all documents how
+accurate each voter is and which voters go together, and gives each pattern of
+votes a posterior; a linear classifier over hashed words, votes and the density
+of hits is trained on posteriors of documents and scores every document.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -19,23 +20,34 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidefleet.llm.common import bottom_k, crc32_text
+from tidefleet.llm.common import SharedTables, bottom_k, crc32_text, labelled_ids
 from tidefleet.llm.hashed import LETTERS, PACKED, Hasher, Rows, gathered, packed, sigmoid
 
 #: General lexicons: plain words of abuse.
-NOUNS = frozenset("clown clowns creep dumbass fool fools freak idiot idiots imbecile jerk jerks loser losers moron morons pig pigs scum scumbag swine trash vermin".split())
-ADJECTIVES = frozenset("brainless contemptible despicable disgusting dumb filthy hateful pathetic repulsive revolting stupid ugly worthless".split())
+LEXICONS = {
+    "nouns": "clown clowns creep dumbass fool fools freak idiot idiots imbecile jerk jerks loser losers moron morons pig pigs scum scumbag swine trash vermin",
+    "adjectives": "brainless contemptible despicable disgusting dumb filthy hateful pathetic repulsive revolting stupid ugly worthless",
+    "french": "abruti abrutis connard connards crétin crétins débile imbécile imbéciles minable ordure ordures pourriture raclure salaud salauds stupide",
+    "german": "abschaum arschloch blödmann depp deppen drecksack erbärmlich idioten schwein schweine trottel vollidiot widerlich wertlos",
+    "spanish": "asqueroso basura cabrón cerdo cerdos despreciable escoria estúpido estúpidos idiotas imbécil imbéciles inútil payaso",
+}
+WORDS = {name: frozenset(words.split()) for name, words in LEXICONS.items()}
 #: Signs that stand for letters in disguised words.
 DISGUISES = {"a": "@4", "e": "3", "i": "1!", "o": "0", "s": "$5", "t": "7"}
-LABELLED_ROWS = 8192
-MINED_WORDS, MINED_PREFIXES, MINED_GROUPS, PREFIX = 400, 60, 4, 5
+#: Labelled ids, and other documents, that lexicons and classifier are fitted on at most, both chosen by the hash of their ids. The label model counts all documents.
+LABELLED_ROWS, OTHER_ROWS = 8192, 4096
+MINED_WORDS, MINED_STEMS, STEM = 400, 60, 5
 #: A word is mined if toxic rows have it so many standard deviations more often than chance would.
-BEYOND_CHANCE = 6.0
-VOTERS = ("nouns", "adjectives", "disguised", *(f"mined {i}" for i in range(MINED_GROUPS)), "prefixes", "several", "dense", "none")
-#: Voters whose votes go together this much, given the class, are modelled together, three at most.
-TOGETHER, MOST_TOGETHER = 0.2, 3
+BEYOND_CHANCE = 5.0
+VOTERS = (*LEXICONS, "disguised", "words a", "words b", "stems a", "stems b")
+LEVELS = 3
+#: Voters whose votes go together this much, given the class, have joint tables, so many voters at most.
+TOGETHER, MOST_TOGETHER = 0.2, 4
+#: Different words of which one hits by chance in a long text.
+CHANCE = 250
 WORD_SLOTS = 1 << 15
-SLOTS = WORD_SLOTS + 2 * len(VOTERS) + 8
+COUNT_SLOTS, SHARE_SLOTS = 8, 8
+SLOTS = WORD_SLOTS + LEVELS * len(VOTERS) + COUNT_SLOTS + SHARE_SLOTS
 EPOCHS, BATCH, RATE, DECAY = 10, 64, 0.1, 1e-4
 TOXIC = 0.7
 
@@ -43,9 +55,10 @@ _hasher = Hasher(WORD_SLOTS)
 
 
 def _disguised() -> re.Pattern:
-    """Words of the lexicons with at least one letter replaced or letters set apart by single signs."""
-    spelled = ["".join(f"[{c}{DISGUISES.get(c, '')}]" for c in w) for w in sorted(NOUNS | ADJECTIVES) if len(w) > 3]
-    apart = [r"[.\-*_]".join(w) for w in sorted(NOUNS | ADJECTIVES) if len(w) > 3]
+    """Words of the English lexicons with at least one letter replaced or letters set apart by single signs."""
+    plain = sorted(w for w in WORDS["nouns"] | WORDS["adjectives"] if len(w) > 3)
+    spelled = ["".join(f"[{c}{DISGUISES.get(c, '')}]" for c in w) for w in plain]
+    apart = [r"[.\-*_]".join(w) for w in plain]
     return re.compile(r"(?<!\w)(?:" + "|".join(spelled + apart) + r")(?!\w)")
 
 
@@ -54,36 +67,39 @@ _DISGUISED = _disguised()
 
 @dataclass
 class Lexicons:
-    """What was learnt from labelled rows that aren't held out: words and prefixes that toxic documents have far more often."""
+    """What was learnt from either half of the labelled rows that aren't held out: words and stems that toxic documents have far more often."""
 
-    words: frozenset[str] = frozenset()
-    prefixes: frozenset[str] = frozenset()
-    group: dict[str, int] = field(default_factory=dict)
+    words: tuple[frozenset[str], frozenset[str]] = (frozenset(), frozenset())
+    stems: tuple[frozenset[str], frozenset[str]] = (frozenset(), frozenset())
+    known: frozenset[str] = field(init=False)
 
     def __post_init__(self):
-        self.group = {w: zlib.crc32(w.encode()) % MINED_GROUPS for w in self.words}
+        self.known = frozenset().union(*WORDS.values(), *self.words)
 
     def votes(self, text: str | None) -> tuple[np.ndarray, int, set[str]]:
-        """Votes of VOTERS (1 where a voter fires), the number of different words that any lexicon has, and the words."""
+        """The level of each of VOTERS, how many different words any lexicon or stem has, and the different words."""
         lower = (text or "").lower()
         words = set(LETTERS.findall(lower))
-        fired = np.zeros(len(VOTERS), np.int8)
-        nouns, adjectives, mined = words & NOUNS, words & ADJECTIVES, words & self.words
-        starts = sum(w[:PREFIX] in self.prefixes for w in words)
-        fired[0], fired[1] = bool(nouns), bool(adjectives)
-        fired[2] = any(not x.isalpha() for x in _DISGUISED.findall(lower))
-        for w in mined:
-            fired[3 + self.group[w]] = 1
-        hits = len(nouns | adjectives | mined)
-        chance = len(words) / 250  # in a long text a few words have such prefixes by chance
-        fired[-4], fired[-3] = starts > max(1, chance), hits > max(1, chance)
-        fired[-2] = max(hits, starts) >= max(1, len(words) / 50)
-        fired[-1] = not fired[:-1].any()
-        return fired, hits, words
-
-
-def _code(fired: np.ndarray) -> int:
-    return int((fired.astype(np.int64) << np.arange(len(VOTERS))).sum())
+        hits = words & self.known
+        rest = {w[:STEM] for w in words if len(w) > STEM}
+        found = [0] * len(VOTERS)
+        if hits:
+            found[: len(LEXICONS)] = [len(hits & w) for w in WORDS.values()]
+        found[len(LEXICONS)] = len({x for x in _DISGUISED.findall(lower) if not x.isalpha()})
+        at = len(LEXICONS) + 1
+        for i in (0, 1):
+            found[at + i] = len(hits & self.words[i])
+            if stems := rest & self.stems[i]:
+                found[at + 2 + i] = sum(w[:STEM] in stems for w in words if len(w) > STEM)
+        chance = len(words) // CHANCE
+        level = np.array([min(LEVELS - 1, max(0, n - chance)) for n in found], np.int8)
+        # one word of a stem may be anything
+        level[at + 2 :] = np.minimum(LEVELS - 1, np.maximum(0, np.array(found[at + 2 :]) - 1 - chance))
+        return level, max(len(hits), *found[at + 2 :]), words
+
+
+def _code(level: np.ndarray) -> int:
+    return int((level.astype(np.int64) << 2 * np.arange(len(VOTERS))).sum())
 
 
 def held_out(doc_id) -> F.Column:
@@ -91,85 +107,100 @@ def held_out(doc_id) -> F.Column:
     return F.coalesce(F.pmod(crc32_text(doc_id), F.lit(3)) == 1, F.lit(False))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, labelled_rows: int) -> DataFrame:
-    """(text, toxic) of labelled_rows rows at most that aren't held out."""
-    open_ = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).select(F.col("doc_id").alias("id"), "toxic")
-    return docs.select("doc_id", "text").join(F.broadcast(bottom_k(open_, "id", labelled_rows)), F.col("doc_id") == F.col("id")).select("id", "text", "toxic")
+def sampled(docs: DataFrame, labels: DataFrame, labelled_rows: int, other_rows: int, tables: SharedTables) -> DataFrame:
+    """(id, text, toxic) written once: labelled_rows labelled ids at most that aren't held out, and other_rows other documents with toxic null; of an id's texts the least."""
+    known = labelled_ids(labels.filter(~held_out(F.col("doc_id"))), "toxic", labelled_rows)
+    others = bottom_k(docs.select(F.col("doc_id").alias("id")).filter("id is not null").distinct().join(F.broadcast(known), "id", "left_anti"), "id", other_rows)
+    some = known.unionAll(others.select("id", F.lit(None).cast("int").alias("toxic")))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(some), F.col("doc_id") == F.col("id"))
+    return tables.keep(texts.groupBy("id", "toxic").agg(F.min("text").alias("text")))
 
 
 def mine(sample: DataFrame) -> Lexicons:
-    """Words and prefixes that mark toxic rows of a sample; a prefix counts where two different words have it."""
-    word = F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"\p{L}+"), F.lit(0)))
-    each = sample.select("id", F.col("toxic").cast("int").alias("toxic"), F.explode(word).alias("word"))
-    started = each.filter(F.length("word") > PREFIX).groupBy("id", "toxic", F.substring("word", 1, PREFIX).alias("word")).agg(F.count("*").alias("n")).filter("n > 1")
+    """Words and stems that mark toxic rows of either half of a sample; a stem counts where two different words have it. Halves without both classes give none."""
+    rows = sample.filter("toxic is not null").withColumn("half", F.pmod(F.xxhash64(F.lit("half"), "id"), F.lit(2)).cast("int"))
+    rows = rows.select("half", "id", (F.col("toxic") > 0).cast("int").alias("toxic"), "text")
+    shares = {r["half"]: r["share"] for r in rows.groupBy("half").agg(F.avg("toxic").alias("share")).collect()}
+    base = F.when(F.col("half") == 0, shares.get(0, 0.0)).otherwise(shares.get(1, 0.0))
+    word = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)))
+    each = rows.select("half", "id", "toxic", F.explode(word).alias("word"))
+    stems = each.filter(F.length("word") > STEM).groupBy("half", "id", "toxic", F.substring("word", 1, STEM).alias("word")).agg(F.count("*").alias("n")).filter("n > 1")
+
+    def marks(found: DataFrame, most: int) -> tuple[frozenset[str], frozenset[str]]:
+        counted = found.groupBy("half", "word").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n"))
+        beyond = (F.col("toxic") - base * F.col("n")) / F.sqrt(base * (1 - base) * F.col("n"))
+        good = counted.filter((base > 0) & (base < 1)).filter((F.col("toxic") >= 0.6 * F.col("n")) & (beyond >= BEYOND_CHANCE))
+        best = [good.filter(F.col("half") == i).orderBy(F.desc("toxic"), "n", "word").limit(most).collect() for i in (0, 1)]
+        return tuple(frozenset(r["word"] for r in b) for b in best)
 
-    base = sample.agg(F.avg("toxic")).collect()[0][0] or 0.0
-    base = min(0.5, max(0.01, base))
+    return Lexicons(marks(each, MINED_WORDS), marks(stems, MINED_STEMS))
 
-    def marks(rows: DataFrame, most: int) -> frozenset[str]:
-        counted = rows.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n"))
-        beyond = (F.col("toxic") - base * F.col("n")) / F.sqrt(base * (1 - base) * F.col("n"))
-        best = counted.filter((F.col("toxic") >= 0.6 * F.col("n")) & (beyond >= BEYOND_CHANCE)).orderBy(F.desc("toxic"), "n", "word").limit(most)
-        return frozenset(r[0] for r in best.select("word").collect())
 
-    return Lexicons(marks(each, MINED_WORDS), marks(started, MINED_PREFIXES))
+def levels_of(codes: np.ndarray) -> np.ndarray:
+    """Rows of voters' levels from codes."""
+    return codes[:, None] >> 2 * np.arange(len(VOTERS)) & 3
 
 
-def label_model(patterns: dict[int, float], anchors: dict[tuple[int, int], float], rounds: int = 30) -> dict[int, float]:
-    """Posterior of toxicity for each pattern of votes.
+def fitted(levels: np.ndarray, count: np.ndarray, known: np.ndarray, groups: list[list[int]], posterior: np.ndarray, rounds: int) -> np.ndarray:
+    """Posteriors of a two-class model by expectation maximisation: groups of voters with joint tables, independent of each other given the class."""
+    cells = [(levels[:, g] * LEVELS ** np.arange(len(g))).sum(1) for g in groups]
+    for _ in range(rounds):
+        mass = np.stack([count * (1 - posterior), count * posterior]) + known.T
+        log = np.log(mass.sum(1, keepdims=True) + 1) * np.ones((1, len(levels)))
+        for g, cell in zip(groups, cells, strict=True):
+            size = LEVELS ** len(g)
+            table = np.stack([np.bincount(cell, m, size) for m in mass]) + 1.5 / size  # the same weight for a table of any size
+            log = log + np.log(table / table.sum(1, keepdims=True))[:, cell]
+        posterior = sigmoid(log[1] - log[0])
+    return posterior
 
-    patterns counts the documents with each pattern, anchors the labelled rows by
-    (pattern, label). Expectation maximisation of a two-class model in which
-    groups of voters that go together have joint tables and groups are
-    independent given the class; first every voter is a group of its own, then
-    pairs with a conditional correlation over TOGETHER are joined.
-    """
-    codes = np.array(sorted(patterns | {c: 0 for c, _ in anchors}), np.int64)
-    count = np.array([patterns.get(c, 0.0) for c in codes.tolist()])
-    known = np.array([[anchors.get((c, y), 0.0) for y in (0, 1)] for c in codes.tolist()])
-    votes = codes[:, None] >> np.arange(len(VOTERS)) & 1
-    positive = votes[:, :-1].sum(1)
-    posterior = np.where(positive > 2, 0.95, np.where(positive > 0, 0.5, 0.02))
-
-    def fitted(groups: list[list[int]], posterior: np.ndarray) -> np.ndarray:
-        cells = [(votes[:, g] << np.arange(len(g))).sum(1) for g in groups]
-        for _ in range(rounds):
-            mass = np.stack([count * (1 - posterior), count * posterior]) + known.T
-            log = np.log(mass.sum(1, keepdims=True) + 1) * np.ones((1, len(codes)))
-            for g, cell in zip(groups, cells, strict=True):
-                size = 1 << len(g)
-                table = np.stack([np.bincount(cell, m, size) for m in mass]) + 0.5
-                log = log + np.log(table / table.sum(1, keepdims=True))[:, cell]
-            posterior = sigmoid(log[1] - log[0])
-        return posterior
-
-    groups = [[i] for i in range(len(VOTERS))]
-    posterior = fitted(groups, posterior)
-    weight = np.stack([count * (1 - posterior), count * posterior]) + known.T
+
+def together(levels: np.ndarray, weight: np.ndarray) -> list[list[int]]:
+    """Voters in groups by how their levels correlate within either class; weight has a row of documents' weights for each class."""
     pairs = []
     for w in weight:
         if w.sum() > 0:
-            centred = votes - (w[:, None] * votes).sum(0) / w.sum()
+            centred = levels - (w[:, None] * levels).sum(0) / w.sum()
             spread = (w[:, None, None] * centred[:, :, None] * centred[:, None, :]).sum(0) / w.sum()
             scale = np.sqrt(np.maximum(np.diag(spread), 1e-9))
             link = np.abs(spread / scale[:, None] / scale)
-            pairs += [(link[i, j], i, j) for i in range(len(VOTERS)) for j in range(i)]
-    home = {i: [i] for i in range(len(VOTERS))}
+            pairs += [(link[i, j], i, j) for i in range(levels.shape[1]) for j in range(i)]
+    home = {i: [i] for i in range(levels.shape[1])}
     for strength, i, j in sorted(pairs, reverse=True):
         if strength > TOGETHER and home[i] is not home[j] and len(home[i]) + len(home[j]) <= MOST_TOGETHER:
             home[i].extend(home[j])
             for k in home[j]:
                 home[k] = home[i]
-    return dict(zip(codes.tolist(), fitted([list(g) for g in {id(g): g for g in home.values()}.values()], posterior).tolist(), strict=True))
+    return [list(g) for g in {id(g): g for g in home.values()}.values()]
 
 
-def features(fired: np.ndarray, hits: int, words: set[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Slots and values of one document: hashed words, each voter's vote, and how many different words of the lexicons."""
+def label_model(patterns: dict[int, float], anchors: dict[tuple[int, int], float], rounds: int = 30) -> dict[int, float]:
+    """Posterior of toxicity for each pattern of votes.
+
+    patterns counts all documents with each pattern, anchors the labelled rows by
+    (pattern, label). First every voter is a group of its own; then voters with a
+    conditional correlation over TOGETHER are joined, and the model fitted again.
+    """
+    codes = np.array(sorted(patterns | {c: 0 for c, _ in anchors}), np.int64)
+    count = np.array([patterns.get(c, 0.0) for c in codes.tolist()])
+    known = np.array([[anchors.get((c, y), 0.0) for y in (0, 1)] for c in codes.tolist()]).reshape(-1, 2)
+    levels = levels_of(codes)
+    total = levels.sum(1)
+    guess = np.where(total > 2, 0.95, np.where(total > 0, 0.5, 0.02))
+    posterior = (known[:, 1] + guess) / (known.sum(1) + 1)  # where labelled rows have a pattern, they say what it means at first
+    posterior = fitted(levels, count, known, [[i] for i in range(len(VOTERS))], posterior, rounds)
+    groups = together(levels, np.stack([count * (1 - posterior), count * posterior]) + known.T)
+    return dict(zip(codes.tolist(), fitted(levels, count, known, groups, posterior, rounds).tolist(), strict=True))
+
+
+def features(level: np.ndarray, hits: int, words: set[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Slots and values of one document: hashed words, each voter's level, how many different words of the lexicons there are, and how dense they stand."""
     hashed = _hasher.slots_of(words)
-    voted = WORD_SLOTS + 2 * np.arange(len(VOTERS)) + fired
-    many = WORD_SLOTS + 2 * len(VOTERS) + min(7, hits)
-    slots = np.concatenate([hashed, voted.astype(np.int32), np.array([many], np.int32)])
-    return slots, np.concatenate([np.full(len(hashed), 1 / np.sqrt(max(1, len(hashed)))), np.ones(len(voted) + 1)]).astype(np.float32)
+    voted = WORD_SLOTS + LEVELS * np.arange(len(VOTERS)) + level
+    at = WORD_SLOTS + LEVELS * len(VOTERS)
+    share = min(SHARE_SLOTS - 1, int(20 * np.sqrt(hits / max(1, len(words)))))
+    slots = np.concatenate([hashed, voted.astype(np.int32), np.array([at + min(COUNT_SLOTS - 1, hits), at + COUNT_SLOTS + share], np.int32)])
+    return slots, np.concatenate([np.full(len(hashed), 1 / np.sqrt(max(1, len(hashed)))), np.ones(len(voted) + 2)]).astype(np.float32)
 
 
 def fit_linear(rows: Rows, target: np.ndarray, seed: int = 7) -> tuple[float, np.ndarray]:
@@ -191,26 +222,27 @@ def fit_linear(rows: Rows, target: np.ndarray, seed: int = 7) -> tuple[float, np
     return bias, weight
 
 
-def classify(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS) -> DataFrame:
+def classify(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS, other_rows: int = OTHER_ROWS) -> DataFrame:
     """Per row of docs: doc_id, held_out, score (0 to 1), predicted (1 if score >= TOXIC).
 
-    Null and empty texts have no words and are scored by their votes; null ids
-    are not held out; repeated rows get a result each; an empty table gives
-    none; without labelled rows the general lexicons and the label model remain,
-    trained on what they say of a sample of documents. Only text and doc_id are
-    read.
+    Null and empty texts have no words and are scored by their votes; texts of
+    any length are read whole; a score of just TOXIC is predicted 1; null ids are
+    not held out; repeated rows get a result each; an empty table gives none;
+    without labelled rows the general lexicons and the label model remain. Only
+    text and doc_id are read.
     """
-    sample = labelled(docs, labels, labelled_rows)
+    sample = sampled(docs, labels, labelled_rows, other_rows, SharedTables(docs.sparkSession))
     lexicons = mine(sample)
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             each = [_code(lexicons.votes(t)[0]) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(each, pa.int64()), *(batch.column(c) for c in batch.schema.names if c == "toxic")], [c for c in ("code", "toxic") if c == "code" or c in batch.schema.names])
+            yield pa.RecordBatch.from_arrays([pa.array(each, pa.int64()), batch.column("toxic")], ["code", "toxic"])
 
-    # a row for each pattern of votes, 2048 at most
-    counted = docs.select("text").mapInArrow(coded, "code long").groupBy("code").count().collect()
-    known = sample.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(coded, "code long, toxic int").groupBy("code", "toxic").count().collect()
+    # a row for each pattern of votes, as many as levels allow at most
+    votes = lambda rows: rows.mapInArrow(coded, "code long, toxic int").groupBy("code", "toxic").count().collect()
+    counted = votes(docs.select("text", F.lit(None).cast("int").alias("toxic")))
+    known = votes(sample.filter("toxic is not null").select("text", "toxic"))
     posterior = label_model({r["code"]: float(r["count"]) for r in counted}, {(r["code"], int(r["toxic"] > 0)): float(r["count"]) for r in known})
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,8 +251,7 @@ def classify(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_R
             target = pa.array([posterior[_code(f[0])] for f in found], pa.float64())
             yield pa.RecordBatch.from_arrays([*packed([features(*f) for f in found]), target], ["slots", "row_values", "posterior"])
 
-    taught = sample.select("text") if known else bottom_k(docs.filter("doc_id is not null").select("doc_id", "text"), "doc_id", labelled_rows).select("text")
-    found, target = gathered(taught.mapInArrow(rows, f"{PACKED}, posterior double").limit(2 * labelled_rows), "posterior")
+    found, target = gathered(sample.select("text").mapInArrow(rows, f"{PACKED}, posterior double"), "posterior")
     bias, weight = fit_linear(found, target) if len(found) else (0.0, np.zeros(SLOTS))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
