@@ -2,8 +2,10 @@
 
 import os
 
+import pytest
+
 import corpus_pipeline as P
-from tidefleet.llm import decontaminate, quality_rules, simhash
+from tidefleet.llm import common, decontaminate, quality_rules, simhash
 from tidefleet.llm.common import table
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -28,13 +30,53 @@ def test_stages(spark):
 
 
 def test_odd_documents(spark):
-    from tests.llm.fixtures import documents, odd_texts
+    """What each stage makes of nulls, empty and long texts, repeated rows and clashing names, stated in its docstring."""
+    from tests.llm.fixtures import documents, labels, odd_texts, prose
 
-    now = documents(spark, odd_texts())
-    for _, stage in P.STAGES:
-        now = stage(spark, now, SF)
-    assert now.count() >= 1
+    texts = odd_texts() + [prose(1, 60)]
+    docs = documents(spark, texts, ids=[None, *range(1, len(texts) - 1), 5])
+    names = docs.columns
+    docs = docs.unionAll(docs.filter("doc_id = 7"))
+    rows = lambda df: sorted(((-1 if r.doc_id is None else r.doc_id), r.text or "") for r in df.select("doc_id", "text").collect())
+    quality, lines, near, bench, tokens = (f for _, f in P.STAGES)
+    good = quality(spark, docs, SF)
+    kept = rows(good)
+    assert good.columns == names and all(len(t.split()) >= 10 for _, t in kept) and [i for i, _ in kept].count(7) == 2 and 9 in [i for i, _ in kept]
+    cleaned = lines(spark, docs, SF)
+    assert cleaned.columns == names and rows(cleaned) == rows(docs)  # no line is on over four pages
+    unique = near(spark, docs, SF)
+    left = rows(unique)
+    assert unique.columns == names and [i for i, _ in left].count(7) == 0 and sum(not t.split() for _, t in left) == 1  # 7 is near 5, empty texts are one group
+    assert [i for i, t in left if t == prose(1, 60)] == [5] and [i for i, t in left if len(t.split()) == 30_000] == [9]
+    clean = bench(spark, docs, SF)
+    assert clean.columns == names and rows(clean) == rows(docs)
+    ids = tokens(spark, docs, SF)
+    assert ids.count() == docs.count() and all(r.n_tokens == len(r.ids) for r in ids.collect()) and ids.filter("n_tokens = 0").count() == 2
     empty = documents(spark, [])
     for _, stage in P.STAGES:
         empty = stage(spark, empty, SF)
     assert empty.count() == 0
+
+
+class Settings:
+    """What stands for a session where only settings are read."""
+
+    def __init__(self, **settings):
+        self.conf = self
+        self.settings = settings
+
+    def get(self, key, default=None):
+        return self.settings.get(key.replace(".", "_"), default)
+
+
+def test_folders_are_deleted_and_shared(spark, tmp_path, monkeypatch):
+    """run() leaves its last table only; without a shared folder a cluster's session is refused."""
+    monkeypatch.setattr(common, "shared_dir", lambda _: f"file://{tmp_path}")
+    assert P.run(spark, SF).count() > 0
+    assert len(os.listdir(tmp_path)) == 1
+    monkeypatch.undo()
+    for master in ("local-cluster[3,2,1000]", "yarn", "spark://host:7077"):
+        with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
+            common.shared_dir(Settings(spark_master=master))
+    assert common.shared_dir(Settings(spark_master="yarn", spark_checkpoint_dir="hdfs:///x/")) == "hdfs:///x"
+    assert common.shared_dir(Settings(spark_master="local[4]")).startswith("file:///")

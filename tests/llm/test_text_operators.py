@@ -133,16 +133,25 @@ def test_sentencepiece_matches_the_library(spark):
     model = vocabulary("piece_bpe_32k.model")
     e = sentencepiece_bpe.encoder(model)
     for t in noise(3000):
-        assert np.frombuffer(e.encode([t])[0], np.int32).tolist() == e.library.encode(t), repr(t)
-    assert e.differing == 0
+        assert np.frombuffer(e.encode([t])[0][0], np.int32).tolist() == e.library.encode(t), repr(t)
+    assert not e.differing
     texts = odd_texts()
     found = {r.doc_id: r for r in sentencepiece_bpe.encode_decode(documents(spark, texts), model).collect()}
     for i, t in enumerate(texts):
         ids = e.library.encode(t or "")
-        assert found[i].ids == ids and found[i].decoded == e.library.decode(ids)
+        assert found[i].ids == ids and found[i].decoded == e.library.decode(ids) and found[i].n_differing == 0
     assert sentencepiece_bpe.encode_decode(documents(spark, []), model).collect() == []
 
 
+def test_differences_from_the_library_are_counted():
+    e = sentencepiece_bpe.Encoder(vocabulary("piece_bpe_32k.model"))
+    right, agenda = e.encode(["one two, two"]), e.agenda
+    e = sentencepiece_bpe.Encoder(vocabulary("piece_bpe_32k.model"))
+    e.agenda = lambda u: agenda(u)[::-1] + [5] if "two" in u or u == "," else agenda(u)
+    found = e.encode(["one two, two", "one"])
+    assert found == ([right[0][0], e.encode(["one"])[0][0]], [3, 0]) and len(e.differing) == 2
+
+
 def test_units_fall_back_for_other_vocabularies():
     assert sentencepiece_bpe.unit_pattern(["a▁b"]).findall("▁x▁y") == ["▁x▁y"]
     assert sentencepiece_bpe.unit_pattern(["a.", "▁a"]).findall("▁x.y▁z") == ["▁x.y", "▁z"]

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,19 +27,52 @@ def vocabulary(name: str) -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; a temporary one where that is unset, as in tests."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where that is unset, a temporary one of this machine, which only a local master can use; else an error."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
-        where = "file://" + tempfile.mkdtemp(prefix="tidefleet-")
-        spark.conf.set("spark.checkpoint.dir", where)
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        where = _local_dir()
     return where.rstrip("/")
 
 
+@functools.cache
+def _local_dir() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="tidefleet-")
+
+
+_made: list[str] = []  # folders that this process has made in the shared folder
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    _made.append(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Folders that operators make inside are deleted at the end: what was computed from them must have been written by then."""
+    at = len(_made)
+    try:
+        yield
+    finally:
+        for path in _made[at:]:
+            delete(spark, path)
+        del _made[at:]
+
+
 class SharedTables:
     """Tables written to the shared folder to cut lineage; those that nothing needs any more can be dropped early."""
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.root = spark, f"{shared_dir(spark)}/tables-{uuid.uuid4().hex}"
+        self.spark, self.root = spark, new_folder(spark, "tables")
         self.count = 0
 
     def keep(self, df: DataFrame) -> DataFrame:
@@ -49,8 +85,7 @@ class SharedTables:
         return out
 
     def drop(self, df: DataFrame) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(df._shared_path)
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(self.spark, df._shared_path)
 
 
 def as_row(df: DataFrame) -> DataFrame:

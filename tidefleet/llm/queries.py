@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidefleet.llm import decontaminate, html_blocks, line_dedup, oracles, quality_classifier, quality_rules, sentencepiece_bpe, simhash, token_files, toxicity, url_filter
-from tidefleet.llm.common import shared_dir, table, vocabulary
+from tidefleet.llm.common import new_folder, table, vocabulary
 
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
+    path = new_folder(spark, "tokens")
     token_files.write(table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"))
     return token_files.checksums(token_files.read(spark, path))
 
@@ -26,13 +25,14 @@ def op3_html_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_blocks.extract(table(spark, sf_dir, "pages"))
 
 
-def sentencepiece_digest(encoded: DataFrame) -> DataFrame:
+def sentencepiece_digest(encoded: DataFrame, *more: str) -> DataFrame:
+    """Counts and digests of ids and decoded texts, and further columns of encoded."""
     listed = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), *more)
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepiece_digest(sentencepiece_bpe.encode_decode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model")))
+    return sentencepiece_digest(sentencepiece_bpe.encode_decode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model")), "n_differing")
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -50,7 +50,8 @@ class Encoder:
         self.bytes = [one.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.units = unit_pattern(list(self.ids))
         self.known = Remembered(REMEMBERED)
-        self.differing = 0
+        self.differing: set[str] = set()
+        self.lead = {b: one.encode(b) for b in ("", ",", "a")}
 
     def agenda(self, unit: str) -> list[int]:
         """Ids of a unit by merging adjacent symbols in the order of their scores."""
@@ -79,26 +80,27 @@ class Encoder:
         return out
 
     def learn(self, units: set[str]) -> None:
-        """Encode new units, checked against the library; where they differ, the library's ids hold and are counted."""
+        """Encode new units, checked against the library; where they differ, the library's ids hold, and the unit is kept in differing."""
         new = list(units)
-        # the library puts a mark before a text: a unit without one is checked with one before it, where its own first merge is not concerned
-        texts = [u[1:].replace(MARK, " ") if u[0] == MARK else None for u in new]
-        checked = [i for i, t in enumerate(texts) if t]
-        theirs = dict(zip(checked, self.library.encode([texts[i] for i in checked], num_threads=1), strict=True)) if checked else {}
-        for i, u in enumerate(new):
-            ids = self.agenda(u)
-            if i in theirs and theirs[i] != ids:
-                self.differing += 1
-                ids = theirs[i]
+        # the library puts a mark before a text: units without one stand after a sign, or a letter, that no piece joins to them
+        before = ["" if u[0] == MARK and len(u) > 1 else "," if re.match(LETTERS, u[0]) else "a" for u in new]
+        texts = [(u[1:] if not b else b + u).replace(MARK, " ") for u, b in zip(new, before, strict=True)]
+        asked = self.library.encode(texts, num_threads=1)
+        for u, b, whole in zip(new, before, asked, strict=True):
+            ids, theirs = self.agenda(u), whole[len(self.lead[b]) :]
+            if theirs != ids and whole[: len(self.lead[b])] == self.lead[b]:
+                self.differing.add(u)
+                ids = theirs
             self.known[u] = np.array(ids, np.int32).tobytes()
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Each text's ids as 32-bit integers."""
+    def encode(self, texts: list[str | None]) -> tuple[list[bytes], list[int]]:
+        """Each text's ids as 32-bit integers, and of how many of its units the agenda's ids weren't the library's."""
         known, cut = self.known, self.units.findall
         known.age()
         split = [cut(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
         self.learn({u for s in split for u in s if not (u in known or u in known.older)})
-        return [b"".join(map(known.__getitem__, s)) for s in split]
+        counts = [sum(u in self.differing for u in s) for s in split] if self.differing else [0] * len(split)
+        return [b"".join(map(known.__getitem__, s)) for s in split], counts
 
     def decode(self, ids: list[bytes]) -> list[str]:
         return self.library.decode([np.frombuffer(x, np.int32).tolist() for x in ids], num_threads=1) if ids else []
@@ -117,11 +119,14 @@ def id_lists(ids: list[bytes]) -> pa.Array:
 
 
 def encode_decode(docs: DataFrame, model_file: str) -> DataFrame:
-    """Per row of docs: doc_id, ids (array of int), decoded (what those ids decode to).
-
-    Null and empty texts have no ids and decode to the empty text; whole texts,
-    however long, are encoded; repeated rows and null ids get their results; an
-    empty table gives none. Other columns are not read.
+    """Per row of docs: doc_id, ids (array of int), decoded (what those ids decode to), n_differing.
+
+    n_differing counts the units of a text whose ids by the agenda weren't those
+    of the library, which hold then; zero says that the agenda was right. Null
+    and empty texts have no ids and decode to the empty text; whole texts,
+    however long, are encoded; repeated rows and null ids get their results; of
+    pairs of equal score the leftmost merges first; an empty table gives none.
+    Other columns are not read.
     """
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,8 +134,8 @@ def encode_decode(docs: DataFrame, model_file: str) -> DataFrame:
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 batch = whole.slice(at, 500)
-                ids = one.encode(batch.column("text").to_pylist())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), id_lists(ids), pa.array(one.decode(ids), pa.string())], ["doc_id", "ids", "decoded"])
+                ids, differing = one.encode(batch.column("text").to_pylist())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), id_lists(ids), pa.array(one.decode(ids), pa.string()), pa.array(differing, pa.int32())], ["doc_id", "ids", "decoded", "n_differing"])
 
     rows = docs.select("doc_id", "text")
-    return rows.mapInArrow(encoded, f"doc_id {dict(rows.dtypes)['doc_id']}, ids array<int>, decoded string")
+    return rows.mapInArrow(encoded, f"doc_id {dict(rows.dtypes)['doc_id']}, ids array<int>, decoded string, n_differing int")
