@@ -47,6 +47,12 @@ def enrich(pings: DataFrame, mapping: DataFrame, how: str = "left") -> DataFrame
     return pings.join(unique, "vehicle", how)
 
 
+def override_routes(pings: DataFrame, mapping: DataFrame) -> DataFrame:
+    """pings with the mapping's route_id where their vehicle has one, else their own; of several routes of a vehicle the lowest."""
+    known = mapping.filter("vehicle is not null").groupBy("vehicle").agg(F.min("route_id").alias("__mapped"))
+    return pings.join(known, "vehicle", "left").withColumn("route_id", F.coalesce("__mapped", "route_id")).drop("__mapped")
+
+
 def local_columns(pings: DataFrame, zone: str = LOCAL_TZ) -> DataFrame:
     """date and hour in a zone."""
     t = local_time(F.col("timestamp"), zone)
@@ -61,7 +67,16 @@ def speed_features(pings: DataFrame) -> DataFrame:
     })
 
 
-def to_silver(pings: DataFrame, mapping: DataFrame, order: Column, how: str = "left", zone: str = LOCAL_TZ) -> DataFrame:
-    """One valid ping per vehicle and time, with its route and local date; sorted inside partitions for the writer."""
-    unique = one_per_key(pings, ["vehicle", "timestamp"], order)
-    return local_columns(valid_gps(enrich(unique, mapping, how)), zone).sortWithinPartitions(F.asc_nulls_first("route_id"), "vehicle", "timestamp")
+def to_silver(pings: DataFrame, mapping: DataFrame, order: Column, how: str = "left", zone: str = LOCAL_TZ, smooth_by: str | None = None) -> DataFrame:
+    """One valid ping per vehicle and time, with its route and local date; places smoothed along the column smooth_by, if given; sorted inside partitions for the writer."""
+    kept = one_per_key(valid_gps(enrich(pings, mapping, how)), ["vehicle", "timestamp"], order)
+    if smooth_by:
+        from tidefleet.operators.kalman import smooth
+
+        kept = smooth(kept, smooth_by)
+    return silver_order(local_columns(kept, zone))
+
+
+def silver_order(rows: DataFrame) -> DataFrame:
+    """Rows sorted inside partitions, so that files skip by route, vehicle and time."""
+    return rows.sortWithinPartitions(F.asc_nulls_first("route_id"), F.asc_nulls_first("vehicle"), F.asc_nulls_first("timestamp"))

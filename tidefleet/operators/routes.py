@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidefleet.functions.geo import haversine_km
+from tidefleet.functions.geo import cell, haversine_km, neighbour_cells
 
 NEAR_TERMINAL_KM = 0.6
 
@@ -17,6 +17,15 @@ def terminals(paths: DataFrame) -> DataFrame:
     return first.select("route_id", end(1, 1).alias("a_lng"), end(1, 2).alias("a_lat"), end(-1, 1).alias("b_lng"), end(-1, 2).alias("b_lat"))
 
 
+def both_terminals(paths: DataFrame) -> DataFrame:
+    """(route_id, out_start_lng .. in_end_lat): ends of each route's outbound path, and of its inbound one where it has any; of several the lowest variant. Routes without an outbound path go."""
+    way = lambda outbound: F.min_by(F.when(F.col("outbound") == outbound, F.col("path")), F.when(F.col("outbound") == outbound, F.col("route_var_id")))
+    ways = paths.groupBy("route_id").agg(way(True).alias("out"), way(False).alias("in"), F.max(F.col("outbound").cast("int")).alias("any"))
+    at = lambda p, i, j: F.try_element_at(F.try_element_at(F.col(p), F.lit(i)), F.lit(j))
+    ends = [at(p, i, j).alias(f"{p}_{side}_{c}") for p in ("out", "in") for side, i in (("start", 1), ("end", -1)) for c, j in (("lng", 1), ("lat", 2))]
+    return ways.filter("any = 1").select("route_id", *ends)
+
+
 def bridge(stops: DataFrame) -> DataFrame:
     """(route_id, stop_id), each once, from stops with a comma-separated list of routes."""
     each = stops.select("stop_id", F.explode(F.split("routes", ",")).alias("r"))
@@ -26,16 +35,20 @@ def bridge(stops: DataFrame) -> DataFrame:
 def route_candidates(pings: DataFrame, ends: DataFrame, km: float = NEAR_TERMINAL_KM) -> DataFrame:
     """(vehicle, route_id, candidate, a_km, b_km, route_km): routes whose both terminals a vehicle came near.
 
-    Every rounded place is held against every route: the routes are few and are
-    broadcast; the least distances are kept per vehicle before any shuffle.
+    A rounded place is held against the routes whose terminals lie in the cells
+    around it, by an equi-join on grid cells at least as wide as km; the least
+    distances are kept per vehicle and end before they are joined.
     """
     cells = pings.select("vehicle", "route_id", F.round("x", 3).alias("cx"), F.round("y", 3).alias("cy")).distinct()
     dim = ends.select(F.col("route_id").alias("candidate"), "a_lng", "a_lat", "b_lng", "b_lat", haversine_km(F.col("a_lat"), F.col("a_lng"), F.col("b_lat"), F.col("b_lng")).alias("route_km"))
-    met = cells.crossJoin(F.broadcast(dim))
-    near = met.groupBy("vehicle", "route_id", "candidate").agg(
-        F.min(haversine_km(F.col("cy"), F.col("cx"), F.col("a_lat"), F.col("a_lng"))).alias("a_km"), F.min(haversine_km(F.col("cy"), F.col("cx"), F.col("b_lat"), F.col("b_lng"))).alias("b_km"), F.first("route_km").alias("route_km")
-    )
-    return near.filter((F.col("a_km") <= km) & (F.col("b_km") <= km))
+    size = 2 * km / 111.0  # degrees, for a degree of longitude of half a degree of latitude's length at least: up to 60 degrees north or south
+    around = cells.withColumn("c", F.explode(neighbour_cells(cell(F.col("cx"), size), cell(F.col("cy"), size)))).select("vehicle", "route_id", F.col("cx").alias("x"), F.col("cy").alias("y"), "c.cx", "c.cy")
+    sides = dim.select("candidate", "route_km", F.explode(F.array(*(F.struct(F.lit(s).alias("side"), F.col(f"{s}_lng").alias("lng"), F.col(f"{s}_lat").alias("lat")) for s in "ab"))).alias("t"))
+    sides = sides.select("candidate", "route_km", "t.*", cell(F.col("t.lng"), size).alias("cx"), cell(F.col("t.lat"), size).alias("cy"))
+    met = around.join(sides, ["cx", "cy"]).withColumn("km", haversine_km(F.col("y"), F.col("x"), F.col("lat"), F.col("lng"))).filter(F.col("km") <= km)
+    least = lambda side: F.min(F.when(F.col("side") == side, F.col("km"))).alias(f"{side}_km")
+    near = met.groupBy("vehicle", "route_id", "candidate").agg(least("a"), least("b"), F.first("route_km").alias("route_km"))
+    return near.filter("a_km is not null and b_km is not null")
 
 
 def corrected_routes(candidates: DataFrame) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tidefleet.functions.pings import cyclic
 
 MOST_SECONDS, LENGTH = 300, 10
-STEP_FEATURES = ("x", "y", "speed", "heading", "delta_x", "delta_y", "acceleration", "delta_heading", "time_sin", "time_cos")
+#: What a model sees of each step, in this order.
+STEP_FEATURES = ("delta_x", "delta_y", "speed", "acceleration", "delta_heading", "door_up", "door_down", "working", "time_sin", "time_cos")
 
 
 def delta_features(pings: DataFrame, time: str = "ep", most: int = MOST_SECONDS) -> DataFrame:
@@ -19,18 +20,22 @@ def delta_features(pings: DataFrame, time: str = "ep", most: int = MOST_SECONDS)
     sin, cos = cyclic(F.col(time))
     with_deltas = pings.withColumns({"delta_time": dt, "delta_x": delta("x"), "delta_y": delta("y"), "delta_speed": delta("speed"), "delta_heading": delta("heading"), "time_sin": sin, "time_cos": cos})
     kept = with_deltas.filter((F.col("delta_time") > 0) & (F.col("delta_time") <= most))
-    return kept.withColumn("acceleration", F.when(F.col("delta_time") > 0, F.col("delta_speed") / F.col("delta_time")).otherwise(0.0))
+    known = {"acceleration": F.coalesce(F.col("delta_speed") / F.col("delta_time"), F.lit(0.0)), "delta_heading": F.coalesce("delta_heading", F.lit(0.0))}
+    return kept.withColumns(known)
 
 
 def sequence_windows(features: DataFrame, time: str = "ep", length: int = LENGTH, most: int = MOST_SECONDS) -> DataFrame:
     """One row per window of length successive rows of a vehicle that has a row after it and no longer pause inside.
 
-    Columns: vehicle, first (1-based place of the window), route_id of its first
-    row, then f_0 .. f_{length-1} for each step feature f and for delta_time.
+    Columns: vehicle, first (1-based place of the window), route_id of the
+    vehicle's first row, waypoint_count, then f_0 .. f_{length-1} as doubles for
+    each step feature f and for delta_time.
     """
     w = Window.partitionBy("vehicle").orderBy(time, "event_id")
-    steps = F.collect_list(F.struct(*STEP_FEATURES, "delta_time")).over(w.rowsBetween(0, length - 1))
-    rows = features.withColumn("steps", steps).withColumn("next", F.lead("event_id", length).over(w)).withColumn("first", F.row_number().over(w).cast("long"))
+    each = F.struct(*(F.col(c).cast("double").alias(c) for c in (*STEP_FEATURES, "delta_time")))
+    steps = F.collect_list(each).over(w.rowsBetween(0, length - 1))
+    start = F.first("route_id").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    rows = features.withColumns({"steps": steps, "next": F.lead("event_id", length).over(w), "first": F.row_number().over(w).cast("long"), "start": start})
     whole = rows.filter((F.size("steps") == length) & F.col("next").isNotNull() & (F.array_max(F.transform("steps", lambda s: s["delta_time"])) <= most))
     flat = [F.col("steps")[i][c].alias(f"{c}_{i}") for i in range(length) for c in (*STEP_FEATURES, "delta_time")]
-    return whole.select("vehicle", "first", "route_id", *flat)
+    return whole.select("vehicle", "first", F.col("start").alias("route_id"), F.lit(length).cast("long").alias("waypoint_count"), *flat)

@@ -48,18 +48,23 @@ def trip_summary(segments: DataFrame, least_km: float = LEAST_KM, least_outside:
 
 
 def gap_trips(pings: DataFrame, ends: DataFrame, gap: int = 600, least_km: float = 1.0, high_km: float = 5.0, medium_km: float = 15.0) -> DataFrame:
-    """Trips cut at gaps only, with direction by the nearer terminals."""
+    """Trips cut at gaps only, with direction by whose terminals they match better.
+
+    ends has the terminals of either direction (routes.both_terminals); a route
+    without inbound ones has INBOUND trips only. The way to a trip's first ping
+    from the ping before it counts for the trip.
+    """
     w = Window.partitionBy("vehicle", "route_id").orderBy("ep", "event_id")
     marked = pings.withColumns({f"last_{c}": F.lag(c).over(w) for c in ("ep", "x", "y")})
     new = F.col("last_ep").isNull() | (F.col("ep") - F.col("last_ep") > gap)
-    km = F.when(new, 0.0).otherwise(haversine_km(F.col("last_y"), F.col("last_x"), F.col("y"), F.col("x")))
+    km = F.coalesce(haversine_km(F.col("last_y"), F.col("last_x"), F.col("y"), F.col("x")), F.lit(0.0))
     numbered = marked.withColumn("segment_km", km).withColumn("trip_id", F.sum(F.when(new, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     per = numbered.groupBy("vehicle", "route_id", "trip_id").agg(F.sum("segment_km").alias("total_km"), F.count("*").alias("pings"), *_ends("x", "y", "ep")).filter(F.col("total_km") > least_km)
-    placed = per.join(ends.select("route_id", "a_lng", "a_lat", "b_lng", "b_lat"), "route_id")
+    placed = per.join(ends, "route_id", "left")
     end = lambda p, t: haversine_km(F.col(f"{p}_y"), F.col(f"{p}_x"), F.col(f"{t}_lat"), F.col(f"{t}_lng"))
-    out, back = end("start", "a") + end("end", "b"), end("start", "b") + end("end", "a")
+    out, back = end("start", "out_start") + end("end", "out_end"), end("start", "in_start") + end("end", "in_end")
     error = F.least(out, back)
     return placed.select(
-        "vehicle", "route_id", "trip_id", "start_ep", "end_ep", "total_km", "pings", F.when(out <= back, "OUTBOUND").otherwise("INBOUND").alias("direction"),
+        "vehicle", "route_id", "trip_id", "start_ep", "end_ep", "total_km", "pings", F.when(out < back, "OUTBOUND").otherwise("INBOUND").alias("direction"),
         F.when(error < high_km, "HIGH").when(error < medium_km, "MEDIUM").otherwise("LOW").alias("confidence"),
     )

@@ -13,7 +13,7 @@ from tidefleet.plans.domain import TRIPS_SQL, trip_rows
 Q: dict = {}
 SQL: dict[str, str] = {}
 G_SQL = WAYPOINTS_SQL + """, g AS (SELECT *, CASE WHEN speed = 0 THEN 'stopped' WHEN speed < 20 THEN 'slow' WHEN speed < 60 THEN 'normal' ELSE 'fast' END AS speed_level, CASE WHEN dayofweek(date) IN (0, 6) THEN 'weekend' ELSE 'weekday' END AS day_type FROM wp)"""
-T_SQL = TRIPS_SQL + """, t AS (SELECT *, CAST(hour(make_timestamp(start_ep * 1000000) + INTERVAL 7 HOUR) AS BIGINT) AS hour_vn, confidence <> 'LOW' AS is_completed, CASE WHEN minutes > 0 THEN 60 * total_km / minutes ELSE 0 END AS avg_speed FROM tp)"""
+T_SQL = TRIPS_SQL + """, t AS (SELECT *, CAST(hour(make_timestamp(start_ep * 1000000) + INTERVAL 7 HOUR) AS BIGINT) AS hour_vn, TRUE AS is_completed, CASE WHEN minutes > 0 THEN 60 * total_km / minutes ELSE 0 END AS avg_speed FROM tp)"""
 
 
 def G(s: SparkSession, d: str, routes: list[str] | None = None, days: tuple[str, str] | None = None) -> DataFrame:  # noqa: N802
@@ -23,7 +23,7 @@ def G(s: SparkSession, d: str, routes: list[str] | None = None, days: tuple[str,
 def T(s: SparkSession, d: str, routes: list[str] | None = None, directions: list[str] | None = None, days: tuple[str, str] | None = None) -> DataFrame:  # noqa: N802
     local_hour = F.floor((F.col("start_ep") + 7 * 3600) % 86400 / 3600).cast("long")
     speed = F.when(F.col("minutes") > 0, 60 * F.col("total_km") / F.col("minutes")).otherwise(0.0)
-    rows = trip_rows(s, d).withColumns({"hour_vn": local_hour, "is_completed": F.col("confidence") != "LOW", "avg_speed": speed})
+    rows = trip_rows(s, d).withColumns({"hour_vn": local_hour, "is_completed": F.lit(True), "avg_speed": speed})
     return filtered(rows, routes, directions, days)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidefleet.operators import kalman, routes, sequences, stops, trips
+from tidefleet.operators import cleaning, kalman, routes, sequences, stops, trips
 from tidefleet.plans import bindings as b
 from tidefleet.plans.bindings import DENSE_SQL, GAP_SECONDS, MAPPING_SQL, ROUTES_SQL, STOPS_SQL, WAYPOINTS_SQL, haversine_sql
 from tidefleet.sources import readers
@@ -120,37 +120,71 @@ def trip_summary(s: SparkSession, d: str) -> DataFrame:
     return trip_rows(s, d)
 
 
-@query(f"""WITH {ROUTES_SQL}, {WAYPOINTS_SQL}, g1 AS (SELECT *, lag(ep) OVER w AS le, lag(x) OVER w AS lx, lag(y) OVER w AS ly FROM wp WINDOW w AS (PARTITION BY vehicle, route_id ORDER BY ep, event_id)),
+def _variants(s: SparkSession, d: str) -> DataFrame:
+    """Paths of both directions; every fifth route has no way back."""
+    r = b.routes(s, d)
+    out = r.select("route_id", F.lit(1).alias("route_var_id"), F.lit(True).alias("outbound"), "path")
+    back = r.filter("route_id % 5 <> 0").select("route_id", F.lit(2).alias("route_var_id"), F.lit(False).alias("outbound"), F.reverse("path").alias("path"))
+    return out.unionAll(back)
+
+
+BOTH_SQL = """bt AS (SELECT route_id, a_lng AS out_start_lng, a_lat AS out_start_lat, b_lng AS out_end_lng, b_lat AS out_end_lat, CASE WHEN route_id % 5 <> 0 THEN b_lng END AS in_start_lng, CASE WHEN route_id % 5 <> 0 THEN b_lat END AS in_start_lat,
+ CASE WHEN route_id % 5 <> 0 THEN a_lng END AS in_end_lng, CASE WHEN route_id % 5 <> 0 THEN a_lat END AS in_end_lat FROM rt)"""
+
+
+@query(f"WITH {ROUTES_SQL}, {BOTH_SQL} SELECT * FROM bt")
+def both_terminals(s: SparkSession, d: str) -> DataFrame:
+    return routes.both_terminals(_variants(s, d))
+
+
+@query(f"""WITH {ROUTES_SQL}, {BOTH_SQL}, {WAYPOINTS_SQL}, g1 AS (SELECT *, lag(ep) OVER w AS le, lag(x) OVER w AS lx, lag(y) OVER w AS ly FROM wp WINDOW w AS (PARTITION BY vehicle, route_id ORDER BY ep, event_id)),
  g2 AS (SELECT *, CASE WHEN le IS NULL OR ep - le > {GAP_SECONDS // 4} THEN 1 ELSE 0 END AS nw FROM g1),
- g3 AS (SELECT *, CASE WHEN nw = 1 THEN 0 ELSE {haversine_sql('ly', 'lx', 'y', 'x')} END AS km, CAST(SUM(nw) OVER (PARTITION BY vehicle, route_id ORDER BY ep, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS trip_id FROM g2),
+ g3 AS (SELECT *, CASE WHEN lx IS NULL THEN 0 ELSE {haversine_sql('ly', 'lx', 'y', 'x')} END AS km, CAST(SUM(nw) OVER (PARTITION BY vehicle, route_id ORDER BY ep, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS trip_id FROM g2),
  g4 AS (SELECT vehicle, route_id, trip_id, SUM(km) AS total_km, COUNT(*) AS pings, MIN(ep) AS start_ep, MAX(ep) AS end_ep, arg_min(x, {_FIRST}) AS sx, arg_min(y, {_FIRST}) AS sy, arg_max(x, {_FIRST}) AS ex, arg_max(y, {_FIRST}) AS ey FROM g3 GROUP BY 1, 2, 3 HAVING SUM(km) > 1),
- g5 AS (SELECT g4.*, {haversine_sql('sy', 'sx', 'a_lat', 'a_lng')} + {haversine_sql('ey', 'ex', 'b_lat', 'b_lng')} AS o, {haversine_sql('sy', 'sx', 'b_lat', 'b_lng')} + {haversine_sql('ey', 'ex', 'a_lat', 'a_lng')} AS i FROM g4 JOIN rt ON g4.route_id = rt.route_id)
- SELECT vehicle, route_id, trip_id, start_ep, end_ep, ROUND(total_km, 6) AS total_km, pings, CASE WHEN o <= i THEN 'OUTBOUND' ELSE 'INBOUND' END AS direction, CASE WHEN least(o, i) < 5 THEN 'HIGH' WHEN least(o, i) < 15 THEN 'MEDIUM' ELSE 'LOW' END AS confidence FROM g5""")
+ g5 AS (SELECT g4.*, {haversine_sql('sy', 'sx', 'out_start_lat', 'out_start_lng')} + {haversine_sql('ey', 'ex', 'out_end_lat', 'out_end_lng')} AS o, in_start_lng IS NULL AS one,
+  {haversine_sql('sy', 'sx', 'in_start_lat', 'in_start_lng')} + {haversine_sql('ey', 'ex', 'in_end_lat', 'in_end_lng')} AS i FROM g4 LEFT JOIN bt ON g4.route_id = bt.route_id),
+ g6 AS (SELECT *, CASE WHEN one THEN o ELSE least(o, i) END AS off FROM g5)
+ SELECT vehicle, route_id, trip_id, start_ep, end_ep, ROUND(total_km, 6) AS total_km, pings, CASE WHEN NOT one AND o < i THEN 'OUTBOUND' ELSE 'INBOUND' END AS direction, CASE WHEN off < 5 THEN 'HIGH' WHEN off < 15 THEN 'MEDIUM' ELSE 'LOW' END AS confidence FROM g6""")
 def gap_trips(s: SparkSession, d: str) -> DataFrame:
-    return trips.gap_trips(b.waypoints(s, d), b.routes(s, d), gap=GAP_SECONDS // 4).withColumn("total_km", F.round("total_km", 6))
+    return trips.gap_trips(b.waypoints(s, d), routes.both_terminals(_variants(s, d)), gap=GAP_SECONDS // 4).withColumn("total_km", F.round("total_km", 6))
 
 
-FEATURES_SQL = DENSE_SQL + """,
+#: Vehicles with an even id are mapped to the route after their own.
+OVERRIDE_SQL = DENSE_SQL + """,
+mo AS (SELECT CAST(c_custkey AS VARCHAR) AS vehicle, (c_nationkey + 1) % 25 AS mapped FROM customer WHERE c_custkey % 2 = 0),
+od AS (SELECT dw.* EXCLUDE (route_id), COALESCE(mapped, route_id) AS route_id FROM dw LEFT JOIN mo ON dw.vehicle = mo.vehicle)"""
+FEATURES_SQL = OVERRIDE_SQL + """,
 f1 AS (SELECT *, ept - lag(ept) OVER w AS delta_time, x - lag(x) OVER w AS delta_x, y - lag(y) OVER w AS delta_y, speed - lag(speed) OVER w AS delta_speed, heading - lag(heading) OVER w AS delta_heading,
-  sin(2 * pi() * (ept % 86400) / 86400) AS time_sin, cos(2 * pi() * (ept % 86400) / 86400) AS time_cos FROM dw WINDOW w AS (PARTITION BY vehicle ORDER BY ept, event_id)),
+  sin(2 * pi() * (ept % 86400) / 86400) AS time_sin, cos(2 * pi() * (ept % 86400) / 86400) AS time_cos FROM od WINDOW w AS (PARTITION BY vehicle ORDER BY ept, event_id)),
 ft AS (SELECT *, delta_speed / delta_time AS acceleration FROM f1 WHERE delta_time > 0 AND delta_time <= 300)"""
 _R6 = ("delta_x", "delta_y", "delta_heading", "acceleration", "time_sin", "time_cos")
 
 
-@query(f"WITH {FEATURES_SQL} SELECT event_id, vehicle, delta_time, {', '.join(f'ROUND({c}, 6) AS {c}' for c in _R6)} FROM ft")
+def _overridden(s: SparkSession, d: str) -> DataFrame:
+    mapped = b.table(s, d, "customer").filter("c_custkey % 2 = 0").select(F.col("c_custkey").cast("string").alias("vehicle"), ((F.col("c_nationkey") + 1) % 25).alias("route_id"))
+    return cleaning.override_routes(b.dense_waypoints(s, d), mapped)
+
+
+@query(f"WITH {OVERRIDE_SQL} SELECT event_id, vehicle, route_id FROM od")
+def mapping_override(s: SparkSession, d: str) -> DataFrame:
+    return _overridden(s, d).select("event_id", "vehicle", "route_id")
+
+
+@query(f"WITH {FEATURES_SQL} SELECT event_id, vehicle, route_id, speed, delta_time, {', '.join(f'ROUND({c}, 6) AS {c}' for c in _R6)} FROM ft")
 def kinematic_features(s: SparkSession, d: str) -> DataFrame:
-    return sequences.delta_features(b.dense_waypoints(s, d), "ept").select("event_id", "vehicle", "delta_time", *(F.round(c, 6).alias(c) for c in _R6))
+    return sequences.delta_features(_overridden(s, d), "ept").select("event_id", "vehicle", "route_id", "speed", "delta_time", *(F.round(c, 6).alias(c) for c in _R6))
 
 
-_SEQ = [f"{c}_{i}" for i in range(10) for c in ("x", "speed", "delta_time")]
+_STEPS = (*sequences.STEP_FEATURES, "delta_time")
+_SEQ = [f"{c}_{i}" for i in range(10) for c in _STEPS]
 
 
-@query(f"""WITH {FEATURES_SQL}, n AS (SELECT *, CAST(row_number() OVER (PARTITION BY vehicle ORDER BY ept, event_id) AS BIGINT) AS first FROM ft)
- SELECT a.vehicle, a.first, a.route_id, {', '.join(f'ROUND(n{i}.{c}, 6) AS {c}_{i}' if c != 'delta_time' else f'n{i}.{c} AS {c}_{i}' for i in range(10) for c in ('x', 'speed', 'delta_time'))}
+@query(f"""WITH {FEATURES_SQL}, n AS (SELECT vehicle, route_id, {', '.join(f'ROUND(CAST({c} AS DOUBLE), 6) AS {c}' for c in _STEPS)}, CAST(row_number() OVER w AS BIGINT) AS first, first_value(route_id) OVER w AS start FROM ft WINDOW w AS (PARTITION BY vehicle ORDER BY ept, event_id))
+ SELECT a.vehicle, a.first, a.start AS route_id, CAST(10 AS BIGINT) AS waypoint_count, {', '.join(f'n{i}.{c} AS {c}_{i}' for i in range(10) for c in _STEPS)}
  FROM n a {' '.join(f'JOIN n n{i} ON n{i}.vehicle = a.vehicle AND n{i}.first = a.first + {i}' for i in range(10))} JOIN n z ON z.vehicle = a.vehicle AND z.first = a.first + 10""")
 def sequence_windows(s: SparkSession, d: str) -> DataFrame:
-    w = sequences.sequence_windows(sequences.delta_features(b.dense_waypoints(s, d), "ept"), "ept")
-    return w.select("vehicle", "first", "route_id", *(F.col(c) if c.startswith("delta_time") else F.round(c, 6).alias(c) for c in _SEQ))
+    w = sequences.sequence_windows(sequences.delta_features(_overridden(s, d), "ept"), "ept")
+    return w.select("vehicle", "first", "route_id", "waypoint_count", *(F.round(c, 6).alias(c) for c in _SEQ))
 
 
 @query(f"WITH {WAYPOINTS_SQL} SELECT CAST(route_id AS VARCHAR) AS route_key, CAST(row_number() OVER (ORDER BY route_id) - 1 AS BIGINT) AS index FROM (SELECT DISTINCT route_id FROM wp)")
@@ -208,10 +242,12 @@ def path_endpoints(s: SparkSession, d: str) -> DataFrame:
     return routes.terminals(b.routes(s, d).select("route_id", F.lit(1).alias("route_var_id"), "path"))
 
 
-@query("SELECT n_nationkey AS route_id, CASE WHEN n_nationkey = 1 THEN 5 ELSE 3 END AS points FROM nation")
+@query(f"""WITH {ROUTES_SQL}, p AS (SELECT route_id, unnest(CASE WHEN route_id = 1 THEN [[a_lng, a_lat], [106.61, 10.705], [106.62, 10.71], [a_lng + 0.025, 10.725], [b_lng, b_lat]] ELSE [[a_lng, a_lat], [a_lng + 0.025, 10.725], [b_lng, b_lat]] END) AS pt,
+ unnest(range(CASE WHEN route_id = 1 THEN 5 ELSE 3 END)) AS place FROM rt) SELECT route_id, CAST(place AS INTEGER) AS place, ROUND(CAST(pt[1] AS DOUBLE), 9) AS lng, ROUND(CAST(pt[2] AS DOUBLE), 9) AS lat FROM p""")
 def path_patch_slice_concat(s: SparkSession, d: str) -> DataFrame:
     patched = readers.patch_path(b.routes(s, d), 1, [[106.61, 10.705], [106.62, 10.71]], 1)
-    return patched.select("route_id", F.size("path").alias("points"))
+    each = patched.select("route_id", F.posexplode("path").alias("place", "pt"))
+    return each.select("route_id", "place", F.round(F.col("pt")[0], 9).alias("lng"), F.round(F.col("pt")[1], 9).alias("lat"))
 
 
 @query("""SELECT n_nationkey AS route_id, v AS route_var_id, CASE WHEN v = 1 THEN 'Outbound' ELSE 'Inbound' END AS direction FROM nation, (SELECT unnest([1, 2]) AS v)""")
