@@ -25,6 +25,8 @@ STATE_SECONDS = 7200
 
 @dataclass
 class State:
+    """One filter, or with arrays in place of numbers (all but ep) a vector of filters."""
+
     ep: float
     x: float
     y: float
@@ -38,21 +40,22 @@ class State:
         """Take in a later ping. A step too long or not forward starts anew from the ping."""
         dt = ep - self.ep
         if not 0 < dt <= LONGEST:
-            self.x, self.y, self.vx, self.vy, self.place, self.cross, self.speed, dt = x, y, 0.0, 0.0, START_PLACE, 0.0, START_SPEED, 1.0
+            none = 0.0 * self.vx
+            self.x, self.y, self.vx, self.vy, self.place, self.cross, self.speed, dt = none + x, none + y, none, none, none + START_PLACE, none, none + START_SPEED, 1.0
         self.ep = ep
         if at_rest:
             self.vx = self.vy = self.cross = self.speed = 0.0
-            self.place += DRIFT
+            self.place = self.place + DRIFT
         else:
             self.x, self.y = self.x + dt * self.vx, self.y + dt * self.vy
-            self.place += 2 * dt * self.cross + dt * dt * self.speed + acceleration * dt**4 / 4
-            self.cross += dt * self.speed + acceleration * dt**3 / 2
-            self.speed += acceleration * dt**2
+            self.place = self.place + 2 * dt * self.cross + dt * dt * self.speed + acceleration * dt**4 / 4
+            self.cross = self.cross + dt * self.speed + acceleration * dt**3 / 2
+            self.speed = self.speed + acceleration * dt**2
         total = self.place + measurement
         gain, gain_speed = self.place / total, self.cross / total
         dx, dy = x - self.x, y - self.y
         self.x, self.y, self.vx, self.vy = self.x + gain * dx, self.y + gain * dy, self.vx + gain_speed * dx, self.vy + gain_speed * dy
-        self.speed -= gain_speed * self.cross
+        self.speed = self.speed - gain_speed * self.cross
         self.place, self.cross = (1 - gain) * self.place, (1 - gain) * self.cross
 
 
@@ -116,6 +119,12 @@ def global_variance(calibrated: DataFrame, least: float = 1e-10, fallback: float
     return some.agg(F.coalesce(F.avg("var_x"), F.lit(fallback)).alias("var_x"), F.coalesce(F.avg("var_y"), F.lit(fallback)).alias("var_y"), F.count("*").alias("vehicles"))
 
 
+def calibration_table(calibrated: DataFrame, least: float = 1e-10) -> DataFrame:
+    """(vehicle, var_x, var_y): vehicles whose places vary at rest, and a row global that holds for all others."""
+    some = calibrated.filter((F.col("var_x") > least) | (F.col("var_y") > least)).select("vehicle", "var_x", "var_y")
+    return some.unionAll(global_variance(calibrated, least).select(F.lit("global"), "var_x", "var_y"))
+
+
 def _track(rows: DataFrame, x: str, y: str, time: str, name: str) -> dict[str, Column]:
     w = Window.partitionBy("vehicle").orderBy(time, "event_id")
     km = haversine_km(F.lag(y).over(w), F.lag(x).over(w), F.col(y), F.col(x))
@@ -148,13 +157,64 @@ def evaluate(raw: DataFrame, filtered: DataFrame, time: str = "ep", least_second
     return out.withColumn("path_reduction", (1 - F.col("filtered_km") / F.col("raw_km")) * 100)
 
 
-def grid_search(pings: DataFrame, measurements: tuple[float, ...], accelerations: tuple[float, ...], time: str = "ep", least: int = 5) -> DataFrame:
-    """evaluate() of the one-model filter for each pair of parameters; vehicles with few pings don't count."""
+def _filtered_speed(x: np.ndarray, y: np.ndarray, vx: np.ndarray, vy: np.ndarray, speed: float) -> np.ndarray:
+    """km/h of speeds in degrees a second; the raw speed where they are beyond 120, zero where both are next to nothing."""
+    kmh = 3.6 * 111_320.0 * np.hypot(vy, vx * np.cos(np.radians(y)))
+    return np.where(kmh > 120.0, speed, np.where((kmh < 0.1) & (speed < 1.0), 0.0, kmh))
+
+
+def smooth_grid(pings: DataFrame, parameters: list[tuple[float, float]], time: str = "ep") -> DataFrame:
+    """(vehicle, event_id, time, x, y, fx, fy, fs): places and speeds of the one-model filter as arrays, an entry for each (measurement, acceleration).
+
+    All parameters go through each vehicle's sorted pings together, as vectors.
+    """
+    r, a = (np.array(v, float) for v in zip(*parameters, strict=True))
+
+    def smoothed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        state: State | None = None
+        vehicle: object = None
+        for batch in batches:
+            out = []
+            for name, t, x, y, speed in zip(batch["vehicle"], batch[time], batch["x"], batch["y"], batch["speed"], strict=True):
+                if state is None or name != vehicle:
+                    vehicle, zero = name, np.zeros(len(r))
+                    state = State(float(t), zero + x, zero + y, zero, zero, zero + START_PLACE, zero, zero + START_SPEED)
+                    out.append((state.x, state.y, zero + speed))
+                else:
+                    state.step(float(t), x, y, False, r, a)
+                    out.append((state.x, state.y, _filtered_speed(state.x, state.y, state.vx, state.vy, speed)))
+            columns = [list(map(np.ndarray.tolist, c)) for c in zip(*out, strict=True)] or [[], [], []]
+            yield batch[["vehicle", "event_id", time, "x", "y"]].assign(fx=columns[0], fy=columns[1], fs=columns[2])
+
+    rows = pings.select("vehicle", "event_id", time, "x", "y", "speed").filter("vehicle is not null")
+    kinds = dict(rows.dtypes)
+    schema = ", ".join(f"{c} {kinds[c]}" for c in ("vehicle", "event_id", time, "x", "y")) + ", fx array<double>, fy array<double>, fs array<double>"
+    return rows.repartition("vehicle").sortWithinPartitions("vehicle", time, "event_id").mapInPandas(smoothed, schema)
+
+
+#: The pairs of parameters that are tried.
+MEASUREMENTS, ACCELERATIONS = (1e-9, 5e-9, 1e-8, 5e-8, 1e-7), (1e-11, 5e-11, 1e-10, 1.96e-10, 1e-9)
+
+
+def grid_search(pings: DataFrame, measurements: tuple[float, ...] = MEASUREMENTS, accelerations: tuple[float, ...] = ACCELERATIONS, time: str = "ep", least: int = 5) -> DataFrame:
+    """One row for each pair of parameters: mean and spread of the shift, by how much steps shorten (%), and the spread of acceleration; vehicles with few pings don't count.
+
+    Pings are sorted once and smoothed in one pass for all pairs.
+    """
     counted = pings.groupBy("vehicle").agg(F.count("*").alias("n")).filter(F.col("n") >= least)
-    some = pings.join(counted, "vehicle", "left_semi")
-    out = None
-    for r in measurements:
-        for q in accelerations:
-            one = evaluate(some, smooth(some, time, single_model=True, measurement=r, acceleration=q), time).withColumn("measurement", F.lit(r)).withColumn("acceleration", F.lit(q))
-            out = one if out is None else out.unionByName(one)
-    return out
+    pairs = [(r, a) for r in measurements for a in accelerations]
+    tried = smooth_grid(pings.join(counted, "vehicle", "left_semi"), pairs, time)
+    w = Window.partitionBy("vehicle").orderBy(time, "event_id")
+    tried = tried.withColumns({f"last_{c}": F.lag(c).over(w) for c in (time, "x", "y", "fx", "fy", "fs")})
+    each = tried.select("*", F.posexplode(F.array(*(F.struct(F.lit(r).alias("measurement"), F.lit(a).alias("acceleration")) for r, a in pairs))).alias("i", "p"))
+    at = lambda c: F.get(c, F.col("i"))
+    dt = F.col(time) - F.col(f"last_{time}")
+    each = each.select(
+        "p.*", (1000 * haversine_km(F.col("y"), F.col("x"), at("fy"), at("fx"))).alias("shift"), (1000 * haversine_km(F.col("last_y"), F.col("last_x"), F.col("y"), F.col("x"))).alias("raw"),
+        (1000 * haversine_km(at("last_fy"), at("last_fx"), at("fy"), at("fx"))).alias("filtered"), F.when(dt > 0, (at("fs") - at("last_fs")) / 3.6 / dt).alias("acc"),
+    )
+    out = each.groupBy("measurement", "acceleration").agg(
+        F.avg("shift").alias("mean_shift_m"), F.stddev_samp("shift").alias("std_shift_m"), F.avg("raw").alias("raw"), F.avg("filtered").alias("filtered"), F.stddev_samp("acc").alias("acceleration_std")
+    )
+    reduction = F.when(F.col("raw") > 0, 100 * (F.col("raw") - F.col("filtered")) / F.col("raw")).otherwise(0.0)
+    return out.select("measurement", "acceleration", "mean_shift_m", "std_shift_m", reduction.alias("path_reduction"), "acceleration_std")

@@ -212,15 +212,42 @@ def kalman_smooth(s: SparkSession, d: str) -> DataFrame:
     return kalman.smooth(b.dense_waypoints(s, d).drop("props"), "ept").select("event_id", "vehicle", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"))
 
 
-@query()
+_EVAL = ("mean_shift_m", "std_shift_m", "raw_km", "filtered_km", "raw_acceleration", "filtered_acceleration", "path_reduction")
+
+
+@query(f"""{KALMAN_SQL}, e1 AS (SELECT d.vehicle, d.event_id, d.ept, d.x, d.y, k.x AS fx, k.y AS fy FROM dw d JOIN kf k ON d.event_id = k.event_id),
+e2 AS (SELECT *, ept - lag(ept) OVER w AS dt, lag(x) OVER w AS lx, lag(y) OVER w AS ly, lag(fx) OVER w AS lfx, lag(fy) OVER w AS lfy FROM e1 WINDOW w AS (PARTITION BY vehicle ORDER BY ept, event_id)),
+e3 AS (SELECT *, 1000 * {haversine_sql('y', 'x', 'fy', 'fx')} AS shift, 1000 * {haversine_sql('ly', 'lx', 'y', 'x')} AS raw_m, 1000 * {haversine_sql('lfy', 'lfx', 'fy', 'fx')} AS fil_m FROM e2 WHERE dt >= 5),
+e4 AS (SELECT *, (raw_m / dt - lag(raw_m / dt) OVER w) / dt AS raw_a, (fil_m / dt - lag(fil_m / dt) OVER w) / dt AS fil_a FROM e3 WINDOW w AS (PARTITION BY vehicle ORDER BY ept, event_id)),
+e5 AS (SELECT AVG(raw_m) / 1000 AS raw_km, AVG(fil_m) / 1000 AS filtered_km FROM (SELECT SUM(raw_m) AS raw_m, SUM(fil_m) AS fil_m FROM e4 GROUP BY vehicle))
+SELECT COUNT(*) AS steps, ROUND(AVG(shift), 5) AS mean_shift_m, ROUND(stddev_samp(shift), 5) AS std_shift_m, ROUND(any_value(raw_km), 5) AS raw_km, ROUND(any_value(filtered_km), 5) AS filtered_km, ROUND(stddev_samp(raw_a), 5) AS raw_acceleration,
+ ROUND(stddev_samp(fil_a), 5) AS filtered_acceleration, ROUND(any_value((1 - filtered_km / raw_km) * 100), 5) AS path_reduction FROM e4, e5""")
 def kalman_eval(s: SparkSession, d: str) -> DataFrame:
     raw = b.dense_waypoints(s, d).drop("props")
-    return kalman.evaluate(raw, kalman.smooth(raw, "ept"), "ept")
+    return kalman.evaluate(raw, kalman.smooth(raw, "ept"), "ept").select("steps", *(F.round(c, 5).alias(c) for c in _EVAL))
 
 
-@query()
+_GRID = ("mean_shift_m", "std_shift_m", "path_reduction", "acceleration_std")
+GRID_SQL = f"""WITH RECURSIVE {DENSE_SQL}, dg AS (SELECT * FROM dw WHERE vehicle IN (SELECT vehicle FROM dw GROUP BY 1 HAVING COUNT(*) >= 5)),
+pr AS (SELECT r, a FROM (SELECT unnest([{', '.join(f'CAST({r} AS DOUBLE)' for r in kalman.MEASUREMENTS)}]) AS r), (SELECT unnest([{', '.join(f'CAST({a} AS DOUBLE)' for a in kalman.ACCELERATIONS)}]) AS a)),
+kg AS (SELECT vehicle, seq, ept, r, a, x AS rx, y AS ry, speed AS raw, x, y, CAST(0 AS DOUBLE) AS vx, CAST(0 AS DOUBLE) AS vy, CAST(0.1 AS DOUBLE) AS p, CAST(0 AS DOUBLE) AS c, CAST(1 AS DOUBLE) AS q FROM dg, pr WHERE seq = 1
+ UNION ALL
+ SELECT vehicle, seq, ept, r, a, mx, my, raw, px + g * (mx - px), py + g * (my - py), svx + h * (mx - px), svy + h * (my - py), (1 - g) * pp, (1 - g) * pc, pq - h * pc FROM (
+  SELECT *, pp / (pp + r) AS g, pc / (pp + r) AS h FROM (
+   SELECT *, sx + dt * svx AS px, sy + dt * svy AS py, sp + 2 * dt * sc + dt * dt * sq + a * pow(dt, 4) / 4 AS pp, sc + dt * sq + a * pow(dt, 3) / 2 AS pc, sq + a * dt * dt AS pq FROM (
+    SELECT vehicle, seq, ept, r, a, mx, my, raw, CASE WHEN anew THEN 1 ELSE step END AS dt, CASE WHEN anew THEN mx ELSE kx END AS sx, CASE WHEN anew THEN my ELSE ky END AS sy, CASE WHEN anew THEN 0 ELSE vx END AS svx, CASE WHEN anew THEN 0 ELSE vy END AS svy,
+     CASE WHEN anew THEN CAST(0.1 AS DOUBLE) ELSE p END AS sp, CASE WHEN anew THEN 0 ELSE c END AS sc, CASE WHEN anew THEN 1 ELSE q END AS sq FROM (
+     SELECT d.vehicle, d.seq, d.ept, k.r, k.a, d.x AS mx, d.y AS my, d.speed AS raw, d.ept - k.ept AS step, d.ept - k.ept > 15 OR d.ept - k.ept <= 0 AS anew, k.x AS kx, k.y AS ky, k.vx, k.vy, k.p, k.c, k.q FROM kg k JOIN dg d ON d.vehicle = k.vehicle AND d.seq = k.seq + 1))))),
+kh AS (SELECT *, CAST(3.6 AS DOUBLE) * CAST(111320 AS DOUBLE) * sqrt(vy * vy + pow(vx * cos(radians(y)), 2)) AS kmh FROM kg),
+ki AS (SELECT *, CASE WHEN seq = 1 OR kmh > 120 THEN raw WHEN kmh < CAST(0.1 AS DOUBLE) AND raw < 1 THEN 0 ELSE kmh END AS fs FROM kh),
+kj AS (SELECT *, lag(rx) OVER w AS lrx, lag(ry) OVER w AS lry, lag(x) OVER w AS lx, lag(y) OVER w AS ly, lag(fs) OVER w AS lfs, ept - lag(ept) OVER w AS dt FROM ki WINDOW w AS (PARTITION BY r, a, vehicle ORDER BY seq)),
+kk AS (SELECT r, a, 1000 * {haversine_sql('ry', 'rx', 'y', 'x')} AS shift, CASE WHEN dt IS NOT NULL THEN 1000 * {haversine_sql('lry', 'lrx', 'ry', 'rx')} END AS rm, CASE WHEN dt IS NOT NULL THEN 1000 * {haversine_sql('ly', 'lx', 'y', 'x')} END AS fm, CASE WHEN dt > 0 THEN (fs - lfs) / CAST(3.6 AS DOUBLE) / dt END AS acc FROM kj)"""
+
+
+@query(f"""{GRID_SQL} SELECT r AS measurement, a AS acceleration, ROUND(AVG(shift), 5) AS mean_shift_m, ROUND(stddev_samp(shift), 5) AS std_shift_m, ROUND(100 * (AVG(rm) - AVG(fm)) / AVG(rm), 5) AS path_reduction, ROUND(stddev_samp(acc), 5) AS acceleration_std FROM kk GROUP BY 1, 2""")
 def kalman_grid_search(s: SparkSession, d: str) -> DataFrame:
-    return kalman.grid_search(b.dense_waypoints(s, d).drop("props"), (1e-7, 1e-6), (1e-12, 1e-11), "ept")
+    found = kalman.grid_search(b.dense_waypoints(s, d).drop("props"), time="ept")
+    return found.select("measurement", "acceleration", *(F.round(c, 5).alias(c) for c in _GRID))
 
 
 @query("""SELECT n_nationkey AS route_id, i AS place, lng, lat FROM (SELECT n_nationkey, unnest([0, 1, 2]) AS i, CAST(n_nationkey AS DOUBLE) * CAST(0.004 AS DOUBLE) AS k FROM nation WHERE n_nationkey % 5 <> 0), LATERAL

@@ -31,8 +31,12 @@ def query(sql: str | None = None):
 
 
 def work_dir(s: SparkSession) -> str:
-    """A new folder in the shared one; a temporary one where none is set, as in tests."""
-    shared = s.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.gettempdir()
+    """A new folder in the shared one, spark.checkpoint.dir. Where that is unset, one of this machine, which only a local master can use; else an error."""
+    shared, master = s.conf.get("spark.checkpoint.dir", None), s.conf.get("spark.master", "")
+    if not shared:
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        shared = "file://" + tempfile.gettempdir()
     return f"{shared.rstrip('/')}/work-{uuid.uuid4().hex}"
 
 
@@ -47,7 +51,7 @@ def ran(df: DataFrame, write, checkpoint: str, mode: str = "append") -> None:
 def _pings(s: SparkSession, d: str, parts: int, root: str) -> tuple[str, T.StructType]:
     """Pings with instants, in files by time, for a file stream that reads one at a time."""
     w = b.waypoints(s, d).drop("props").withColumn("timestamp", F.timestamp_seconds("ep"))
-    w.repartitionByRange(parts, "timestamp").sortWithinPartitions("timestamp").write.parquet(f"{root}/in")
+    readers.replay(w, f"{root}/in", parts, "timestamp")
     return f"{root}/in", w.schema
 
 
@@ -65,9 +69,9 @@ def stream_route_window_kpis(s: SparkSession, d: str) -> DataFrame:
     root = work_dir(s)
     path, schema = _pings(s, d, 3, root)
     known = b.mapping(s, d).withColumnRenamed("route_id", "mapped")
-    stream = p.route_windows(readers.table_stream(s, path, schema, 1), known, "40 days")
-    ran(stream, p.versioned(f"{root}/kpis", ["window_start", "route_no"], p.last_wins(["window_start", "route_no"])), f"{root}/state", "update")
-    rows = latest_version(s, f"{root}/kpis")
+    stream = p.route_windows(readers.table_stream(s, path, schema, 1), known, "40 days").withColumn("day", F.to_date("window_start"))
+    ran(stream, p.last_wins_by_partition(f"{root}/kpis", ["window_start", "route_no"], "day"), f"{root}/state", "update")
+    rows = s.read.parquet(f"{root}/kpis")
     return rows.select(F.unix_timestamp("window_start").alias("window_ep"), "route_no", F.round("avg_speed", 6).alias("avg_speed"), "messages", "moving", "stopped", "sos", "ignition_on")
 
 
@@ -75,9 +79,9 @@ def stream_route_window_kpis(s: SparkSession, d: str) -> DataFrame:
 def stream_tumbling(s: SparkSession, d: str) -> DataFrame:
     root = work_dir(s)
     path, schema = _pings(s, d, 2, root)
-    stream = status.window_kpis(readers.table_stream(s, path, schema, 1).withWatermark("timestamp", "40 days"), "timestamp", "1 hour", None)
-    ran(stream, p.versioned(f"{root}/kpis", ["window_start", "route_no"], p.last_wins(["window_start", "route_no"])), f"{root}/state", "update")
-    return latest_version(s, f"{root}/kpis").select(F.unix_timestamp("window_start").alias("window_ep"), "route_no", "messages")
+    stream = status.window_kpis(readers.table_stream(s, path, schema, 1).withWatermark("timestamp", "40 days"), "timestamp", "1 hour", None).withColumn("day", F.to_date("window_start"))
+    ran(stream, p.last_wins_by_partition(f"{root}/kpis", ["window_start", "route_no"], "day"), f"{root}/state", "update")
+    return s.read.parquet(f"{root}/kpis").select(F.unix_timestamp("window_start").alias("window_ep"), "route_no", "messages")
 
 
 @query(f"""WITH {MAPPING_SQL}, {WAYPOINTS_SQL} SELECT w.event_id, w.vehicle, m.route_id, w.date, w.hour FROM wp w LEFT JOIN mp m ON w.vehicle = m.vehicle WHERE w.x <> 0 AND w.y <> 0""")
@@ -116,11 +120,16 @@ def stream_session(s: SparkSession, d: str) -> DataFrame:
     return s.read.parquet(f"{root}/out").filter("vehicle <> 'none'").select("vehicle", F.unix_timestamp("start").alias("start_ep"), "pings")
 
 
-@query("SELECT event_type, event_id FROM events WHERE event_type IN ('click', 'error')")
+@query("SELECT event_type, event_id, i AS part FROM events, (SELECT unnest([0, 1]) AS i) WHERE event_type = 'click' UNION ALL SELECT event_type, event_id, NULL FROM events WHERE event_type = 'error'")
 def event_router(s: SparkSession, d: str) -> DataFrame:
+    """A stream's batches to a table for each type; clicks carry a list of which each becomes a row."""
     root = work_dir(s)
-    writers.by_type(b.table(s, d, "events").select("event_type", "event_id"), "event_type", {t: f"{root}/{t}" for t in ("click", "error")})
-    return s.read.parquet(f"{root}/click", f"{root}/error")
+    e = b.table(s, d, "events").select("event_type", "event_id", F.array(*(F.struct(F.col("event_id"), F.lit(i).alias("part")) for i in (0, 1))).alias("parts"))
+    readers.replay(e, f"{root}/in", 3, "event_id")
+    targets = {t: f"{root}/{t}" for t in ("click", "error")}
+    ran(readers.table_stream(s, f"{root}/in", e.schema, 1), lambda batch, n: writers.by_type(batch, "event_type", targets, {"click": "parts"}, f"batch={n}"), f"{root}/state")
+    clicks, errors = (s.read.parquet(t) for t in targets.values())
+    return clicks.select("event_type", "event_id", "part").unionByName(errors.select("event_type", "event_id", F.lit(None).cast("int").alias("part")))
 
 
 @query(f"""WITH {WAYPOINTS_SQL}, l AS (SELECT *, row_number() OVER (PARTITION BY vehicle ORDER BY ep DESC, event_id DESC) AS rn FROM wp) SELECT vehicle, event_id, ep, speed FROM l WHERE rn = 1""")
@@ -131,7 +140,7 @@ def stream_latest_upsert(s: SparkSession, d: str) -> DataFrame:
     return latest_version(s, f"{root}/latest")
 
 
-@query("SELECT event_id, CAST(user_id AS VARCHAR) AS vehicle, CAST(value AS FLOAT) AS speed FROM events WHERE event_id % 3 <> 0")
+@query("SELECT event_id, CAST(user_id AS VARCHAR) AS vehicle, CAST(value AS FLOAT) AS speed, event_id AS ep, DATE '1970-01-01' + CAST(event_id // 86400 AS INTEGER) AS date, TRUE AS loaded FROM events WHERE event_id % 3 <> 0")
 def bronze_envelopes(s: SparkSession, d: str) -> DataFrame:
     """JSON envelopes; every third is of another type, and malformed ones follow."""
     e = b.table(s, d, "events")
@@ -139,7 +148,7 @@ def bronze_envelopes(s: SparkSession, d: str) -> DataFrame:
     kind = F.when(F.col("event_id") % 3 == 0, "MsgType_Other").otherwise(readers.PING_MESSAGE)
     raw = e.select(F.to_json(F.struct(kind.alias("msgType"), body.alias("msgBusWayPoint"))).alias("value")).unionAll(s.range(3).select(F.lit("{broken").alias("value")))
     parsed = cleaning.normalise(cleaning.parse_envelopes(raw, readers.ENVELOPE, readers.PING_MESSAGE))
-    return parsed.select(F.col("datetime").cast("long").alias("event_id"), "vehicle", "speed")
+    return parsed.select(F.col("datetime").cast("long").alias("event_id"), "vehicle", "speed", F.unix_timestamp("timestamp").alias("ep"), "date", F.col("load_at").isNotNull().alias("loaded"))
 
 
 @query("SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN s_acctbal + 1 ELSE s_acctbal END AS s_acctbal FROM supplier UNION ALL SELECT s_suppkey + 1000000, s_acctbal + 1 FROM supplier WHERE s_suppkey % 2 = 0")
@@ -163,14 +172,24 @@ def partition_overwrite(s: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT event_id, CASE WHEN event_type = 'error' THEN value + 1 ELSE value END AS value FROM events")
 def delete_backfill(s: SparkSession, d: str) -> DataFrame:
+    """A partition's rows go with its folder and come back changed; no other file is read or written."""
     root = work_dir(s)
     e = b.table(s, d, "events").select("event_id", "event_type", "value")
-    writers.append(e, f"{root}/t")
-    writers.delete_where(s, f"{root}/t", "event_type = 'error'")
-    writers.append(e.filter("event_type = 'error'").withColumn("value", F.col("value") + 1), f"{root}/t")
+    writers.append(e, f"{root}/t", "event_type")
+    writers.drop_partition(s, f"{root}/t", "event_type", "error")
+    writers.append(e.filter("event_type = 'error'").withColumn("value", F.col("value") + 1), f"{root}/t", "event_type")
     return s.read.parquet(f"{root}/t").select("event_id", "value")
 
 
+@query("SELECT event_id, event_type, value FROM events WHERE NOT (event_type = 'error' AND value > 50)")
+def delete_rows(s: SparkSession, d: str) -> DataFrame:
+    """A condition that is no partition's rewrites the table."""
+    root = work_dir(s)
+    writers.append(b.table(s, d, "events").select("event_id", "event_type", "value"), f"{root}/t")
+    writers.delete_where(s, f"{root}/t", "event_type = 'error' and value > 50")
+    return s.read.parquet(f"{root}/t")
+
+
 @query(f"WITH {WAYPOINTS_SQL} SELECT event_id, vehicle FROM wp")
 def bucketed_write_roundtrip(s: SparkSession, d: str) -> DataFrame:
     root = work_dir(s)
@@ -209,6 +228,10 @@ def zorder_roundtrip(s: SparkSession, d: str) -> DataFrame:
     return s.read.parquet(f"{root}/out")
 
 
-@query()
+@query("SELECT CAST(20 AS BIGINT) AS files, COUNT(*) AS rows, TRUE AS sized FROM lineitem")
 def table_health(s: SparkSession, d: str) -> DataFrame:
-    return layout.table_health(b.table(s, d, "lineitem"))
+    """Of a table in twenty files; sizes are there and add up."""
+    root = work_dir(s)
+    _small_files(s, d, root)
+    h = layout.table_health(s.read.parquet(f"{root}/t"))
+    return h.select("files", "rows", ((F.col("bytes") >= F.col("files") * F.col("smallest")) & (F.col("bytes") <= F.col("files") * F.col("largest")) & (F.col("smallest") > 0)).alias("sized"))

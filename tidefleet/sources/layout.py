@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,10 +24,66 @@ def table_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(hadoop).getLength()
 
 
-def compact(spark: SparkSession, path: str, out: str, target_bytes: int = TARGET_BYTES, *partitions: str) -> None:
-    """The same rows in files of about target_bytes."""
-    files = max(1, math.ceil(table_bytes(spark, path) / target_bytes))
-    overwrite(spark.read.parquet(path).repartition(files), out, *partitions)
+def data_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, bytes, time of last change in ms) of all files below a folder, but those whose names begin with _ or a dot."""
+    fs, hadoop = _listing(spark, path)
+    found, each = [], fs.listFiles(hadoop, True)
+    while each.hasNext():
+        f = each.next()
+        if f.getPath().getName()[0] not in "_.":
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return sorted(found)
+
+
+def compact(spark: SparkSession, path: str, out: str, target_bytes: int = TARGET_BYTES, *partitions: str) -> int:
+    """The same rows at out in files of about target_bytes; how many files were rewritten.
+
+    Files of half of target_bytes and more go over as they are, split no further;
+    only small ones are read together. Without partitions small files are
+    coalesced, not shuffled.
+    """
+    files = data_files(spark, path)
+    small = [(f, n) for f, n, _ in files if 2 * n < target_bytes]
+    fs, _ = _listing(spark, path)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    base = hadoop.Path(path).makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()
+    if small:
+        rows = spark.read.option("basePath", path).parquet(*(f for f, _ in small))
+        count = max(1, math.ceil(sum(n for _, n in small) / target_bytes))
+        overwrite(rows.repartition(count, *partitions) if partitions else rows.coalesce(count), out, *partitions)
+    for f, n, _ in files:
+        if 2 * n >= target_bytes:
+            target = hadoop.Path(out + f[len(base) :])
+            fs.mkdirs(target.getParent())
+            spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, hadoop.Path(f), fs, target, False, spark._jsc.hadoopConfiguration())
+    return len(small)
+
+
+def remove_orphans(spark: SparkSession, path: str, known: DataFrame, older_than_ms: int) -> list[str]:
+    """Delete files below a folder that known (column file_path) doesn't list and that last changed before a time; the names of those that went.
+
+    known is what a table's versions refer to, such as _metadata.file_path of a
+    good read. Newer files may be those of a writer at work and stay.
+    """
+    files = spark.createDataFrame([(f, n, t) for f, n, t in data_files(spark, path)], "file_path string, bytes long, changed long")
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "file:/")
+    listed = known.select(plain(F.col("file_path")).alias("k")).distinct()
+    gone = [r[0] for r in files.filter(F.col("changed") < older_than_ms).join(listed, plain(F.col("file_path")) == F.col("k"), "left_anti").select("file_path").collect()]
+    fs, _ = _listing(spark, path)
+    for f in gone:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f), False)
+    return sorted(gone)
+
+
+def by_day(df: DataFrame, time: str = "timestamp", day: str = "day") -> DataFrame:
+    """df with the day that a partitioned table derives from a time; write with partitionBy(day)."""
+    return df.withColumn(day, F.to_date(time))
+
+
+def in_range(df: DataFrame, start: str, end: str, time: str = "timestamp", day: str = "day") -> DataFrame:
+    """Rows of start <= time < end of a table by_day(): days follow from the times, so that partitions are pruned without the caller naming them."""
+    low, high = F.lit(start).cast(df.schema[time].dataType), F.lit(end).cast(df.schema[time].dataType)
+    return df.filter((F.col(time) >= low) & (F.col(time) < high) & (F.col(day) >= F.to_date(low)) & (F.col(day) <= F.to_date(high)))
 
 
 def sort_rewrite(spark: SparkSession, path: str, out: str, keys: list[str], files: int) -> None:
@@ -61,6 +118,21 @@ def table_health(df: DataFrame) -> DataFrame:
     return per.agg(F.count("*").alias("files"), F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"), F.min("bytes").alias("smallest"), F.max("bytes").alias("largest"))
 
 
+def layout_benchmark(spark: SparkSession, path: str, root: str, queries: dict[str, Callable[[DataFrame], DataFrame]], time_column: str, keys: list[str], pieces: int = 200, files: int = 4) -> list[dict]:
+    """Seconds of each query over five layouts of one table: many small files, compacted, by day, sorted, in Z-order. One warm-up, then the mean of two runs."""
+    source = spark.read.parquet(path)
+    overwrite(source.repartition(pieces), f"{root}/small")
+    compact(spark, f"{root}/small", f"{root}/compacted")
+    overwrite(by_day(source, time_column).repartition("day"), f"{root}/by_day", "day")
+    sort_rewrite(spark, f"{root}/small", f"{root}/sorted", keys, files)
+    z_order_rewrite(spark, f"{root}/small", f"{root}/z_order", *keys[:2], files)
+    out = []
+    for name in ("small", "compacted", "by_day", "sorted", "z_order"):
+        seconds = {q: [timed(run(spark.read.parquet(f"{root}/{name}"))) for _ in range(3)][1:] for q, run in queries.items()}
+        out.append({"layout": name, "files": len(data_files(spark, f"{root}/{name}")), "bytes": table_bytes(spark, f"{root}/{name}")} | {q: sum(v) / 2 for q, v in seconds.items()})
+    return out
+
+
 def timed(df: DataFrame) -> float:
     """Seconds to compute every row of df."""
     import time

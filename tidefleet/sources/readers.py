@@ -20,10 +20,16 @@ ROUTE_STOP = (
 PING_MESSAGE = "MsgType_BusWayPoint"
 
 
+def kafka_options(servers: str, topic: str, starting: str = "earliest", per_trigger: int | None = None) -> dict[str, str]:
+    """Options of the Kafka source: lost data is tolerated, a rate limit is optional."""
+    limit = {"maxOffsetsPerTrigger": str(per_trigger)} if per_trigger else {}
+    return {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting, "failOnDataLoss": "false"} | limit
+
+
 def kafka(spark: SparkSession, servers: str, topic: str, starting: str = "earliest", per_trigger: int | None = None, with_time: bool = False) -> DataFrame:
     """value (and the broker's timestamp) of a Kafka topic; needs the Kafka connector on the class path."""
-    options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": starting, "failOnDataLoss": "false"} | ({"maxOffsetsPerTrigger": str(per_trigger)} if per_trigger else {})
-    return spark.readStream.format("kafka").options(**options).load().select("value", *(["timestamp"] if with_time else []))
+    stream = spark.readStream.format("kafka").options(**kafka_options(servers, topic, starting, per_trigger)).load()
+    return stream.select("value", *(["timestamp"] if with_time else []))
 
 
 def protobuf(raw: DataFrame, message: str, descriptor: str) -> DataFrame:
@@ -45,8 +51,16 @@ def table_stream(spark: SparkSession, path: str, schema: T.StructType | str, fil
     return (reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader).parquet(path)
 
 
-def multiline_json(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def replay(rows: DataFrame, path: str, parts: int, *order: str) -> None:
+    """Rows in so many files by their order, oldest first: a stream that reads a file a trigger sees them as they came, and goes on from its checkpoint."""
+    ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    ordered.write.mode("append").parquet(path)
+
+
+def multiline_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """A document of one JSON array, over several lines; without a schema it is inferred."""
+    reader = spark.read.option("multiLine", True)
+    return (reader.schema(schema) if schema else reader).json(path)
 
 
 def mapping_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -63,6 +77,42 @@ def route_variants(info: DataFrame) -> DataFrame:
     )
 
 
+#: The terminal that the paths of one route lack, by its variants: outbound begins there, inbound ends there.
+MISSING_TERMINAL, MISSING_ROUTE, OUTWARD, HOMEWARD = [106.6983, 10.7716], 1, 1, 2
+
+
+def stop_dimension(stops: DataFrame) -> DataFrame:
+    """ROUTE_STOP rows as the stop dimension; of rows of one route, variant and stop the least stays."""
+    names = {
+        "RouteId": ("route_id", "int"), "RouteVarId": ("route_var_id", "int"), "StopId": ("stop_id", "int"), "Code": ("code", "string"), "Name": ("stop_name", "string"), "StopType": ("stop_type", "string"), "Zone": ("zone", "string"),
+        "Ward": ("ward", "string"), "AddressNo": ("address_no", "string"), "Street": ("street", "string"), "Lng": ("lng", "double"), "Lat": ("lat", "double"), "Routes": ("routes", "string"),
+    }
+    clean = stops.select(*(F.col(old).cast(kind).alias(new) for old, (new, kind) in names.items()))
+    return one_of_each(clean, "route_id", "route_var_id", "stop_id")
+
+
+def path_dimension(paths: DataFrame) -> DataFrame:
+    """ROUTE_PATH rows with their paths as the path dimension, one route's missing terminal put in; one row for each route, variant and direction."""
+    zipped = F.coalesce(F.transform(F.arrays_zip("lng", "lat"), lambda p: F.array(p["lng"], p["lat"])), F.array().cast("array<array<double>>"))
+    clean = paths.select(F.col("RouteId").alias("route_id"), F.col("RouteNo").alias("route_no"), F.col("RouteVarId").alias("route_var_id"), F.col("RouteVarName").alias("route_var_name"), F.col("Outbound").alias("outbound"), zipped.alias("path"))
+    end = F.array(F.array(*map(F.lit, MISSING_TERMINAL)))
+    own, size = F.col("route_id") == MISSING_ROUTE, F.size("path")
+    rest = F.greatest(size - 1, F.lit(0))
+    patched = F.when(own & (F.col("route_var_id") == OUTWARD), F.concat(end, F.slice("path", 2, F.greatest(size, F.lit(1))))).when(own & (F.col("route_var_id") == HOMEWARD), F.concat(F.slice("path", F.lit(1), rest), end))
+    return one_of_each(clean.withColumn("path", F.coalesce(patched, "path")), "route_id", "route_var_id", "outbound")
+
+
+def variant_dimension(info: DataFrame) -> DataFrame:
+    """ROUTE_INFO rows as the variant dimension: a row for each route and variant."""
+    return one_of_each(route_variants(info), "route_id", "route_var_id")
+
+
+def one_of_each(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row for each key: the least by its other columns in their order."""
+    others = [c for c in rows.columns if c not in keys]
+    return rows.groupBy(*keys).agg(F.min(F.struct(*others)).alias("one")).select(*keys, "one.*").select(*rows.columns)
+
+
 def route_paths(paths: DataFrame) -> DataFrame:
     """lat[] and lng[] of ROUTE_PATH rows zipped to path: an array of [lng, lat]; empty for empty or missing arrays."""
     zipped = F.transform(F.arrays_zip("lng", "lat"), lambda p: F.array(p["lng"], p["lat"]))

@@ -25,6 +25,11 @@ def overwrite_partitions(df: DataFrame, path: str, *partitions: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def _swap(spark: SparkSession, new: str, path: str) -> None:
     hadoop = spark._jvm.org.apache.hadoop.fs
     target, source, old = hadoop.Path(path), hadoop.Path(new), hadoop.Path(f"{path}-old-{uuid.uuid4().hex}")
@@ -47,10 +52,8 @@ def upsert(df: DataFrame, path: str, keys: list[str], *partitions: str) -> None:
     spark = df.sparkSession
     if df.dropna(subset=keys).groupBy(*keys).count().filter("count > 1").limit(1).count():
         raise ValueError("several rows of one key")
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    there = target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
     new = f"{path}-new-{uuid.uuid4().hex}"
-    overwrite(merged(spark.read.parquet(path), df, keys) if there else df, new, *partitions)
+    overwrite(merged(spark.read.parquet(path), df, keys) if exists(spark, path) else df, new, *partitions)
     _swap(spark, new, path)
 
 
@@ -61,6 +64,12 @@ def delete_where(spark: SparkSession, path: str, condition: str, *partitions: st
     _swap(spark, new, path)
 
 
+def drop_partition(spark: SparkSession, path: str, column: str, value: object) -> bool:
+    """Delete the rows of one partition, by its folder alone; whether there was one."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def write_buckets(df: DataFrame, path: str, key: str, buckets: int = 50) -> None:
     """Parquet in folders by the hash of a key, one file a bucket."""
     bucketed = df.withColumn(f"{key}_bucket", F.pmod(F.hash(key), F.lit(buckets)))
@@ -68,17 +77,28 @@ def write_buckets(df: DataFrame, path: str, key: str, buckets: int = 50) -> None
 
 
 def write_json_document(df: DataFrame, path: str) -> None:
-    """A small table as JSON lines, replaced as a whole."""
+    """A small table as JSON lines in one file, replaced as a whole."""
     df.coalesce(1).write.mode("overwrite").json(path)
 
 
-def by_type(batch: DataFrame, column: str, targets: dict[str, str]) -> None:
-    """Rows of one batch to the table of their type; the batch is computed once, empty types write nothing."""
+def by_type(batch: DataFrame, column: str, targets: dict[str, str], explode: dict[str, str] | None = None, folder: str = "") -> None:
+    """Rows of one batch to the table of their type; the batch is computed once, empty types write nothing.
+
+    explode names, for some types, an array column of structs of which each
+    becomes a row. With folder, rows replace that folder of each table, so that a
+    batch that is repeated on a stream is there once.
+    """
     batch.persist()
     try:
         for kind, path in targets.items():
             some = batch.filter(F.col(column) == kind)
-            if not some.isEmpty():
+            if some.isEmpty():
+                continue
+            if array := (explode or {}).get(kind):
+                some = some.select(column, F.explode(array).alias("e")).select(column, "e.*")
+            if folder:
+                overwrite(some, f"{path}/{folder}")
+            else:
                 append(some, path)
     finally:
         batch.unpersist()

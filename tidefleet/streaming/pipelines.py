@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import csv
+import json
+import os
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -13,7 +17,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tidefleet.operators.cleaning import enrich, local_columns, valid_gps
 from tidefleet.operators.kalman import STATE_SECONDS, State, _resting, run, state_columns
 from tidefleet.operators.status import fleet_snapshot, latest_status, window_kpis
-from tidefleet.sources.writers import overwrite
+from tidefleet.sources.layout import prune_versions
+from tidefleet.sources.writers import exists, overwrite, overwrite_partitions
 
 
 def unique_pings(stream: DataFrame, late: str = "15 minutes") -> DataFrame:
@@ -21,9 +26,11 @@ def unique_pings(stream: DataFrame, late: str = "15 minutes") -> DataFrame:
     return stream.withWatermark("timestamp", late).dropDuplicates(["vehicle", "timestamp"])
 
 
-def silver(stream: DataFrame, mapping: DataFrame, late: str = "15 minutes") -> DataFrame:
-    """Deduplicated, enriched, valid pings with local dates."""
+def silver(stream: DataFrame, mapping: DataFrame, late: str = "15 minutes", smooth_by: str | None = None) -> DataFrame:
+    """Deduplicated, enriched, valid pings with local dates; places smoothed along the column smooth_by, if given. The sink sorts each batch by cleaning.silver_order."""
     kept = valid_gps(enrich(unique_pings(stream, late), mapping))
+    if smooth_by:
+        kept = _smoothed(kept, smooth_by, STATE_SECONDS)
     return local_columns(kept.withColumn("instant", F.col("timestamp")).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")))
 
 
@@ -41,26 +48,32 @@ def vehicle_sessions(stream: DataFrame, gap: str, late: str = "10 minutes") -> D
 STATE = "ep double, x double, y double, vx double, vy double, place double, cross double, speed double"
 
 
-def smooth_stream(stream: DataFrame, time: str = "ep", late: str = "15 minutes", seconds: int = STATE_SECONDS) -> DataFrame:
+def smooth_stream(stream: DataFrame, by: str = "ep", late: str = "15 minutes", seconds: int = STATE_SECONDS) -> DataFrame:
     """x and y replaced by the Kalman filter's, whose state goes on from batch to batch.
 
-    timestamp is the instant of time (epoch seconds). A vehicle's state is dropped
-    when the watermark is so many seconds past its last ping.
+    timestamp is the instant of the column by (epoch seconds). A vehicle's state is dropped
+    when the watermark is so many seconds past its last ping. What a vehicle sends
+    in one batch is sorted in memory; a ping before the last batch's makes the
+    filter start anew from it.
     """
+    return _smoothed(stream.withWatermark("timestamp", late), by, seconds)
+
+
+def _smoothed(stream: DataFrame, by: str, seconds: int) -> DataFrame:
+    schema = stream.schema
 
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
-        rows = pd.concat(list(parts)).sort_values([time, "event_id"])  # a vehicle's pings of one batch
+        rows = pd.concat(list(parts)).sort_values([by, "event_id"])  # a vehicle's pings of one batch
         before = State(*state.get) if state.exists else None
-        after, x, y = run(before, rows[time].to_numpy(float), rows["x"].to_numpy(float), rows["y"].to_numpy(float), _resting(rows["speed"]))
+        after, x, y = run(before, rows[by].to_numpy(float), rows["x"].to_numpy(float), rows["y"].to_numpy(float), _resting(rows["speed"]))
         state.update(state_columns(after))
         state.setTimeoutTimestamp(max(int(after.ep + seconds) * 1000, state.getCurrentWatermarkMs() + 1))
         yield rows.assign(x=x, y=y)
 
-    grouped = stream.withWatermark("timestamp", late).groupBy("vehicle")
-    return grouped.applyInPandasWithState(step, stream.schema, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    return stream.groupBy("vehicle").applyInPandasWithState(step, schema, STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def to_batches(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append", trigger: dict | None = None) -> StreamingQuery:
@@ -68,15 +81,77 @@ def to_batches(stream: DataFrame, write: Callable[[DataFrame, int], None], check
     return stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
-def versioned(path: str, keys: list[str], merge: Callable[[DataFrame, DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """A writer that merges each batch into the version before it; a batch that is repeated writes its version again."""
+def to_files(stream: DataFrame, path: str, checkpoint: str, *partitions: str, trigger: dict | None = None) -> StreamingQuery:
+    """Start a query into Parquet files by the streaming file sink, in folders by some columns."""
+    writer = stream.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint).partitionBy(*partitions)
+    return writer.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def last_wins_by_partition(path: str, keys: list[str], partition: str) -> Callable[[DataFrame, int], None]:
+    """A writer for update mode: a batch's rows replace those of their keys, and only the partitions that the batch has rows for are read and written.
+
+    Partitions are few in a batch (days of windows). Writing a batch again changes nothing.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        try:
+            touched = [r[0] for r in batch.select(partition).distinct().collect()]
+            if touched:
+                rows = batch
+                if exists(spark, path):
+                    old = spark.read.schema(batch.schema).parquet(path).filter(F.col(partition).isin(touched))
+                    rows = old.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
+                overwrite_partitions(rows, path, partition)
+        finally:
+            batch.unpersist()
+
+    return write
+
+
+def serving(log: str, latest: str, kpis: str, order: tuple[str, ...] = ("ep", "event_id"), seconds: int = STATE_SECONDS, digits: int = 2) -> Callable[[DataFrame, int], None]:
+    """A writer that feeds three tables from each batch: the log of pings, the latest ping of each vehicle, and fleet KPIs of those.
+
+    A vehicle whose latest ping lies so many seconds before the newest of all is
+    stale: it leaves the latest table, and with it the KPIs. A batch that is
+    repeated writes its parts again.
+    """
+    merge = newest(["vehicle"], *order)
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        try:
+            overwrite(batch, f"{log}/batch={number:012d}")
+            versioned(latest, ["vehicle"], lambda old, new: fresh(merge(old, new), order[0], seconds))(batch, number)
+        finally:
+            batch.unpersist()
+        now = spark.read.parquet(f"{latest}/version={number:012d}")
+        overwrite(snapshot(now, digits), f"{kpis}/version={number:012d}")
+        prune_versions(spark, kpis)
+
+    return write
+
+
+def fresh(latest: DataFrame, time: str, seconds: int) -> DataFrame:
+    """Rows whose time lies at most so many seconds before the newest."""
+    last = latest.agg(F.max(time).alias("__newest"))
+    return latest.crossJoin(F.broadcast(last)).filter(F.col(time) >= F.col("__newest") - seconds).drop("__newest")  # one row
+
+
+def versioned(path: str, keys: list[str], merge: Callable[[DataFrame, DataFrame], DataFrame], keep: int = 3) -> Callable[[DataFrame, int], None]:
+    """A writer that merges each batch into the version before it, of which so many stay; a batch that is repeated writes its version again.
+
+    For tables that stay small, such as one row a vehicle: each version is the whole table.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         before = f"{path}/version={number - 1:012d}"
-        hadoop = spark._jvm.org.apache.hadoop.fs.Path(before)
-        there = number > 0 and hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+        there = number > 0 and exists(spark, before)
         overwrite(merge(spark.read.parquet(before), batch) if there else merge(batch.limit(0), batch), f"{path}/version={number:012d}")
+        prune_versions(spark, path, keep)
 
     return write
 
@@ -93,16 +168,25 @@ def last_wins(keys: list[str]) -> Callable[[DataFrame, DataFrame], DataFrame]:
     return lambda old, new: old.join(new.select(*keys), keys, "left_anti").unionByName(new)
 
 
-def snapshot(latest: DataFrame) -> DataFrame:
+def snapshot(latest: DataFrame, digits: int = 2) -> DataFrame:
     """Fleet KPIs of a table of latest pings."""
-    return fleet_snapshot(latest_status(latest))
+    return fleet_snapshot(latest_status(latest), digits)
+
+
+def observed(stream: DataFrame, time: str, name: str = "latency") -> DataFrame:
+    """stream with least, greatest and mean time (epoch seconds) and count of each batch's rows, measured on the way."""
+    seconds = F.col(time).cast("double")
+    return stream.observe(name, F.min(seconds).alias("least"), F.max(seconds).alias("greatest"), F.avg(seconds).alias("mean"), F.count(F.lit(1)).alias("rows"))
+
+
+MEASURES = ("batch_id", "timestamp", "input_rate", "process_rate", "trigger_ms", "write_ms", "rows", "lag", "mean_latency", "least_latency", "greatest_latency", "is_warmup")
 
 
 class Metrics(StreamingQueryListener):
-    """Rates, durations and lag of every batch but the first few."""
+    """Rates, durations, lag and the latency of observed() rows of every batch; the first few are warm-up."""
 
-    def __init__(self, warm_up: int = 3):
-        self.warm_up, self.rows = warm_up, []
+    def __init__(self, warm_up: int = 3, observation: str = "latency", clock: Callable[[], float] = time.time):
+        self.warm_up, self.observation, self.clock, self.rows = warm_up, observation, clock, []
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -110,10 +194,13 @@ class Metrics(StreamingQueryListener):
     def onQueryProgress(self, event) -> None:
         p = event.progress
         lag = sum(_offset(s.latestOffset) - _offset(s.endOffset) for s in p.sources)
-        self.rows.append({
-            "batch_id": p.batchId, "timestamp": p.timestamp, "input_rate": p.inputRowsPerSecond, "process_rate": p.processedRowsPerSecond, "trigger_ms": p.durationMs.get("triggerExecution", 0),
-            "write_ms": p.durationMs.get("addBatch", 0), "rows": p.numInputRows, "lag": lag, "is_warmup": p.batchId < self.warm_up,
-        })
+        seen = (p.observedMetrics or {}).get(self.observation)
+        ago = lambda t: None if seen is None or t is None else self.clock() - t
+        values = (
+            p.batchId, p.timestamp, p.inputRowsPerSecond, p.processedRowsPerSecond, p.durationMs.get("triggerExecution", 0), p.durationMs.get("addBatch", 0), p.numInputRows, lag,
+            ago(seen and seen["mean"]), ago(seen and seen["greatest"]), ago(seen and seen["least"]), p.batchId < self.warm_up,
+        )
+        self.rows.append(dict(zip(MEASURES, values, strict=True)))
 
     def onQueryIdle(self, event) -> None:
         pass
@@ -121,11 +208,37 @@ class Metrics(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:
         pass
 
+    def summary(self) -> dict[str, dict[str, float]]:
+        """Mean, p50, p95 and p99 of each measure over the batches with rows that aren't warm-up."""
+        rows = [r for r in self.rows if r["rows"] and not r["is_warmup"]]
+        out = {}
+        for name in MEASURES[2:-1]:
+            if values := [r[name] for r in rows if r[name] is not None]:
+                out[name] = {"mean": sum(values) / len(values)} | {f"p{p}": percentile(values, p) for p in (50, 95, 99)}
+        return out
+
+    def append_csv(self, path: str) -> None:
+        """Add the batches so far to a CSV file on the driver's machine, with a header if it is new, and forget them."""
+        new = not os.path.exists(path)
+        with open(path, "a", newline="") as f:
+            w = csv.DictWriter(f, MEASURES)
+            if new:
+                w.writeheader()
+            w.writerows(self.rows)
+        self.rows.clear()
+
+
+def percentile(values: list[float], percent: float) -> float:
+    """By linear interpolation between the two nearest ranks; zero of none."""
+    if not values:
+        return 0.0
+    ranked, place = sorted(values), (len(values) - 1) * percent / 100
+    low = int(place)
+    return ranked[low] + (place - low) * (ranked[min(low + 1, len(ranked) - 1)] - ranked[low])
+
 
 def _offset(text: str | None) -> int:
     """Sum of the offsets of all partitions of a Kafka source; zero for other sources."""
-    import json
-
     try:
         return sum(v for topic in json.loads(text).values() if isinstance(topic, dict) for v in topic.values())
     except (TypeError, ValueError, AttributeError):
