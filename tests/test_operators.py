@@ -76,6 +76,62 @@ def test_two_state_filters_equal_the_matrix_form():
     assert np.array_equal(np.concatenate([ax, bx]), fx)
 
 
+def test_a_vector_of_filters_equals_single_ones(spark):
+    """The grid's one pass against the filter of each pair alone."""
+    rows = b.dense_waypoints(spark, SF).drop("props").filter("vehicle < '11'").cache()
+    pairs = [(r, a) for r in kalman.MEASUREMENTS[:2] for a in kalman.ACCELERATIONS[::2]]
+    tried = {r.event_id: r for r in kalman.smooth_grid(rows, pairs, "ept").collect()}
+    assert len(tried) == rows.count() > 50
+    for i, (m, a) in enumerate(pairs):
+        for r in kalman.smooth(rows, "ept", single_model=True, measurement=m, acceleration=a).collect():
+            assert abs(tried[r.event_id].fx[i] - r.x) < 1e-12 and abs(tried[r.event_id].fy[i] - r.y) < 1e-12
+
+
+def test_filtered_speed():
+    v = np.array([0.0, 1e-4, 1.0])
+    assert kalman._filtered_speed(v * 0, v * 0, v * 0, v, 0.5).tolist()[0] == 0.0
+    found = kalman._filtered_speed(v * 0, v * 0 + 60, v, v * 0, 7.0)
+    assert abs(found[1] - 1e-4 * 111_320 * 3.6 * 0.5) < 1e-9 and found[2] == 7.0
+
+
+def test_calibration_falls_back(spark):
+    some = spark.createDataFrame([("a", 1e-12, 1e-12, 3), ("b", 3e-9, 1e-12, 2), ("c", 1e-9, 5e-9, 2)], "vehicle string, var_x double, var_y double, runs long")
+    found = {r.vehicle: (r.var_x, r.var_y) for r in kalman.calibration_table(some).collect()}
+    assert set(found) == {"b", "c", "global"} and abs(found["global"][0] - 2e-9) < 1e-20
+    alone = [tuple(r) for r in kalman.calibration_table(some.filter("vehicle = 'a'")).collect()]
+    assert alone == [("global", 1e-9, 1e-9)]
+
+
+def test_mapping_override(spark):
+    pings = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "vehicle string, route_id int")
+    mapping = spark.createDataFrame([("a", 9), ("a", 8), (None, 7)], "vehicle string, route_id int")
+    assert sorted((r.vehicle or "", r.route_id) for r in cleaning.override_routes(pings, mapping).collect()) == [("", 3), ("a", 8), ("b", 2)]
+
+
+def test_sequences_take_the_vehicles_first_route_and_no_pause(spark):
+    rows = [(i, "a", 5 if i else 6, 10 * i + (400 if i > 14 else 0), float(i), 0.0, 1.0, None if i == 3 else 10.0 * i, True, False, None) for i in range(30)]
+    df = spark.createDataFrame(rows, "event_id long, vehicle string, route_id int, ep long, x double, y double, speed double, heading double, door_up boolean, door_down boolean, working boolean")
+    found = sequences.sequence_windows(sequences.delta_features(df), length=5).orderBy("first").collect()
+    assert {r.route_id for r in found} == {5} and all(r.waypoint_count == 5 for r in found)  # the vehicle's first row has no delta
+    assert found[0].door_up_0 == 1.0 and found[0].working_0 is None and found[0].delta_heading_2 == 0.0
+    assert len(found) == 23 and all(r.delta_time_4 == 10.0 for r in found)  # the pause's own row isn't a feature row
+
+
+def test_routes_met_by_cells_are_those_of_all_pairs(spark):
+    from tidefleet.operators import routes
+
+    w, ends = b.waypoints(spark, SF), b.routes(spark, SF)
+    found = {(r.vehicle, r.candidate): (round(r.a_km, 9), round(r.b_km, 9)) for r in routes.route_candidates(w, ends).collect()}
+    places = w.select("vehicle", F.round("x", 3).alias("x"), F.round("y", 3).alias("y")).distinct().collect()
+    expected = {}
+    for e in ends.collect():
+        for p in places:
+            a, c = expected.get((p.vehicle, e.route_id), (math.inf, math.inf))
+            expected[p.vehicle, e.route_id] = (min(a, km(p.y, p.x, e.a_lat, e.a_lng)), min(c, km(p.y, p.x, e.b_lat, e.b_lng)))
+    near = {k: (round(a, 9), round(c, 9)) for k, (a, c) in expected.items() if a <= 0.6 and c <= 0.6}
+    assert found == near and near
+
+
 def test_trips_are_numbered_without_gaps_and_add_up(spark):
     seg = trips.segment_trips(b.waypoints(spark, SF), b.routes(spark, SF).drop("route_no", "path"), gap=b.GAP_SECONDS).cache()
     per = seg.groupBy("vehicle").agg(F.max("trip_id").alias("most"), F.count_distinct("trip_id").alias("n"), F.min("trip_id").alias("least")).collect()

@@ -40,7 +40,7 @@ def test_delete_keeps_rows_for_which_the_condition_is_null(spark, tmp_path):
 def test_compaction_and_versions(spark, tmp_path):
     path = f"file://{tmp_path}/t"
     spark.range(1000).repartition(20).write.parquet(path)
-    layout.compact(spark, path, f"{path}-out")
+    assert layout.compact(spark, path, f"{path}-out") == 20
     health = layout.table_health(spark.read.parquet(f"{path}-out")).collect()[0]
     assert health.files == 1 and health.rows == 1000 and layout.table_health(spark.read.parquet(path)).collect()[0].files == 20
     for v in range(5):
@@ -57,18 +57,82 @@ def test_route_files(spark, tmp_path):
     assert found == {1: [[3.0, 1.0], [4.0, 2.0]], 2: [], 3: []}
 
 
-def test_stream_metrics(spark, tmp_path):
-    spark.range(50).write.parquet(f"file://{tmp_path}/in")
-    listener = p.Metrics(warm_up=0)
-    spark.streams.addListener(listener)
-    try:
-        seen = []
-        q = p.to_batches(readers.table_stream(spark, f"file://{tmp_path}/in", "id long"), lambda batch, n: seen.append(batch.agg(F.sum("id")).collect()[0][0]), f"file://{tmp_path}/state")
-        q.awaitTermination()
-        for _ in range(50):
-            if listener.rows:
-                break
-            time.sleep(0.1)
-    finally:
-        spark.streams.removeListener(listener)
-    assert sum(x or 0 for x in seen) == 1225 and sum(r["rows"] for r in listener.rows) == 50 and all(r["lag"] == 0 for r in listener.rows)
+def test_compaction_leaves_large_files_alone(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    spark.range(40_000).withColumn("day", F.lit(1)).coalesce(1).write.partitionBy("day").parquet(path)
+    spark.range(40_000, 40_100).withColumn("day", F.lit(1)).repartition(5).write.mode("append").partitionBy("day").parquet(path)
+    before = layout.data_files(spark, path)
+    large = max(before, key=lambda f: f[1])
+    assert layout.compact(spark, path, f"{path}-out", large[1], "day") == 5
+    after = layout.data_files(spark, f"{path}-out")
+    assert len(after) == 2 and large[1] in [n for _, n, _ in after]
+    assert spark.read.parquet(f"{path}-out").agg(F.count("*"), F.sum("id")).collect()[0] == (40_100, sum(range(40_100)))
+
+
+def test_orphans_go_by_age(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    spark.range(10).repartition(2).write.parquet(path)
+    known = spark.read.parquet(path).select("_metadata.file_path").distinct()
+    known = spark.createDataFrame([tuple(r) for r in known.collect()], "file_path string")
+    spark.range(5).coalesce(1).write.mode("append").parquet(path)
+    assert layout.remove_orphans(spark, path, known, 0) == []  # none is that old
+    assert len(layout.remove_orphans(spark, path, known, int(time.time() * 1000) + 60_000)) == 1
+    assert spark.read.parquet(path).count() == 10
+
+
+def test_partitions_and_statistics_prune(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    rows = spark.range(1000).select("id", (F.col("id") * 1.0).alias("x"), F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, cast(id as int))").alias("timestamp"))
+    writers.append(layout.by_day(rows), path, "day")
+    some = layout.in_range(spark.read.parquet(path), "2024-01-03 00:00:00", "2024-01-04 12:00:00").filter("x between 60 and 70")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "PartitionFilters: [isnotnull(day" in plan and "GreaterThanOrEqual(x,60.0)" in plan and some.count() == 11
+    assert sorted(r[0].day for r in some.select("day").distinct().collect()) == [3]
+
+
+def test_layout_benchmark(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    spark.range(2000).select("id", (F.col("id") % 7).alias("k"), F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(cast(id % 3 as int))").alias("ts")).write.parquet(path)
+    found = layout.layout_benchmark(spark, path, f"file://{tmp_path}/out", {"count": lambda df: df.groupBy("k").count(), "range": lambda df: df.filter("id < 10")}, "ts", ["id", "k"], pieces=12, files=2)
+    assert [r["layout"] for r in found] == ["small", "compacted", "by_day", "sorted", "z_order"] and [r["files"] for r in found] == [12, 1, 3, 2, 2]
+    assert all(r["count"] > 0 and r["range"] > 0 for r in found)
+
+
+def test_json_document_is_replaced(spark, tmp_path):
+    path = f"file://{tmp_path}/v"
+    for n in (3, 2):
+        writers.write_json_document(spark.range(n).selectExpr("cast(id as string) as route_key", "id as index"), path)
+    assert sorted(map(tuple, spark.read.json(path).select("route_key", "index").collect())) == [("0", 0), ("1", 1)]
+
+
+def test_inferred_json_and_kafka_options(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"a": 1,\n "b": [{"c": "x"}]},\n {"a": 2}]')
+    found = readers.multiline_json(spark, f"file://{tmp_path}/a.json")
+    assert dict(found.dtypes) == {"a": "bigint", "b": "array<struct<c:string>>"} and found.count() == 2
+    assert readers.kafka_options("h:1", "t") == {"kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "earliest", "failOnDataLoss": "false"}
+    assert readers.kafka_options("h:1", "t", "latest", 5000)["maxOffsetsPerTrigger"] == "5000"
+
+
+def test_dimensions_take_the_least_of_repeated_rows(spark):
+    info = spark.createDataFrame([(1, "01", [(1, "b", True, 1.0, 5, "A", "B"), (2, "c", False, 1.0, 5, "B", "A")]), (1, "01", [(1, "a", True, 1.0, 5, "A", "B")]), (2, "02", None)], readers.ROUTE_INFO)
+    assert sorted((r.route_id, r.route_var_id, r.route_var_name, r.direction) for r in readers.variant_dimension(info).collect()) == [(1, 1, "a", "Outbound"), (1, 2, "c", "Inbound")]
+    paths = spark.createDataFrame([(1, "01", 1, "v", True, [10.1], [106.1]), (1, "01", 2, "v", False, [], []), (3, "03", 1, "v", True, None, None)], readers.ROUTE_PATH)
+    found = {(r.route_id, r.route_var_id): r.path for r in readers.path_dimension(paths).collect()}
+    assert found == {(1, 1): [readers.MISSING_TERMINAL], (1, 2): [readers.MISSING_TERMINAL], (3, 1): []}
+
+
+def test_a_shared_folder_or_an_error():
+    from tidefleet.plans.pipelines import work_dir
+
+    class Session:
+        def __init__(self, **settings):
+            self.conf, self.settings = self, settings
+
+        def get(self, key, default=None):
+            return self.settings.get(key.replace(".", "_"), default)
+
+    with pytest.raises(ValueError, match="share"):
+        work_dir(Session(spark_master="spark://host:7077"))
+    assert work_dir(Session(spark_master="yarn", spark_checkpoint_dir="hdfs:///x")).startswith("hdfs:///x/work-")
