@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from tests.llm.fixtures import documents, labels, odd_texts, prose
 from tidefleet.llm import line_dedup, quality_rules, sentencepiece_bpe, token_files, url_filter
@@ -132,8 +133,8 @@ def noise(n):
 def test_sentencepiece_matches_the_library(spark):
     model = vocabulary("piece_bpe_32k.model")
     e = sentencepiece_bpe.encoder(model)
-    for t in noise(3000):
-        assert np.frombuffer(e.encode([t])[0][0], np.int32).tolist() == e.library.encode(t), repr(t)
+    for t in [*noise(3000), None, "", " ", "  a   b ", "\x01 \x02"]:
+        assert np.frombuffer(e.encode([t])[0][0], np.int32).tolist() == e.library.encode(t or ""), repr(t)
     assert not e.differing
     texts = odd_texts()
     found = {r.doc_id: r for r in sentencepiece_bpe.encode_decode(documents(spark, texts), model).collect()}
@@ -144,12 +145,12 @@ def test_sentencepiece_matches_the_library(spark):
 
 
 def test_differences_from_the_library_are_counted():
+    right = sentencepiece_bpe.encoder(vocabulary("piece_bpe_32k.model"))
     e = sentencepiece_bpe.Encoder(vocabulary("piece_bpe_32k.model"))
-    right, agenda = e.encode(["one two, two"]), e.agenda
-    e = sentencepiece_bpe.Encoder(vocabulary("piece_bpe_32k.model"))
-    e.agenda = lambda u: agenda(u)[::-1] + [5] if "two" in u or u == "," else agenda(u)
-    found = e.encode(["one two, two", "one"])
-    assert found == ([right[0][0], e.encode(["one"])[0][0]], [3, 0]) and len(e.differing) == 2
+    e.agenda = lambda u: right.agenda(u)[::-1] + [5] if "two" in u or u == "," else right.agenda(u)
+    ids, counts = e.encode(["one two, two", "one", None])
+    assert ids == right.encode(["one two, two", "one", None])[0] and counts == [3, 0, 0] and len(e.differing) == 2
+    assert e.encode(["one two, two"])[1] == [3]  # also when remembered
 
 
 def test_units_fall_back_for_other_vocabularies():
@@ -161,8 +162,11 @@ def test_units_fall_back_for_other_vocabularies():
 def test_token_files_read_back(spark, tmp_path):
     file = vocabulary("word_bpe_49k.json")
     e = token_files.encoder(file)
-    for t in noise(3000):
-        assert np.frombuffer(e.encode([t])[0], np.uint32).tolist() == e.library.encode(t, add_special_tokens=False).ids, repr(t)
+    some = [*noise(3000), None, ""]
+    for step in (1, 7, len(some)):
+        for at in range(0, len(some), step):
+            ids, begin = e.encode(pa.array(some[: at + step], pa.string()).slice(at))
+            assert [ids[a:b].tolist() for a, b in zip(begin, begin[1:])] == [e.library.encode(t or "", add_special_tokens=False).ids for t in some[at : at + step]]
     texts = odd_texts()
     token_files.write(documents(spark, texts), f"file://{tmp_path}/t", file)
     back = token_files.read(spark, f"file://{tmp_path}/t")

@@ -8,6 +8,9 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -119,6 +122,35 @@ def bottom_k(ids: DataFrame, key: str, k: int) -> DataFrame:
     return ids.orderBy(F.xxhash64(key), key).limit(k)
 
 
+#: Rows in the Arrow batches of texts that tasks and their Python workers hold: Spark's own 10 000 whole texts would take tens of MB several times over.
+BATCH_ROWS = 2000
+
+
+def small_batches(rows: DataFrame) -> DataFrame:
+    """rows, whose session makes Arrow batches of BATCH_ROWS rows at most from now on; a smaller setting stays."""
+    conf, name = rows.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return rows
+
+
+def slices(batch: pa.RecordBatch, column: str, rows: int = 1000, most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of so many rows at most, and of so many bytes of a column's text unless one row has more: what a worker holds as Python objects at once."""
+    sizes = np.cumsum(np.nan_to_num(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False).astype(float)))
+    at = 0
+    while at < batch.num_rows:
+        end = int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + most_bytes, "right"))
+        end = min(max(end, at + 1), at + rows, batch.num_rows)
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def spread(listed: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Runs of listed, from first on and of given sizes, one after another."""
+    ends = np.cumsum(sizes)
+    return listed[np.repeat(first - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+
 class Remembered(dict):
     """A worker's cache of two generations: when the younger is full it becomes the older, whose entries live on where they are asked for again."""
 

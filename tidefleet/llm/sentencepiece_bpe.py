@@ -18,12 +18,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidefleet.llm.common import Remembered
+from tidefleet.llm.common import Remembered, slices, small_batches
 
 MARK = "▁"
 LETTERS = "[A-Za-zÀ-ÖØ-öø-ɏ]"
-#: Units in each generation of a worker's cache, about 100 MB.
-REMEMBERED = 300_000
+#: Units in each generation of a worker's cache, about 60 MB.
+REMEMBERED = 200_000
 
 
 def unit_pattern(pieces: list[str]) -> re.Pattern:
@@ -132,10 +132,9 @@ def encode_decode(docs: DataFrame, model_file: str) -> DataFrame:
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = encoder(model_file)
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
+            for batch in slices(whole, "text", 300, 1 << 20):
                 ids, differing = one.encode(batch.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), id_lists(ids), pa.array(one.decode(ids), pa.string()), pa.array(differing, pa.int32())], ["doc_id", "ids", "decoded", "n_differing"])
 
     rows = docs.select("doc_id", "text")
-    return rows.mapInArrow(encoded, f"doc_id {dict(rows.dtypes)['doc_id']}, ids array<int>, decoded string, n_differing int")
+    return small_batches(rows).mapInArrow(encoded, f"doc_id {dict(rows.dtypes)['doc_id']}, ids array<int>, decoded string, n_differing int")

@@ -10,16 +10,16 @@ from __future__ import annotations
 import functools
 import json
 import os
-import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidefleet.llm.common import Remembered
+from tidefleet.llm.common import Remembered, slices, small_batches, spread
 
 END_ID = 2
 ORC = {
@@ -27,10 +27,10 @@ ORC = {
     "orc.stripe.size": str(16 << 20), "orc.encoding.strategy": "SPEED", "compression": "zstd",
 }
 FILE_SCHEMA = "doc_id {0}, before long, n_tokens long, ids array<int>"
-#: Letters that normalization leaves as they are whatever stands around them, but for a combining mark; and signs that are tokenized alone after letters.
-PLAIN_WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)")
-#: Entries in each generation of a worker's caches, and words in one call of the library.
-REMEMBERED, REMEMBERED_WORDS, TOGETHER = 300_000, 500_000, 200
+#: Letters that normalization leaves as they are, but for their case, whatever stands around them, but for a combining mark; and signs that are tokenized alone after letters.
+PLAIN_WORD = "^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<sign>[.,;:!?]?)$"
+#: Entries in each generation of a worker's cache, and words in one call of the library.
+REMEMBERED, TOGETHER = 400_000, 200
 
 
 class Encoder:
@@ -45,7 +45,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(tokenizer_file)
-        self.pieces, self.words = Remembered(REMEMBERED), Remembered(REMEMBERED_WORDS)
+        self.known = Remembered(REMEMBERED)
         suffix = json.loads(self.library.to_str())["model"].get("end_of_word_suffix")
         vocabulary = self.library.get_vocab()
         self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a word, where the vocabulary tells
@@ -67,23 +67,43 @@ class Encoder:
             out += [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)] if len(ends) == len(some) else self._ask(some)
         return out
 
-    def _learn(self, pieces: list[str]) -> None:
-        self.words.age()
-        plain = {p: m.groups() for p in pieces if (m := PLAIN_WORD.fullmatch(p))}
-        parts = {x for w, sign in plain.values() for x in (w.lower(), sign) if x and not self.words.has(x)}
-        self.words.update(zip(parts, self._ask_words(list(parts)), strict=True))
-        others = [p for p in pieces if p not in plain]
-        self.pieces.update(zip(others, self._ask(others), strict=True))
-        for p, (w, sign) in plain.items():
-            self.pieces[p] = self.words[w.lower()] + (self.words[sign] if sign else b"")
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Each text's ids as little-endian unsigned 32-bit integers."""
-        known = self.pieces
+    def _listed(self, atoms: pa.Array, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of atoms, and where each atom's begin and how many it has; plain says which atoms are words."""
+        coded = atoms.dictionary_encode()
+        different, at = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        known = self.known
         known.age()
-        split = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        self._learn([p for p in {p for s in split for p in s} if not known.has(p)])
-        return [b"".join(map(known.__getitem__, s)) for s in split]
+        new = [i for i, a in enumerate(different) if not known.has(a)]
+        is_word = np.zeros(len(different), bool)
+        is_word[at[plain]] = True
+        for which, ask in ((True, self._ask_words), (False, self._ask)):
+            some = [different[i] for i in new if is_word[i] == which]
+            known.update(zip(some, ask(some), strict=True))
+        found = [known[a] for a in different]
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        return np.frombuffer(b"".join(found), np.uint32), (np.cumsum(size) - size)[at], size[at]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, and where each text begins; the last entry is the end.
+
+        Arrow cuts the texts into pieces and parts words from signs; only different ones are looked up one by one.
+        """
+        split = pc.split_pattern(pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", " "), " ")
+        coded = split.flatten().dictionary_encode()
+        pieces, at = coded.dictionary, coded.indices.to_numpy()
+        parts = pc.extract_regex(pieces, PLAIN_WORD)
+        plain = pc.is_valid(parts)
+        word = pc.if_else(plain, pc.utf8_lower(pc.struct_field(parts, "word")), pieces)
+        sign = pc.if_else(plain, pc.struct_field(parts, "sign"), "")
+        ids, first, size = self._listed(word, plain.to_numpy(zero_copy_only=False))
+        sign_ids, sign_first, sign_size = self._listed(sign.cast(pa.large_string()), np.zeros(len(pieces), bool))
+        both = np.stack([size, sign_size], 1)
+        listed = spread(np.concatenate([ids, sign_ids]), np.stack([first, len(ids) + sign_first], 1).ravel(), both.ravel())
+        size = both.sum(1)
+        sizes = size[at]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        offsets = split.offsets.to_numpy()
+        return spread(listed, (np.cumsum(size) - size)[at], sizes), ends[offsets - offsets[0]]
 
 
 @functools.cache
@@ -95,27 +115,25 @@ def encoder(tokenizer_file: str) -> Encoder:
 def write(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = END_ID) -> None:
     """Encode every whole text of docs and write the ids, with end_id after each document, to ORC files at path.
 
-    Null and empty texts have the end id only; null ids come first; rows of one
-    id keep an order of their own, by their texts; an empty table gives a file
-    without rows. Other columns are not read.
+    Null and empty texts have the end id only; texts of any length are encoded
+    whole; null ids come first; rows of one id keep an order of their own, by
+    their texts; an empty table gives a file without rows. Other columns are not
+    read. Rows of one id, or without one, come to one file, as files are ranges
+    of ids.
     """
-    end = np.array([end_id], np.uint32).tobytes()
-
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, before = encoder(tokenizer_file), 0
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                ids = [x + end for x in one.encode(batch.column(1).to_pylist())]
-                sizes = np.array([len(x) // 4 for x in ids], np.int64)
-                ends = np.concatenate([[0], np.cumsum(sizes)])
-                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.frombuffer(b"".join(ids), np.int32)))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(before + ends[:-1]), pa.array(sizes), lists], ["doc_id", "before", "n_tokens", "ids"])
-                before += int(ends[-1])
+            for batch in slices(whole, "text", 2000, 6 << 20):
+                ids, begin = one.encode(batch.column(1))
+                begin = begin + np.arange(len(begin))  # with the end ids before
+                lists = pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(np.insert(ids, begin[1:] - np.arange(1, len(begin)), end_id).view(np.int32)))
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(before + begin[:-1]), pa.array(np.diff(begin)), lists], ["doc_id", "before", "n_tokens", "ids"])
+                before += int(begin[-1])
 
     rows = docs.select("doc_id", "text")
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    files = ordered.mapInArrow(encoded, FILE_SCHEMA.format(dict(rows.dtypes)["doc_id"])).withColumn("row_id", F.monotonically_increasing_id())
+    files = small_batches(ordered).mapInArrow(encoded, FILE_SCHEMA.format(dict(rows.dtypes)["doc_id"])).withColumn("row_id", F.monotonically_increasing_id())
     files.write.options(**ORC).orc(path)
 
 
