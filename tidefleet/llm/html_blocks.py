@@ -21,6 +21,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tidefleet.llm.common import slices, small_batches
+
 #: Elements that never show as text, with all that they hold.
 HIDDEN = frozenset("audio button canvas datalist iframe math noframes noscript object option script select style svg template textarea title video".split())
 #: A tag: a quote opens a value only after an equals sign. Nothing here is tried twice, so a page takes time in proportion to its length.
@@ -278,9 +280,9 @@ def extract(pages: DataFrame) -> DataFrame:
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(h, tree) for h in batch.column("html").to_pylist()]
+            texts = [main_text(h, tree) for part in slices(batch, "html") for h in part.column("html").to_pylist()]
             lengths = pa.array([len(t) for t in texts], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), lengths], ["page_id", "url", "text", "n_chars"])
 
     rows = pages.select("page_id", "url", "html")
-    return rows.mapInArrow(extracted, f"page_id {dict(rows.dtypes)['page_id']}, url string, text string, n_chars long")
+    return small_batches(rows).mapInArrow(extracted, f"page_id {dict(rows.dtypes)['page_id']}, url string, text string, n_chars long")

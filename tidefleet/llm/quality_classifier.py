@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidefleet.llm.common import crc32_text, labelled_ids, once_an_id
+from tidefleet.llm.common import crc32_text, labelled_ids, once_an_id, slices, small_batches
 from tidefleet.llm.hashed import PACKED, Hasher, Rows, gathered, packed, sigmoid
 from tidefleet.llm.quality_rules import text_counts
 
@@ -111,7 +111,7 @@ def fit(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_ROWS)
 
     some = labelled_ids(labels.filter(~held_out(F.col("doc_id"))), "quality", labelled_rows)
     joined = _with_length(docs).join(F.broadcast(some), F.col("doc_id") == F.col("id")).select("id", "text", "n_chars", "quality")
-    found, target = gathered(once_an_id(joined.mapInArrow(rows, f"id {dict(some.dtypes)['id']}, {PACKED}, quality int")), "quality")
+    found, target = gathered(once_an_id(small_batches(joined).mapInArrow(rows, f"id {dict(some.dtypes)['id']}, {PACKED}, quality int")), "quality")
     return fit_rows(found, target) if len(found) else None
 
 
@@ -127,10 +127,9 @@ def classify(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_R
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
+            for batch in slices(whole, "text"):
                 score = machine.scores(Rows.of(_features(batch))) if machine else np.full(batch.num_rows, 0.5)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score)], ["doc_id", "score"])
 
-    found = _with_length(docs).mapInArrow(scored, f"doc_id {dict(docs.dtypes)['doc_id']}, score double")
+    found = small_batches(_with_length(docs)).mapInArrow(scored, f"doc_id {dict(docs.dtypes)['doc_id']}, score double")
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= KEEP, 1).otherwise(0).alias("predicted"))

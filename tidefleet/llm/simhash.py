@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidefleet.llm.common import SharedTables, as_row
+from tidefleet.llm.common import SharedTables, as_row, slices, small_batches
 
 SHINGLE, SEED, MOST_BITS = 4, 42, 4
 SEGMENTS = ((0, 21), (21, 21), (42, 22))  # first bit, bits
@@ -31,7 +31,7 @@ GENERATOR = 0b110001110101  # of the Golay code
 #: Fingerprints of one key that are compared in one piece; more are compared piece by piece, in tasks of their own.
 PIECE = 16_384
 #: Links whose components one task finds at a time.
-LOCAL_LINKS = 500_000
+LOCAL_LINKS = 100_000
 #: Fingerprints whose keys, about ninety each, one task makes.
 KEYED_ROWS = 50_000
 #: Rows to leave out whose hashes a broadcast may hold (about 64 MB); with more, rows are joined by their hashes.
@@ -57,14 +57,14 @@ def fingerprint(text: bytes | None) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """doc_id, text and further columns to doc_id, fp and those."""
     for batch in batches:
-        each = np.array([fingerprint(t) for t in batch.column(1).cast(pa.binary()).to_pylist()], np.uint64)
+        each = np.array([fingerprint(t) for part in slices(batch, "text") for t in part.column(1).cast(pa.binary()).to_pylist()], np.uint64)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(each.view(np.int64)), *batch.columns[2:]], ["doc_id", "fp", *batch.schema.names[2:]])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, fp): the fingerprint of every whole text, as a signed long."""
     rows = docs.select("doc_id", "text")
-    return rows.mapInArrow(_fingerprints, f"doc_id {dict(rows.dtypes)['doc_id']}, fp long")
+    return small_batches(rows).mapInArrow(_fingerprints, f"doc_id {dict(rows.dtypes)['doc_id']}, fp long")
 
 
 @functools.cache
@@ -323,7 +323,7 @@ def drop_near_duplicates(docs: DataFrame, broadcast_rows: int = BROADCAST_ROWS)
     """
     tables = SharedTables(docs.sparkSession)
     hashed = docs.select("doc_id", "text", *_row_hash(F.col("text"), F.col("doc_id")))
-    prints = tables.keep(hashed.mapInArrow(_fingerprints, f"doc_id {dict(docs.dtypes)['doc_id']}, fp long, h1 long, h2 long"))
+    prints = tables.keep(small_batches(hashed).mapInArrow(_fingerprints, f"doc_id {dict(docs.dtypes)['doc_id']}, fp long, h1 long, h2 long"))
     each = with_components(prints, tables).groupBy("h1", "h2").agg(F.count("*").alias("n"), F.min("root").alias("root"), F.max(F.col("doc_id").eqNullSafe(F.col("component_id"))).alias("least"))
     each = tables.keep(each)
     best = each.filter("least").groupBy("root").agg(F.min(F.struct("h1", "h2")).alias("one")).select("one.*")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidefleet.llm.common import SharedTables, bottom_k, crc32_text, labelled_ids
+from tidefleet.llm.common import SharedTables, bottom_k, crc32_text, labelled_ids, slices, small_batches
 from tidefleet.llm.hashed import LETTERS, PACKED, Hasher, Rows, gathered, packed, sigmoid
 
 #: General lexicons: plain words of abuse.
@@ -236,11 +236,11 @@ def classify(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_R
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            each = [_code(lexicons.votes(t)[0]) for t in batch.column("text").to_pylist()]
+            each = [_code(lexicons.votes(t)[0]) for part in slices(batch, "text") for t in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(each, pa.int64()), batch.column("toxic")], ["code", "toxic"])
 
     # a row for each pattern of votes, as many as levels allow at most
-    votes = lambda rows: rows.mapInArrow(coded, "code long, toxic int").groupBy("code", "toxic").count().collect()
+    votes = lambda rows: small_batches(rows).mapInArrow(coded, "code long, toxic int").groupBy("code", "toxic").count().collect()
     counted = votes(docs.select("text", F.lit(None).cast("int").alias("toxic")))
     known = votes(sample.filter("toxic is not null").select("text", "toxic"))
     posterior = label_model({r["code"]: float(r["count"]) for r in counted}, {(r["code"], int(r["toxic"] > 0)): float(r["count"]) for r in known})
@@ -256,11 +256,10 @@ def classify(docs: DataFrame, labels: DataFrame, labelled_rows: int = LABELLED_R
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
+            for batch in slices(whole, "text"):
                 part = Rows.of([features(*lexicons.votes(t)) for t in batch.column("text").to_pylist()])
                 score = sigmoid(bias + part.sums(weight[part.slot] * part.value)) if len(part) else np.zeros(0)
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(score)], ["doc_id", "score"])
 
-    scores = docs.select("doc_id", "text").mapInArrow(scored, f"doc_id {dict(docs.dtypes)['doc_id']}, score double")
+    scores = small_batches(docs.select("doc_id", "text")).mapInArrow(scored, f"doc_id {dict(docs.dtypes)['doc_id']}, score double")
     return scores.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", F.when(F.col("score") >= TOXIC, 1).otherwise(0).alias("predicted"))
