@@ -101,6 +101,15 @@ def test_lexicons_come_from_both_halves(spark):
     assert toxicity.mine(sample.filter("toxic = 0")) == toxicity.Lexicons()
 
 
+def test_no_disguise_escapes_the_quick_look():
+    """Every spelling of a lexicon word with one letter replaced, and with signs between letters, is found."""
+    for w in sorted(toxicity.WORDS["nouns"] | toxicity.WORDS["adjectives"]):
+        if len(w) > 3:
+            spelled = [w[:i] + sign + w[i + 1 :] for i, c in enumerate(w) for sign in toxicity.DISGUISES.get(c, "")] + [sign.join(w) for sign in ".-*_"]
+            for x in spelled:
+                assert toxicity.Lexicons().votes(f"so {x} it")[0][toxicity.VOTERS.index("disguised")] == 1, x
+
+
 def test_factorisation_by_all_pairs():
     """The linear-time margin and the gradient of a step against loops over all pairs of features."""
     r = np.random.default_rng(5)

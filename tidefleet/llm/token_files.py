@@ -30,7 +30,7 @@ FILE_SCHEMA = "doc_id {0}, before long, n_tokens long, ids array<int>"
 #: Letters that normalization leaves as they are, but for their case, whatever stands around them, but for a combining mark; and signs that are tokenized alone after letters.
 PLAIN_WORD = "^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<sign>[.,;:!?]?)$"
 #: Entries in each generation of a worker's cache, and words in one call of the library.
-REMEMBERED, TOGETHER = 400_000, 200
+REMEMBERED, TOGETHER = 300_000, 200
 
 
 class Encoder:
@@ -124,7 +124,7 @@ def write(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = END_ID)
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, before = encoder(tokenizer_file), 0
         for whole in batches:
-            for batch in slices(whole, "text", 2000, 6 << 20):
+            for batch in slices(whole, "text", 2000, 4 << 20):
                 ids, begin = one.encode(batch.column(1))
                 begin = begin + np.arange(len(begin))  # with the end ids before
                 lists = pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(np.insert(ids, begin[1:] - np.arange(1, len(begin)), end_id).view(np.int32)))

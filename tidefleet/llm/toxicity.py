@@ -56,13 +56,15 @@ _hasher = Hasher(WORD_SLOTS)
 
 def _disguised() -> re.Pattern:
     """Words of the English lexicons with at least one letter replaced or letters set apart by single signs."""
-    plain = sorted(w for w in WORDS["nouns"] | WORDS["adjectives"] if len(w) > 3)
+    plain = sorted((w for w in WORDS["nouns"] | WORDS["adjectives"] if len(w) > 3), key=lambda w: (-len(w), w))  # a plural before what it begins with
     spelled = ["".join(f"[{c}{DISGUISES.get(c, '')}]" for c in w) for w in plain]
     apart = [r"[.\-*_]".join(w) for w in plain]
     return re.compile(r"(?<!\w)(?:" + "|".join(spelled + apart) + r")(?!\w)")
 
 
 _DISGUISED = _disguised()
+#: What every disguised word has somewhere: a letter beside a sign or digit. Few texts do, and this is found faster.
+_SUSPECT = re.compile(r"[a-z][.\-*_@4310!$57][a-z]|[@4310!$57][a-z]|[a-z][@430$57]")
 
 
 @dataclass
@@ -85,7 +87,8 @@ class Lexicons:
         found = [0] * len(VOTERS)
         if hits:
             found[: len(LEXICONS)] = [len(hits & w) for w in WORDS.values()]
-        found[len(LEXICONS)] = len({x for x in _DISGUISED.findall(lower) if not x.isalpha()})
+        if _SUSPECT.search(lower):
+            found[len(LEXICONS)] = len({x for x in _DISGUISED.findall(lower) if not x.isalpha()})
         at = len(LEXICONS) + 1
         for i in (0, 1):
             found[at + i] = len(hits & self.words[i])
