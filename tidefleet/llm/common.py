@@ -78,11 +78,11 @@ class SharedTables:
         self.spark, self.root = spark, new_folder(spark, "tables")
         self.count = 0
 
-    def keep(self, df: DataFrame) -> DataFrame:
-        """The rows of df, read back from a table of their own."""
+    def keep(self, df: DataFrame, few: bool = False) -> DataFrame:
+        """The rows of df, read back from a table of their own; few rows of many tasks are gathered into a file a core first."""
         path = f"{self.root}/{self.count}"
         self.count += 1
-        df.write.parquet(path)
+        (df.repartition(self.spark.sparkContext.defaultParallelism) if few else df).write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._shared_path = path
         return out

@@ -249,7 +249,7 @@ def components(links: DataFrame, tables: SharedTables) -> DataFrame:
     Large-star and small-star rounds, each a groupBy and a join, until nothing
     changes; links stay as many as nodes at most, whatever the size of a group.
     """
-    now = tables.keep(links.select("a", "b").mapInArrow(_local_components, "a long, b long").distinct())
+    now = tables.keep(links.select("a", "b").mapInArrow(_local_components, "a long, b long").distinct(), few=True)
     before = None
     while True:
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -258,7 +258,7 @@ def components(links: DataFrame, tables: SharedTables) -> DataFrame:
         down = large.groupBy(F.col("b").alias("n")).agg(F.min("a").alias("least"))
         small = large.join(down, F.col("b") == F.col("n")).select("a", "b", "least")
         star = small.select(F.col("least").alias("x"), F.col("a").alias("y")).unionAll(down.select(F.col("least").alias("x"), F.col("n").alias("y"))).filter("x <> y").distinct()
-        after = tables.keep(star.select(F.col("x").alias("a"), F.col("y").alias("b")))
+        after = tables.keep(star.select(F.col("x").alias("a"), F.col("y").alias("b")), few=True)
         tables.drop(now)
         state = after.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).collect()[0]
         now = after
@@ -278,7 +278,7 @@ def with_components(prints: DataFrame, tables: SharedTables) -> DataFrame:
     members = tables.keep(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
     tasks = max(-(-members.count() // KEYED_ROWS), members.sparkSession.sparkContext.defaultParallelism)
     keyed = members.select("fp").repartition(tasks, "fp").mapInArrow(_keyed, "key long, fp long").repartition("key").sortWithinPartitions("key", "fp")
-    found = tables.keep(keyed.mapInArrow(_links, LINKS))
+    found = tables.keep(keyed.mapInArrow(_links, LINKS), few=True)
     links, pieces = found.filter("a is not null").select("a", "b"), found.filter("piece is not null").select("key", "piece", "fps")
     if not pieces.isEmpty():
         links = links.unionAll(crossed(pieces))
