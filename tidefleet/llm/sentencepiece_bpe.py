@@ -22,8 +22,9 @@ from tidefleet.llm.common import Remembered, slices, small_batches
 
 MARK = "▁"
 LETTERS = "[A-Za-zÀ-ÖØ-öø-ɏ]"
-#: Units in each generation of a worker's cache, about 60 MB.
-REMEMBERED = 200_000
+LETTER = re.compile(LETTERS)
+#: Units in each generation of a worker's cache, about 80 MB.
+REMEMBERED = 250_000
 
 
 def unit_pattern(pieces: list[str]) -> re.Pattern:
@@ -83,14 +84,14 @@ class Encoder:
         """Encode new units, checked against the library; where they differ, the library's ids hold, and the unit is kept in differing."""
         new = list(units)
         # the library puts a mark before a text: units without one stand after a sign, or a letter, that no piece joins to them
-        before = ["" if u[0] == MARK and len(u) > 1 else "," if re.match(LETTERS, u[0]) else "a" for u in new]
+        before = ["" if u[0] == MARK and len(u) > 1 else "," if LETTER.match(u) else "a" for u in new]
         texts = [(u[1:] if not b else b + u).replace(MARK, " ") for u, b in zip(new, before, strict=True)]
         asked = self.library.encode(texts, num_threads=1)
         for u, b, whole in zip(new, before, asked, strict=True):
-            ids, theirs = self.agenda(u), whole[len(self.lead[b]) :]
-            if theirs != ids and whole[: len(self.lead[b])] == self.lead[b]:
+            ids, lead = self.agenda(u), self.lead[b]
+            if whole != lead + ids and whole[: len(lead)] == lead:
                 self.differing.add(u)
-                ids = theirs
+                ids = whole[len(lead) :]
             self.known[u] = np.array(ids, np.int32).tobytes()
 
     def encode(self, texts: list[str | None]) -> tuple[list[bytes], list[int]]:
@@ -132,7 +133,7 @@ def encode_decode(docs: DataFrame, model_file: str) -> DataFrame:
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = encoder(model_file)
         for whole in batches:
-            for batch in slices(whole, "text", 300, 1 << 20):
+            for batch in slices(whole, "text", 500):
                 ids, differing = one.encode(batch.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), id_lists(ids), pa.array(one.decode(ids), pa.string()), pa.array(differing, pa.int32())], ["doc_id", "ids", "decoded", "n_differing"])
 
