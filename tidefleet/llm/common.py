@@ -169,3 +169,41 @@ class Remembered(dict):
         if len(self) > self.most:
             self.older = dict(self)
             self.clear()
+
+
+def text_key(text: Column) -> dict[str, Column]:
+    """128 bits by which whole texts are told apart; null is the empty text."""
+    whole = F.coalesce(text, F.lit(""))
+    return {"h1": F.xxhash64(whole), "h2": F.xxhash64(F.lit(1), whole)}
+
+
+#: Groups with more than one of so many rows each are fewer than that: a broadcast of them is bounded, whatever the table.
+HOT_GROUPS = 1024
+
+
+def with_groups(rows: DataFrame, groups: DataFrame, keys: list[str], size: str, total: int) -> DataFrame:
+    """rows joined with their groups, a row each: those of hot groups where they are, by a broadcast of HOT_GROUPS groups at most, others by a shuffle in which no key has more than total / HOT_GROUPS rows. Both are read twice, so they had better be tables."""
+    hot = F.col(size) > total / HOT_GROUPS
+    large = F.broadcast(groups.filter(hot))
+    rest = rows.join(F.broadcast(groups.filter(hot).select(*keys)), keys, "left_anti")
+    return rows.join(large, keys).unionByName(rest.join(groups.filter(~hot), keys))
+
+
+def ranked(rows: DataFrame, tables: SharedTables, *order: Column) -> DataFrame:
+    """rows with rank (1, 2, 3, ...) in an order over all of them: sorted by ranges, numbered in each, and moved on by the counts of the ranges before.
+
+    rows must be a table, as ranges are drawn from it. A window without
+    partitions would sort everything in one task.
+    """
+    spark = rows.sparkSession
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id())
+    ordered = tables.keep(ordered)
+    counts = ordered.groupBy(F.shiftright("__at", 33).alias("__part")).agg(F.count("*").alias("n")).collect()  # a row a range
+    before, sizes = 0, []
+    for r in sorted(counts, key=lambda r: r["__part"]):
+        sizes.append((r["__part"], before))
+        before += r["n"]
+    starts = F.broadcast(spark.createDataFrame(sizes, "__part long, __before long"))
+    local = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    return ordered.join(starts, F.shiftright("__at", 33) == F.col("__part")).withColumn("rank", F.col("__before") + local + 1).drop("__at", "__part", "__before")

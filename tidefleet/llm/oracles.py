@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidefleet.llm import line_dedup, url_filter
+from tidefleet.llm import license_scan, line_dedup, url_filter
 from tidefleet.llm.common import UPPER
 
 _WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
@@ -61,3 +61,53 @@ v AS (SELECT host, a / (a + b) AS posterior, greatest(0, least(1, a / (a + b) +
 w AS (SELECT q.page_id, q.host, q.path, CASE {_RULES} END AS rule, posterior, bound FROM (SELECT * FROM q) q JOIN v ON q.host = v.host)
 SELECT page_id, host, path, rule, CASE rule {_VERDICTS} ELSE CASE WHEN bound < {url_filter.MIN_GOOD} THEN 'block' ELSE 'allow' END END AS verdict, round(posterior, 6) AS posterior, round(bound, 6) AS bound FROM w"""
 OP8 = OP8.replace("(host = '", "(q.host = '").replace(" OR host LIKE", " OR q.host LIKE")
+
+OP13 = rf"""WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+l AS (SELECT doc_id, min(quality) AS quality, min(toxic) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY 1),
+m AS (SELECT t, min(doc_id) AS first FROM d GROUP BY 1),
+f AS (SELECT part, len(w) < 50 AS a, 100 * len(list_distinct(w)) < 65 * len(w) AS b, 100 * length(regexp_replace(d.t, '[^A-Z]', '', 'g')) > 5 * length(d.t) AS c, regexp_matches(d.t, '[#$%&*|]') AS dd, coalesce(d.doc_id > first, false) AS e,
+  coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS bad FROM d JOIN m ON d.t = m.t LEFT JOIN l ON d.doc_id = l.doc_id),
+x AS (SELECT *, CAST(a AS INT) + CAST(b AS INT) + CAST(c AS INT) + CAST(dd AS INT) + CAST(e AS INT) AS n_fails, (CASE WHEN a THEN 'A' ELSE '' END) || (CASE WHEN b THEN 'B' ELSE '' END) || (CASE WHEN c THEN 'C' ELSE '' END) || (CASE WHEN dd THEN 'D' ELSE '' END) || (CASE WHEN e THEN 'E' ELSE '' END) AS failed FROM f),
+k AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS k),
+o AS (SELECT k1.k || k2.k || k3.k || k4.k || k5.k AS filter_order FROM k k1, k k2, k k3, k k4, k k5 WHERE len(list_distinct([k1.k, k2.k, k3.k, k4.k, k5.k])) = 5),
+r AS (SELECT part, filter_order, n_fails, failed, good, bad, coalesce(list_min(list_transform(string_split(failed, ''), lambda z: CASE WHEN z = '' THEN 6 ELSE strpos(filter_order, z) END)), 6) AS first FROM x, o),
+s AS (SELECT r.*, step, substr(filter_order, step, 1) AS letter, strpos(failed, substr(filter_order, step, 1)) > 0 AS here FROM r, (SELECT CAST(unnest(range(1, 6)) AS INT) AS step) steps),
+g AS (SELECT part, filter_order, step, letter, count_if(first > step) AS kept, count_if(first = step) AS removed, count_if(here AND first < step) AS redundant, count_if(here AND n_fails = 1) AS unique_fails, count_if(first = step AND good) AS good_lost, count_if(first = step AND bad) AS toxic_lost FROM s GROUP BY ALL)
+SELECT part, filter_order, step, {", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in ("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost"))}, CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM g"""
+
+#: crc32 byte by byte: its table of 256 entries from the polynomial, then a fold over a feature's bytes in hexadecimal.
+_CRC = """crc AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_concat([CAST(i AS BIGINT)], [CAST(0 AS BIGINT) for z in range(8)]), lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))),
+hexed AS (SELECT feature, hex(encode(feature)) AS h FROM (SELECT DISTINCT feature FROM features)),
+bytes AS (SELECT feature, list_transform(range(1, length(h), 2), lambda i: CAST(16 * (strpos('0123456789ABCDEF', h[i]) - 1) + strpos('0123456789ABCDEF', h[i + 1]) - 1 AS BIGINT)) AS b FROM hexed),
+hashed AS (SELECT feature, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], b), lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS bucket FROM bytes, crc)"""
+
+OP12 = f"""WITH texts AS (SELECT 'd' AS side, row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents UNION ALL SELECT 'b', row_number() OVER (), NULL, {_WORDS} FROM benchmark),
+features AS (SELECT side, r, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS feature FROM texts),
+{_CRC},
+each AS (SELECT side, r, bucket, count(*) AS n FROM features JOIN hashed ON features.feature = hashed.feature GROUP BY ALL),
+counts AS (SELECT bucket, CAST(sum(CASE WHEN side = 'd' THEN n ELSE 0 END) AS DOUBLE) AS s, CAST(sum(CASE WHEN side = 'b' THEN n ELSE 0 END) AS DOUBLE) AS t FROM each GROUP BY 1),
+totals AS (SELECT coalesce(sum(s), 0) AS ss, coalesce(sum(t), 0) AS tt FROM counts),
+gains AS (SELECT bucket, CAST(floor(1000 * ln((t + 1) * (ss + 10000) / ((s + 1) * (tt + 10000)))) AS BIGINT) AS gain FROM counts, totals),
+weights AS (SELECT r, CAST(sum(n) AS BIGINT) AS n_features, CAST(floor(CAST(sum(n * gain) AS DOUBLE) / sum(n)) AS BIGINT) AS weight FROM each JOIN gains ON each.bucket = gains.bucket WHERE side = 'd' GROUP BY 1),
+h AS (SELECT r, doc_id, len(w) AS n_words, list_reduce(list_concat([CAST(0 AS BIGINT)], list_transform(range(1, 9), lambda i: CAST(strpos('0123456789abcdef', sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), ''))[i]) - 1 AS BIGINT))), lambda c, x: 16 * c + x) AS h FROM texts WHERE side = 'd'),
+scored AS (SELECT h.r, doc_id, n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((h + CAST(0.5 AS DOUBLE)) / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS score FROM h LEFT JOIN weights ON h.r = weights.r),
+placed AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST, n_features, weight) AS rank FROM scored WHERE n_words >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= (SELECT 25 * count(*) // 100 FROM placed) THEN rank END AS rank FROM scored LEFT JOIN placed ON scored.r = placed.r"""
+
+_TEMPLATES = ", ".join(f"({k}, '{t.label}', {t.phrase}, '{t.text}', {t.drift}, {t.share}, {list(t.needed)}, {t.looked_up})" for k, t in enumerate(license_scan.PHRASES + license_scan.NOTICES))
+
+OP11 = f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+t AS (SELECT *, string_split(text, ' ') AS tw FROM (VALUES {_TEMPLATES}) v(k, label, phrase, text, drift, share, keys, looked_up)),
+p AS (SELECT k, looked_up, word, min(pl) AS pl FROM (SELECT k, looked_up, unnest(tw) AS word, unnest(range(0, len(tw))) AS pl FROM t) GROUP BY ALL),
+v AS (SELECT r, unnest(w) AS word, unnest(range(0, len(w))) AS pl FROM d), f AS (SELECT word, count(DISTINCT r) AS df FROM v WHERE word IN (SELECT word FROM p) GROUP BY 1),
+ranked AS (SELECT p.*, coalesce(df, 0) AS df, row_number() OVER (PARTITION BY k ORDER BY coalesce(df, 0), pl) AS rn FROM p LEFT JOIN f ON p.word = f.word),
+a AS (SELECT k, looked_up, word, pl, rn, ln(CAST((SELECT count(*) FROM d) + 1 AS DOUBLE) / (df + 1)) + 1 AS idf FROM ranked WHERE rn <= {license_scan.ANCHORS}),
+posting AS (SELECT k, word, pl FROM (SELECT t.k, unnest(tw) AS word, unnest(range(0, len(tw))) AS pl FROM t) x SEMI JOIN (SELECT k, word FROM a WHERE rn <= looked_up) y USING (k, word)),
+c AS (SELECT DISTINCT r, k, v.pl - posting.pl AS start FROM v JOIN posting ON v.word = posting.word),
+s AS (SELECT c.r, c.k, c.start, sum(CASE WHEN list_contains(w[greatest(c.start + a.pl - drift, 0) + 1 : c.start + a.pl + drift + 1], word) THEN idf ELSE 0 END) / sum(idf) AS got
+  FROM c JOIN t ON c.k = t.k JOIN a ON c.k = a.k JOIN d ON c.r = d.r GROUP BY 1, 2, 3),
+m AS (SELECT s.r, label, phrase, s.start, got FROM s JOIN t ON s.k = t.k JOIN d ON s.r = d.r WHERE got >= share - 1e-9 AND len(list_filter(keys, lambda x: NOT contains(' ' || array_to_string(w[greatest(s.start - drift, 0) + 1 : s.start + len(tw) + drift], ' ') || ' ', ' ' || x || ' '))) = 0),
+g AS (SELECT r, count_if(phrase) AS n_base, min(CASE WHEN phrase THEN start END) AS first_word, max(CASE WHEN phrase THEN start END) AS last_word, max(got) AS score,
+  array_to_string(list_sort(list_distinct(list(CASE WHEN phrase THEN label END))), ',') AS base_labels, array_to_string(list_sort(list_distinct(list(label))), ',') AS labels FROM m GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, round(coalesce(score, 0), 6) AS score
+FROM d LEFT JOIN g ON d.r = g.r"""

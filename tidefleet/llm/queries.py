@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidefleet.llm import decontaminate, html_blocks, line_dedup, oracles, quality_classifier, quality_rules, sentencepiece_bpe, simhash, token_files, toxicity, url_filter
+from tidefleet.llm import decontaminate, filter_audit, html_blocks, importance, license_scan, line_dedup, oracles, quality_classifier, quality_rules, sentencepiece_bpe, simhash, token_files, toxicity, url_filter
 from tidefleet.llm.common import new_folder, table, vocabulary
 
 
@@ -64,10 +64,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents")).drop("found").withColumn("score", F.round("score", 6))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_files, op2_quality_rules, op3_html_blocks, op4_sentencepiece, op5_quality_classifier, op6_line_dedup, op7_simhash_dedup, op8_url_filter, op9_decontaminate, op10_toxicity)}
+    return {f.__name__: f for f in (op1_token_files, op2_quality_rules, op3_html_blocks, op4_sentencepiece, op5_quality_classifier, op6_line_dedup, op7_simhash_dedup, op8_url_filter, op9_decontaminate, op10_toxicity, op11_license_scan, op12_importance_resampling, op13_filter_audit)}
 
 
 def oracle_sql() -> dict[str, str]:
     """Tokenizers, hashes of other kinds and trained models are beyond SQL; tests hold those against brute force."""
-    return {"op6_line_dedup": oracles.OP6, "op8_url_filter": oracles.OP8, "op9_decontaminate": oracles.OP9}
+    return {"op6_line_dedup": oracles.OP6, "op8_url_filter": oracles.OP8, "op9_decontaminate": oracles.OP9, "op11_license_scan": oracles.OP11, "op12_importance_resampling": oracles.OP12, "op13_filter_audit": oracles.OP13}
