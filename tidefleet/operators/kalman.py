@@ -6,8 +6,8 @@ place and speed; both share one covariance, as their noise is the same.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import astuple, dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import astuple, dataclass, fields
 
 import numpy as np
 import pandas as pd
@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from tidefleet.functions.geo import haversine_km
 from tidefleet.functions.pings import flag
+from tidefleet.operators import kalman_elements, scans
+from tidefleet.operators.scans import Tracks, lag, total
 
 #: Fixed values of the model: measurement variance (degrees^2), variance of acceleration, longest step (s), speed at rest (km/h), start variances of place and speed, drift at rest.
 MEASUREMENT, ACCELERATION, LONGEST, AT_REST, START_PLACE, START_SPEED, DRIFT = 1e-6, 1e-11, 15.0, 2.0, 0.1, 1.0, 1e-12
@@ -71,32 +73,195 @@ def run(state: State | None, ep: np.ndarray, x: np.ndarray, y: np.ndarray, at_re
     return state, out_x, out_y
 
 
+#: Runs that are taken in side by side; fewer go on one after another.
+SIDE_BY_SIDE = 12
+
+
+def run_all(state: State | None, ep: np.ndarray, x: np.ndarray, y: np.ndarray, at_rest: np.ndarray, new: np.ndarray, measurement: float = MEASUREMENT, acceleration: float = ACCELERATION) -> tuple[State, np.ndarray, np.ndarray]:
+    """What run() gives for many vehicles' pings, one vehicle after another; new marks each one's first, state is that before the first of all.
+
+    Between two steps that make the filter start anew nothing is handed on, so
+    such runs are taken in side by side: first the first pings of all, then the
+    second ones, and so on.
+    """
+    n, out_x, out_y = len(ep), np.array(x, float), np.array(y, float)
+    dt = np.diff(ep, prepend=state.ep if state else np.inf)
+    first = new.copy()
+    first[0] |= state is None
+    anew = first | ~((dt > 0) & (dt <= LONGEST))
+    begins = anew.copy()
+    begins[0] = True
+    at = np.flatnonzero(begins)
+    length = np.diff(at, append=n)
+    order = np.argsort(-length, kind="stable")
+    at, length = at[order], length[order]
+    # states before the first step: where a run begins anew it's that of its own ping, and the step is one of a second
+    sx, sy, zero = x[at].astype(float), y[at].astype(float), np.zeros(len(at))
+    s = [sx, sy, zero.copy(), zero.copy(), zero + START_PLACE, zero.copy(), zero + START_SPEED]
+    steps = np.where(anew, 1.0, dt)
+    if not anew[0]:
+        k = int(np.flatnonzero(order == 0)[0])
+        for a, v in zip(s, astuple(state)[1:], strict=True):
+            a[k] = v
+    for i in range(int(length[0])):
+        k = int(np.searchsorted(-length, -i, "left"))  # runs that are longer than i
+        if i and k < SIDE_BY_SIDE:
+            for r in range(k):
+                rows = slice(at[r] + i, at[r] + length[r])
+                after, out_x[rows], out_y[rows] = run(State(ep[at[r] + i - 1], *(float(a[r]) for a in s)), ep[rows], x[rows], y[rows], at_rest[rows], measurement=measurement, acceleration=acceleration)
+                for a, v in zip(s, astuple(after)[1:], strict=True):
+                    a[r] = v
+            break
+        rows = at[:k] + i
+        moved = _step([a[:k] for a in s], steps[rows], x[rows], y[rows], at_rest[rows], measurement, acceleration)
+        if not i and first.any():  # a vehicle's first ping is no step
+            own = first[rows]
+            moved = [np.where(own, a[:k], m) for a, m in zip(s, moved, strict=True)]
+        for a, m in zip(s, moved, strict=True):
+            a[:k] = m
+        out_x[rows], out_y[rows] = s[0][:k], s[1][:k]
+    last = int(np.argmax(at))
+    return State(float(ep[-1]), *(float(a[last]) for a in s)), out_x, out_y
+
+
+def _step(s: list[np.ndarray], dt: np.ndarray, x: np.ndarray, y: np.ndarray, at_rest: np.ndarray, measurement: float, acceleration: float) -> list[np.ndarray]:
+    """State.step of many filters, each with its own step and kind of motion."""
+    px, py, vx, vy, place, cross, speed = s
+    vx, vy = np.where(at_rest, 0.0, vx), np.where(at_rest, 0.0, vy)
+    px, py = px + dt * vx, py + dt * vy
+    place = np.where(at_rest, place + DRIFT, place + 2 * dt * cross + dt * dt * speed + acceleration * dt**4 / 4)
+    cross = np.where(at_rest, 0.0, cross + dt * speed + acceleration * dt**3 / 2)
+    speed = np.where(at_rest, 0.0, speed + acceleration * dt**2)
+    total = place + measurement
+    gain, gain_speed = place / total, cross / total
+    dx, dy = x - px, y - py
+    return [px + gain * dx, py + gain * dy, vx + gain_speed * dx, vy + gain_speed * dy, (1 - gain) * place, (1 - gain) * cross, speed - gain_speed * cross]
+
+
 def _resting(speed: pd.Series) -> np.ndarray:
     return (speed <= AT_REST).to_numpy()
 
 
-def smooth(pings: DataFrame, time: str = "ep", single_model: bool = False, measurement: float = MEASUREMENT, acceleration: float = ACCELERATION) -> DataFrame:
-    """pings with x and y replaced by the filter's; speed stays raw.
+#: A filter's state in columns.
+CARRIED = [f"__{f.name}" for f in fields(State)]
+
 
-    One vehicle is one group, as each ping needs the state before it. A group
-    comes to its task in Arrow batches sorted by time, so a vehicle's whole
-    history is never in memory at once.
+def smooth(pings: DataFrame, time: str = "ep", single_model: bool = False, measurement: float = MEASUREMENT, acceleration: float = ACCELERATION, parts: int | None = None) -> DataFrame:
+    """pings with x and y replaced by the filter's; speed stays raw. Pings without a vehicle go.
+
+    A vehicle's rows come to its task in Arrow batches sorted by time, so its
+    whole history is never in memory at once. A vehicle that holds more than one
+    in parts of all pings is dealt out in blocks of time, each smoothed in a task
+    of its own: a first pass reduces each block to one element, from which the
+    state before each block follows.
     """
-    schema = pings.schema
+    noise = {"measurement": measurement, "acceleration": acceleration}
+    rows = pings.filter("vehicle is not null")
+    resting = (lambda part: np.zeros(len(part), bool)) if single_model else (lambda part: _resting(part["speed"]))
 
     def smoothed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        states: State | None = None
+        state: State | None = None
         vehicle: object = None
         for batch in batches:
-            for name, part in batch.groupby("vehicle", sort=False):
-                if name != vehicle:
-                    vehicle, states = name, None
-                at_rest = np.zeros(len(part), bool) if single_model else _resting(part["speed"])
-                states, x, y = run(states, part[time].to_numpy(float), part["x"].to_numpy(float), part["y"].to_numpy(float), at_rest, measurement=measurement, acceleration=acceleration)
-                yield part.assign(x=x, y=y)
+            if not len(batch):
+                continue
+            names = batch["vehicle"].to_numpy()
+            new = np.append(names[0] != vehicle, names[1:] != names[:-1])
+            state, x, y = run_all(None if new[0] else state, *(batch[c].to_numpy(float) for c in (time, "x", "y")), resting(batch), new, **noise)
+            vehicle = names[-1]
+            yield batch.assign(x=x, y=y)
+
+    order = ["vehicle", time, "event_id"]
+    found = scans.blocks(rows, ["vehicle"], time, parts)
+    if found is None:
+        return rows.repartition("vehicle").sortWithinPartitions(*order).mapInPandas(smoothed, pings.schema)
+    block = scans.BLOCK
+    dealt = scans.dealt(rows, found, ["vehicle"], time)
+    hot, cold = dealt.filter(F.col(block).isNotNull()), dealt.filter(F.col(block).isNull()).drop(block)
+    carried = _carried(hot, time, resting, noise)
+
+    def by_block(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        state: State | None = None
+        at: object = None
+        for batch in batches:
+            for key, part in batch.groupby(["vehicle", block], sort=False):
+                if key != at:
+                    before = part[CARRIED].iloc[0]
+                    at, state = key, None if before.isna().any() else State(*map(float, before))
+                state, x, y = run_all(state, *(part[c].to_numpy(float) for c in (time, "x", "y")), resting(part), np.zeros(len(part), bool), **noise)
+                yield part.drop(columns=[block, *CARRIED]).assign(x=x, y=y)
+
+    handed = F.broadcast(carried.withColumnsRenamed({"vehicle": "__vehicle", "block": "__at"}))
+    met = hot.join(handed, (F.col("vehicle") == F.col("__vehicle")) & (F.col(block) == F.col("__at")), "left").drop("__vehicle", "__at")
+    large = met.repartition("vehicle", block).sortWithinPartitions("vehicle", block, time, "event_id").mapInPandas(by_block, pings.schema)
+    return cold.repartition("vehicle").sortWithinPartitions(*order).mapInPandas(smoothed, pings.schema).unionByName(large)
+
 
-    ordered = pings.filter("vehicle is not null").repartition("vehicle").sortWithinPartitions("vehicle", time, "event_id")
-    return ordered.mapInPandas(smoothed, schema)
+#: What a block is reduced to: its first ping, the time of its last, and the element of all pings but the first.
+REDUCED = "vehicle string, block int, ep double, x double, y double, at_rest boolean, last_ep double, element array<double>"
+
+
+def _carried(hot: DataFrame, time: str, resting: Callable, noise: dict[str, float]) -> DataFrame:
+    """(vehicle, block, CARRIED): the state before each block but a vehicle's first.
+
+    Blocks are reduced where they are; what is left is a row a block, of which
+    there are at most twice as many as parts, and those are put together in order.
+    """
+
+    def reduced(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at: object = None
+        row: list = []
+        whole: kalman_elements.Elements | None = None
+
+        def out() -> pd.DataFrame:
+            flat = [] if whole is None else np.concatenate([m[0].ravel() for m in whole]).tolist()
+            return pd.DataFrame([[*row, flat]], columns=["vehicle", "block", "ep", "x", "y", "at_rest", "last_ep", "element"])
+
+        for batch in batches:
+            for key, part in batch.groupby(["vehicle", scans.BLOCK], sort=False):
+                ep, x, y = (part[c].to_numpy(float) for c in (time, "x", "y"))
+                rest = resting(part)
+                if key != at:
+                    if row:
+                        yield out()
+                    at, row, whole = key, [key[0], int(key[1]), ep[0], x[0], y[0], bool(rest[0]), ep[0]], None
+                    ep, x, y, rest = ep[1:], x[1:], y[1:], rest[1:]
+                if not len(ep):
+                    continue
+                dt = np.diff(ep, prepend=row[6])
+                row[6], x, y = ep[-1], x - row[3], y - row[4]  # places from the block's first
+                anew = np.flatnonzero(~((dt > 0) & (dt <= LONGEST)))
+                if len(anew):  # what was before doesn't matter
+                    i = anew[-1]
+                    begun = State(-np.inf, 0.0, 0.0)
+                    begun.step(ep[i], x[i], y[i], bool(rest[i]), **noise)
+                    whole, dt, x, y, rest = kalman_elements.fixed(*_matrices(begun)), dt[i + 1 :], x[i + 1 :], y[i + 1 :], rest[i + 1 :]
+                if len(dt):
+                    more = kalman_elements.folded(kalman_elements.steps(dt, x, y, rest, drift=DRIFT, **noise))
+                    whole = more if whole is None else kalman_elements.after(whole, more)
+        if row:
+            yield out()
+
+    ordered = hot.select(hot["vehicle"].cast("string").alias("vehicle"), scans.BLOCK, time, "event_id", "x", "y", "speed").repartition("vehicle", scans.BLOCK).sortWithinPartitions("vehicle", scans.BLOCK, time, "event_id")
+    per = sorted(ordered.mapInPandas(reduced, REDUCED).collect(), key=lambda r: (r["vehicle"], r["block"]))
+    states, vehicle, state = [], None, None
+    for r in per:
+        if r["vehicle"] != vehicle:
+            vehicle, state = r["vehicle"], State(r["ep"], r["x"], r["y"])
+        else:
+            states.append((vehicle, r["block"], *state_columns(state)))
+            state.step(r["ep"], r["x"], r["y"], r["at_rest"], **noise)
+        if r["element"]:
+            element = kalman_elements.Elements(*np.reshape(r["element"], (5, 1, 2, 2)))
+            state.x, state.y = state.x - r["x"], state.y - r["y"]
+            m, p = kalman_elements.applied(element, *_matrices(state))
+            state = State(r["last_ep"], *map(float, (m[0, 0] + r["x"], m[0, 1] + r["y"], m[1, 0], m[1, 1], p[0, 0], (p[0, 1] + p[1, 0]) / 2, p[1, 1])))
+    return hot.sparkSession.createDataFrame(states, "vehicle string, block int, " + ", ".join(f"{c} double" for c in CARRIED))
+
+
+def _matrices(s: State) -> tuple[np.ndarray, np.ndarray]:
+    """Mean (place and speed, in east and north) and covariance of a state."""
+    return np.array([[s.x, s.y], [s.vx, s.vy]]), np.array([[s.place, s.cross], [s.cross, s.speed]])
 
 
 def state_columns(state: State) -> tuple[float, ...]:
@@ -105,10 +270,9 @@ def state_columns(state: State) -> tuple[float, ...]:
 
 def calibrate(pings: DataFrame, time: str = "ep", least: int = 5, floor: float = 1e-12) -> DataFrame:
     """(vehicle, var_x, var_y, runs): mean sample variance of places over runs of at least so many pings at rest."""
-    w = Window.partitionBy("vehicle").orderBy(time, "event_id")
-    rest = flag(F.col("speed") <= AT_REST)
-    changed = pings.withColumn("rest", rest).withColumn("changed", flag(F.coalesce(F.lag("rest").over(w) != F.col("rest"), F.lit(True))))
-    runs = changed.withColumn("run", F.sum("changed").over(w.rowsBetween(Window.unboundedPreceding, 0))).filter("rest = 1").groupBy("vehicle", "run")
+    track = Tracks.of(pings.withColumn("rest", flag(F.col("speed") <= AT_REST)), ["vehicle"], time, "event_id", counted=pings).scan(before=lag("rest"))
+    changed = track.add(changed=flag(F.coalesce(F.col("before") != F.col("rest"), F.lit(True))))
+    runs = changed.scan(run=total("changed")).plain().filter("rest = 1").groupBy("vehicle", "run")
     per = runs.agg(F.count("*").alias("n"), F.var_samp("x").alias("vx"), F.var_samp("y").alias("vy")).filter(F.col("n") >= least)
     return per.groupBy("vehicle").agg(F.avg(F.greatest("vx", F.lit(floor))).alias("var_x"), F.avg(F.greatest("vy", F.lit(floor))).alias("var_y"), F.count("*").alias("runs"))
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidefleet.functions.geo import cell, haversine_km, neighbour_cells
+from tidefleet.operators.scans import Tracks, last
 
 NEAR_TERMINAL_KM = 0.6
 
@@ -77,8 +78,7 @@ def detect_routes(pings: DataFrame, mapping: DataFrame, stops: DataFrame, digits
     met = met.filter(F.col("seen").isNull() | ((dx < tolerance) & (dy < tolerance))).withColumn("off", F.coalesce(dx + dy, F.lit(999.0)))
     nearest = Window.partitionBy("vehicle", "event_id").orderBy("off", "seen")
     met = met.withColumn("rank", F.row_number().over(nearest)).filter("rank = 1")
-    day = Window.partitionBy("vehicle", "date").orderBy("ep", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    filled = met.withColumn("detected", F.last("seen", ignorenulls=True).over(day))
+    filled = Tracks.of(met, ["vehicle", "date"], "ep", "event_id", counted=known).scan(detected=last("seen")).plain()
     return filled.join(unique, "vehicle").filter(F.col("detected") == F.col("mapped")).drop("rx", "ry", "stop_lng", "stop_lat", "rank", "seen", "mapped")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidefleet.functions.geo import cell, haversine_km, neighbour_cells
+from tidefleet.operators.scans import Tracks, lag, total
 
 GAP_SECONDS, LONG_SECONDS, RADIUS_KM, CELL_DEGREES, CANDIDATES = 300, 600, 0.25, 0.0025, 8
 
@@ -16,11 +17,10 @@ def stop_sessions(pings: DataFrame, gap: int = GAP_SECONDS, least: int = LONG_SE
     A ping stands still if its speed is zero or unknown; a session starts where
     the one before was moving, is missing, or lies further back than gap.
     """
-    w = Window.partitionBy("route_id", "vehicle").orderBy("ep", "event_id")
     still = F.coalesce(F.col("speed") == 0, F.lit(True))
-    marked = pings.withColumn("still", still).withColumn("before", F.lag("ep").over(w)).withColumn("was_still", F.lag("still").over(w))
+    marked = Tracks.of(pings.withColumn("still", still), ["route_id", "vehicle"], "ep", "event_id", counted=pings).scan(before=lag("ep"), was_still=lag("still"))
     starts = F.col("still") & (F.col("before").isNull() | ~F.col("was_still") | (F.col("ep") - F.col("before") > gap))
-    numbered = marked.withColumn("session_id", F.sum(F.when(starts, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    numbered = marked.add(starts=F.when(starts, 1).otherwise(0)).scan(session_id=total("starts")).plain()
     grouped = numbered.filter("still").groupBy("route_id", "vehicle", "session_id").agg(
         F.avg("x").alias("stop_lng"), F.avg("y").alias("stop_lat"), F.count("*").alias("pings"), F.min("ep").alias("start_ep"), F.max("ep").alias("end_ep")
     )

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidefleet.functions.geo import haversine_km
 from tidefleet.operators.cleaning import one_per_key
+from tidefleet.operators.scans import Tracks, lag, total
 
 NEAR_KM, GAP_SECONDS, LEAST_KM, LEAST_OUTSIDE, CIRCULAR_KM, HIGH_KM, MEDIUM_KM = 0.5, 1200, 1.5, 0.5, 1.0, 2.0, 5.0
 
@@ -17,12 +18,11 @@ def segment_trips(pings: DataFrame, ends: DataFrame, gap: int = GAP_SECONDS, nea
     placed = unique.join(ends, "route_id")
     x, y = F.col("x"), F.col("y")
     close = (haversine_km(y, x, F.col("a_lat"), F.col("a_lng")) <= near_km) | (haversine_km(y, x, F.col("b_lat"), F.col("b_lng")) <= near_km)
-    w = Window.partitionBy("vehicle").orderBy("ep", "event_id")
-    marked = placed.withColumn("at_terminal", close).withColumns({f"last_{c}": F.lag(c).over(w) for c in ("ep", "x", "y", "at_terminal")})
+    last = ("ep", "x", "y", "at_terminal")
+    track = Tracks.of(placed.withColumn("at_terminal", close), ["vehicle"], "ep", "event_id", counted=pings).scan(**{f"last_{c}": lag(c) for c in last})
     new = F.col("last_ep").isNull() | (F.col("ep") - F.col("last_ep") > gap) | (F.col("at_terminal") != F.col("last_at_terminal"))
-    marked = marked.withColumn("new", F.when(new, 1).otherwise(0))
     km = F.when(F.col("new") == 1, 0.0).otherwise(haversine_km(F.col("last_y"), F.col("last_x"), y, x))
-    return marked.withColumn("segment_km", km).withColumn("trip_id", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("new", "last_ep", "last_x", "last_y", "last_at_terminal")
+    return track.add(new=F.when(new, 1).otherwise(0)).add(segment_km=km).scan(trip_id=total("new")).plain().drop("new", *(f"last_{c}" for c in last))
 
 
 def _ends(*columns: str) -> list:
@@ -54,11 +54,10 @@ def gap_trips(pings: DataFrame, ends: DataFrame, gap: int = 600, least_km: float
     without inbound ones has INBOUND trips only. The way to a trip's first ping
     from the ping before it counts for the trip.
     """
-    w = Window.partitionBy("vehicle", "route_id").orderBy("ep", "event_id")
-    marked = pings.withColumns({f"last_{c}": F.lag(c).over(w) for c in ("ep", "x", "y")})
+    track = Tracks.of(pings, ["vehicle", "route_id"], "ep", "event_id").scan(**{f"last_{c}": lag(c) for c in ("ep", "x", "y")})
     new = F.col("last_ep").isNull() | (F.col("ep") - F.col("last_ep") > gap)
     km = F.coalesce(haversine_km(F.col("last_y"), F.col("last_x"), F.col("y"), F.col("x")), F.lit(0.0))
-    numbered = marked.withColumn("segment_km", km).withColumn("trip_id", F.sum(F.when(new, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    numbered = track.add(segment_km=km, new=F.when(new, 1).otherwise(0)).scan(trip_id=total("new")).plain()
     per = numbered.groupBy("vehicle", "route_id", "trip_id").agg(F.sum("segment_km").alias("total_km"), F.count("*").alias("pings"), *_ends("x", "y", "ep")).filter(F.col("total_km") > least_km)
     placed = per.join(ends, "route_id", "left")
     end = lambda p, t: haversine_km(F.col(f"{p}_y"), F.col(f"{p}_x"), F.col(f"{t}_lat"), F.col(f"{t}_lng"))

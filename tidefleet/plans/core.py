@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidefleet.functions.geo import haversine_km
 from tidefleet.functions.pings import flag, ratio
 from tidefleet.operators import cleaning, joins, routes, status
+from tidefleet.operators.scans import Tracks, lag, last, total
 from tidefleet.plans import bindings as b
 from tidefleet.plans.bindings import DENSE_SQL, MAPPING_SQL, ROUTES_SQL, STOPS_SQL, WAYPOINTS_SQL, haversine_sql
 
@@ -230,17 +231,15 @@ def lag_deltas(s: SparkSession, d: str) -> DataFrame:
 @query(f"""WITH {WAYPOINTS_SQL}, g AS (SELECT event_id, vehicle, ep, CASE WHEN lag(ep) OVER w IS NULL OR ep - lag(ep) OVER w > 43200 THEN 1 ELSE 0 END AS n FROM wp WINDOW w AS (PARTITION BY vehicle ORDER BY ep, event_id))
  SELECT event_id, CAST(SUM(n) OVER (PARTITION BY vehicle ORDER BY ep, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS session_id FROM g""")
 def running_sum_sessions(s: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("vehicle").orderBy("ep", "event_id")
-    new = flag(F.lag("ep").over(w).isNull() | (F.col("ep") - F.lag("ep").over(w) > 43200))
-    return wp(s, d).withColumn("new", new).select("event_id", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("session_id"))
+    track = Tracks.of(wp(s, d), ["vehicle"], "ep", "event_id").scan(before=lag("ep"))
+    return track.add(new=flag(F.col("before").isNull() | (F.col("ep") - F.col("before") > 43200))).scan(session_id=total("new")).rows.select("event_id", "session_id")
 
 
 @query(f"""WITH {WAYPOINTS_SQL}, s AS (SELECT *, CASE WHEN event_id % 4 = 0 THEN route_no END AS seen FROM wp)
  SELECT event_id, last_value(seen IGNORE NULLS) OVER (PARTITION BY vehicle, date ORDER BY ep, event_id ROWS UNBOUNDED PRECEDING) AS filled FROM s""")
 def ffill_route(s: SparkSession, d: str) -> DataFrame:
-    w = Window.partitionBy("vehicle", "date").orderBy("ep", "event_id").rowsBetween(Window.unboundedPreceding, 0)
     seen = F.when(F.col("event_id") % 4 == 0, F.col("route_no"))
-    return wp(s, d).withColumn("seen", seen).select("event_id", F.last("seen", ignorenulls=True).over(w).alias("filled"))
+    return Tracks.of(wp(s, d), ["vehicle", "date"], "ep", "event_id").add(seen=seen).scan(filled=last("seen")).rows.select("event_id", "filled")
 
 
 @query(f"""WITH {WAYPOINTS_SQL}, r AS (SELECT route_no, event_id, speed, CAST(row_number() OVER (PARTITION BY route_no ORDER BY speed DESC, event_id) AS BIGINT) AS rank FROM wp) SELECT * FROM r WHERE rank <= 8""")
