@@ -39,10 +39,39 @@ def fleet_snapshot(latest: DataFrame, digits: int = 2) -> DataFrame:
     return sums.select(F.when(F.col("whole") == 1, "ALL").otherwise(F.col("route")).alias("route"), "vehicles", "active", "avg_speed", "idle", "aircon", "sos")
 
 
-def window_kpis(pings: DataFrame, time: str = "timestamp", width: str = "5 minutes", slide: str | None = "1 minute", exact: bool = False) -> DataFrame:
-    """KPIs per window and route; the same on a stream (after a watermark) and on a table. exact counts vehicles exactly, which a stream can't."""
-    vehicles = F.count_distinct("vehicle") if exact else F.approx_count_distinct("vehicle")
-    return pings.groupBy(F.window(time, width, slide).alias("w"), "route_no").agg(
-        F.avg("speed").alias("avg_speed"), F.count("*").alias("messages"), vehicles.alias("vehicles"), F.sum(flag(F.col("speed") > 0)).alias("moving"),
+#: Sketches of 2^14 registers count different vehicles with a relative standard error of 0.65 %; small counts come out exact.
+SKETCH_BITS = 14
+MEASURES = ("avg_speed", "messages", "vehicles", "moving", "stopped", "sos", "ignition_on")
+_COUNTS = ("messages", "moving", "stopped", "sos", "ignition_on")
+
+
+def panes(pings: DataFrame, time: str = "timestamp", width: str = "1 minute", bits: int = SKETCH_BITS) -> DataFrame:
+    """(pane, route_no, speed_sum, speeds, vehicles, _COUNTS): what windows of any width are put together from, a row for each route and pane of time.
+
+    Every ping counts in one pane only, so nothing is multiplied before the
+    shuffle; vehicles is a sketch that can be merged. The same on a stream (after
+    a watermark) and on a table; stored, it answers widths that are asked for later.
+    """
+    return pings.groupBy(F.window(time, width).alias("w"), "route_no").agg(
+        F.sum("speed").alias("speed_sum"), F.count("speed").alias("speeds"), F.hll_sketch_agg("vehicle", bits).alias("vehicles"), F.count("*").alias("messages"), F.sum(flag(F.col("speed") > 0)).alias("moving"),
         F.sum(flag(F.col("speed") == 0)).alias("stopped"), F.sum(flag(F.col("sos"))).alias("sos"), F.sum(flag(F.col("ignition"))).alias("ignition_on"),
-    ).select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "route_no", "avg_speed", "messages", "vehicles", "moving", "stopped", "sos", "ignition_on")
+    ).select(F.col("w.start").alias("pane"), "route_no", "speed_sum", "speeds", "vehicles", *_COUNTS)
+
+
+def merged_panes(partials: DataFrame, width: str, slide: str) -> DataFrame:
+    """Panes of a width that begin every slide, from narrower ones: the width a multiple of the slide, the slide one of the panes'."""
+    step, size = F.expr(f"INTERVAL {slide}"), F.expr(f"INTERVAL {width}")
+    newest = F.window("pane", slide)["start"]
+    begins = partials.withColumn("pane", F.explode(F.sequence(newest - size + step, newest, step)))
+    return begins.groupBy("pane", "route_no").agg(F.sum("speed_sum").alias("speed_sum"), F.sum("speeds").alias("speeds"), F.hll_union_agg("vehicles").alias("vehicles"), *(F.sum(c).alias(c) for c in _COUNTS))
+
+
+def pane_kpis(partials: DataFrame, width: str) -> DataFrame:
+    """(window_start, window_end, route_no, MEASURES) of panes of a width."""
+    mean = F.when(F.col("speeds") > 0, F.col("speed_sum") / F.col("speeds"))
+    return partials.select(F.col("pane").alias("window_start"), (F.col("pane") + F.expr(f"INTERVAL {width}")).alias("window_end"), "route_no", mean.alias("avg_speed"), "messages", F.hll_sketch_estimate("vehicles").alias("vehicles"), *_COUNTS[1:])
+
+
+def window_kpis(pings: DataFrame, time: str = "timestamp", width: str = "5 minutes", slide: str | None = "1 minute") -> DataFrame:
+    """KPIs per sliding (slide None: tumbling) window and route, by panes of the slide's width. Sliding ones are for tables; a stream stores its panes and is asked through those."""
+    return pane_kpis(panes(pings, time, width) if slide is None else merged_panes(panes(pings, time, slide), width, slide), width)

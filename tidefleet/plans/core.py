@@ -265,7 +265,7 @@ def dedup_latest(s: SparkSession, d: str) -> DataFrame:
  SELECT epoch_ms(CAST((CAST(floor(ep / 60) AS BIGINT) - i) * 60000 AS BIGINT)) AS window_start, route_no, ROUND(AVG(speed), 6) AS avg_speed, COUNT(*) AS messages, COUNT(DISTINCT vehicle) AS vehicles,
  CAST(SUM(CAST(speed > 0 AS INT)) AS BIGINT) AS moving, CAST(SUM(CAST(sos AS INT)) AS BIGINT) AS sos FROM e GROUP BY 1, 2""")
 def sliding_window_kpis(s: SparkSession, d: str) -> DataFrame:
-    return status.window_kpis(wp(s, d), exact=True).select("window_start", "route_no", F.round("avg_speed", 6).alias("avg_speed"), "messages", "vehicles", "moving", "sos")
+    return status.window_kpis(wp(s, d)).select("window_start", "route_no", F.round("avg_speed", 6).alias("avg_speed"), "messages", "vehicles", "moving", "sos")
 
 
 @query(f"""WITH {DENSE_SQL}, r AS (SELECT *, CAST(speed <= 2 AS INT) AS rest FROM dw), c AS (SELECT *, CASE WHEN lag(rest) OVER w IS DISTINCT FROM rest THEN 1 ELSE 0 END AS ch FROM r WINDOW w AS (PARTITION BY vehicle ORDER BY ept, event_id)),

@@ -157,7 +157,7 @@ def routes_active(s: SparkSession, d: str) -> DataFrame:
 
 def kpi_snapshot_last(s: SparkSession, d: str) -> DataFrame:
     """The newest five-minute KPIs of each route."""
-    k = status.window_kpis(b.waypoints(s, d), slide=None, exact=True)
+    k = status.window_kpis(b.waypoints(s, d), slide=None)
     return k.groupBy("route_no").agg(F.max("window_start").alias("window_start"), F.max_by("messages", "window_start").alias("messages"), F.max_by("vehicles", "window_start").alias("vehicles"))
 
 

@@ -62,17 +62,17 @@ def latest_version(s: SparkSession, path: str) -> DataFrame:
 
 
 @query(f"""WITH {MAPPING_SQL}, {WAYPOINTS_SQL}, e AS (SELECT w.*, unnest(range(5)) AS i FROM wp w JOIN mp ON w.vehicle = mp.vehicle)
- SELECT (CAST(floor(ep / 60) AS BIGINT) - i) * 60 AS window_ep, route_no, ROUND(AVG(speed), 6) AS avg_speed, COUNT(*) AS messages, CAST(SUM(CAST(speed > 0 AS INT)) AS BIGINT) AS moving,
+ SELECT (CAST(floor(ep / 60) AS BIGINT) - i) * 60 AS window_ep, route_no, ROUND(AVG(speed), 6) AS avg_speed, COUNT(*) AS messages, COUNT(DISTINCT vehicle) AS vehicles, CAST(SUM(CAST(speed > 0 AS INT)) AS BIGINT) AS moving,
  CAST(SUM(CAST(speed = 0 AS INT)) AS BIGINT) AS stopped, CAST(SUM(CAST(sos AS INT)) AS BIGINT) AS sos, CAST(SUM(CAST(ignition AS INT)) AS BIGINT) AS ignition_on FROM e GROUP BY 1, 2""")
 def stream_route_window_kpis(s: SparkSession, d: str) -> DataFrame:
-    """Update mode: each batch's windows replace their earlier rows."""
+    """Update mode: each batch's panes of a minute replace their earlier rows; windows of five are put together from the stored panes."""
     root = work_dir(s)
     path, schema = _pings(s, d, 3, root)
     known = b.mapping(s, d).withColumnRenamed("route_id", "mapped")
-    stream = p.route_windows(readers.table_stream(s, path, schema, 1), known, "40 days").withColumn("day", F.to_date("window_start"))
-    ran(stream, p.last_wins_by_partition(f"{root}/kpis", ["window_start", "route_no"], "day"), f"{root}/state", "update")
-    rows = s.read.parquet(f"{root}/kpis")
-    return rows.select(F.unix_timestamp("window_start").alias("window_ep"), "route_no", F.round("avg_speed", 6).alias("avg_speed"), "messages", "moving", "stopped", "sos", "ignition_on")
+    stream = p.route_panes(readers.table_stream(s, path, schema, 1), known, "40 days").withColumn("day", F.to_date("pane"))
+    ran(stream, p.last_wins_by_partition(f"{root}/panes", ["pane", "route_no"], "day"), f"{root}/state", "update")
+    rows = status.pane_kpis(status.merged_panes(s.read.parquet(f"{root}/panes"), "5 minutes", "1 minute"), "5 minutes")
+    return rows.select(F.unix_timestamp("window_start").alias("window_ep"), "route_no", F.round("avg_speed", 6).alias("avg_speed"), "messages", "vehicles", "moving", "stopped", "sos", "ignition_on")
 
 
 @query(f"""WITH {WAYPOINTS_SQL} SELECT CAST(floor(ep / 3600) AS BIGINT) * 3600 AS window_ep, route_no, COUNT(*) AS messages FROM wp GROUP BY 1, 2""")

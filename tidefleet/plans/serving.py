@@ -235,10 +235,10 @@ def catalog_roundtrip(s: SparkSession, d: str) -> DataFrame:
 @query(f"""WITH {WAYPOINTS_SQL}, e AS (SELECT w.*, unnest(range(5)) AS i FROM wp w), k AS (SELECT (CAST(floor(ep / 60) AS BIGINT) - i) * 60 AS window_ep, route_no, ROUND(AVG(speed), 6) AS avg_speed, COUNT(*) AS messages, COUNT(DISTINCT vehicle) AS vehicles, CAST(SUM(CAST(speed > 0 AS INT)) AS BIGINT) AS moving,
  CAST(SUM(CAST(speed = 0 AS INT)) AS BIGINT) AS stopped, CAST(SUM(CAST(sos AS INT)) AS BIGINT) AS sos, CAST(SUM(CAST(ignition AS INT)) AS BIGINT) AS ignition_on FROM e GROUP BY 1, 2) SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY route_no ORDER BY window_ep DESC) = 1""")
 def rolling_kpis_last(s: SparkSession, d: str) -> DataFrame:
-    """The newest rolling window of each route from the stored KPIs, all measures."""
+    """The newest rolling window of each route, put together from stored panes, all measures."""
     root = work_dir(s)
-    k = status.window_kpis(b.waypoints(s, d), exact=True).withColumn("day", F.to_date("window_start"))
-    writers.append(k, f"{root}/kpis", "day")
-    measures = ("avg_speed", "messages", "vehicles", "moving", "stopped", "sos", "ignition_on")
-    last = s.read.parquet(f"{root}/kpis").groupBy("route_no").agg(F.max(F.struct("window_start", *measures)).alias("k")).select("route_no", "k.*")
+    writers.append(status.panes(b.waypoints(s, d)).withColumn("day", F.to_date("pane")), f"{root}/panes", "day")
+    kpis = status.pane_kpis(status.merged_panes(s.read.parquet(f"{root}/panes"), "5 minutes", "1 minute"), "5 minutes")
+    measures = status.MEASURES
+    last = kpis.groupBy("route_no").agg(F.max(F.struct("window_start", *measures)).alias("k")).select("route_no", "k.*")
     return last.select(F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("window_start")).alias("window_ep"), "route_no", F.round("avg_speed", 6).alias("avg_speed"), *measures[1:])

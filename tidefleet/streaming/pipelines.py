@@ -16,7 +16,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidefleet.operators.cleaning import enrich, local_columns, valid_gps
 from tidefleet.operators.kalman import STATE_SECONDS, State, _resting, run, state_columns
-from tidefleet.operators.status import fleet_snapshot, latest_status, window_kpis
+from tidefleet.operators.status import fleet_snapshot, latest_status, panes
 from tidefleet.sources.layout import prune_versions
 from tidefleet.sources.writers import exists, overwrite, overwrite_partitions
 
@@ -34,9 +34,9 @@ def silver(stream: DataFrame, mapping: DataFrame, late: str = "15 minutes", smoo
     return local_columns(kept.withColumn("instant", F.col("timestamp")).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")))
 
 
-def route_windows(stream: DataFrame, mapping: DataFrame, late: str = "10 minutes", width: str = "5 minutes", slide: str | None = "1 minute") -> DataFrame:
-    """KPIs per sliding (slide None: tumbling) window and route of vehicles with a route."""
-    return window_kpis(enrich(stream, mapping, "inner").withWatermark("timestamp", late), "timestamp", width, slide)
+def route_panes(stream: DataFrame, mapping: DataFrame, late: str = "10 minutes", width: str = "1 minute") -> DataFrame:
+    """Panes of each route's vehicles, for update mode: state holds a row for each route and pane, however wide the windows that are asked for later."""
+    return panes(enrich(stream, mapping, "inner").withWatermark("timestamp", late), "timestamp", width)
 
 
 def vehicle_sessions(stream: DataFrame, gap: str, late: str = "10 minutes") -> DataFrame:
