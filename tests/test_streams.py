@@ -97,35 +97,6 @@ def test_native_sink_and_trigger(spark, tmp_path):
     assert (tmp_path / "out" / "day=1").is_dir()
 
 
-def test_update_mode_writer_touches_its_partitions_only(spark, tmp_path):
-    path = f"file://{tmp_path}/t"
-    write = p.last_wins_by_partition(path, ["k", "day"], "day")
-    rows = lambda *r: spark.createDataFrame(list(r), "k int, v string, day int")
-    write(rows((1, "a", 1), (2, "b", 1), (1, "c", 2)), 0)
-    before = {f.name for f in (tmp_path / "t" / "day=2").iterdir()}
-    for _ in range(2):  # the second is a repeated batch
-        write(rows((2, "B", 1), (3, "d", 1)), 1)
-    write(rows().limit(0) if False else spark.createDataFrame([], "k int, v string, day int"), 2)
-    assert sorted(map(tuple, spark.read.parquet(path).select("k", "v", "day").collect())) == [(1, "a", 1), (1, "c", 2), (2, "B", 1), (3, "d", 1)]
-    assert {f.name for f in (tmp_path / "t" / "day=2").iterdir()} == before
-
-
-def test_serving_tables_and_stale_vehicles(spark, tmp_path):
-    root = f"file://{tmp_path}"
-    write = p.serving(f"{root}/log", f"{root}/latest", f"{root}/kpis", seconds=100)
-    schema = "event_id long, vehicle string, route_no string, ep long, speed double, ignition boolean, aircon boolean, sos boolean"
-    batch = lambda *r: spark.createDataFrame(list(r), schema)
-    write(batch((1, "a", "1", 1000, 10.0, True, False, False), (2, "b", "2", 1010, 0.0, True, True, False)), 0)
-    for _ in range(2):
-        write(batch((3, "a", "1", 1105, 30.0, True, False, True), (4, "a", "1", 1050, 99.0, True, False, False)), 1)
-    assert spark.read.parquet(f"{root}/log").count() == 4
-    latest = spark.read.parquet(f"{root}/latest").filter("version = 1").collect()
-    assert [(r.vehicle, r.event_id) for r in sorted(latest)] == [("a", 3), ("b", 2)] or [(r.vehicle, r.event_id) for r in sorted(latest, key=lambda r: r.vehicle)] == [("a", 3), ("b", 2)]
-    write(batch((5, "c", "2", 1200, 5.0, False, False, False)), 2)
-    kpis = {r.route: r for r in spark.read.parquet(f"{root}/kpis").filter("version = 2").collect()}
-    assert set(kpis) == {"1", "2", "ALL"} and kpis["ALL"].vehicles == 2 and kpis["ALL"].active == 1 and kpis["1"].sos == 1  # b is stale
-
-
 def test_router_explodes_and_repeats_safely(spark, tmp_path):
     rows = spark.createDataFrame([("x", 1, [(7,), (8,)]), ("y", 2, None), ("z", 3, None)], "kind string, id int, events array<struct<e: int>>")
     targets = {k: f"file://{tmp_path}/{k}" for k in ("x", "y", "none")}

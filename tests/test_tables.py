@@ -9,20 +9,6 @@ from tidefleet.sources import layout, readers, writers
 from tidefleet.streaming import pipelines as p
 
 
-def test_upsert_is_idempotent_and_null_keys_never_match(spark, tmp_path):
-    path = f"file://{tmp_path}/dim"
-    rows = lambda *r: spark.createDataFrame(list(r), "k int, v string")
-    writers.upsert(rows((1, "a"), (2, "b")), path, ["k"])
-    for _ in range(2):
-        writers.upsert(rows((2, "c"), (3, "d")), path, ["k"])
-    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, "a"), (2, "c"), (3, "d")]
-    for _ in range(2):
-        writers.upsert(rows((None, "n")), path, ["k"])
-    assert spark.read.parquet(path).count() == 5
-    with pytest.raises(ValueError, match="one key"):
-        writers.upsert(rows((7, "x"), (7, "y")), path, ["k"])
-
-
 def test_partition_overwrite_leaves_other_partitions(spark, tmp_path):
     path = f"file://{tmp_path}/t"
     writers.append(spark.createDataFrame([(1, "a"), (2, "b")], "v int, day string"), path, "day")
@@ -30,19 +16,11 @@ def test_partition_overwrite_leaves_other_partitions(spark, tmp_path):
     assert sorted(map(tuple, spark.read.parquet(path).select("v", "day").collect())) == [(1, "a"), (9, "b")]
 
 
-def test_delete_keeps_rows_for_which_the_condition_is_null(spark, tmp_path):
-    path = f"file://{tmp_path}/t"
-    writers.overwrite(spark.createDataFrame([(1,), (2,), (None,)], "v int"), path)
-    writers.delete_where(spark, path, "v = 1")
-    assert sorted(spark.read.parquet(path).collect(), key=str) == [(2,), (None,)]
-
-
-def test_compaction_and_versions(spark, tmp_path):
+def test_health_and_versions(spark, tmp_path):
     path = f"file://{tmp_path}/t"
     spark.range(1000).repartition(20).write.parquet(path)
-    assert layout.compact(spark, path, f"{path}-out") == 20
-    health = layout.table_health(spark.read.parquet(f"{path}-out")).collect()[0]
-    assert health.files == 1 and health.rows == 1000 and layout.table_health(spark.read.parquet(path)).collect()[0].files == 20
+    health = layout.table_health(spark.read.parquet(path)).collect()[0]
+    assert health.files == 20 and health.rows == 1000
     for v in range(5):
         spark.range(v + 1).write.parquet(f"{path}-v/version={v}")
     layout.prune_versions(spark, f"{path}-v", keep=2)
@@ -57,18 +35,6 @@ def test_route_files(spark, tmp_path):
     assert found == {1: [[3.0, 1.0], [4.0, 2.0]], 2: [], 3: []}
 
 
-def test_compaction_leaves_large_files_alone(spark, tmp_path):
-    path = f"file://{tmp_path}/t"
-    spark.range(40_000).withColumn("day", F.lit(1)).coalesce(1).write.partitionBy("day").parquet(path)
-    spark.range(40_000, 40_100).withColumn("day", F.lit(1)).repartition(5).write.mode("append").partitionBy("day").parquet(path)
-    before = layout.data_files(spark, path)
-    large = max(before, key=lambda f: f[1])
-    assert layout.compact(spark, path, f"{path}-out", large[1], "day") == 5
-    after = layout.data_files(spark, f"{path}-out")
-    assert len(after) == 2 and large[1] in [n for _, n, _ in after]
-    assert spark.read.parquet(f"{path}-out").agg(F.count("*"), F.sum("id")).collect()[0] == (40_100, sum(range(40_100)))
-
-
 def test_orphans_go_by_age(spark, tmp_path):
     path = f"file://{tmp_path}/t"
     spark.range(10).repartition(2).write.parquet(path)

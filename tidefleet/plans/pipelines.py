@@ -14,6 +14,7 @@ from tidefleet.plans import bindings as b
 from tidefleet.plans.bindings import MAPPING_SQL, WAYPOINTS_SQL
 from tidefleet.plans.domain import KALMAN_SQL
 from tidefleet.sources import layout, readers, writers
+from tidefleet.sources.published import Published
 from tidefleet.streaming import pipelines as p
 
 Q: dict = {}
@@ -55,12 +56,6 @@ def _pings(s: SparkSession, d: str, parts: int, root: str) -> tuple[str, T.Struc
     return f"{root}/in", w.schema
 
 
-def latest_version(s: SparkSession, path: str) -> DataFrame:
-    found = s.read.option("recursiveFileLookup", False).parquet(path)
-    last = found.agg(F.max("version")).collect()[0][0]
-    return found.filter(F.col("version") == last).drop("version")
-
-
 @query(f"""WITH {MAPPING_SQL}, {WAYPOINTS_SQL}, e AS (SELECT w.*, unnest(range(5)) AS i FROM wp w JOIN mp ON w.vehicle = mp.vehicle)
  SELECT (CAST(floor(ep / 60) AS BIGINT) - i) * 60 AS window_ep, route_no, ROUND(AVG(speed), 6) AS avg_speed, COUNT(*) AS messages, COUNT(DISTINCT vehicle) AS vehicles, CAST(SUM(CAST(speed > 0 AS INT)) AS BIGINT) AS moving,
  CAST(SUM(CAST(speed = 0 AS INT)) AS BIGINT) AS stopped, CAST(SUM(CAST(sos AS INT)) AS BIGINT) AS sos, CAST(SUM(CAST(ignition AS INT)) AS BIGINT) AS ignition_on FROM e GROUP BY 1, 2""")
@@ -70,8 +65,8 @@ def stream_route_window_kpis(s: SparkSession, d: str) -> DataFrame:
     path, schema = _pings(s, d, 3, root)
     known = b.mapping(s, d).withColumnRenamed("route_id", "mapped")
     stream = p.route_panes(readers.table_stream(s, path, schema, 1), known, "40 days").withColumn("day", F.to_date("pane"))
-    ran(stream, p.last_wins_by_partition(f"{root}/panes", ["pane", "route_no"], "day"), f"{root}/state", "update")
-    rows = status.pane_kpis(status.merged_panes(s.read.parquet(f"{root}/panes"), "5 minutes", "1 minute"), "5 minutes")
+    ran(stream, p.last_wins(f"{root}/panes", ["pane", "route_no"], "day"), f"{root}/state", "update")
+    rows = status.pane_kpis(status.merged_panes(Published(s, f"{root}/panes").read(), "5 minutes", "1 minute"), "5 minutes")
     return rows.select(F.unix_timestamp("window_start").alias("window_ep"), "route_no", F.round("avg_speed", 6).alias("avg_speed"), "messages", "vehicles", "moving", "stopped", "sos", "ignition_on")
 
 
@@ -80,8 +75,8 @@ def stream_tumbling(s: SparkSession, d: str) -> DataFrame:
     root = work_dir(s)
     path, schema = _pings(s, d, 2, root)
     stream = status.window_kpis(readers.table_stream(s, path, schema, 1).withWatermark("timestamp", "40 days"), "timestamp", "1 hour", None).withColumn("day", F.to_date("window_start"))
-    ran(stream, p.last_wins_by_partition(f"{root}/kpis", ["window_start", "route_no"], "day"), f"{root}/state", "update")
-    return s.read.parquet(f"{root}/kpis").select(F.unix_timestamp("window_start").alias("window_ep"), "route_no", "messages")
+    ran(stream, p.last_wins(f"{root}/kpis", ["window_start", "route_no"], "day"), f"{root}/state", "update")
+    return Published(s, f"{root}/kpis").read().select(F.unix_timestamp("window_start").alias("window_ep"), "route_no", "messages")
 
 
 @query(f"""WITH {MAPPING_SQL}, {WAYPOINTS_SQL} SELECT w.event_id, w.vehicle, m.route_id, w.date, w.hour FROM wp w LEFT JOIN mp m ON w.vehicle = m.vehicle WHERE w.x <> 0 AND w.y <> 0""")
@@ -136,8 +131,8 @@ def event_router(s: SparkSession, d: str) -> DataFrame:
 def stream_latest_upsert(s: SparkSession, d: str) -> DataFrame:
     root = work_dir(s)
     path, schema = _pings(s, d, 3, root)
-    ran(readers.table_stream(s, path, schema, 1).select("vehicle", "event_id", "ep", "speed"), p.versioned(f"{root}/latest", ["vehicle"], p.newest(["vehicle"], "ep", "event_id")), f"{root}/state")
-    return latest_version(s, f"{root}/latest")
+    ran(readers.table_stream(s, path, schema, 1).select("vehicle", "event_id", "ep", "speed"), p.versioned(f"{root}/latest", p.newest(["vehicle"], "ep", "event_id")), f"{root}/state")
+    return Published(s, f"{root}/latest").read()
 
 
 @query("SELECT event_id, CAST(user_id AS VARCHAR) AS vehicle, CAST(value AS FLOAT) AS speed, event_id AS ep, DATE '1970-01-01' + CAST(event_id // 86400 AS INTEGER) AS date, TRUE AS loaded FROM events WHERE event_id % 3 <> 0")
@@ -156,9 +151,10 @@ def dim_upsert_merge(s: SparkSession, d: str) -> DataFrame:
     root = work_dir(s)
     t = b.table(s, d, "supplier").select("s_suppkey", "s_acctbal")
     even = t.filter("s_suppkey % 2 = 0").withColumn("s_acctbal", F.col("s_acctbal") + 1)
-    writers.upsert(t, f"{root}/dim", ["s_suppkey"])
-    writers.upsert(even.unionAll(even.withColumn("s_suppkey", F.col("s_suppkey") + 1_000_000)), f"{root}/dim", ["s_suppkey"])
-    return s.read.parquet(f"{root}/dim")
+    dim = Published(s, f"{root}/dim", "s_suppkey")
+    dim.upsert(t, ["s_suppkey"])
+    dim.upsert(even.unionAll(even.withColumn("s_suppkey", F.col("s_suppkey") + 1_000_000)), ["s_suppkey"])
+    return dim.read()
 
 
 @query("SELECT event_id, event_type, CASE WHEN event_type = 'click' THEN 0 ELSE value END AS value FROM events")
@@ -183,11 +179,11 @@ def delete_backfill(s: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT event_id, event_type, value FROM events WHERE NOT (event_type = 'error' AND value > 50)")
 def delete_rows(s: SparkSession, d: str) -> DataFrame:
-    """A condition that is no partition's rewrites the table."""
-    root = work_dir(s)
-    writers.append(b.table(s, d, "events").select("event_id", "event_type", "value"), f"{root}/t")
-    writers.delete_where(s, f"{root}/t", "event_type = 'error' and value > 50")
-    return s.read.parquet(f"{root}/t")
+    """A condition that is no partition's rewrites the files with such rows."""
+    table = Published(s, f"{work_dir(s)}/t")
+    table.append(b.table(s, d, "events").select("event_id", "event_type", "value").repartitionByRange(8, "event_type", "value"))
+    table.delete("event_type = 'error' and value > 50")
+    return table.read()
 
 
 @query(f"WITH {WAYPOINTS_SQL} SELECT event_id, vehicle FROM wp")
@@ -206,10 +202,11 @@ def _small_files(s: SparkSession, d: str, root: str) -> None:
 
 @query(_LINES)
 def compact_roundtrip(s: SparkSession, d: str) -> DataFrame:
-    root = work_dir(s)
-    _small_files(s, d, root)
-    layout.compact(s, f"{root}/t", f"{root}/out")
-    return s.read.parquet(f"{root}/out")
+    """Twenty files into one bin."""
+    table = Published(s, f"{work_dir(s)}/t")
+    table.append(b.table(s, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").repartition(20))
+    layout.compact(table)
+    return table.read()
 
 
 @query(_LINES)

@@ -12,8 +12,9 @@ from tidefleet.operators import cleaning, kalman, status
 from tidefleet.plans import bindings as b
 from tidefleet.plans.bindings import DENSE_SQL, MAPPING_SQL, WAYPOINTS_SQL
 from tidefleet.plans.domain import KALMAN_SQL
-from tidefleet.plans.pipelines import _pings, _small_files, latest_version, ran, work_dir
+from tidefleet.plans.pipelines import _pings, _small_files, ran, work_dir
 from tidefleet.sources import catalog, layout, readers, writers
+from tidefleet.sources.published import Published
 from tidefleet.streaming import pipelines as p
 
 Q: dict = {}
@@ -42,8 +43,8 @@ def fleet_snapshot_stream(s: SparkSession, d: str) -> DataFrame:
     root = work_dir(s)
     path, schema = _pings(s, d, 3, root)
     ran(readers.table_stream(s, path, schema, 1), p.serving(f"{root}/log", f"{root}/latest", f"{root}/kpis", seconds=STALE_SECONDS, digits=6), f"{root}/state")
-    logged = s.read.parquet(f"{root}/log").agg(F.count("*").alias("logged"))
-    return latest_version(s, f"{root}/kpis").crossJoin(F.broadcast(logged))  # one row
+    logged = Published(s, f"{root}/log").read().agg(F.count("*").alias("logged"))
+    return Published(s, f"{root}/kpis").read().crossJoin(F.broadcast(logged))  # one row
 
 
 @query(f"""WITH {WAYPOINTS_SQL}, m AS (SELECT max(ep) FILTER (event_id % 10 <> 0) AS last FROM wp), k AS (SELECT *, CAST(floor(ep / 3600) AS BIGINT) * 3600 AS window_ep FROM wp)
@@ -58,8 +59,8 @@ def stream_late_rows(s: SparkSession, d: str) -> DataFrame:
     stream = readers.table_stream(s, f"{root}/in", w.schema, 1).withWatermark("timestamp", "1 day")
     counts = stream.groupBy(F.window("timestamp", "1 hour").alias("w")).agg(F.count("*").alias("messages"))
     counts = counts.select(F.unix_timestamp("w.start").alias("window_ep"), "messages", F.to_date("w.start").alias("day"))
-    ran(counts, p.last_wins_by_partition(f"{root}/out", ["window_ep"], "day"), f"{root}/state", "update")
-    return s.read.parquet(f"{root}/out").select("window_ep", "messages")
+    ran(counts, p.last_wins(f"{root}/out", ["window_ep"], "day"), f"{root}/state", "update")
+    return Published(s, f"{root}/out").read().select("window_ep", "messages")
 
 
 @query(f"""WITH {WAYPOINTS_SQL} SELECT event_id, vehicle, date, speed FROM wp WHERE speed > 0""")
@@ -166,10 +167,10 @@ def stop_dimension(s: SparkSession, d: str) -> DataFrame:
         F.col("n_nationkey").alias("RouteId"), F.col("v").alias("RouteVarId"), (F.col("n_nationkey") * 10 + F.col("i")).alias("StopId"), F.concat(F.lit("C"), F.col("i").cast("string")).alias("Code"), F.col("n_name").alias("Name"), *map(text, ("StopType", "Zone", "Ward", "AddressNo", "Street")),
         F.lit(106.0).alias("Lng"), F.lit(10.0).alias("Lat"), F.col("n_nationkey").cast("string").alias("Routes"), F.lit(True).alias("Outbound"),
     )
-    root = work_dir(s)
+    stops = Published(s, f"{work_dir(s)}/stops", "route_id")
     for _ in range(2):
-        writers.upsert(readers.stop_dimension(raw.unionAll(raw.withColumn("Code", F.lit("D")))), f"{root}/stops", ["route_id", "route_var_id", "stop_id"])
-    return s.read.parquet(f"{root}/stops").select("route_id", "route_var_id", "stop_id", "code", "stop_name", "routes", "lng", "lat")
+        stops.upsert(readers.stop_dimension(raw.unionAll(raw.withColumn("Code", F.lit("D")))), ["route_id", "route_var_id", "stop_id"])
+    return stops.read().select("route_id", "route_var_id", "stop_id", "code", "stop_name", "routes", "lng", "lat")
 
 
 @query("""SELECT n_nationkey AS route_id, v AS route_var_id, CAST(CASE WHEN n_nationkey = 1 THEN 106.6983 WHEN v = 1 THEN 106.1 ELSE 106.3 END AS DOUBLE) AS end_lng, CAST(CASE WHEN n_nationkey = 1 THEN 10.7716 WHEN v = 1 THEN 10.1 ELSE 10.3 END AS DOUBLE) AS end_lat, 3 AS points FROM nation, (SELECT unnest([1, 2]) AS v)""")
@@ -177,11 +178,11 @@ def path_dimension(s: SparkSession, d: str) -> DataFrame:
     """The end of each path that one route's missing terminal replaces: the first point outwards, the last one homewards."""
     n = b.table(s, d, "nation").withColumn("v", F.explode(F.array(F.lit(1), F.lit(2))))
     raw = n.select(F.col("n_nationkey").alias("RouteId"), F.col("n_name").alias("RouteNo"), F.col("v").alias("RouteVarId"), F.lit("v").alias("RouteVarName"), (F.col("v") == 1).alias("Outbound"), F.array(*map(F.lit, (10.1, 10.2, 10.3))).alias("lat"), F.array(*map(F.lit, (106.1, 106.2, 106.3))).alias("lng"))
-    root = work_dir(s)
+    paths = Published(s, f"{work_dir(s)}/paths", "route_id")
     for _ in range(2):
-        writers.upsert(readers.path_dimension(raw.unionAll(raw)), f"{root}/paths", ["route_id", "route_var_id", "outbound"])
+        paths.upsert(readers.path_dimension(raw.unionAll(raw)), ["route_id", "route_var_id", "outbound"])
     end = F.when(F.col("outbound"), F.element_at("path", 1)).otherwise(F.element_at("path", -1))
-    return s.read.parquet(f"{root}/paths").select("route_id", "route_var_id", end[0].alias("end_lng"), end[1].alias("end_lat"), F.size("path").alias("points"))
+    return paths.read().select("route_id", "route_var_id", end[0].alias("end_lng"), end[1].alias("end_lat"), F.size("path").alias("points"))
 
 
 @query(f"WITH {WAYPOINTS_SQL} SELECT event_id, vehicle, x, y FROM wp WHERE date BETWEEN DATE '2024-01-08' AND DATE '2024-01-12' AND x BETWEEN 106.62 AND 106.68 AND y BETWEEN 10.71 AND 10.74 ORDER BY speed DESC, event_id LIMIT 200")

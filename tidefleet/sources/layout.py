@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidefleet.functions.geo import morton
+from tidefleet.operators.scans import Tracks, total
+from tidefleet.sources.published import Published, file_name
 from tidefleet.sources.writers import overwrite
 
 TARGET_BYTES = 64 << 20
@@ -35,28 +36,49 @@ def data_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
     return sorted(found)
 
 
-def compact(spark: SparkSession, path: str, out: str, target_bytes: int = TARGET_BYTES, *partitions: str) -> int:
-    """The same rows at out in files of about target_bytes; how many files were rewritten.
+#: Files below the least size are put together, those above the greatest split; so many are rewritten and published at a time, as their names are broadcast.
+LEAST_BYTES, MOST_BYTES, FILES_AT_ONCE = 3 << 20, 128 << 20, 50_000
 
-    Files of half of target_bytes and more go over as they are, split no further;
-    only small ones are read together. Without partitions small files are
-    coalesced, not shuffled.
+
+def bins(listing: DataFrame, least: int = LEAST_BYTES, target: int = TARGET_BYTES, most: int = MOST_BYTES) -> DataFrame:
+    """(file, rows, folder, bin, pieces): the files of a listing that are to be rewritten.
+
+    Small files of a folder fill its bins one after another, by size, each up to
+    target bytes; a bin of one file stays as it is. A file above most bytes is
+    cut into pieces of about target bytes.
     """
-    files = data_files(spark, path)
-    small = [(f, n) for f, n, _ in files if 2 * n < target_bytes]
-    fs, _ = _listing(spark, path)
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    base = hadoop.Path(path).makeQualified(fs.getUri(), fs.getWorkingDirectory()).toString()
-    if small:
-        rows = spark.read.option("basePath", path).parquet(*(f for f, _ in small))
-        count = max(1, math.ceil(sum(n for _, n in small) / target_bytes))
-        overwrite(rows.repartition(count, *partitions) if partitions else rows.coalesce(count), out, *partitions)
-    for f, n, _ in files:
-        if 2 * n >= target_bytes:
-            target = hadoop.Path(out + f[len(base) :])
-            fs.mkdirs(target.getParent())
-            spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, hadoop.Path(f), fs, target, False, spark._jsc.hadoopConfiguration())
-    return len(small)
+    folder = F.regexp_extract("file", "write=[^/]+/(?:(.*)/)?[^/]+$", 1).alias("folder")
+    odd = listing.select("file", "rows", "bytes", folder)
+    track = Tracks.of(odd.filter(F.col("bytes") < least), ["folder"], "bytes", "file").scan(upto=total("bytes"))
+    small = track.plain().withColumn("bin", F.floor((F.col("upto") - F.col("bytes")) / target))
+    shared = small.groupBy("folder", "bin").agg(F.count("*").alias("__n")).filter("__n > 1").drop("__n")
+    large = odd.filter(F.col("bytes") > most)
+    columns = lambda df, bin, pieces: df.select("file", "rows", "folder", bin.cast("string").alias("bin"), pieces.cast("long").alias("pieces"))
+    return columns(small.join(shared, ["folder", "bin"], "left_semi"), F.col("bin"), F.lit(1)).unionAll(columns(large, F.col("file"), F.ceil(F.col("bytes") / target)))
+
+
+def compact(table: Published, least: int = LEAST_BYTES, target: int = TARGET_BYTES, most: int = MOST_BYTES, at_once: int = FILES_AT_ONCE) -> int:
+    """Rewrite a table's small and very large files, a task for each bin or piece; how many files were rewritten. All others stay where they are.
+
+    Bins are named on the driver, one for each task that it runs anyway; rows go
+    from readers to writers.
+    """
+    listing, done = table.listing(), 0
+    listed = [] if listing is None else bins(listing, least, target, most).orderBy("folder", "bin", "file").collect()
+    while listed:
+        some, listed = listed[:at_once], listed[at_once:]
+        first, at = {}, 0
+        for r in some:
+            if (r["folder"], r["bin"]) not in first:
+                first[r["folder"], r["bin"]], at = at, at + r["pieces"]
+        named = table.spark.createDataFrame([(r["file"], first[r["folder"], r["bin"]], r["pieces"], r["rows"]) for r in some], "__file string, __first int, __pieces long, __rows long")
+        files = [r["file"] for r in some]
+        rows = table.rows_of(files)
+        met = rows.withColumns({"__at": file_name(), "__index": F.col("_metadata.row_index")}).join(F.broadcast(named), F.col("__at") == F.col("__file"))
+        task = F.col("__first") + F.floor(F.col("__index") * F.col("__pieces") / F.col("__rows")).cast("int")
+        table.rewrite(met.repartitionById(at, task).select(*rows.columns), files)
+        done += len(files)
+    return done
 
 
 def remove_orphans(spark: SparkSession, path: str, known: DataFrame, older_than_ms: int) -> list[str]:
@@ -122,14 +144,17 @@ def layout_benchmark(spark: SparkSession, path: str, root: str, queries: dict[st
     """Seconds of each query over five layouts of one table: many small files, compacted, by day, sorted, in Z-order. One warm-up, then the mean of two runs."""
     source = spark.read.parquet(path)
     overwrite(source.repartition(pieces), f"{root}/small")
-    compact(spark, f"{root}/small", f"{root}/compacted")
+    compacted = Published(spark, f"{root}/compacted")
+    compacted.append(source.repartition(pieces))
+    compact(compacted)
+    compacted.vacuum(1)
     overwrite(by_day(source, time_column).repartition("day"), f"{root}/by_day", "day")
     sort_rewrite(spark, f"{root}/small", f"{root}/sorted", keys, files)
     z_order_rewrite(spark, f"{root}/small", f"{root}/z_order", *keys[:2], files)
     out = []
     for name in ("small", "compacted", "by_day", "sorted", "z_order"):
-        seconds = {q: [timed(run(spark.read.parquet(f"{root}/{name}"))) for _ in range(3)][1:] for q, run in queries.items()}
-        out.append({"layout": name, "files": len(data_files(spark, f"{root}/{name}")), "bytes": table_bytes(spark, f"{root}/{name}")} | {q: sum(v) / 2 for q, v in seconds.items()})
+        seconds = {q: [timed(run(compacted.read() if name == "compacted" else spark.read.parquet(f"{root}/{name}"))) for _ in range(3)][1:] for q, run in queries.items()}
+        out.append({"layout": name, "files": compacted.listing().count() if name == "compacted" else len(data_files(spark, f"{root}/{name}")), "bytes": table_bytes(spark, f"{root}/{name}")} | {q: sum(v) / 2 for q, v in seconds.items()})
     return out
 
 

@@ -1,13 +1,7 @@
-"""Writers over plain Parquet tables: append, partition overwrite, upsert, delete, buckets.
-
-A folder can't be rewritten while it is read, so upsert and delete write a new
-version beside it and swap; partition overwrite replaces whole partitions.
-"""
+"""Writers over plain Parquet folders: append, overwrite, whole partitions, buckets. Merges, deletes and repeated batches are those of published tables."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,40 +24,6 @@ def exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
-def _swap(spark: SparkSession, new: str, path: str) -> None:
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    target, source, old = hadoop.Path(path), hadoop.Path(new), hadoop.Path(f"{path}-old-{uuid.uuid4().hex}")
-    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    if fs.exists(target):
-        fs.rename(target, old)
-    if not fs.rename(source, target):
-        fs.rename(old, target)
-        raise OSError(f"{new} can't be renamed to {path}")
-    fs.delete(old, True)
-
-
-def merged(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of target whose keys updates doesn't have, and all rows of updates. A null key matches nothing."""
-    return target.join(updates.select(*keys), keys, "left_anti").unionByName(updates)
-
-
-def upsert(df: DataFrame, path: str, keys: list[str], *partitions: str) -> None:
-    """Merge df into the table at path: matched rows are replaced, others added. Repeated keys in df are an error."""
-    spark = df.sparkSession
-    if df.dropna(subset=keys).groupBy(*keys).count().filter("count > 1").limit(1).count():
-        raise ValueError("several rows of one key")
-    new = f"{path}-new-{uuid.uuid4().hex}"
-    overwrite(merged(spark.read.parquet(path), df, keys) if exists(spark, path) else df, new, *partitions)
-    _swap(spark, new, path)
-
-
-def delete_where(spark: SparkSession, path: str, condition: str, *partitions: str) -> None:
-    """Rewrite the table without the rows for which condition is true."""
-    new = f"{path}-new-{uuid.uuid4().hex}"
-    overwrite(spark.read.parquet(path).filter(~F.coalesce(F.expr(condition), F.lit(False))), new, *partitions)
-    _swap(spark, new, path)
-
-
 def drop_partition(spark: SparkSession, path: str, column: str, value: object) -> bool:
     """Delete the rows of one partition, by its folder alone; whether there was one."""
     where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")

@@ -17,8 +17,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from tidefleet.operators.cleaning import enrich, local_columns, valid_gps
 from tidefleet.operators.kalman import STATE_SECONDS, State, _resting, run, state_columns
 from tidefleet.operators.status import fleet_snapshot, latest_status, panes
-from tidefleet.sources.layout import prune_versions
-from tidefleet.sources.writers import exists, overwrite, overwrite_partitions
+from tidefleet.sources.published import Published, batch_of
 
 
 def unique_pings(stream: DataFrame, late: str = "15 minutes") -> DataFrame:
@@ -87,49 +86,47 @@ def to_files(stream: DataFrame, path: str, checkpoint: str, *partitions: str, tr
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def last_wins_by_partition(path: str, keys: list[str], partition: str) -> Callable[[DataFrame, int], None]:
-    """A writer for update mode: a batch's rows replace those of their keys, and only the partitions that the batch has rows for are read and written.
+def last_wins(path: str, keys: list[str], partition: str, keep: int = 3) -> Callable[[DataFrame, int], None]:
+    """A writer for update mode into a published table: a batch's rows replace those of their keys, and only the files that hold such a key are read and written.
 
-    Partitions are few in a batch (days of windows). Writing a batch again changes nothing.
+    The table is in folders by partition. A batch that stops anywhere and is
+    repeated, or that comes twice, changes nothing else.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
         batch.persist()
         try:
-            touched = [r[0] for r in batch.select(partition).distinct().collect()]
-            if touched:
-                rows = batch
-                if exists(spark, path):
-                    old = spark.read.schema(batch.schema).parquet(path).filter(F.col(partition).isin(touched))
-                    rows = old.join(batch.select(*keys), keys, "left_anti").unionByName(batch)
-                overwrite_partitions(rows, path, partition)
+            table = Published(batch.sparkSession, path, keys[0])
+            if not batch.isEmpty():
+                table.upsert(batch, keys, partition, source=batch_of(batch, number), nulls_match=True)
+                table.vacuum(keep)
         finally:
             batch.unpersist()
 
     return write
 
 
-def serving(log: str, latest: str, kpis: str, order: tuple[str, ...] = ("ep", "event_id"), seconds: int = STATE_SECONDS, digits: int = 2) -> Callable[[DataFrame, int], None]:
-    """A writer that feeds three tables from each batch: the log of pings, the latest ping of each vehicle, and fleet KPIs of those.
+def serving(log: str, latest: str, kpis: str, order: tuple[str, ...] = ("ep", "event_id"), seconds: int = STATE_SECONDS, digits: int = 2, keep: int = 3) -> Callable[[DataFrame, int], None]:
+    """A writer that feeds three published tables from each batch: the log of pings, the latest ping of each vehicle, and fleet KPIs of those.
 
     A vehicle whose latest ping lies so many seconds before the newest of all is
-    stale: it leaves the latest table, and with it the KPIs. A batch that is
-    repeated writes its parts again.
+    stale: it leaves the latest table, and with it the KPIs. Each table takes a
+    batch once, so a batch that stops between two of them is made up for when it
+    is repeated, and a new checkpoint goes on from what the tables hold.
     """
     merge = newest(["vehicle"], *order)
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
+        spark, source = batch.sparkSession, batch_of(batch, number)
         batch.persist()
         try:
-            overwrite(batch, f"{log}/batch={number:012d}")
-            versioned(latest, ["vehicle"], lambda old, new: fresh(merge(old, new), order[0], seconds))(batch, number)
+            Published(spark, log).append(batch, source=source)
+            versioned(latest, lambda old, new: fresh(merge(old, new), order[0], seconds), keep)(batch, number)
         finally:
             batch.unpersist()
-        now = spark.read.parquet(f"{latest}/version={number:012d}")
-        overwrite(snapshot(now, digits), f"{kpis}/version={number:012d}")
-        prune_versions(spark, kpis)
+        table = Published(spark, kpis)
+        table.replace(snapshot(Published(spark, latest).read(), digits), source=source)
+        table.vacuum(keep)
 
     return write
 
@@ -140,18 +137,17 @@ def fresh(latest: DataFrame, time: str, seconds: int) -> DataFrame:
     return latest.crossJoin(F.broadcast(last)).filter(F.col(time) >= F.col("__newest") - seconds).drop("__newest")  # one row
 
 
-def versioned(path: str, keys: list[str], merge: Callable[[DataFrame, DataFrame], DataFrame], keep: int = 3) -> Callable[[DataFrame, int], None]:
-    """A writer that merges each batch into the version before it, of which so many stay; a batch that is repeated writes its version again.
+def versioned(path: str, merge: Callable[[DataFrame, DataFrame], DataFrame], keep: int = 3) -> Callable[[DataFrame, int], None]:
+    """A writer that merges each batch into the whole of a published table, of which so many versions stay.
 
-    For tables that stay small, such as one row a vehicle: each version is the whole table.
+    For tables that stay small, such as one row a vehicle. It goes on from the
+    newest version, whatever query wrote that; a batch that is repeated changes nothing.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        before = f"{path}/version={number - 1:012d}"
-        there = number > 0 and exists(spark, before)
-        overwrite(merge(spark.read.parquet(before), batch) if there else merge(batch.limit(0), batch), f"{path}/version={number:012d}")
-        prune_versions(spark, path, keep)
+        table = Published(batch.sparkSession, path)
+        table.replace(merge(table.read(batch.schema) if table.record() else batch.limit(0), batch), source=batch_of(batch, number))
+        table.vacuum(keep)
 
     return write
 
@@ -163,11 +159,6 @@ def newest(keys: list[str], *order: str) -> Callable[[DataFrame, DataFrame], Dat
     return lambda old, new: one_per_key(old.unionByName(new), keys, *(F.desc(c) for c in order))
 
 
-def last_wins(keys: list[str]) -> Callable[[DataFrame, DataFrame], DataFrame]:
-    """Merge by which a key's new row replaces the old one, for update mode."""
-    return lambda old, new: old.join(new.select(*keys), keys, "left_anti").unionByName(new)
-
-
 def snapshot(latest: DataFrame, digits: int = 2) -> DataFrame:
     """Fleet KPIs of a table of latest pings."""
     return fleet_snapshot(latest_status(latest), digits)
