@@ -84,6 +84,7 @@ def test_blocks_and_features_by_plain_code():
             ours = [b for b in p.blocks if b[3] == section]
             assert [x[n][i] for n in ("words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after")] == [words, linked / words, *beside[0], *beside[1]]
             assert x["longest_near"][i] == max([b[1] for b in p.blocks[max(0, i - 3) : i + 4] if b[2] < 0.3 * b[1]], default=0)
+            assert x["elsewhere"][i] == sum(b[1] for b in p.blocks) - sum(b[1] for b in ours)
             assert x["section_words"][i] == sum(b[1] - b[2] for b in ours) and x["section_link_density"][i] == sum(b[2] for b in ours) / sum(b[1] for b in ours)
 
 
@@ -111,7 +112,7 @@ def test_words_and_links_of_neighbours_decide():
 
     walk(H.trained(), 0)
     assert {"words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "section_words"} <= set(used)
-    assert used["section_words"] == 0 and used["link_density"] == 1
+    assert used["outside"] == 0 and used["section_link_density"] == 1
 
 
 def test_held_out_pages():
@@ -147,6 +148,53 @@ def test_pages_of_the_test_data(change, least):
     assert exact >= least * len(pages)
 
 
+def said(n, seed=0):
+    words = "harbor lantern quiet meadow signal copper winter garden stone ribbon thirteen velvet".split()
+    return " ".join(words[(i * 7 + seed + i // 5) % len(words)] for i in range(n)) + "."
+
+
+SURROUNDINGS = (
+    '<aside class="sidebar">{}</aside>', '<div class="cookie-consent">{}</div>', '<div class="comments">{}</div>', '<section class="comments">{}</section>', '<div class="related">{}</div>',
+    '<div id="comments"><h2>Three replies</h2><article class="comment"><p>Jo</p>{}</article></div>',
+)
+
+
+@pytest.mark.parametrize("around", SURROUNDINGS)
+@pytest.mark.parametrize("share", [0.5, 0.9, 1.1, 1.5, 3, 10])
+def test_surroundings_of_any_length_stay_out(around, share):
+    for seed in range(12):
+        text = [said(12 + 7 * seed, seed), said(70, seed + 1)]
+        n = int(share * sum(len(t.split()) for t in text))
+        inner = around.format("".join(f"<p>{said(min(25 + seed, n - i), seed + i)}</p>" for i in range(0, n, 25 + seed)))
+        main = "<article><h1>A walk by the harbor</h1>" + "".join(f"<p>{t}</p>" for t in text) + "</article>"
+        for page in (main + inner, inner + main):
+            page = f'<html><body><nav><a href="/">start</a> <a href="/b">all pages</a></nav>{page}<footer>2020 the makers</footer></body></html>'
+            assert H.main_text(page, H.trained()) == " ".join(["A walk by the harbor", *text])
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 10, 20, 30, 40, 55, 60, 100, 1000])
+def test_a_page_without_surroundings_is_main_text(n):
+    t = said(n)
+    for page, text in ((f"<p>{t}</p>", t), (t, t), (f"<html><head><title>no</title></head><body><p>{t}</p></body></html>", t), (f"<h1>Title</h1><p>{t}</p>", f"Title {t}"), (f"<div><p>{t}</p></div>", t), (f"<article><p>{t}</p></article>", t)):
+        assert H.main_text(page, H.trained()) == text
+
+
+HAND_WRITTEN = [
+    (f'''<!DOCTYPE html><html><body class="home has-sidebar no-comments"><header class="site-header"><a href="/">The Daily Pond</a><nav><ul><li><a href="/n">News</a></li><li><a href="/w">Weather</a></li></ul></nav></header>
+    <div class="with-sidebar"><main><article><h1>Ducks return</h1><p class="byline">By Ann</p><p>{said(60)}</p><h2>Why now</h2><p>{said(8)}</p><blockquote><p>{said(15)}</p></blockquote><p>{said(45)}</p></article></main>
+    <aside class="sidebar"><h3>About us</h3><p>{said(130)}</p></aside></div><footer><p>&copy; 2021 Pond</p></footer></body></html>''', f"Ducks return {said(60)} Why now {said(8)} {said(15)} {said(45)}"),
+    (f'''<div id="page"><div id="menu"><a href="a">one</a> <a href="b">two</a></div><div id="content"><h1>Soup</h1><p>{said(40)}</p><ul><li>{said(4)}</li><li>{said(3)}</li></ul><p>{said(50)}</p></div>
+    <div id="comments"><h3>Comments</h3><ol><li><div class="comment"><p>Lee</p><p>{said(90)}</p></div></li><li><div class="comment"><p>Kim</p><p>{said(120)}</p></div></li></ol></div></div>''', f"Soup {said(40)} {said(4)} {said(3)} {said(50)}"),
+    (f'''<body><div class="cookie-notice"><p>{said(200)}</p></div><main class="page-with-ads"><h1>Short</h1><p>{said(20)}</p><div class="advert"><p>{said(12)}</p></div></main></body>''', f"Short {said(20)}"),
+    (f'''<body><form><p>Search here</p><label>words</label></form><article><p>{said(30)}</p><p>{said(2)}</p><script>var a = "<p>x</p>";</script><p>{said(30, 3)}</p></article><section class="related"><h2>More</h2><p>{said(300)}</p></section></body>''', f"{said(30)} {said(2)} {said(30, 3)}"),
+]
+
+
+@pytest.mark.parametrize(("page", "text"), HAND_WRITTEN)
+def test_hand_written_pages(page, text):
+    assert H.main_text(page, H.trained()) == text
+
+
 @pytest.mark.parametrize("part", ["<script ", "<a ", "<p class=\"", "<svg>", "<!--", "<div>", "</div>", "<div></p>", "<a href='", "&#99999999", "class=", "<"])
 def test_long_pages_take_linear_time(part):
     began = time.perf_counter()

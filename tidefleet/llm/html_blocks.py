@@ -5,7 +5,8 @@ described by its words and link density, those of the blocks beside it and of
 the section that it shares with its siblings, and what its tags and names say; a
 decision tree grown on a small labelled table says which blocks are main text.
 In most of that table names are missing or misleading, so that words and links
-must decide; a name counts only on what holds less than half of a page's words.
+must decide. A name counts on any container but a wrapper: what holds the page's
+article, its title beside other parts, or all there is.
 """
 
 from __future__ import annotations
@@ -45,7 +46,7 @@ ITEMS = frozenset("dd dt li td th".split())
 LONG_REFERENCE = re.compile("&#([0-9]{8,});?")
 FEATURES = (
     "words", "link_density", "words_before", "link_density_before", "words_after", "link_density_after", "longest_near",
-    "section_words", "section_share", "section_link_density", "section_heading", "heading", "item", "bare", "after_title", "around", "named", "main", "page_header",
+    "section_words", "section_share", "section_link_density", "section_heading", "heading", "item", "bare", "after_title", "around", "named", "main", "page_header", "elsewhere", "outside",
 )
 #: Rows of a tree at most, so many levels down.
 DEPTH, LEAST = 10, 4
@@ -159,6 +160,24 @@ def parsed(page: str | None) -> Page:
     return out
 
 
+def _wrappers(page: Page, under: np.ndarray) -> set[int]:
+    """Containers whose names don't tell of what they hold, whatever its length: those of the page's main element or article, else those of its title and other parts; and those of all there is."""
+    nodes = range(1, len(page.tag))
+    whole = {i for i in nodes if under[i] == under[0]}
+    begin = next((i for i in nodes if page.tag[i] == "main"), None) or next((i for i in nodes if page.tag[i] == "article" and not page.named[i]), None)
+    parts = [True] * len(page.tag)
+    if begin is None:
+        parts = [False] * len(page.tag)
+        for i in reversed(nodes):
+            parts[page.parent[i]] |= parts[i] or page.named[i] or page.tag[i] in AROUND
+        begin = next((b.node for b in page.blocks if b.tag == "h1"), 0)
+    while begin:
+        if parts[begin]:
+            whole.add(begin)
+        begin = page.parent[begin]
+    return whole
+
+
 def described(page: Page) -> np.ndarray:
     """FEATURES of each block."""
     found, nodes = page.blocks, len(page.tag)
@@ -174,11 +193,12 @@ def described(page: Page) -> np.ndarray:
     section, around, named, main, header = list(range(nodes)), [0] * nodes, [0] * nodes, [0] * nodes, [0] * nodes
     for i in range(nodes - 1, 0, -1):
         under[page.parent[i]] += under[i]
+    wrappers = _wrappers(page, under)
     for i in range(1, nodes):
         up, tag = page.parent[i], page.tag[i]
         section[i] = section[up] if tag in PARTS else i
-        around[i] = around[up] + (tag in AROUND)
-        named[i] = named[up] + (page.named[i] and 2 * under[i] < under[0])
+        around[i] = around[up] + (tag in AROUND and i not in wrappers)
+        named[i] = named[up] + (page.named[i] and i not in wrappers)
         main[i] = main[up] + (tag in MAIN)
         header[i] = header[up] + (tag == "header" and not main[i])
     sections = np.array(section)[node]
@@ -195,7 +215,7 @@ def described(page: Page) -> np.ndarray:
     return np.column_stack([
         words, density, before, density_before, after, density_after, near,
         section_free[sections], section_free[sections] / max(1.0, section_free.max()), total_linked[sections] / np.maximum(total[sections], 1), rank, heading > 0, own[:, :2], after_title,
-        np.array(around)[node], np.array(named)[node] + own[:, 2], np.array(main)[node], np.array(header)[node],
+        np.array(around)[node], np.array(named)[node] + own[:, 2], np.array(main)[node], np.array(header)[node], under[0] - total[sections], outside,
     ])
 
 
@@ -208,9 +228,14 @@ class Node:
     above: Node | None = field(default=None, repr=False)
 
 
-def grow(x: np.ndarray, y: np.ndarray, depth: int = DEPTH, least: int = LEAST) -> Node:
-    """A decision tree by Gini impurity, on rows of features and labels 0 or 1."""
+def grow(x: np.ndarray, y: np.ndarray, depth: int = DEPTH, least: int = LEAST, first: int | None = None) -> Node:
+    """A decision tree by Gini impurity, on rows of features and labels 0 or 1; first is a feature of two values or more that is asked before all others."""
     node = Node(float(y.mean()))
+    if first is not None:
+        node.feature, node.split = first, 0.5
+        low = x[:, first] < 0.5
+        node.below, node.above = grow(x[low], y[low], depth, least), grow(x[~low], y[~low], depth, least)
+        return node
     if depth == 0 or len(y) < 2 * least or y.min() == y.max():
         return node
     best = (2 * node.share * (1 - node.share) * len(y) - 1e-9, -1, 0.0)
@@ -257,7 +282,8 @@ def trained() -> Node:
         found = parsed(page)
         x.append(described(found))
         y += [b.text.startswith(MARKED) for b in found.blocks]
-    return grow(np.concatenate(x), np.array(y, float))
+    # what an element or a name tells comes first: a tree that asks for lengths before it would know only those of the table
+    return grow(np.concatenate(x), np.array(y, float), first=FEATURES.index("outside"))
 
 
 def main_text(page: str | None, tree: Node) -> str:
@@ -270,7 +296,8 @@ def main_text(page: str | None, tree: Node) -> str:
 def extract(pages: DataFrame) -> DataFrame:
     """Per row of pages: page_id, url, text (main text), n_chars.
 
-    Null and empty html give an empty text; elements that don't close are closed
+    Null and empty html give an empty text; a page without surroundings is main
+    text as a whole, be it one word or text without a tag; elements that don't close are closed
     at the page's end, and a tag without an end holds the rest of the page; a
     page of any length takes time in proportion to it; repeated rows and null ids
     get their results; ties cannot arise; an empty table gives none. Other

@@ -4,6 +4,7 @@ Each page is put together from a frame, what stands around its text, and a text
 of blocks of given lengths. Pages come in turn with telling names, with names
 that mislead (a wrapper of all that is called after its sidebar, notices that are
 called content) and with none; with and without elements that tell of an article.
+Some have surroundings longer than their text, some have none at all.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import random
 
 MARKED = "¶"
 _WORDS = "lorem ipsum dolor sit amet consetetur sadipscing elitr sed diam nonumy eirmod tempor invidunt ut labore et dolore magna aliquyam erat".split()
-PAGES = 4000
+PAGES = 3000
 
 
 class Writer:
@@ -77,6 +78,26 @@ class Writer:
             lambda: t.box("teasers", "".join(f'<h3><a href="/{i}">{t.some(3, 8)}</a></h3><p>{t.some(8, 28)}</p>' for i in range(r.randint(2, 4)))),
         ))()
 
+    def prose(self, n: int, title: str = "h3") -> str:
+        """About n words in paragraphs, some below a heading."""
+        t, r, out = self, self.r, []
+        while n > 0:
+            k = r.choice((6, 15, 30, 60, 90))
+            out.append((f"<{title}>{t.some(1, 5)}</{title}>" if r.random() < 0.2 else "") + f"<p>{t.text(min(n, k))}</p>")
+            n -= k
+        return "".join(out)
+
+    def long(self, n: int) -> str:
+        """Surroundings of n words, which a name or an element tells of."""
+        t, r = self, self.r
+        if self.names != "telling":
+            return r.choice(("<aside>{}</aside>", "<footer>{}</footer>", "<form>{}</form>", "<aside><div>{}</div></aside>")).format(t.prose(n))
+        each = lambda tag: "".join(t.box("comment", f"<p>{t.some(1, 2)}</p>{t.prose(k)}", tag) for k in [40] * (n // 40) + [n % 40 + 1])
+        return r.choice((
+            lambda: t.box("sidebar", t.prose(n), "aside"), lambda: t.box("cookie-consent", t.prose(n)), lambda: t.box("comments", t.prose(n), "section"), lambda: t.box("related", t.prose(n)), lambda: t.box("notice", f"<p>{t.text(n)}</p>"),
+            lambda: t.box("comments", f"<h2>{t.some(1, 2)}</h2>" + each("div"), "section"), lambda: t.box("comment-list", each("article")), lambda: t.box("site-footer", t.prose(n), "footer"),
+        ))()
+
     def linked(self) -> str:
         """A block of links among those of a text, with no container of its own."""
         t, r = self, self.r
@@ -147,11 +168,30 @@ class Writer:
         end = r.choice((f'<p>&copy; {t.some(1, 4)} <a href="/i">{t.some(2, 5)}</a></p>', "".join(t.linked() for _ in range(3)), f"<hr>{t.linked()}<p>{t.some(1, 4)}</p>{t.linked()}"))
         return "".join(lines) + text + end
 
+    def alone(self) -> str:
+        """A page without surroundings: one block or a few, or text without a tag."""
+        t, r = self, self.r
+        n = r.choice((1, 2, 3, 5, 10, 20, 30, 40, 60, 100, 300))
+        p = lambda n: f"<p>{MARKED}{t.text(n)}</p>"
+        title = f"<h1>{MARKED}{t.some(1, 9)}</h1>"
+        inner = r.choice((f"{MARKED}{t.text(n)}", p(n), title + p(n), p(n) + p(r.randint(1, 30)), title, title + p(3) + p(n), f"<div>{p(n)}</div>", f"<div>{MARKED}{t.text(n)}</div>", p(n) + f"<ul><li>{MARKED}{t.some(1, 9)}</li><li>{MARKED}{t.some(1, 9)}</li></ul>"))
+        if self.semantic == 2 and r.random() < 0.3:
+            inner = f"<article>{inner}</article>"
+        return r.choice(("{}", "<html><body>{}</body></html>", "<html><head><title>x</title></head><body>{}</body></html>")).format(inner)
+
     def page(self) -> str:
         t, r = self, self.r
+        if r.random() < 0.12:
+            return self.alone()
         if self.names == "none" and not self.semantic and r.random() < 0.6:
             return f"<html><head><title>{t.some(2, 6)}</title></head><body>{t.flat()}</body></html>"
-        body = "".join(t.above() for _ in range(r.randint(1, 3))) + t.framed() + "".join(t.below() for _ in range(r.randint(1, 3)))
+        above, inner, below = "".join(t.above() for _ in range(r.randint(1, 3))), t.framed(), "".join(t.below() for _ in range(r.randint(1, 3)))
+        if (self.names == "telling" or self.semantic == 2) and r.random() < 0.7:
+            more = t.long(max(3, int(inner.count(" ") * r.choice((0.3, 0.6, 0.9, 1.2, 2, 4)))))
+            above, below = (above + more, below) if r.random() < 0.3 else (above, more + below) if r.random() < 0.5 else (above, below + more)
+        if self.names == "telling" and self.semantic == 2 and r.random() < 0.2:  # a wrapper of some, called after a part of it
+            inner, below = f'<div class="{r.choice(("has-sidebar", "with-ads", "no-comments"))}">{inner}{t.box("sidebar", t.prose(30), "aside")}</div>', below
+        body = above + inner + below
         if self.names == "misleading":
             body = f'<div class="{r.choice(("has-sidebar", "page-with-ads", "no-comments share"))}">{body}</div>'
         return f"<html><head><title>{t.some(2, 6)}</title></head><body>{body}</body></html>"
