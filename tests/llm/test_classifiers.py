@@ -53,30 +53,54 @@ def test_posteriors_follow_the_votes():
 
 
 def test_label_model_by_enumeration():
-    """Expectation maximisation document by document, with a table a voter and class, against the one by patterns."""
+    """Expectation maximisation document by document, with a table a voter, class and length, against the one by patterns."""
     r = np.random.default_rng(3)
     truth = r.random(400) < 0.2
     levels = np.where(truth[:, None], r.choice(3, (400, len(toxicity.VOTERS)), p=[0.4, 0.3, 0.3]), r.choice(3, (400, len(toxicity.VOTERS)), p=[0.9, 0.08, 0.02]))
+    length = r.choice(len(toxicity.LENGTHS) + 1, 400)
     start = np.where(levels.sum(1) > 4, 0.9, 0.1)
     posterior = start.copy()
     for _ in range(5):
         prior = [sum(1 - posterior) + 1, sum(posterior) + 1]
         odds = []
-        for row in levels:
+        for row, own in zip(levels, length, strict=True):
             p = list(prior)
             for v, level in enumerate(row):
                 for y in (0, 1):
                     weight = posterior if y else 1 - posterior
-                    p[y] *= (weight[levels[:, v] == level].sum() + 0.5) / (weight.sum() + 1.5)
+                    whole = (weight[levels[:, v] == level].sum() + 1.5 / toxicity.LEVELS) / (weight.sum() + 1.5)
+                    p[y] *= (weight[(levels[:, v] == level) & (length == own)].sum() + toxicity.PRIOR * whole) / (weight[length == own].sum() + toxicity.PRIOR)
             odds.append(p[1] / (p[0] + p[1]))
         posterior = np.array(odds)
-    patterns, place, count = np.unique(levels, axis=0, return_inverse=True, return_counts=True)
+    patterns, place, count = np.unique(np.column_stack([levels, length]), axis=0, return_inverse=True, return_counts=True)
     begin = np.zeros(len(patterns))
     begin[place] = start
-    found = toxicity.fitted(patterns, count.astype(float), np.zeros((len(patterns), 2)), [[i] for i in range(len(toxicity.VOTERS))], begin, 5)
+    found = toxicity.fitted(patterns[:, :-1], patterns[:, -1], count.astype(float), np.zeros((len(patterns), 2)), [[i] for i in range(len(toxicity.VOTERS))], begin, 5)
     assert np.allclose(found[place], posterior, atol=1e-9) and ((posterior > 0.5) == truth).mean() > 0.95
 
 
+def test_votes_do_not_depend_on_length():
+    """The same words of abuse give the same votes among 50 and 5000 different words; only the length tells the texts apart."""
+    found = [toxicity.Lexicons().votes(" ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)}" for i in range(n)) + " idiot moron scum") for n in (50, 260, 520, 800, 5000)]
+    assert all(np.array_equal(f[0], found[0][0]) and f[1] == 3 for f in found) and found[0][0][0] == 2
+    assert [toxicity.length_of(len(f[2])) for f in found] == [0, 1, 2, 2, 3]
+    codes = [toxicity._code(f[0], toxicity.length_of(len(f[2]))) for f in found]
+    assert np.array_equal(toxicity.levels_of(np.array(codes)), np.stack([f[0] for f in found]))
+
+
+def test_what_votes_say_in_long_texts_is_learnt():
+    """A vote that most long texts have by chance says little there and much in short ones."""
+    one, long = code(words_a=1), 3 << 2 * len(toxicity.VOTERS)
+    sure = code(words_a=1, nouns=2, stems_a=2)
+    p = toxicity.label_model({0: 9000.0, one: 30.0, sure: 300.0, long: 300.0, long + one: 700.0, long + sure: 20.0}, {(0, 0): 100.0, (one, 1): 10.0, (sure, 1): 30.0, (long + one, 0): 20.0, (long + sure, 1): 4.0})
+    assert p[one] > 0.5 > 0.1 > p[long + one] and p[sure] > 0.9 and p[long + sure] > 0.9
+
+
+def test_rows_weigh_what_all_documents_have():
+    weight, bare, more = toxicity.weighed(np.array([5, 5, 7]), {5: 600.0, 7: 300.0, 9: 100.0})
+    assert bare == [9] and np.allclose(weight, [300, 300, 300]) and np.allclose(more, [100])
+
+
 def test_copies_of_a_voter_count_once():
     """Voters that always agree get one joint table, so that they say no more than one of them."""
     r = np.random.default_rng(4)
@@ -86,14 +110,14 @@ def test_copies_of_a_voter_count_once():
     copied = np.stack([one, one, one, two], 1)
     groups = toxicity.together(copied, np.stack([~truth, truth]).astype(float))
     assert sorted(map(sorted, groups)) == [[0, 1, 2], [3]]
-    fit = lambda levels, groups: toxicity.fitted(levels, np.zeros(4000), np.stack([~truth, truth], 1).astype(float), groups, np.zeros(4000), 1)
+    fit = lambda levels, groups: toxicity.fitted(levels, np.zeros(4000, int), np.zeros(4000), np.stack([~truth, truth], 1).astype(float), groups, np.zeros(4000), 1)
     assert np.allclose(fit(copied, groups), fit(np.stack([one, two], 1), [[0], [1]]), atol=0.01)
 
 
 def test_lexicons_come_from_both_halves(spark):
     docs = documents(spark, [prose(i, 30) + (" vexatious vexations glumly" if i % 4 == 0 else "") for i in range(400)])
     marks = labels(spark, [(i, 1, int(i % 4 == 0)) for i in range(400)])
-    sample = toxicity.sampled(docs, marks, 1000, 10, SharedTables(spark))
+    sample = toxicity.sampled(docs, marks, 1000, SharedTables(spark))
     found = toxicity.mine(sample)
     assert all("glumly" in w and "vexatious" in w for w in found.words) and all("vexat" in s for s in found.stems)
     level, hits, words = found.votes("Vexatious vexations, glumly! You 1diot; ABSCHAUM")
