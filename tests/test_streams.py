@@ -97,6 +97,25 @@ def test_native_sink_and_trigger(spark, tmp_path):
     assert (tmp_path / "out" / "day=1").is_dir()
 
 
+def test_each_partition_is_sent_from_its_task(spark, tmp_path):
+    """A store of files by (query, batch, partition): rows arrive once, and a second query of the same checkpoint sends nothing again."""
+    store = str(tmp_path / "store")
+    spark.range(100).repartition(5).write.parquet(f"file://{tmp_path}/in")
+
+    def send(rows, source):
+        import os
+
+        os.makedirs(store, exist_ok=True)
+        with open(f"{store}/{'-'.join(map(str, source))}", "w") as f:
+            f.writelines(f"{r.id}\n" for r in rows)
+
+    for _ in range(2):
+        run(p.to_partitions(readers.table_stream(spark, f"file://{tmp_path}/in", "id long", 3), send, f"file://{tmp_path}/state"))
+    files = list((tmp_path / "store").iterdir())
+    assert sorted(int(x) for f in files for x in f.read_text().split()) == list(range(100))
+    assert len(files) > 2 and len({f.name.rsplit("-", 2)[0] for f in files}) == 1 and {f.name.rsplit("-", 2)[1] for f in files} == {"0", "1"}
+
+
 def test_router_explodes_and_repeats_safely(spark, tmp_path):
     rows = spark.createDataFrame([("x", 1, [(7,), (8,)]), ("y", 2, None), ("z", 3, None)], "kind string, id int, events array<struct<e: int>>")
     targets = {k: f"file://{tmp_path}/{k}" for k in ("x", "y", "none")}

@@ -3,9 +3,11 @@
 import time
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidefleet.sources import layout, readers, writers
+from tidefleet.sources.published import Published
 from tidefleet.streaming import pipelines as p
 
 
@@ -16,11 +18,35 @@ def test_partition_overwrite_leaves_other_partitions(spark, tmp_path):
     assert sorted(map(tuple, spark.read.parquet(path).select("v", "day").collect())) == [(1, "a"), (9, "b")]
 
 
-def test_health_and_versions(spark, tmp_path):
+def test_health_from_the_listing(spark, tmp_path):
+    t = Published(spark, f"file://{tmp_path}/h", "id")
+    t.append(spark.range(1000).selectExpr("id", "IF(id < 900, 'a b', NULL) AS day").repartition(20), "day")
+    health = {r.folder: r for r in layout.table_health(t, 1 << 20).collect()}
+    assert sorted(health) == ["day=__HIVE_DEFAULT_PARTITION__", "day=a b"] and health["day=a b"].rows == 900 and (health["day=a b"].low, health["day=a b"].high) == (0, 899)
+    assert all(h.files == h.small == 20 and h.smallest <= h.mean_bytes <= h.largest and h.columns == ["id long", "day string"] and (h.version, h.versions) == (0, 1) for h in health.values())
+    assert {r.day: r.rows for r in t.partition_rows("day").collect()} == {"a b": 900, None: 100}
+    plan = t.partition_rows("day")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "ReadSchema: struct<file:string,rows:bigint>" in plan  # no file of rows is scanned
+
+
+def test_joins_of_bucketed_tables_shuffle_nothing(spark, tmp_path):
+    rows = spark.range(2000).selectExpr("'v' || id % 97 AS vehicle", "id AS ep")
+    writers.save_bucketed(rows, "bucketed_pings", f"file://{tmp_path}/p", ["vehicle"], ["ep"], 4)
+    writers.save_bucketed(spark.range(90).selectExpr("'v' || id AS vehicle", "id AS route_id"), "bucketed_mapping", f"file://{tmp_path}/m", ["vehicle"], [], 4)
+    try:
+        joined = spark.table("bucketed_pings").join(spark.table("bucketed_mapping").hint("merge"), "vehicle")
+        counted = joined.groupBy("vehicle").agg(F.count("*").alias("n"), F.max("ep").alias("last"))
+        last = spark.table("bucketed_pings").withColumn("n", F.row_number().over(Window.partitionBy("vehicle").orderBy(F.desc("ep")))).filter("n = 1")
+        for df in (joined, counted, last):
+            assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == sum(1 for i in range(2000) if i % 97 < 90) and counted.count() == 90 and last.count() == 97
+    finally:
+        for t in ("bucketed_pings", "bucketed_mapping"):
+            spark.sql(f"DROP TABLE {t}")
+
+
+def test_versions(spark, tmp_path):
     path = f"file://{tmp_path}/t"
-    spark.range(1000).repartition(20).write.parquet(path)
-    health = layout.table_health(spark.read.parquet(path)).collect()[0]
-    assert health.files == 20 and health.rows == 1000
     for v in range(5):
         spark.range(v + 1).write.parquet(f"{path}-v/version={v}")
     layout.prune_versions(spark, f"{path}-v", keep=2)

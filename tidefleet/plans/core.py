@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidefleet.functions.geo import haversine_km
 from tidefleet.functions.pings import flag, ratio
 from tidefleet.operators import cleaning, joins, routes, status
+from tidefleet.operators.quantiles import quantiles
 from tidefleet.operators.scans import Tracks, lag, last, total
 from tidefleet.plans import bindings as b
 from tidefleet.plans.bindings import DENSE_SQL, MAPPING_SQL, ROUTES_SQL, STOPS_SQL, WAYPOINTS_SQL, haversine_sql
@@ -56,13 +57,6 @@ def timerange_join_count(s: SparkSession, d: str) -> DataFrame:
     return in_time.join(b.mapping(s, d), "vehicle").groupBy("route_id", "day").agg(F.count("*").alias("n"))
 
 
-@query("SELECT CAST(ts AS DATE) AS day, COUNT(*) AS n FROM events WHERE CAST(ts AS DATE) > (SELECT MAX(CAST(ts AS DATE)) FROM events) - 7 GROUP BY 1")
-def daily_count_7d(s: SparkSession, d: str) -> DataFrame:
-    e = b.table(s, d, "events").select(F.to_date("ts").alias("day"))
-    last = e.agg(F.max("day").alias("last"))
-    return e.groupBy("day").agg(F.count("*").alias("n")).join(F.broadcast(last), F.col("day") > F.date_sub("last", 7)).select("day", "n")
-
-
 @query(f"WITH {WAYPOINTS_SQL} SELECT route_no, date, COUNT(*) AS n FROM wp GROUP BY 1, 2 ORDER BY n DESC, route_no, date LIMIT 20")
 def route_daily_top20(s: SparkSession, d: str) -> DataFrame:
     return wp(s, d).groupBy("route_no", "date").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "route_no", "date").limit(20)
@@ -91,11 +85,6 @@ def local_time_cols(s: SparkSession, d: str) -> DataFrame:
     return cleaning.local_columns(wp(s, d)).select("event_id", "date", "hour")
 
 
-@query(f"WITH {WAYPOINTS_SQL} SELECT DISTINCT date FROM wp")
-def distinct_dates(s: SparkSession, d: str) -> DataFrame:
-    return wp(s, d).select("date").distinct()
-
-
 @query(f"WITH {MAPPING_SQL}, {WAYPOINTS_SQL} SELECT w.event_id, w.vehicle, m.route_id FROM wp w LEFT JOIN mp m ON w.vehicle = m.vehicle")
 def enrich_left_mapping(s: SparkSession, d: str) -> DataFrame:
     return cleaning.enrich(wp(s, d).drop("route_id", "route_no"), b.mapping(s, d)).select("event_id", "vehicle", "route_id")
@@ -202,8 +191,7 @@ def two_level_agg(s: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT event_type, ROUND(quantile_cont(value, 0.5), 6) AS p50, ROUND(quantile_cont(value, 0.95), 6) AS p95, ROUND(quantile_cont(value, 0.99), 6) AS p99 FROM events GROUP BY 1")
 def latency_percentiles(s: SparkSession, d: str) -> DataFrame:
-    p = F.percentile("value", F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99)))
-    return b.table(s, d, "events").groupBy("event_type").agg(p.alias("p")).select("event_type", *(F.round(F.col("p")[i], 6).alias(n) for i, n in enumerate(("p50", "p95", "p99"))))
+    return quantiles(b.table(s, d, "events"), ["event_type"], "value", [0.5, 0.95, 0.99]).withColumnRenamed("q", "p").select("event_type", *(F.round(F.col("p")[i], 6).alias(n) for i, n in enumerate(("p50", "p95", "p99"))))
 
 
 @query(f"WITH {WAYPOINTS_SQL} SELECT hour(\"timestamp\") AS utc_hour, hour AS local_hour, COUNT(*) AS n FROM wp GROUP BY 1, 2")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidefleet.operators import cleaning, status
+from tidefleet.operators.quantiles import quantiles
 from tidefleet.plans import bindings as b
 from tidefleet.plans.bindings import WAYPOINTS_SQL
 from tidefleet.plans.domain import TRIPS_SQL, trip_rows
@@ -70,7 +71,9 @@ _add("completion_ratio", "t", ["ROUND(CAST(COUNT(CASE WHEN is_completed THEN 1 E
 _add("hourly_direction", "t", ["COUNT(*) AS n"], ("date", "hour_vn", "direction"))
 _add("direction_by_route", "t", ["COUNT(*) AS n"], ("direction", "route_no"))
 _add("overview_table", "t", ["COUNT(*) AS n", "ROUND(AVG(avg_speed), 4) AS avg_speed"], ("route_no", "vehicle"))
-_add("max_route_number", "g", ["MAX(TRY_CAST(route_no AS DOUBLE)) AS number", "MAX(CAST(route_id AS DOUBLE)) AS id"])
+# route numbers as lines have them: some are numbers, such as 163, some aren't, such as 163V
+_NUMBER = "CASE WHEN route_id % 3 > 0 THEN CAST(100 + route_id AS STRING) ELSE CONCAT(CAST(100 + route_id AS STRING), 'V') END"
+_add("max_route_number", "g", [f"MAX(TRY_CAST({_NUMBER} AS DOUBLE)) AS number", f"COUNT(CASE WHEN TRY_CAST({_NUMBER} AS DOUBLE) IS NULL THEN 1 END) AS unparsed"])
 
 
 def position_scatter(s: SparkSession, d: str) -> DataFrame:
@@ -91,7 +94,7 @@ def boxplot(trips: DataFrame, keys: tuple[str, ...], value: str = "minutes", low
     """Quartiles by some keys of hourly mean durations, and Tukey's whiskers: the outermost values within 1.5 quartile ranges. Durations beyond the limits don't count."""
     rows = trips if low is None else trips.filter(F.col(value).between(low, high))
     hourly = rows.groupBy((F.floor(F.col("start_ep") / 3600) * 3600).alias("hour"), *keys).agg(F.avg(value).alias("v"))
-    q = hourly.groupBy(*keys).agg(F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q")).select(*keys, *(F.col("q")[i].alias(f"q{i + 1}") for i in range(3)))
+    q = quantiles(hourly, list(keys), "v", [0.25, 0.5, 0.75]).select(*keys, *(F.col("q")[i].alias(f"q{i + 1}") for i in range(3)))
     far = 1.5 * (F.col("q3") - F.col("q1"))
     inside = hourly.join(q, list(keys)).filter((F.col("v") >= F.col("q1") - far) & (F.col("v") <= F.col("q3") + far))
     whiskers = inside.groupBy(*keys, "q1", "q2", "q3").agg(F.min("v").alias("low"), F.max("v").alias("high"))

@@ -225,10 +225,45 @@ def zorder_roundtrip(s: SparkSession, d: str) -> DataFrame:
     return s.read.parquet(f"{root}/out")
 
 
-@query("SELECT CAST(20 AS BIGINT) AS files, COUNT(*) AS rows, TRUE AS sized FROM lineitem")
+@query("""SELECT 'l_returnflag=' || l_returnflag AS folder, CAST(5 AS BIGINT) AS files, CAST(5 AS BIGINT) AS small, COUNT(*) AS rows, MIN(l_orderkey) AS low, MAX(l_orderkey) AS high, 'l_orderkey long,l_partkey long,l_returnflag string' AS columns, CAST(1 AS BIGINT) AS version, CAST(2 AS BIGINT) AS versions, TRUE AS sized
+ FROM lineitem GROUP BY 1""")
 def table_health(s: SparkSession, d: str) -> DataFrame:
-    """Of a table in twenty files; sizes are there and add up."""
-    root = work_dir(s)
-    _small_files(s, d, root)
-    h = layout.table_health(s.read.parquet(f"{root}/t"))
-    return h.select("files", "rows", ((F.col("bytes") >= F.col("files") * F.col("smallest")) & (F.col("bytes") <= F.col("files") * F.col("largest")) & (F.col("smallest") > 0)).alias("sized"))
+    """Of a table of a folder a flag with five files in each; sizes are there and add up."""
+    table = Published(s, f"{work_dir(s)}/t", "l_orderkey")
+    rows = b.table(s, d, "lineitem").select("l_orderkey", "l_partkey", "l_returnflag").repartitionByRange(5, F.xxhash64("l_orderkey", "l_partkey"))
+    table.append(rows.limit(0), "l_returnflag")
+    table.append(rows)
+    h = layout.table_health(table)
+    return h.select("folder", "files", "small", "rows", F.col("low").cast("long").alias("low"), F.col("high").cast("long").alias("high"), F.array_join("columns", ",").alias("columns"), F.col("version").cast("long").alias("version"), F.col("versions").cast("long").alias("versions"), (F.col("mean_bytes").between(F.col("smallest"), F.col("largest")) & ((F.col("bytes") >= F.col("files") * F.col("smallest")) & (F.col("bytes") <= F.col("files") * F.col("largest")) & (F.col("smallest") > 0))).alias("sized"))
+
+
+@query("SELECT CAST(ts AS DATE) AS day, COUNT(*) AS n FROM events WHERE CAST(ts AS DATE) > (SELECT MAX(CAST(ts AS DATE)) FROM events) - 7 GROUP BY 1")
+def daily_count_7d(s: SparkSession, d: str) -> DataFrame:
+    """Pings of the last seven days of a stored table, from its listing."""
+    table = Published(s, f"{work_dir(s)}/t")
+    table.append(layout.by_day(b.table(s, d, "events").select("event_id", "ts"), "ts").repartition("day"), "day")
+    days = table.partition_rows("day")
+    last = days.agg(F.max("day").alias("last"))  # one row
+    return days.join(F.broadcast(last), F.col("day") > F.date_sub("last", 7)).select("day", F.col("rows").alias("n"))
+
+
+@query(f"WITH {WAYPOINTS_SQL} SELECT DISTINCT date FROM wp")
+def distinct_dates(s: SparkSession, d: str) -> DataFrame:
+    """Days of a stored table, from its listing."""
+    table = Published(s, f"{work_dir(s)}/t")
+    table.append(b.waypoints(s, d).select("event_id", "vehicle", "date").repartition("date"), "date")
+    return table.partition_rows("date").select("date")
+
+
+@query(f"WITH {MAPPING_SQL}, {WAYPOINTS_SQL} SELECT w.event_id, w.vehicle, m.route_id FROM wp w JOIN mp m ON w.vehicle = m.vehicle")
+def bucketed_join(s: SparkSession, d: str) -> DataFrame:
+    """Pings and mappings as tables in buckets by vehicle, joined with no shuffle; a third table has the result, the two go."""
+    root, name = work_dir(s), f"fleet_{uuid.uuid4().hex[:12]}"
+    try:
+        writers.save_bucketed(b.waypoints(s, d).select("event_id", "vehicle", "ep"), f"{name}_pings", f"{root}/pings", ["vehicle"], ["ep"], 8)
+        writers.save_bucketed(b.mapping(s, d), f"{name}_mapping", f"{root}/mapping", ["vehicle"], [], 8)
+        s.table(f"{name}_pings").join(s.table(f"{name}_mapping").hint("merge"), "vehicle").select("event_id", "vehicle", "route_id").write.parquet(f"{root}/out")
+    finally:
+        for t in ("pings", "mapping"):
+            s.sql(f"DROP TABLE IF EXISTS {name}_{t}")
+    return s.read.parquet(f"{root}/out")

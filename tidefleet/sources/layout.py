@@ -134,10 +134,13 @@ def prune_versions(spark: SparkSession, folder: str, keep: int = 3) -> list[str]
     return gone
 
 
-def table_health(df: DataFrame) -> DataFrame:
-    """(files, rows, bytes, smallest, largest) of a Parquet table, from file metadata columns."""
-    per = df.select("_metadata.file_path", "_metadata.file_size").groupBy("file_path").agg(F.count("*").alias("rows"), F.first("file_size").alias("bytes"))
-    return per.agg(F.count("*").alias("files"), F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"), F.min("bytes").alias("smallest"), F.max("bytes").alias("largest"))
+def table_health(table: Published, least: int = LEAST_BYTES) -> DataFrame:
+    """A row for each partition: folder, files, small (files below the least size), rows, bytes, smallest, largest, mean size, the range of the key, the columns of the table, its newest version and how many there are. No file is opened."""
+    record = table.record()
+    small = table.listing().filter(F.col("bytes") < least).groupBy(F.regexp_extract("file", "write=[^/]+/(?:(.*)/)?[^/]+$", 1).alias("folder")).agg(F.count("*").alias("small"))
+    columns = F.array(*(F.lit(f"{f['name']} {f['type'] if isinstance(f['type'], str) else f['type']['type']}") for f in record["schema"]["fields"]))
+    per = table.summary().join(small, "folder", "left").withColumn("small", F.coalesce("small", F.lit(0)))
+    return per.withColumns({"mean_bytes": F.col("bytes") / F.col("files"), "columns": columns, "version": F.lit(record["version"]), "versions": F.lit(len(table.versions()))})
 
 
 def layout_benchmark(spark: SparkSession, path: str, root: str, queries: dict[str, Callable[[DataFrame], DataFrame]], time_column: str, keys: list[str], pieces: int = 200, files: int = 4) -> list[dict]:

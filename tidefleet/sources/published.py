@@ -79,6 +79,22 @@ class Published:
             reader = reader.schema(T.StructType([*schema.fields, T.StructField("write", T.StringType())]))
         return reader.parquet(*files).drop("write")
 
+    def summary(self) -> DataFrame:
+        """(folder, files, rows, bytes, smallest, largest, low, high) of each partition folder, from the listing alone: no file of the table is opened. low and high are the key's."""
+        listing = self.listing()
+        if listing is None:
+            raise ValueError(f"nothing has been written to {self.path}")
+        return listing.groupBy(F.regexp_extract("file", "write=[^/]+/(?:(.*)/)?[^/]+$", 1).alias("folder")).agg(
+            F.count("*").alias("files"), F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"), F.min("bytes").alias("smallest"), F.max("bytes").alias("largest"), F.min("low").alias("low"), F.max("high").alias("high")
+        )
+
+    def partition_rows(self, column: str) -> DataFrame:
+        """(column, rows): the rows of each value of a partition column, from the listing alone."""
+        value = F.url_decode(F.replace(F.regexp_extract("folder", f"(?:^|/){column}=([^/]*)", 1), F.lit("+"), F.lit("%2B")))
+        kind = T.StructType.fromJson(self.record()["schema"])[column].dataType
+        value = F.when(value != "__HIVE_DEFAULT_PARTITION__", value).cast(kind)
+        return self.summary().groupBy(value.alias(column)).agg(F.sum("rows").alias("rows"))
+
     # ---- writes
 
     def append(self, rows: DataFrame, *partitions: str, source: tuple[str, int] | None = None) -> bool:

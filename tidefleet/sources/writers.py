@@ -36,6 +36,12 @@ def write_buckets(df: DataFrame, path: str, key: str, buckets: int = 50) -> None
     overwrite(bucketed.repartition(buckets, f"{key}_bucket"), path, f"{key}_bucket")
 
 
+def save_bucketed(df: DataFrame, name: str, path: str, keys: list[str], order: list[str], buckets: int = 50) -> None:
+    """A table of the catalog whose files are hashed into buckets by keys, each sorted by keys and order: joins and groupings by the keys with a table of as many buckets need no shuffle. Each bucket is one file, as its rows are gathered first."""
+    writer = df.repartition(buckets, *keys).write.mode("overwrite").option("path", path).bucketBy(buckets, *keys).sortBy(*keys, *order)
+    writer.saveAsTable(name)
+
+
 def write_json_document(df: DataFrame, path: str) -> None:
     """A small table as JSON lines in one file, replaced as a whole."""
     df.coalesce(1).write.mode("overwrite").json(path)

@@ -9,7 +9,8 @@ import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -80,6 +81,25 @@ def to_batches(stream: DataFrame, write: Callable[[DataFrame, int], None], check
     return stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
+def to_partitions(stream: DataFrame, send: Callable[[Iterator[Row], tuple[str, int, int]], None], checkpoint: str, mode: str = "append", trigger: dict | None = None) -> StreamingQuery:
+    """Start a query that hands each partition of each batch to send, in the task that holds it, as an iterator of rows.
+
+    send opens its own connection, as nothing else crosses to the task. It also
+    gets the query's id, the batch's number and the partition's: a batch or a task
+    that comes again has the same, so that a store can tell what it has taken in.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        query, number = batch_of(batch, number)
+
+        def each(rows: Iterator[Row]) -> None:
+            send(rows, (query, number, TaskContext.get().partitionId()))
+
+        batch.foreachPartition(each)
+
+    return to_batches(stream, write, checkpoint, mode, trigger)
+
+
 def to_files(stream: DataFrame, path: str, checkpoint: str, *partitions: str, trigger: dict | None = None) -> StreamingQuery:
     """Start a query into Parquet files by the streaming file sink, in folders by some columns."""
     writer = stream.writeStream.format("parquet").outputMode("append").option("path", path).option("checkpointLocation", checkpoint).partitionBy(*partitions)
