@@ -39,6 +39,22 @@ def test_radius_join_finds_every_pair(spark):
     assert found == {(p[1], q[1]) for p in points for q in points if p[0] == q[0] and km(p[3], p[2], q[3], q[2]) <= stops.RADIUS_KM}
 
 
+def test_stops_around_a_depot(spark):
+    """A third of all stops within some metres, as many on one place, others in a ring at about the distance: counts and centres as of all pairs."""
+    r = np.random.default_rng(3)
+    depot, ring = r.normal(0, 5e-5, (300, 2)), r.uniform(0, 2 * np.pi, 200)
+    at = np.concatenate([depot, np.zeros((150, 2)), np.stack([np.cos(ring), np.sin(ring)], 1) * 0.00225 * r.uniform(0.97, 1.05, (200, 1)), r.uniform(-0.01, 0.01, (250, 2))])
+    points = [(int(i % 5 == 0), int(i), float(106.6 + x), float(10.7 + y)) for i, (x, y) in enumerate(at)] + [(0, 9999, None, None)]
+    df = spark.createDataFrame(points, "route_id int, id long, lng double, lat double")
+    plain = {p.a_id: p for p in stops.around(df, hot=10_000).collect()}
+    for hot in (2, 40):
+        found = {p.a_id: p for p in stops.around(df, hot=hot).collect()}
+        assert found.keys() == plain.keys() and len(found) == 900
+        for i, p in plain.items():
+            f = found[i]
+            assert f.density == p.density and abs(f.lng - p.lng) < 1e-9 and abs(f.lat - p.lat) < 1e-9, (i, f, p)
+
+
 def matrix_filter(ep, x, y, speed):
     """The filter as one of four states, with matrices."""
     h, r = np.eye(2, 4), 1e-6 * np.eye(2)

@@ -116,7 +116,7 @@ def test_dimensions_take_the_least_of_repeated_rows(spark):
 
 
 def test_a_shared_folder_or_an_error():
-    from tidefleet.plans.pipelines import work_dir
+    from tidefleet.session import work_dir
 
     class Session:
         def __init__(self, **settings):

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidefleet.functions.geo import cell, haversine_km, neighbour_cells
+from tidefleet.functions.geo import EARTH_KM, cell, haversine_km, neighbour_cells
 from tidefleet.operators.scans import Tracks, lag, total
+from tidefleet.session import work_dir
 
 GAP_SECONDS, LONG_SECONDS, RADIUS_KM, CELL_DEGREES, CANDIDATES = 300, 600, 0.25, 0.0025, 8
 
@@ -40,11 +43,83 @@ def radius_join(left: DataFrame, right: DataFrame, km: float = RADIUS_KM, size:
     return a.join(b, ["route_id", "cx", "cy"]).filter(near).drop("cx", "cy")
 
 
+#: Places of a cell that are compared one by one; where a cell has more, cells are split into 4 x 4, so many times at most (to a quarter of a metre).
+HOT_CELL, SPLITS = 2000, 5
+
+
+def around(stops: DataFrame, km: float = RADIUS_KM, size: float = CELL_DEGREES, hot: int = HOT_CELL) -> DataFrame:
+    """(route_id, a_id, density, lng, lat): for each stop how many of its route lie within a distance, itself included, and their centre.
+
+    Where no grid cell holds more than hot stops, all pairs of neighbouring cells
+    are compared. Else stops of one place count once, with their number, and
+    pairs of cells are looked at from coarse to fine: cells that lie within the
+    distance as a whole count as sums, those beyond it not at all, and only what
+    is left, a ring, is split further; pairs of small cells are compared place by
+    place. Work grows with places and cells, not with pairs of stops.
+    """
+    most = stops.groupBy("route_id", cell(F.col("lng"), size), cell(F.col("lat"), size)).count().agg(F.max("count")).collect()[0][0]
+    if (most or 0) <= hot:
+        return radius_join(stops, stops, km, size).groupBy("route_id", "a_id").agg(F.count("*").alias("density"), F.avg("b_lng").alias("lng"), F.avg("b_lat").alias("lat"))
+    spark, root = stops.sparkSession, work_dir(stops.sparkSession)
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{root}/{name}")
+        return spark.read.parquet(f"{root}/{name}")
+
+    fine = size / 4**SPLITS
+    finest = F.floor(F.col("lng") / fine).alias("fx"), F.floor(F.col("lat") / fine).alias("fy")
+    places = kept(stops.groupBy("route_id", "lng", "lat").agg(F.count("*").alias("n")).select("*", *finest), "places")
+    at = lambda level: (F.shiftright("fx", 2 * (SPLITS - level)).alias("cx"), F.shiftright("fy", 2 * (SPLITS - level)).alias("cy"))
+
+    def cells(level: int, side: str) -> DataFrame:
+        """Cells of a level with their places, sums and extent."""
+        found = places.select("*", *at(level)).groupBy("route_id", "cx", "cy").agg(
+            F.count("*").alias("m"), F.sum("n").alias("n"), F.sum(F.col("n") * F.col("lng")).alias("sx"), F.sum(F.col("n") * F.col("lat")).alias("sy"), *(f(c).alias(f"{a}_{c}") for c in ("lng", "lat") for f, a in ((F.min, "low"), (F.max, "high")))
+        )
+        return found.select("route_id", *(F.col(c).alias(f"{side}_{c}") for c in found.columns if c != "route_id"))
+
+    parts, split = [], places.limit(0)
+    for level in range(SPLITS + 1):
+        a, b = cells(level, "a"), cells(level, "b")
+        if level == 0:
+            beside = a.withColumn("c", F.explode(neighbour_cells(F.col("a_cx"), F.col("a_cy")))).withColumns({"cx": F.col("c.cx"), "cy": F.col("c.cy")}).drop("c")
+            pairs = beside.join(b.withColumns({"cx": F.col("b_cx"), "cy": F.col("b_cy")}), ["route_id", "cx", "cy"]).drop("cx", "cy")
+        else:  # the children of what was left
+            up = lambda side: [F.shiftright(f"{side}_{c}", 2).alias(f"{side}_up_{c}") for c in ("cx", "cy")]
+            left = split.select("route_id", *(F.col(f"{s}_{c}").alias(f"{s}_up_{c}") for s in "ab" for c in ("cx", "cy")))
+            pairs = left.join(a.select("*", *up("a")), ["route_id", "a_up_cx", "a_up_cy"]).join(b.select("*", *up("b")), ["route_id", "b_up_cx", "b_up_cy"])
+        near, far = _extent(True), _extent(False)
+        pairs = kept(pairs.withColumns({"near": near, "far": far}).filter(F.col("near") <= km), f"pairs-{level}")
+        mine = places.select("route_id", "lng", "lat", *at(level)).withColumnsRenamed({"cx": "a_cx", "cy": "a_cy"})
+        whole = pairs.filter(F.col("far") <= km).groupBy("route_id", "a_cx", "a_cy").agg(*(F.sum(f"b_{c}").alias(c) for c in ("n", "sx", "sy")))
+        parts.append(mine.join(whole, ["route_id", "a_cx", "a_cy"]).select("route_id", "lng", "lat", "n", "sx", "sy"))
+        rest = pairs.filter(F.col("far") > km)
+        last = (F.col("a_m") <= hot) & (F.col("b_m") <= hot) if level < SPLITS else F.lit(True)
+        theirs = places.select("route_id", F.col("lng").alias("b_lng"), F.col("lat").alias("b_lat"), "n", *at(level)).withColumnsRenamed({"cx": "b_cx", "cy": "b_cy"})
+        each = rest.filter(last).select("route_id", "a_cx", "a_cy", "b_cx", "b_cy").join(mine, ["route_id", "a_cx", "a_cy"]).join(theirs, ["route_id", "b_cx", "b_cy"])
+        met = each.filter(haversine_km(F.col("lat"), F.col("lng"), F.col("b_lat"), F.col("b_lng")) <= km)
+        parts.append(met.select("route_id", "lng", "lat", "n", (F.col("n") * F.col("b_lng")).alias("sx"), (F.col("n") * F.col("b_lat")).alias("sy")))
+        split = rest.filter(~last)
+        if split.isEmpty():
+            break
+    sums = reduce(DataFrame.unionAll, parts).groupBy("route_id", "lng", "lat").agg(*(F.sum(c).alias(c) for c in ("n", "sx", "sy")))
+    own = stops.select("route_id", F.col("id").alias("a_id"), "lng", "lat")
+    return own.join(sums, ["route_id", "lng", "lat"]).select("route_id", "a_id", F.col("n").alias("density"), (F.col("sx") / F.col("n")).alias("lng"), (F.col("sy") / F.col("n")).alias("lat"))
+
+
+def _extent(least: bool) -> Column:
+    """Kilometres that places of two cells are apart at least or at most, with a thousandth to spare: for what is small a plane will do."""
+    apart = lambda c: F.greatest(F.col(f"a_low_{c}") - F.col(f"b_high_{c}"), F.col(f"b_low_{c}") - F.col(f"a_high_{c}"), F.lit(0.0)) if least else F.greatest(F.col(f"a_high_{c}") - F.col(f"b_low_{c}"), F.col(f"b_high_{c}") - F.col(f"a_low_{c}"))
+    north, south = F.greatest("a_high_lat", "b_high_lat"), F.least("a_low_lat", "b_low_lat")
+    width = F.least(F.cos(F.radians(north)), F.cos(F.radians(south))) if least else F.when((north > 0) & (south < 0), 1.0).otherwise(F.greatest(F.cos(F.radians(north)), F.cos(F.radians(south))))
+    return EARTH_KM * F.radians(F.sqrt(apart("lat") ** 2 + (apart("lng") * width) ** 2)) * (0.999 if least else 1.001)
+
+
 def terminal_candidates(sessions: DataFrame, km: float = RADIUS_KM, size: float = CELL_DEGREES, most: int = CANDIDATES) -> DataFrame:
     """(route_id, anchor, lng, lat, density, rank): the stops with most stops around, their centres and counts."""
     order = Window.partitionBy("route_id").orderBy("vehicle", "session_id")
     stops = sessions.select("route_id", F.row_number().over(order).cast("long").alias("id"), F.col("stop_lng").alias("lng"), F.col("stop_lat").alias("lat"))
-    dense = radius_join(stops, stops, km, size).groupBy("route_id", "a_id").agg(F.count("*").alias("density"), F.avg("b_lng").alias("lng"), F.avg("b_lat").alias("lat"))
+    dense = around(stops, km, size)
     best = Window.partitionBy("route_id").orderBy(F.desc("density"), "a_id")
     return dense.withColumn("rank", F.row_number().over(best).cast("long")).filter(F.col("rank") <= most).select("route_id", F.col("a_id").alias("anchor"), "lng", "lat", "density", "rank")
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +12,7 @@ from tidefleet.operators import cleaning, status
 from tidefleet.plans import bindings as b
 from tidefleet.plans.bindings import MAPPING_SQL, WAYPOINTS_SQL
 from tidefleet.plans.domain import KALMAN_SQL
+from tidefleet.session import work_dir
 from tidefleet.sources import layout, readers, writers
 from tidefleet.sources.published import Published
 from tidefleet.streaming import pipelines as p
@@ -31,16 +31,6 @@ def query(sql: str | None = None):
     return register
 
 
-def work_dir(s: SparkSession) -> str:
-    """A new folder in the shared one, spark.checkpoint.dir. Where that is unset, one of this machine, which only a local master can use; else an error."""
-    shared, master = s.conf.get("spark.checkpoint.dir", None), s.conf.get("spark.master", "")
-    if not shared:
-        if not master.startswith("local") or master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        shared = "file://" + tempfile.gettempdir()
-    return f"{shared.rstrip('/')}/work-{uuid.uuid4().hex}"
-
-
 def ran(df: DataFrame, write, checkpoint: str, mode: str = "append") -> None:
     q = p.to_batches(df, write, checkpoint, mode)
     try:

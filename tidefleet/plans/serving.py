@@ -12,7 +12,8 @@ from tidefleet.operators import cleaning, kalman, status
 from tidefleet.plans import bindings as b
 from tidefleet.plans.bindings import DENSE_SQL, MAPPING_SQL, WAYPOINTS_SQL
 from tidefleet.plans.domain import KALMAN_SQL
-from tidefleet.plans.pipelines import _pings, _small_files, ran, work_dir
+from tidefleet.plans.pipelines import _pings, _small_files, ran
+from tidefleet.session import work_dir
 from tidefleet.sources import catalog, layout, readers, writers
 from tidefleet.sources.published import Published
 from tidefleet.streaming import pipelines as p
