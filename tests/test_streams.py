@@ -3,9 +3,11 @@
 import csv
 import time
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
+from tidefleet.operators import kalman
 from tidefleet.sources import readers, writers
 from tidefleet.streaming import pipelines as p
 
@@ -82,10 +84,30 @@ def test_state_of_the_smoother_expires(spark, tmp_path):
     for rows in ([row(1, "a", 100_000, 106.0), row(2, "b", 100_000, 106.0)], [row(3, "a", 100_010, 106.001), row(4, "b", 130_000, 107.0)], [row(5, "c", 200_000, 1.0)], [row(6, "a", 200_010, 108.0)]):
         readers.replay(spark.createDataFrame(rows, schema), f"file://{tmp_path}/in", 1, "ep")
         stream = p.smooth_stream(readers.table_stream(spark, f"file://{tmp_path}/in", schema), "ep", "1 minute", 3600)
-        run(p.to_batches(stream, lambda batch, n: out.update({r.event_id: r.x for r in batch.collect()}), f"file://{tmp_path}/state"))
+        with p.state_store(spark):
+            run(p.to_batches(stream, lambda batch, n: out.update({r.event_id: r.x for r in batch.collect()}), f"file://{tmp_path}/state"))
     assert 106.0 < out[3] < 106.001 and out[4] == 107.0 and out[6] == 108.0
 
 
+def test_noise_of_each_vehicle_is_its_initial_state(spark, tmp_path):
+    """What the calibration table says of a vehicle holds from its first ping and over restarts; others have the usual noise."""
+    schema = "event_id long, vehicle string, ep long, x double, y double, speed double, timestamp timestamp"
+    row = lambda i, v, t, x: (i, v, t, x, 10.0, 30.0, pd.Timestamp(t, unit="s").to_pydatetime())
+    noise = spark.createDataFrame([("a", 1e-9), ("c", 1e-9)], "vehicle string, measurement double")
+    steps, out = [[106.0, 106.0004], [106.0002, 106.0007]], {}
+    for part, places in enumerate(steps):
+        rows = [row(10 * part + 2 * j + (v == "b"), v, 100_000 + 10 * (2 * part + j), x) for j, x in enumerate(places) for v in "ab"]
+        readers.replay(spark.createDataFrame(rows, schema), f"file://{tmp_path}/in", 1, "ep")
+        stream = p.smooth_stream(readers.table_stream(spark, f"file://{tmp_path}/in", schema), "ep", "1 hour", 3600, noise)
+        with p.state_store(spark):
+            run(p.to_batches(stream, lambda batch, n: out.update({r.event_id: r.x for r in batch.collect()}), f"file://{tmp_path}/state"))
+    ep, x = np.array([100_000.0, 100_010, 100_020, 100_030]), np.array(sum(steps, []))
+    for v, measurement in ((0, 1e-9), (1, kalman.MEASUREMENT)):
+        _, expected, _ = kalman.run(None, ep, x, x * 0 + 10.0, np.zeros(4, bool), measurement=measurement)
+        assert np.allclose([out[i + v] for i in (0, 2, 10, 12)], expected, atol=1e-12, rtol=0)
+    assert out[12] != out[13] and spark.conf.get("spark.sql.streaming.stateStore.providerClass") != p.ROCKS
+
+
 def test_native_sink_and_trigger(spark, tmp_path):
     spark.range(20).withColumn("day", F.col("id") % 2).repartition(2).write.parquet(f"file://{tmp_path}/in")
     stream = lambda: readers.table_stream(spark, f"file://{tmp_path}/in", "id long, day long")

@@ -32,11 +32,12 @@ def query(sql: str | None = None):
 
 
 def ran(df: DataFrame, write, checkpoint: str, mode: str = "append") -> None:
-    q = p.to_batches(df, write, checkpoint, mode)
-    try:
-        q.awaitTermination()
-    finally:
-        q.stop()
+    with p.state_store(df.sparkSession):
+        q = p.to_batches(df, write, checkpoint, mode)
+        try:
+            q.awaitTermination()
+        finally:
+            q.stop()
 
 
 def _pings(s: SparkSession, d: str, parts: int, root: str) -> tuple[str, T.StructType]:

@@ -7,16 +7,17 @@ import json
 import os
 import time
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 from tidefleet.operators.cleaning import enrich, local_columns, valid_gps
-from tidefleet.operators.kalman import STATE_SECONDS, State, _resting, run, state_columns
+from tidefleet.operators.kalman import MEASUREMENT, STATE_SECONDS, State, _resting, run, state_columns
 from tidefleet.operators.status import fleet_snapshot, latest_status, panes
 from tidefleet.sources.published import Published, batch_of
 
@@ -48,32 +49,76 @@ def vehicle_sessions(stream: DataFrame, gap: str, late: str = "10 minutes") -> D
 STATE = "ep double, x double, y double, vx double, vy double, place double, cross double, speed double"
 
 
-def smooth_stream(stream: DataFrame, by: str = "ep", late: str = "15 minutes", seconds: int = STATE_SECONDS) -> DataFrame:
+def smooth_stream(stream: DataFrame, by: str = "ep", late: str = "15 minutes", seconds: int = STATE_SECONDS, noise: DataFrame | None = None) -> DataFrame:
     """x and y replaced by the Kalman filter's, whose state goes on from batch to batch.
 
     timestamp is the instant of the column by (epoch seconds). A vehicle's state is dropped
     when the watermark is so many seconds past its last ping. What a vehicle sends
     in one batch is sorted in memory; a ping before the last batch's makes the
-    filter start anew from it.
+    filter start anew from it. noise (vehicle, measurement) is where the first
+    run of a query takes each vehicle's measurement variance from; others have the
+    usual one. Start the query within state_store().
     """
-    return _smoothed(stream.withWatermark("timestamp", late), by, seconds)
+    return _smoothed(stream.withWatermark("timestamp", late), by, seconds, noise)
 
 
-def _smoothed(stream: DataFrame, by: str, seconds: int) -> DataFrame:
-    schema = stream.schema
+class Smoother(StatefulProcessor):
+    """One vehicle's filter on a stream: its state, and its own measurement noise if the initial state has one.
 
-    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        rows = pd.concat(list(parts)).sort_values([by, "event_id"])  # a vehicle's pings of one batch
-        before = State(*state.get) if state.exists else None
-        after, x, y = run(before, rows[by].to_numpy(float), rows["x"].to_numpy(float), rows["y"].to_numpy(float), _resting(rows["speed"]))
-        state.update(state_columns(after))
-        state.setTimeoutTimestamp(max(int(after.ep + seconds) * 1000, state.getCurrentWatermarkMs() + 1))
-        yield rows.assign(x=x, y=y)
+    A timer ends the state when the watermark is so many seconds past its last
+    ping. A time to live by the clock would keep a query that ends when all is
+    read from ever ending.
+    """
+
+    def __init__(self, by: str, seconds: int):
+        self.by, self.seconds = by, seconds
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.filter = handle.getValueState("filter", STATE)
+        self.noise = handle.getValueState("noise", "measurement double")
+
+    def handleInitialState(self, key: tuple, initialState: pd.DataFrame, timerValues: TimerValues) -> None:
+        """Measurement variance of the vehicle, from the calibration table."""
+        self.noise.update((float(initialState["measurement"].iloc[0]),))
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        pings = pd.concat(list(rows)).sort_values([self.by, "event_id"])  # a vehicle's pings of one batch
+        before = State(*self.filter.get()) if self.filter.exists() else None
+        measurement = self.noise.get()[0] if self.noise.exists() else MEASUREMENT
+        after, x, y = run(before, pings[self.by].to_numpy(float), pings["x"].to_numpy(float), pings["y"].to_numpy(float), _resting(pings["speed"]), measurement=measurement)
+        self.filter.update(state_columns(after))
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(max(int(after.ep + self.seconds) * 1000, timerValues.getCurrentWatermarkInMs() + 1))
+        yield pings.assign(x=x, y=y)
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.filter.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def _smoothed(stream: DataFrame, by: str, seconds: int, noise: DataFrame | None = None) -> DataFrame:
+    initial = None if noise is None else noise.select("vehicle", "measurement").groupBy("vehicle")
+    return stream.groupBy("vehicle").transformWithStateInPandas(Smoother(by, seconds), stream.schema, "append", "EventTime", initial)
 
-    return stream.groupBy("vehicle").applyInPandasWithState(step, schema, STATE, "append", GroupStateTimeout.EventTimeTimeout)
+
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def state_store(spark: SparkSession, provider: str = ROCKS) -> Iterator[None]:
+    """Streams that start inside keep their state in RocksDB, which state with timers needs; the session's setting is as before afterwards."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, provider)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def to_batches(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append", trigger: dict | None = None) -> StreamingQuery:
