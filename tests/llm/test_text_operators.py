@@ -115,6 +115,29 @@ def test_boilerplate_lines_by_site(spark):
     assert line_dedup.clean(docs.limit(0)).collect() == []
 
 
+def test_small_sites_keep_what_few_pages_share(spark):
+    """A line on all three pages of a site, or on three of fifty, stays; on four of fifty it goes."""
+    rows = [(f"shared\nown {i}", "small") for i in range(3)] + [((f"three\n" if i < 3 else "") + ("four\n" if i < 4 else "") + f"own {i}", "mid") for i in range(50)]
+    found = line_dedup.clean(documents(spark, [t for t, _ in rows], [s for _, s in rows])).select("row.text", "row.source").collect()
+    assert sum("shared" in r.text for r in found) == 3 and sum("three" in r.text for r in found) == 3 and not any("four" in r.text for r in found)
+
+
+def test_units_after_another_sign():
+    """A unit whose lead the library joins to it is asked for after another one."""
+    e = sentencepiece_bpe.encoder(vocabulary("piece_bpe_32k.model"))
+    for unit in ("ing", "ation", "漢字", ".", "1234"):
+        ids = e.after_another(unit)
+        assert ids is not None and e.library.decode(ids).strip() == unit
+
+    class Joined:
+        def encode(self, texts, num_threads=1):
+            return [[1], [2, 3]]
+
+    other = object.__new__(sentencepiece_bpe.Encoder)
+    other.library = Joined()
+    assert other.after_another("x") is None
+
+
 def test_every_line_over_the_ratio_goes(spark):
     """Also where it is most of a page: the lines that are left are on 5 % of a site's pages at most."""
     docs = documents(spark, [f"first {i}\nthe same long line of every page of this site\n{'pair' + str(i // 2)}" for i in range(40)])

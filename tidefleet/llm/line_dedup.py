@@ -48,7 +48,9 @@ def clean(pages: DataFrame, site: str = "source", ratio: float = RATIO, min_page
 
     Lines stand between newlines and are compared without spaces at their ends;
     blank lines always stay, and every line over the ratio goes, be it all that a
-    page has. A line on just ratio of the pages stays. Null texts stay null; a
+    page has. A line on just ratio of the pages stays, as does one on fewer than
+    min_pages: on sites of less than min_pages / ratio pages a line over the ratio
+    may stay, so that a site of a few pages keeps what two of them share. Null texts stay null; a
     null site is a site of its own, together with the empty one; texts of any
     length are split whole; repeated rows count as one page and are cleaned
     alike; an empty table stays empty; columns of any name are carried along.

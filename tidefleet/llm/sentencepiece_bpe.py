@@ -81,7 +81,7 @@ class Encoder:
         return out
 
     def learn(self, units: set[str]) -> None:
-        """Encode new units, checked against the library; where they differ, the library's ids hold, and the unit is kept in differing."""
+        """Encode new units, checked against the library; where they differ, the library's ids hold, and the unit is kept in differing, as is one that can't be checked."""
         new = list(units)
         # the library puts a mark before a text: units without one stand after a sign, or a letter, that no piece joins to them
         before = ["" if u[0] == MARK and len(u) > 1 else "," if LETTER.match(u) else "a" for u in new]
@@ -89,13 +89,23 @@ class Encoder:
         asked = self.library.encode(texts, num_threads=1)
         for u, b, whole in zip(new, before, asked, strict=True):
             ids, lead = self.agenda(u), self.lead[b]
-            if whole != lead + ids and whole[: len(lead)] == lead:
-                self.differing.add(u)
-                ids = whole[len(lead) :]
+            if whole != lead + ids:
+                right = whole[len(lead) :] if whole[: len(lead)] == lead else self.after_another(u)
+                if right != ids:
+                    self.differing.add(u)
+                    ids = ids if right is None else right
             self.known[u] = np.array(ids, np.int32).tobytes()
 
+    def after_another(self, unit: str) -> list[int] | None:
+        """The library's ids of a unit after the first of some signs that no piece joins to it; None if all are joined."""
+        for sign in (";", "(", "z", "7"):
+            head, whole = self.library.encode([sign, (sign + unit).replace(MARK, " ")], num_threads=1)
+            if whole[: len(head)] == head:
+                return whole[len(head) :]
+        return None
+
     def encode(self, texts: list[str | None]) -> tuple[list[bytes], list[int]]:
-        """Each text's ids as 32-bit integers, and of how many of its units the agenda's ids weren't the library's."""
+        """Each text's ids as 32-bit integers, and of how many of its units the agenda's ids weren't the library's or couldn't be checked."""
         known, cut = self.known, self.units.findall
         known.age()
         split = [cut(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
