@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from tidefleet.functions.pings import day_type, flag, is_peak, local_time, speed_level
 from tidefleet.session import LOCAL_TZ
 
-#: A side is broadcast by hint only while it is known to have no more rows than this.
-BROADCAST_ROWS = 1_000_000
-
 
 def parse_envelopes(raw: DataFrame, schema, message_type: str, kind: str = "msgType", body: str = "msgBusWayPoint") -> DataFrame:
     """JSON values to flat rows: one message type is kept, malformed values are dropped with the others."""
@@ -36,11 +33,6 @@ def one_per_key(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     return df.withColumn("__rank", F.row_number().over(w)).filter("__rank = 1").drop("__rank")
 
 
-def small(side: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """side with a broadcast hint if it has no more than so many rows; else as it is, to be joined by a shuffle."""
-    return F.broadcast(side) if side.limit(rows + 1).count() <= rows else side
-
-
 def enrich(pings: DataFrame, mapping: DataFrame, how: str = "left") -> DataFrame:
     """Each ping's route by its vehicle. Several routes of one vehicle would multiply rows, so the lowest counts."""
     unique = mapping.filter("vehicle is not null").groupBy("vehicle").agg(F.min(F.struct(*(c for c in mapping.columns if c != "vehicle"))).alias("__m")).select("vehicle", "__m.*")

@@ -39,12 +39,6 @@ def protobuf(raw: DataFrame, message: str, descriptor: str) -> DataFrame:
     return raw.select(from_protobuf("value", message, descFilePath=descriptor).alias("d")).select("d.*")
 
 
-def json_lines(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """A folder of text files as a stream of JSON values: what stands for a topic where there is no broker."""
-    reader = spark.readStream.format("text")
-    return (reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader).load(path)
-
-
 def table_stream(spark: SparkSession, path: str, schema: T.StructType | str, files_per_trigger: int | None = None) -> DataFrame:
     """A Parquet folder as a stream of what is appended to it."""
     reader = spark.readStream.schema(schema)
