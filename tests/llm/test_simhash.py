@@ -5,6 +5,7 @@ import xxhash
 
 from tests.llm.fixtures import documents, odd_texts, prose
 from tidefleet.llm import simhash as S
+from tidefleet.llm.common import SharedTables
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -129,5 +130,70 @@ def test_ten_thousand_fingerprints_of_one_key(spark, monkeypatch):
     assert len({find(int(f)) for f in fps.view(np.int64)}) == len(fps) - sum(len(others) for _, others in expected)
 
 
+@pytest.mark.parametrize("kind", range(18))
+def test_narrower_keys_are_shared_within_four_bits(kind):
+    """Fingerprints that share a key of any kind have a narrower one in common, if they differ in four bits or fewer; else mostly none."""
+    r = np.random.default_rng(kind)
+    bits = S._open_bits(kind)
+    assert 41 <= len(bits) <= 44
+    key = kind << 40
+    near = far = 0
+    for n in range(200):
+        u = r.integers(0, 1 << 64, dtype=np.uint64)
+        v, w = u, u
+        for b in r.choice(bits, n % 5, replace=False):
+            v ^= np.uint64(1 << int(b))
+        for b in r.choice(bits, 20, replace=False):
+            w ^= np.uint64(1 << int(b))
+        of_u, of_v, of_w = ({int(k[0]) for k in S.narrower_keys(key, np.array([x], np.uint64))} for x in (u, v, w))
+        near += bool(of_u & of_v)
+        far += bool(of_u & of_w)
+    assert near == 200 and far < 10
+
+
+def test_open_bits_are_those_that_keys_leave_open():
+    """A flipped bit outside the codeword's segment and the open bits changes the key; one among them outside that segment doesn't."""
+    r = np.random.default_rng(1)
+    u = r.integers(0, 1 << 64, dtype=np.uint64)
+    for kind in range(18):
+        at, size = S.SEGMENTS[kind // 6]
+        of_kind = lambda x: {k for k in S.keys(np.array([x], np.uint64))[0].tolist() if k >> 40 == kind}  # noqa: B023, E731
+        for b in set(range(64)) - set(range(at, at + size)):
+            assert (of_kind(u) == of_kind(u ^ np.uint64(1 << b))) == (b in S._open_bits(kind))
+
+
+def test_a_key_of_twenty_thousand_fingerprints(spark):
+    """More than a piece of one segment and codeword get narrower keys: all links are kept, and components are those of brute force."""
+    r = np.random.default_rng(11)
+    first, low = r.integers(0, 1 << 21), r.integers(0, 1 << 21, 20_000)
+    ball = [sum(1 << int(b) for b in r.choice(22, r.integers(0, 4), replace=False)) for _ in range(20_000)]
+    fps = np.unique(np.array([int(first) | int(m) << 21 | c << 42 for m, c in zip(low, ball, strict=True)], np.uint64))
+    assert len(fps) > S.PIECE
+    prints = spark.createDataFrame([(i, int(f)) for i, f in enumerate(fps.view(np.int64))], "doc_id long, fp long")
+    found = {row.doc_id: row.component_id for row in S.with_components(prints, SharedTables(spark)).collect()}
+    place = {int(f): i for i, f in enumerate(fps)}
+    root = list(range(len(fps)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for one, others in S.spanning_links(fps):
+        for other in others:
+            a, b = find(place[int(one)]), find(place[int(other)])
+            root[max(a, b)] = min(a, b)
+    expected = [find(i) for i in range(len(fps))]
+    assert [found[i] for i in range(len(fps))] == expected
+    assert 100 < len(set(expected)) < len(fps) - 100
+
+
+def test_a_fingerprint_of_most_rows(spark):
+    """Copies beyond a task's share meet their group by broadcast; every row gets its component."""
+    texts = [prose(1, 50)] * 300 + [""] * 5 + [prose(9 + i, 50) for i in range(3)]
+    found = {r.doc_id: r.component_id for r in S.near_duplicates(documents(spark, texts)).collect()}
+    assert [found[i] for i in range(len(texts))] == [0] * 300 + [300] * 5 + [305, 306, 307]
+
+
 def test_empty_table(spark):
     assert S.near_duplicates(documents(spark, [])).collect() == []

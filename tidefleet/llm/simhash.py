@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, combinations
 
 import numpy as np
 import pyarrow as pa
@@ -23,13 +23,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidefleet.llm.common import SharedTables, as_row, slices, small_batches
+from tidefleet.llm.common import SharedTables, as_row, slices, small_batches, with_groups
 
 SHINGLE, SEED, MOST_BITS = 4, 42, 4
 SEGMENTS = ((0, 21), (21, 21), (42, 22))  # first bit, bits
 GENERATOR = 0b110001110101  # of the Golay code
-#: Fingerprints of one key that are compared in one piece; more are compared piece by piece, in tasks of their own.
+#: Fingerprints of one key that are compared in one piece; more get narrower keys, and where even one of those has more, pieces are compared in tasks of their own.
 PIECE = 16_384
+#: Parts that the bits which a key leaves open are dealt into: of MOST_BITS + 2, two agree at least.
+PARTS = MOST_BITS + 2
 #: Links whose components one task finds at a time.
 LOCAL_LINKS = 100_000
 #: Fingerprints whose keys, about ninety each, one task makes.
@@ -121,6 +123,40 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp.view(np.int64))], ["key", "fp"])
 
 
+def _open_bits(kind: int) -> list[int]:
+    """Bits of a fingerprint that a key of this kind doesn't fix: 43 for a whole segment, 41 to 44 for two halves. Key kinds as keys numbers them."""
+    c, way = divmod(kind, 6)
+    a, b = (x for x in range(3) if x != c)
+    half = lambda s, high: set(range(SEGMENTS[s][0] + (10 if high else 0), SEGMENTS[s][0] + (SEGMENTS[s][1] if high else 10)))
+    fixed = half((a, b)[way], 0) | half((a, b)[way], 1) if way < 2 else half(a, way - 2 >> 1) | half(b, way - 2 & 1)
+    return [bit for bit in range(64) if bit not in fixed]
+
+
+def narrower_keys(key: int, fps: np.ndarray) -> Iterator[np.ndarray]:
+    """Fifteen longs for each fingerprint of a key: any two that differ in MOST_BITS bits or fewer have one in common.
+
+    All have the bits that the key fixes, so they differ in the open ones only.
+    Those are dealt into PARTS parts, of which two agree; each two parts, fourteen
+    bits or so, are a narrower key. Keys are hashes: two that fall together cost
+    comparisons, no links.
+    """
+    bits = _open_bits(key >> 40)
+    masks = [sum(1 << bit for bit in bits[i::PARTS]) for i in range(PARTS)]
+    for n, (one, other) in enumerate(combinations(masks, 2)):
+        seed = xxhash.xxh64_intdigest(f"{key}:{n}")
+        mixed = ((fps & np.uint64(one | other)) ^ np.uint64(seed)) * np.uint64(0x9E3779B97F4A7C15)
+        yield ((mixed ^ mixed >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)).view(np.int64)
+
+
+def _narrowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces (key, fps) as (key, fp) of narrower keys."""
+    for batch in batches:
+        for at, key in enumerate(batch.column(0).to_pylist()):
+            fps = batch.column(1)[at].values
+            for narrow in narrower_keys(key, fps.to_numpy(zero_copy_only=False).view(np.uint64)):
+                yield pa.RecordBatch.from_arrays([pa.array(narrow), fps], ["key", "fp"])
+
+
 def spanning_links(fps: np.ndarray) -> list[tuple[int, np.ndarray]]:
     """(one, others): verified links that connect what links of MOST_BITS bits or fewer connect; one less than there are fingerprints at most.
 
@@ -275,18 +311,25 @@ def _row_hash(text: Column, doc_id: Column) -> list[Column]:
 
 def with_components(prints: DataFrame, tables: SharedTables) -> DataFrame:
     """prints, rows with doc_id and fp, with root, one fingerprint for each component, and component_id, the smallest doc_id that links reach."""
-    members = tables.keep(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
+    members = tables.keep(prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count("*").alias("copies")))
     tasks = max(-(-members.count() // KEYED_ROWS), members.sparkSession.sparkContext.defaultParallelism)
-    keyed = members.select("fp").repartition(tasks, "fp").mapInArrow(_keyed, "key long, fp long").repartition("key").sortWithinPartitions("key", "fp")
-    found = tables.keep(keyed.mapInArrow(_links, LINKS), few=True)
-    links, pieces = found.filter("a is not null").select("a", "b"), found.filter("piece is not null").select("key", "piece", "fps")
+    links, pieces = linked(members.select("fp").repartition(tasks, "fp").mapInArrow(_keyed, "key long, fp long"), tables)
     if not pieces.isEmpty():
-        links = links.unionAll(crossed(pieces))
+        more, pieces = linked(pieces.select("key", "fps").mapInArrow(_narrowed, "key long, fp long"), tables)
+        links = links.unionAll(more)
+        if not pieces.isEmpty():
+            links = links.unionAll(crossed(pieces))
     roots = components(links, tables)
-    rooted = members.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least_id", F.coalesce("root", "fp").alias("root"))
+    rooted = members.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least_id", "copies", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "root", "component_id")
-    return prints.join(named, "fp")
+    named = tables.keep(rooted.join(least, "root").select("fp", "copies", "root", "component_id"))
+    return with_groups(prints, named, ["fp"], "copies", prints.count()).drop("copies")
+
+
+def linked(keyed: DataFrame, tables: SharedTables) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b) among the fingerprints of each key of (key, fp), and what is too much for one task: pieces (key, piece, fps)."""
+    found = tables.keep(keyed.repartition("key").sortWithinPartitions("key", "fp").mapInArrow(_links, LINKS), few=True)
+    return found.filter("a is not null").select("a", "b"), found.filter("piece is not null").select("key", "piece", "fps")
 
 
 def crossed(pieces: DataFrame) -> DataFrame:
