@@ -85,7 +85,12 @@ def _probed(docs: DataFrame, benchmark: DataFrame, broadcast_windows: int) -> Da
 
 
 def hits(docs: DataFrame, benchmark: DataFrame, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
-    """(doc_id, row_key, start, w_size, w_items): verified occurrences of benchmark windows in documents."""
+    """(doc_id, row_key, start, w_size, w_items): verified occurrences of benchmark windows in documents.
+
+    Null and empty texts have none; texts of any length are scanned whole; each of
+    several repeated rows, or rows without an id, has its own; an empty table or
+    benchmark gives none; other columns are not read.
+    """
     return _probed(docs, benchmark, broadcast_windows).filter("start is not null").drop("n_words")
 
 
@@ -126,7 +131,12 @@ def _same_row() -> Column:
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs with the hit words cut out of their texts; what stands between other words stays as it was."""
+    """docs with the hit words cut out of their texts; what stands between other words stays as it was.
+
+    Null and empty texts stay as they are; repeated rows and null ids are cut
+    alike; other columns stay, whatever their names; an empty benchmark cuts
+    nothing; an empty table stays empty.
+    """
     each = hits(docs, benchmark).select("doc_id", "row_key", F.explode(F.sequence("start", F.col("start") + F.col("w_size") - 1)).alias("at"))
     cut = each.groupBy("doc_id", "row_key").agg(F.collect_set("at").alias("cut"))
     gaps, found = F.split("row.text", WORD), F.regexp_extract_all("row.text", F.lit(WORD), F.lit(0))

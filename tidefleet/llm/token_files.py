@@ -138,7 +138,11 @@ def write(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = END_ID)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, row_id, start, n_tokens, ids): the files' documents; start counts the ids of all documents before."""
+    """(doc_id, row_id, start, n_tokens, ids): the files' documents; start counts the ids of all documents before.
+
+    Every written row comes back once, repeated ones and those without an id too;
+    empty texts hold the end id alone; files of an empty table give none.
+    """
     files = spark.read.orc(path)
     shard = F.shiftright("row_id", 33)  # the upper bits are the writing task's number, which follows doc_id
     sums = files.groupBy(shard.alias("shard")).agg(F.sum("n_tokens").alias("tokens"))  # a row per file
@@ -157,6 +161,6 @@ def _checksums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def checksums(read_back: DataFrame) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of documents that read() gave."""
+    """(doc_id, start, n_tokens, ids_crc32) of documents that read() gave, a row each, null ids and repeated rows too; none of none."""
     rows = read_back.select("doc_id", "start", "n_tokens", "ids")
     return rows.mapInArrow(_checksums, f"doc_id {dict(rows.dtypes)['doc_id']}, start long, n_tokens long, ids_crc32 long")

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidefleet.llm.common import SharedTables, as_row, ascii_lower
+from tidefleet.llm.common import SharedTables, as_row, ascii_lower, with_groups
 
 #: (verdict, host and path prefix): a rule fits its host and all subdomains; the longest wins.
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
@@ -102,23 +102,34 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules=RULES, min_good: float =
     null ids get their results; without outcomes nothing but rules blocks, as the
     prior is then one half with a wide bound; an empty table gives none. Other
     columns are not read. The counts of hosts are written once to the shared
-    folder, and their reputations are broadcast up to broadcast_hosts hosts.
+    folder, and their reputations are broadcast up to broadcast_hosts hosts; with
+    more, those of the hosts with most pages only, and other pages are joined by
+    their hosts.
     """
     tables = SharedTables(pages.sparkSession)
     host, path = host_and_path(F.coalesce("url", F.lit("")))
     parsed = pages.select("page_id", host.alias("host"), path.alias("path"))
     known = outcomes.filter("page_id is not null and good is not null").groupBy("page_id").agg(F.min("good").cast("long").alias("good"))
-    counted = parsed.select("page_id", "host").join(known, "page_id", "left").groupBy("host").agg(F.count("good").alias("n"), F.sum(F.coalesce("good", F.lit(0))).alias("good"))
+    counted = parsed.select("page_id", "host").join(known, "page_id", "left").groupBy("host").agg(F.count("*").alias("pages"), F.count("good").alias("n"), F.sum(F.coalesce("good", F.lit(0))).alias("good"))
     known_hosts = tables.keep(counted)
     found = tables.keep(reputations(known_hosts, z, long_suffixes))
     verdict, rule = _rule(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("bound") < min_good, "block").otherwise("allow")
-    joined = parsed.join(F.broadcast(found) if found.count() <= broadcast_hosts else found, "host")
+    if found.count() <= broadcast_hosts:
+        joined = parsed.join(F.broadcast(found), "host")
+    else:
+        sized = tables.keep(found.join(known_hosts.select("host", "pages"), "host"))
+        joined = with_groups(parsed, sized, ["host"], "pages", sized.agg(F.sum("pages")).collect()[0][0])
     return joined.select("page_id", "host", "path", rule.alias("rule"), "posterior", "bound", F.coalesce(verdict, own).alias("verdict"))
 
 
 def allowed(pages: DataFrame, outcomes: DataFrame, rules=RULES, min_good: float = MIN_GOOD, z: float = Z) -> DataFrame:
-    """The rows of pages that judge() allows, all their columns as they were; rows of one page_id and url fare alike."""
+    """The rows of pages that judge() allows, all their columns as they were, whatever their names.
+
+    Rows of one host and path fare alike, so repeated rows and null ids do; null
+    urls and those without :// are judged as the empty host; urls of any length
+    are read whole; an empty table stays empty.
+    """
     host, path = host_and_path(F.coalesce("row.url", F.lit("")))
     verdicts = judge(pages, outcomes, rules, min_good, z).filter("verdict = 'allow'").select("host", "path").distinct()
     return as_row(pages).join(verdicts, (host == F.col("host")) & (path == F.col("path")), "left_semi").select("row.*")
