@@ -42,6 +42,27 @@ def test_forest_rejects_junk_and_keeps_prose(spark):
     assert quality_rules.judge(docs.limit(0), marks).collect() == []
 
 
+def test_forest_rejects_what_lies_inside_every_range():
+    """Good rows have short words and few different ones, or long words and many: short words and many different ones are in range of each statistic, but where no good row is."""
+    r = np.random.default_rng(9)
+
+    def rows(n, length, different):
+        counts = np.zeros((n, 8), np.int64)
+        counts[:, 0], counts[:, 5] = 200, 10
+        counts[:, 1] = 200 * r.normal(length, 0.25, n)
+        counts[:, 6] = r.normal(different, 6, n)
+        return counts
+
+    good = np.concatenate([rows(400, 4, 60), rows(400, 11, 160)])
+    bad, more_bad, more_good = rows(60, 4, 160), rows(100, 4, 160), np.concatenate([rows(100, 4, 60), rows(100, 11, 160)])
+    x, low, high = quality_rules.statistics(more_bad), quality_rules.statistics(good).min(0), quality_rules.statistics(good).max(0)
+    inside = ((x >= low) & (x <= high)).all(1)
+    assert inside.sum() > 30  # what ranges can't tell
+    forest = quality_rules.calibrated(np.concatenate([good, bad]), np.repeat([1, 0], [len(good), len(bad)]))
+    assert not quality_rules._kept(more_bad[inside], forest).any()
+    assert quality_rules._kept(more_good, forest).mean() > 0.97
+
+
 def test_forest_by_plain_code():
     """Paths, scores and the threshold, row by row and node by node."""
     r = np.random.default_rng(5)
@@ -205,6 +226,24 @@ def test_token_files_read_back(spark, tmp_path):
     assert token_files.checksums(token_files.read(spark, f"file://{tmp_path}/e")).collect() == []
 
 
+def test_token_files_skip_row_groups(spark, tmp_path):
+    """A lookup reads the row group of its id; one of an id that lies between others but isn't there reads none, by the Bloom filter."""
+    n = 12_000
+    docs = spark.range(n).selectExpr("id * 2 as doc_id", "concat('text ', id) as text")
+    token_files.write(docs, f"file://{tmp_path}/t", vocabulary("word_bpe_49k.json"))
+
+    def scanned(doc_id):
+        found = spark.read.orc(f"file://{tmp_path}/t").filter(f"doc_id = {doc_id}").select("doc_id")
+        rows = found.collect()
+        leaf = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+        return len(rows), leaf.metrics().apply("numOutputRows").value()
+
+    found, read = scanned(9000)
+    assert found == 1 and 0 < read <= 2000  # of 12 000
+    absent = [scanned(i) for i in (4001, 9001, 17_001)]
+    assert all(x[0] == 0 for x in absent) and sum(x[1] == 0 for x in absent) >= 2
+
+
 URLS = [
     (0, "http://A.Example.ORG/es/1?x", "a.example.org", "/es/1", "example.org/es/", "block"), (1, "https://example.org/en/12#a", "example.org", "/en/12", "example.org/en/1", "block"),
     (2, "https://x.org", "x.org", "", None, "allow"), (3, "https://x.org/", "x.org", "/", "org/", "allow"), (4, None, "", "", None, "allow"), (5, "nothing", "", "", None, "allow"),
@@ -226,6 +265,18 @@ def test_url_rules_and_reputation(spark):
     assert url_filter.judge(pages.limit(0), outcomes).collect() == []
 
 
+def test_hosts_beyond_a_broadcast(spark, monkeypatch):
+    """Hosts of many pages are broadcast, others are joined by host: rows are those of one broadcast of all."""
+    monkeypatch.setattr("tidefleet.llm.common.HOT_GROUPS", 10)
+    pages = [(i, f"http://hot.example.net/{i}" if i % 3 == 0 else f"http://h{i % 50}.example.com/{i}") for i in range(600)] + [(None, None), (7, ""), (8, "http://hot.example.net/" + "x" * 100_000)]
+    pages = spark.createDataFrame(pages, "page_id long, url string")
+    outcomes = spark.createDataFrame([(i, int(i % 3 != 0)) for i in range(600)], "page_id long, good int")
+    rows = lambda df: sorted(map(str, df.collect()))
+    all_at_once = rows(url_filter.judge(pages, outcomes))
+    assert len(all_at_once) == 603 and rows(url_filter.judge(pages, outcomes, broadcast_hosts=0)) == all_at_once
+    assert {r.verdict for r in url_filter.judge(pages, outcomes, broadcast_hosts=0).filter("host = 'hot.example.net'").collect()} == {"block"}
+
+
 def test_one_bad_outcome_blocks_nothing_elsewhere(spark):
     """Fifty pages on hosts of seven domains, one or two outcomes: nothing can be learnt about hosts without one."""
     pages = spark.createDataFrame([(i, f"http://h{i}.d{i % 7}.net/") for i in range(50)], "page_id long, url string")
