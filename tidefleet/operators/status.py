@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidefleet.functions.pings import flag, ratio
@@ -52,10 +52,21 @@ def panes(pings: DataFrame, time: str = "timestamp", width: str = "1 minute", bi
     shuffle; vehicles is a sketch that can be merged. The same on a stream (after
     a watermark) and on a table; stored, it answers widths that are asked for later.
     """
-    return pings.groupBy(F.window(time, width).alias("w"), "route_no").agg(
-        F.sum("speed").alias("speed_sum"), F.count("speed").alias("speeds"), F.hll_sketch_agg("vehicle", bits).alias("vehicles"), F.count("*").alias("messages"), F.sum(flag(F.col("speed") > 0)).alias("moving"),
+    found = pings.groupBy(F.window(time, width).alias("w"), "route_no").agg(*_measured(), F.hll_sketch_agg("vehicle", bits).alias("vehicles"))
+    return found.select(F.col("w.start").alias("pane"), "route_no", "speed_sum", "speeds", "vehicles", *_COUNTS)
+
+
+def vehicle_panes(pings: DataFrame, time: str = "timestamp", width: str = "1 minute") -> DataFrame:
+    """(pane, route_no, vehicle, speed_sum, speeds, _COUNTS): panes of each vehicle, for windows whose vehicles are to be counted exactly; at most a row for each ping."""
+    found = pings.groupBy(F.window(time, width).alias("w"), "route_no", "vehicle").agg(*_measured())
+    return found.select(F.col("w.start").alias("pane"), "route_no", "vehicle", "speed_sum", "speeds", *_COUNTS)
+
+
+def _measured() -> list[Column]:
+    return [
+        F.sum("speed").alias("speed_sum"), F.count("speed").alias("speeds"), F.count("*").alias("messages"), F.sum(flag(F.col("speed") > 0)).alias("moving"),
         F.sum(flag(F.col("speed") == 0)).alias("stopped"), F.sum(flag(F.col("sos"))).alias("sos"), F.sum(flag(F.col("ignition"))).alias("ignition_on"),
-    ).select(F.col("w.start").alias("pane"), "route_no", "speed_sum", "speeds", "vehicles", *_COUNTS)
+    ]
 
 
 def merged_panes(partials: DataFrame, width: str, slide: str) -> DataFrame:
@@ -66,12 +77,32 @@ def merged_panes(partials: DataFrame, width: str, slide: str) -> DataFrame:
     return begins.groupBy("pane", "route_no").agg(F.sum("speed_sum").alias("speed_sum"), F.sum("speeds").alias("speeds"), F.hll_union_agg("vehicles").alias("vehicles"), *(F.sum(c).alias(c) for c in _COUNTS))
 
 
+def merged_vehicle_panes(partials: DataFrame, width: str, slide: str) -> DataFrame:
+    """merged_panes() of vehicle_panes(), with the exact number of different vehicles.
+
+    A vehicle counts in the windows that begin since its pane before this one
+    ended: in those that hold both, that one has counted it. So panes are summed up by
+    route, time and since before they are put into windows.
+    """
+    step, size = F.expr(f"INTERVAL {slide}"), F.expr(f"INTERVAL {width}")
+    newest, oldest = F.col("newest"), F.col("newest") - size + step
+    before = F.lag("newest").over(Window.partitionBy("route_no", "vehicle").orderBy("newest"))
+    since = F.when(F.col("vehicle").isNotNull(), F.greatest(oldest, before + step))
+    marked = partials.withColumn("newest", F.window("pane", slide)["start"]).withColumn("since", since)
+    sums = [F.sum(c).alias(c) for c in ("speed_sum", "speeds", *_COUNTS)]
+    begins = marked.groupBy("route_no", "newest", "since").agg(*sums, F.count("vehicle").alias("vehicles")).withColumn("pane", F.explode(F.sequence(oldest, newest, step)))
+    return begins.groupBy("pane", "route_no").agg(*sums, F.sum(F.when(F.col("pane") >= F.col("since"), F.col("vehicles")).otherwise(0)).alias("vehicles"))
+
+
 def pane_kpis(partials: DataFrame, width: str) -> DataFrame:
-    """(window_start, window_end, route_no, MEASURES) of panes of a width."""
+    """(window_start, window_end, route_no, MEASURES) of panes of a width, whose vehicles are sketches or numbers."""
+    vehicles = F.hll_sketch_estimate("vehicles") if dict(partials.dtypes)["vehicles"] == "binary" else F.col("vehicles")
     mean = F.when(F.col("speeds") > 0, F.col("speed_sum") / F.col("speeds"))
-    return partials.select(F.col("pane").alias("window_start"), (F.col("pane") + F.expr(f"INTERVAL {width}")).alias("window_end"), "route_no", mean.alias("avg_speed"), "messages", F.hll_sketch_estimate("vehicles").alias("vehicles"), *_COUNTS[1:])
+    return partials.select(F.col("pane").alias("window_start"), (F.col("pane") + F.expr(f"INTERVAL {width}")).alias("window_end"), "route_no", mean.alias("avg_speed"), "messages", vehicles.alias("vehicles"), *_COUNTS[1:])
 
 
-def window_kpis(pings: DataFrame, time: str = "timestamp", width: str = "5 minutes", slide: str | None = "1 minute") -> DataFrame:
-    """KPIs per sliding (slide None: tumbling) window and route, by panes of the slide's width. Sliding ones are for tables; a stream stores its panes and is asked through those."""
+def window_kpis(pings: DataFrame, time: str = "timestamp", width: str = "5 minutes", slide: str | None = "1 minute", exact: bool = False) -> DataFrame:
+    """KPIs per sliding (slide None: tumbling) window and route, by panes of the slide's width; vehicles by sketches or, for tables, exactly. Sliding ones are for tables; a stream stores its panes and is asked through those."""
+    if exact:
+        return pane_kpis(merged_vehicle_panes(vehicle_panes(pings, time, slide or width), width, slide or width), width)
     return pane_kpis(panes(pings, time, width) if slide is None else merged_panes(panes(pings, time, slide), width, slide), width)

@@ -239,8 +239,8 @@ def catalog_roundtrip(s: SparkSession, d: str) -> DataFrame:
 def rolling_kpis_last(s: SparkSession, d: str) -> DataFrame:
     """The newest rolling window of each route, put together from stored panes, all measures."""
     root = work_dir(s)
-    writers.append(status.panes(b.waypoints(s, d)).withColumn("day", F.to_date("pane")), f"{root}/panes", "day")
-    kpis = status.pane_kpis(status.merged_panes(s.read.parquet(f"{root}/panes"), "5 minutes", "1 minute"), "5 minutes")
+    writers.append(status.vehicle_panes(b.waypoints(s, d)).withColumn("day", F.to_date("pane")), f"{root}/panes", "day")
+    kpis = status.pane_kpis(status.merged_vehicle_panes(s.read.parquet(f"{root}/panes"), "5 minutes", "1 minute"), "5 minutes")
     measures = status.MEASURES
     last = kpis.groupBy("route_no").agg(F.max(F.struct("window_start", *measures)).alias("k")).select("route_no", "k.*")
     return last.select(F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("window_start")).alias("window_ep"), "route_no", F.round("avg_speed", 6).alias("avg_speed"), *measures[1:])
