@@ -45,3 +45,9 @@ def crowd(path) -> str:
 def test_vehicles_of_crowded_windows_are_counted_exactly(spark, tmp_path):
     sf = crowd(tmp_path)
     assert [n for n in ("sliding_window_kpis", "rolling_kpis_last", "kpi_snapshot_last") if not agrees(spark, n, sf)] == []
+
+
+def test_pings_of_one_second_are_all_kept(spark, tmp_path):
+    """Two events of one vehicle in one second are two pings; only copies of an event go."""
+    sf = tables(tmp_path, customer=customers(9), events=events([(u, 1000 * u + t) for u in range(9) for t in (0.1, 0.7, 5)]))
+    assert agrees(spark, "stream_dedup_enrich", sf)

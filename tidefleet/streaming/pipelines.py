@@ -22,14 +22,18 @@ from tidefleet.operators.status import fleet_snapshot, latest_status, panes
 from tidefleet.sources.published import Published, batch_of
 
 
-def unique_pings(stream: DataFrame, late: str = "15 minutes") -> DataFrame:
-    """One ping per vehicle and time; how long duplicates are known is bounded by the watermark."""
-    return stream.withWatermark("timestamp", late).dropDuplicates(["vehicle", "timestamp"])
+#: What tells pings apart, and what tells them apart where each has an id of its own: a vehicle may send several in one second.
+PING_KEYS, EVENT_KEYS = ("vehicle", "timestamp"), ("event_id", "timestamp")
 
 
-def silver(stream: DataFrame, mapping: DataFrame, late: str = "15 minutes", smooth_by: str | None = None) -> DataFrame:
+def unique_pings(stream: DataFrame, late: str = "15 minutes", keys: tuple[str, ...] = PING_KEYS) -> DataFrame:
+    """One ping for each key, which has the time in it; how long duplicates are known is bounded by the watermark."""
+    return stream.withWatermark("timestamp", late).dropDuplicates([*keys])
+
+
+def silver(stream: DataFrame, mapping: DataFrame, late: str = "15 minutes", smooth_by: str | None = None, keys: tuple[str, ...] = PING_KEYS) -> DataFrame:
     """Deduplicated, enriched, valid pings with local dates; places smoothed along the column smooth_by, if given. The sink sorts each batch by cleaning.silver_order."""
-    kept = valid_gps(enrich(unique_pings(stream, late), mapping))
+    kept = valid_gps(enrich(unique_pings(stream, late, keys), mapping))
     if smooth_by:
         kept = _smoothed(kept, smooth_by, STATE_SECONDS)
     return local_columns(kept.withColumn("instant", F.col("timestamp")).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")))
