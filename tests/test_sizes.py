@@ -51,3 +51,9 @@ def test_pings_of_one_second_are_all_kept(spark, tmp_path):
     """Two events of one vehicle in one second are two pings; only copies of an event go."""
     sf = tables(tmp_path, customer=customers(9), events=events([(u, 1000 * u + t) for u in range(9) for t in (0.1, 0.7, 5)]))
     assert agrees(spark, "stream_dedup_enrich", sf)
+
+
+def test_sessions_end_by_pauses_just_over_the_gap(spark, tmp_path):
+    half = 43_200
+    sf = tables(tmp_path, customer=customers(9), events=events([(u, at) for u in range(9) for at in (100, 100 + half - 1 + u % 3, 100 + 2 * half + u, 100 + 2 * half + u + half + 1)]))
+    assert agrees(spark, "stream_session", sf)

@@ -45,7 +45,7 @@ def route_panes(stream: DataFrame, mapping: DataFrame, late: str = "10 minutes",
 
 
 def vehicle_sessions(stream: DataFrame, gap: str, late: str = "10 minutes") -> DataFrame:
-    """Sessions of each vehicle that end after a pause."""
+    """Sessions of each vehicle that end after a pause longer than gap: a ping just a gap after another is of its session."""
     sessions = stream.withWatermark("timestamp", late).groupBy(F.session_window("timestamp", gap).alias("s"), "vehicle").agg(F.count("*").alias("pings"))
     return sessions.select("vehicle", F.col("s.start").alias("start"), F.col("s.end").alias("end"), "pings")
 
