@@ -63,3 +63,9 @@ def test_sessions_end_by_pauses_just_over_the_gap(spark, tmp_path):
 def test_health_of_files_over_the_usual_least_size(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(layout.table_health, "__defaults__", (100,))
     assert agrees(spark, "table_health", SF)
+
+
+def test_sketches_are_kept_by_route_only(spark):
+    plan = QUERIES["approx_active_vehicles"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    held = [x for x in plan.splitlines() if "approx_count_distinct" in x and "keys=" in x]
+    assert len(held) > 1 and not any("vehicle" in x.split("functions=")[0] for x in held)
