@@ -69,3 +69,13 @@ def test_sketches_are_kept_by_route_only(spark):
     plan = QUERIES["approx_active_vehicles"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     held = [x for x in plan.splitlines() if "approx_count_distinct" in x and "keys=" in x]
     assert len(held) > 1 and not any("vehicle" in x.split("functions=")[0] for x in held)
+
+
+def test_rewrites_of_many_rows_take_more_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(layout, "ROWS_A_FILE", 1000, raising=False)
+    path = f"file://{tmp_path}"
+    spark.range(10_000).selectExpr("id", "id % 100 AS x", "id DIV 100 AS y").write.parquet(f"{path}/t")
+    layout.sort_rewrite(spark, f"{path}/t", f"{path}/sorted", ["x", "y"], 4)
+    layout.z_order_rewrite(spark, f"{path}/t", f"{path}/z", "x", "y", 4)
+    for out in ("sorted", "z"):
+        assert spark.read.parquet(f"{path}/{out}").count() == 10_000 and len(layout.data_files(spark, f"{path}/{out}")) == 10

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -108,16 +109,26 @@ def in_range(df: DataFrame, start: str, end: str, time: str = "timestamp", day:
     return df.filter((F.col(time) >= low) & (F.col(time) < high) & (F.col(day) >= F.to_date(low)) & (F.col(day) <= F.to_date(high)))
 
 
+#: Rows that a task sorts and writes into one file.
+ROWS_A_FILE = 1_000_000
+
+
+def files_for(rows: int, least: int) -> int:
+    """How many files hold so many rows: at least least, and more where they would get too long."""
+    return max(least, math.ceil(rows / ROWS_A_FILE))
+
+
 def sort_rewrite(spark: SparkSession, path: str, out: str, keys: list[str], files: int) -> None:
-    """Ranges of the keys in files, sorted inside, so that scans skip by minima and maxima."""
-    overwrite(spark.read.parquet(path).repartitionByRange(files, *keys).sortWithinPartitions(*keys), out)
+    """Ranges of the keys in so many files or, of a large table, more, sorted inside, so that scans skip by minima and maxima."""
+    rows = spark.read.parquet(path)
+    overwrite(rows.repartitionByRange(files_for(rows.count(), files), *keys).sortWithinPartitions(*keys), out)
 
 
 def z_order(df: DataFrame, x: str, y: str, files: int) -> DataFrame:
-    """Rows in ranges of a Z-order key of two numeric columns, scaled to the table's own extremes."""
-    low_x, high_x, low_y, high_y = df.agg(F.min(x), F.max(x), F.min(y), F.max(y)).collect()[0]
+    """Rows in so many ranges, of a large table more, of a Z-order key of two numeric columns, scaled to the table's own extremes."""
+    low_x, high_x, low_y, high_y, rows = df.agg(F.min(x), F.max(x), F.min(y), F.max(y), F.count("*")).collect()[0]
     key: Column = morton(F.col(x).cast("double"), F.col(y).cast("double"), (low_x or 0, high_x or 0), (low_y or 0, high_y or 0))
-    return df.withColumn("__z", key).repartitionByRange(files, "__z").sortWithinPartitions("__z").drop("__z")
+    return df.withColumn("__z", key).repartitionByRange(files_for(rows, files), "__z").sortWithinPartitions("__z").drop("__z")
 
 
 def z_order_rewrite(spark: SparkSession, path: str, out: str, x: str, y: str, files: int) -> None:
