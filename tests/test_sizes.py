@@ -4,10 +4,11 @@ import os
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+import pytest
 
 from tests.oracle import SF, TABLES, differing
 from tidefleet.plans.catalog import ORACLES, QUERIES
-from tidefleet.sources import layout
+from tidefleet.sources import layout, readers
 
 
 def tables(path, **changed) -> str:
@@ -79,3 +80,16 @@ def test_rewrites_of_many_rows_take_more_files(spark, tmp_path, monkeypatch):
     layout.z_order_rewrite(spark, f"{path}/t", f"{path}/z", "x", "y", 4)
     for out in ("sorted", "z"):
         assert spark.read.parquet(f"{path}/{out}").count() == 10_000 and len(layout.data_files(spark, f"{path}/{out}")) == 10
+
+
+STREAMS = ("stream_kalman_state", "stream_silver_chain", "stream_file_sink", "stream_tumbling", "stream_route_window_kpis", "stream_late_rows", "stream_latest_upsert", "fleet_snapshot_stream", "event_router")
+
+
+@pytest.mark.parametrize("name", STREAMS)
+def test_parts_of_many_rows_take_several_files(spark, monkeypatch, name):
+    """A batch then reads several files, and sees the same rows."""
+    monkeypatch.setattr(readers, "ROWS_A_FILE", 1500, raising=False)
+    seen, read = [], readers.table_stream
+    monkeypatch.setattr(readers, "table_stream", lambda s, path, schema, files=None: (seen.append((files, len(layout.data_files(s, path)))), read(s, path, schema, files))[1])
+    assert agrees(spark, name, SF)
+    assert all(files > 1 and found % files == 0 and found >= 2 * files for files, found in seen) and seen

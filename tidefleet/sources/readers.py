@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,10 +48,29 @@ def table_stream(spark: SparkSession, path: str, schema: T.StructType | str, fil
     return (reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader).parquet(path)
 
 
-def replay(rows: DataFrame, path: str, parts: int, *order: str) -> None:
-    """Rows in so many files by their order, oldest first: a stream that reads a file a trigger sees them as they came, and goes on from its checkpoint."""
-    ordered = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    ordered.write.mode("append").parquet(path)
+#: Rows that a task sorts and writes into one file of a replay.
+ROWS_A_FILE = 500_000
+
+
+def replay(rows: DataFrame, path: str, parts: int, *order: str) -> int:
+    """Rows in so many parts by their order, oldest first; how many files each takes: a stream that reads as many a trigger sees a part a batch, as they came, and goes on from its checkpoint."""
+    if parts == 1:
+        return replay_parts([rows], path, *order)
+    by = F.col(order[0])
+    ends = rows.agg(F.percentile_approx(by, [i / parts for i in range(1, parts)], 10_000).alias("ends")).collect()[0]["ends"] or []
+    ends = [F.lit(e).cast(rows.schema[order[0]].dataType) for e in ends]
+    first = [by.isNull() | (by <= e) for e in ends[:1]]
+    middle = [(by > a) & (by <= e) for a, e in zip(ends, ends[1:], strict=False)]
+    return replay_parts([rows.filter(c) for c in (*first, *middle, *(by > e for e in ends[-1:]))] or [rows], path, *order)
+
+
+def replay_parts(parts: list[DataFrame], path: str, *order: str) -> int:
+    """Parts written one after the other, as a stream reads files by their times, each in as many files as the largest needs; how many those are."""
+    files = max(1, math.ceil(max(p.count() for p in parts) / ROWS_A_FILE))
+    for part in parts:
+        part.repartition(files).sortWithinPartitions(*order).write.mode("append").parquet(path)
+        time.sleep(0.05)
+    return files
 
 
 def multiline_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
