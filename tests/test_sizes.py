@@ -46,7 +46,7 @@ def crowd(path) -> str:
 
 def test_vehicles_of_crowded_windows_are_counted_exactly(spark, tmp_path):
     sf = crowd(tmp_path)
-    assert [n for n in ("sliding_window_kpis", "rolling_kpis_last", "kpi_snapshot_last") if not agrees(spark, n, sf)] == []
+    assert [n for n in ("sliding_window_kpis", "stream_route_window_kpis", "rolling_kpis_last", "kpi_snapshot_last") if not agrees(spark, n, sf)] == []
 
 
 def test_pings_of_one_second_are_all_kept(spark, tmp_path):

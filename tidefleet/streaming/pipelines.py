@@ -18,7 +18,7 @@ from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, StatefulP
 
 from tidefleet.operators.cleaning import enrich, local_columns, valid_gps
 from tidefleet.operators.kalman import MEASUREMENT, STATE_SECONDS, State, _resting, run, state_columns
-from tidefleet.operators.status import fleet_snapshot, latest_status, panes
+from tidefleet.operators.status import fleet_snapshot, latest_status, panes, vehicle_panes
 from tidefleet.sources.published import Published, batch_of
 
 
@@ -39,9 +39,9 @@ def silver(stream: DataFrame, mapping: DataFrame, late: str = "15 minutes", smoo
     return local_columns(kept.withColumn("instant", F.col("timestamp")).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")))
 
 
-def route_panes(stream: DataFrame, mapping: DataFrame, late: str = "10 minutes", width: str = "1 minute") -> DataFrame:
-    """Panes of each route's vehicles, for update mode: state holds a row for each route and pane, however wide the windows that are asked for later."""
-    return panes(enrich(stream, mapping, "inner").withWatermark("timestamp", late), "timestamp", width)
+def route_panes(stream: DataFrame, mapping: DataFrame, late: str = "10 minutes", width: str = "1 minute", exact: bool = False) -> DataFrame:
+    """Panes of each route's vehicles, for update mode: state holds a row for each route and pane, however wide the windows that are asked for later; where vehicles are to be counted exactly, one for each vehicle too."""
+    return (vehicle_panes if exact else panes)(enrich(stream, mapping, "inner").withWatermark("timestamp", late), "timestamp", width)
 
 
 def vehicle_sessions(stream: DataFrame, gap: str, late: str = "10 minutes") -> DataFrame:
