@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidefleet.functions.geo import haversine_km, morton
@@ -55,6 +56,24 @@ def test_stops_around_a_depot(spark):
             assert f.density == p.density and abs(f.lng - p.lng) < 1e-9 and abs(f.lat - p.lat) < 1e-9, (i, f, p)
 
 
+def test_candidates_of_full_cells_without_all_pairs(spark, monkeypatch):
+    """Cells of some hundred stops aren't compared pair by pair, and cells that can't hold a candidate are left alone: candidates are as of all pairs, with equals, places of several stops and a route of few."""
+    r = np.random.default_rng(4)
+    at = [(0, i, 106.6 + x, 10.7 + y) for i, (x, y) in enumerate(zip(r.triangular(-0.006, 0, 0.006, 900), r.uniform(0.0002, 0.0012, 900)))]
+    at += [(0, 900 + i, 106.6004, 10.7007) for i in range(12)] + [(1, i, 106.6 + i * 0.0005, 10.7) for i in range(5)]
+    monkeypatch.setattr(stops, "radius_join", lambda *_: pytest.fail("all pairs of neighbouring cells"))
+    df = spark.createDataFrame([(k, "v", i, float(x), float(y)) for k, i, x, y in at], "route_id int, vehicle string, session_id long, stop_lng double, stop_lat double")
+    found = {(c.route_id, c.rank): c for c in stops.terminal_candidates(df).collect()}
+    for k in (0, 1):
+        p = np.array([(x, y) for route, _, x, y in at if route == k])
+        near = np.array([[km(b, a, d, c) <= stops.RADIUS_KM for c, d in p] for a, b in p])
+        best = sorted(range(len(p)), key=lambda i: (-near[i].sum(), i))[:8]
+        assert sum(key[0] == k for key in found) == len(best)
+        for rank, i in enumerate(best, 1):
+            c = found[k, rank]
+            assert (c.anchor, c.density) == (i + 1, near[i].sum()) and abs(c.lng - p[near[i], 0].mean()) < 1e-9 and abs(c.lat - p[near[i], 1].mean()) < 1e-9
+
+
 def matrix_filter(ep, x, y, speed):
     """The filter as one of four states, with matrices."""
     h, r = np.eye(2, 4), 1e-6 * np.eye(2)

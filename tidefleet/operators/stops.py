@@ -43,33 +43,43 @@ def radius_join(left: DataFrame, right: DataFrame, km: float = RADIUS_KM, size:
     return a.join(b, ["route_id", "cx", "cy"]).filter(near).drop("cx", "cy")
 
 
-#: Places of a cell that are compared one by one; where a cell has more, cells are split into 4 x 4, so many times at most (to a quarter of a metre).
-HOT_CELL, SPLITS = 2000, 5
+#: Where a cell has more places than HOT_CELL, cells are split into 2 x 2, so many times at most (to a quarter of a metre); cells of FEW places at most are compared place by place.
+HOT_CELL, SPLITS, FEW = 200, 10, 10
 
 
-def around(stops: DataFrame, km: float = RADIUS_KM, size: float = CELL_DEGREES, hot: int = HOT_CELL) -> DataFrame:
+def around(stops: DataFrame, km: float = RADIUS_KM, size: float = CELL_DEGREES, hot: int = HOT_CELL, first: int | None = None) -> DataFrame:
     """(route_id, a_id, density, lng, lat): for each stop how many of its route lie within a distance, itself included, and their centre.
 
+    With first, only stops that can be among so many of their route with most
+    around them need be there: all of those are, with all that rank alike.
+
     Where no grid cell holds more than hot stops, all pairs of neighbouring cells
     are compared. Else stops of one place count once, with their number, and
     pairs of cells are looked at from coarse to fine: cells that lie within the
     distance as a whole count as sums, those beyond it not at all, and only what
     is left, a ring, is split further; pairs of small cells are compared place by
-    place. Work grows with places and cells, not with pairs of stops.
+    place. What is sure and what is left bound a cell's densities: with first, a
+    cell is left alone once so many stops are sure to have more around them than
+    its own can have. Work grows with places and cells, not with pairs of stops.
     """
-    most = stops.groupBy("route_id", cell(F.col("lng"), size), cell(F.col("lat"), size)).count().agg(F.max("count")).collect()[0][0]
-    if (most or 0) <= hot:
-        return radius_join(stops, stops, km, size).groupBy("route_id", "a_id").agg(F.count("*").alias("density"), F.avg("b_lng").alias("lng"), F.avg("b_lat").alias("lat"))
     spark, root = stops.sparkSession, work_dir(stops.sparkSession)
 
     def kept(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(f"{root}/{name}")
         return spark.read.parquet(f"{root}/{name}")
 
-    fine = size / 4**SPLITS
+    stops = kept(stops.select("route_id", "id", "lng", "lat"), "stops")
+    most = stops.groupBy("route_id", cell(F.col("lng"), size), cell(F.col("lat"), size)).count().agg(F.max("count")).collect()[0][0]
+    if (most or 0) <= hot:
+        return radius_join(stops, stops, km, size).groupBy("route_id", "a_id").agg(F.count("*").alias("density"), F.avg("b_lng").alias("lng"), F.avg("b_lat").alias("lat"))
+
+    fine = size / 2**SPLITS
     finest = F.floor(F.col("lng") / fine).alias("fx"), F.floor(F.col("lat") / fine).alias("fy")
     places = kept(stops.groupBy("route_id", "lng", "lat").agg(F.count("*").alias("n")).select("*", *finest), "places")
-    at = lambda level: (F.shiftright("fx", 2 * (SPLITS - level)).alias("cx"), F.shiftright("fy", 2 * (SPLITS - level)).alias("cy"))
+    at = lambda level, side="": (F.shiftright("fx", SPLITS - level).alias(f"{side}cx"), F.shiftright("fy", SPLITS - level).alias(f"{side}cy"))
+    A, B, UP = ["route_id", "a_cx", "a_cy"], ["route_id", "b_cx", "b_cy"], ["route_id", "a_up_cx", "a_up_cy"]
+    up = lambda side: [F.shiftright(f"{side}_{c}", 1).alias(f"{side}_up_{c}") for c in ("cx", "cy")]
+    above = {f"{s}_{c}": f"{s}_up_{c}" for s in "ab" for c in ("cx", "cy")}
 
     def cells(level: int, side: str) -> DataFrame:
         """Cells of a level with their places, sums and extent."""
@@ -78,35 +88,65 @@ def around(stops: DataFrame, km: float = RADIUS_KM, size: float = CELL_DEGREES,
         )
         return found.select("route_id", *(F.col(c).alias(f"{side}_{c}") for c in found.columns if c != "route_id"))
 
-    parts, split = [], places.limit(0)
+    levels, least, split, bounds = [], None, None, None
+    small = min(hot, FEW)
     for level in range(SPLITS + 1):
         a, b = cells(level, "a"), cells(level, "b")
         if level == 0:
             beside = a.withColumn("c", F.explode(neighbour_cells(F.col("a_cx"), F.col("a_cy")))).withColumns({"cx": F.col("c.cx"), "cy": F.col("c.cy")}).drop("c")
             pairs = beside.join(b.withColumns({"cx": F.col("b_cx"), "cy": F.col("b_cy")}), ["route_id", "cx", "cy"]).drop("cx", "cy")
         else:  # the children of what was left
-            up = lambda side: [F.shiftright(f"{side}_{c}", 2).alias(f"{side}_up_{c}") for c in ("cx", "cy")]
-            left = split.select("route_id", *(F.col(f"{s}_{c}").alias(f"{s}_up_{c}") for s in "ab" for c in ("cx", "cy")))
-            pairs = left.join(a.select("*", *up("a")), ["route_id", "a_up_cx", "a_up_cy"]).join(b.select("*", *up("b")), ["route_id", "b_up_cx", "b_up_cy"])
-        near, far = _extent(True), _extent(False)
-        pairs = kept(pairs.withColumns({"near": near, "far": far}).filter(F.col("near") <= km), f"pairs-{level}")
-        mine = places.select("route_id", "lng", "lat", *at(level)).withColumnsRenamed({"cx": "a_cx", "cy": "a_cy"})
-        whole = pairs.filter(F.col("far") <= km).groupBy("route_id", "a_cx", "a_cy").agg(*(F.sum(f"b_{c}").alias(c) for c in ("n", "sx", "sy")))
-        parts.append(mine.join(whole, ["route_id", "a_cx", "a_cy"]).select("route_id", "lng", "lat", "n", "sx", "sy"))
-        rest = pairs.filter(F.col("far") > km)
-        last = (F.col("a_m") <= hot) & (F.col("b_m") <= hot) if level < SPLITS else F.lit(True)
-        theirs = places.select("route_id", F.col("lng").alias("b_lng"), F.col("lat").alias("b_lat"), "n", *at(level)).withColumnsRenamed({"cx": "b_cx", "cy": "b_cy"})
-        each = rest.filter(last).select("route_id", "a_cx", "a_cy", "b_cx", "b_cy").join(mine, ["route_id", "a_cx", "a_cy"]).join(theirs, ["route_id", "b_cx", "b_cy"])
-        met = each.filter(haversine_km(F.col("lat"), F.col("lng"), F.col("b_lat"), F.col("b_lng")) <= km)
-        parts.append(met.select("route_id", "lng", "lat", "n", (F.col("n") * F.col("b_lng")).alias("sx"), (F.col("n") * F.col("b_lat")).alias("sy")))
-        split = rest.filter(~last)
+            left = split.select(*A, "b_cx", "b_cy").withColumnsRenamed(above)
+            pairs = left.join(a.select("*", *up("a")), UP).join(b.select("*", *up("b")), ["route_id", "b_up_cx", "b_up_cy"])
+        few = (F.col("a_m") <= small) & (F.col("b_m") <= small) if level < SPLITS else F.lit(True)
+        kind = F.when(F.col("far") <= km, "sure").when(few, "each").otherwise("split")
+        near = pairs.withColumns({"near": _extent(True), "far": _extent(False)}).filter(F.col("near") <= km)
+        pairs = kept(near.select(*A, "a_n", "b_cx", "b_cy", "b_n", "b_sx", "b_sy", kind.alias("kind")), f"pairs-{level}")
+        of = lambda k, c: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col(c))), F.lit(0))
+        sums = pairs.groupBy(*A).agg(F.first("a_n").alias("a_n"), of("sure", "b_n").alias("n"), of("sure", "b_sx").alias("sx"), of("sure", "b_sy").alias("sy"), of("each", "b_n").alias("open"), of("split", "b_n").alias("rest"))
+        split = pairs.filter("kind = 'split'")
+        if first:
+            if bounds is not None:
+                before = bounds.select(*(F.col(c).alias(above.get(c, c)) for c in A), F.col("low").alias("low_up"), F.col("open").alias("open_up"))
+                sums = sums.select("*", *up("a")).join(before, UP).drop(*UP[1:])
+            else:
+                sums = sums.withColumns({"low_up": F.lit(0), "open_up": F.lit(0)})
+            sums = kept(sums.withColumn("low", F.col("n") + F.col("low_up")), f"sums-{level}")
+            bounds = sums.select(*A, "a_n", "low", (F.col("open") + F.col("open_up")).alias("open"), "rest")
+            known = _reached(bounds, first)
+            least = kept(known if least is None else known.unionAll(least).groupBy("route_id").agg(F.max("least").alias("least")), f"least-{level}")
+            can = bounds.join(least, "route_id", "left").filter(F.col("least").isNull() | (F.col("low") + F.col("open") + F.col("rest") >= F.col("least")))
+            split = split.join(can.select(*A), A, "left_semi")
+        levels.append((level, pairs, sums))
         if split.isEmpty():
             break
+    mine = lambda rows, level: rows.select("route_id", "lng", "lat", *at(level, "a_"))
+    found = [mine(places, level).join(sums, A).select("route_id", "lng", "lat", "n", "sx", "sy", "open") for level, _, sums in levels]
+    found = reduce(DataFrame.unionAll, found).groupBy("route_id", "lng", "lat").agg(*(F.sum(c).alias(c) for c in ("n", "sx", "sy", "open")))
+    asked = places
+    if first:  # what was left alone has too little here, too
+        found = found.join(least, "route_id", "left").filter(F.col("least").isNull() | (F.col("n") + F.col("open") >= F.col("least"))).drop("least")
+        found = kept(found.select("*", *finest), "found")
+        asked = found
+    parts = [found.select("route_id", "lng", "lat", "n", "sx", "sy")]
+    for level, pairs, _ in levels:
+        theirs = places.select("route_id", F.col("lng").alias("b_lng"), F.col("lat").alias("b_lat"), "n", *at(level, "b_"))
+        each = pairs.filter("kind = 'each'").select(*A, "b_cx", "b_cy").join(mine(asked, level), A).join(theirs, B)
+        met = each.filter(haversine_km(F.col("lat"), F.col("lng"), F.col("b_lat"), F.col("b_lng")) <= km)
+        parts.append(met.select("route_id", "lng", "lat", "n", (F.col("n") * F.col("b_lng")).alias("sx"), (F.col("n") * F.col("b_lat")).alias("sy")))
     sums = reduce(DataFrame.unionAll, parts).groupBy("route_id", "lng", "lat").agg(*(F.sum(c).alias(c) for c in ("n", "sx", "sy")))
     own = stops.select("route_id", F.col("id").alias("a_id"), "lng", "lat")
     return own.join(sums, ["route_id", "lng", "lat"]).select("route_id", "a_id", F.col("n").alias("density"), (F.col("sx") / F.col("n")).alias("lng"), (F.col("sy") / F.col("n")).alias("lat"))
 
 
+def _reached(bounds: DataFrame, first: int) -> DataFrame:
+    """(route_id, least): of each route with that many stops in bounds, what at least first of them are sure to have around them."""
+    best = Window.partitionBy("route_id").orderBy(F.desc("low"))
+    top = bounds.withColumn("nth", F.row_number().over(best)).filter(F.col("nth") <= first)  # each has a stop or more
+    held = F.sum("a_n").over(Window.partitionBy("route_id").orderBy("nth"))
+    return top.withColumn("held", held).filter(F.col("held") >= first).groupBy("route_id").agg(F.max("low").alias("least"))
+
+
 def _extent(least: bool) -> Column:
     """Kilometres that places of two cells are apart at least or at most, with a thousandth to spare: for what is small a plane will do."""
     apart = lambda c: F.greatest(F.col(f"a_low_{c}") - F.col(f"b_high_{c}"), F.col(f"b_low_{c}") - F.col(f"a_high_{c}"), F.lit(0.0)) if least else F.greatest(F.col(f"a_high_{c}") - F.col(f"b_low_{c}"), F.col(f"b_high_{c}") - F.col(f"a_low_{c}"))
@@ -119,7 +159,7 @@ def terminal_candidates(sessions: DataFrame, km: float = RADIUS_KM, size: float
     """(route_id, anchor, lng, lat, density, rank): the stops with most stops around, their centres and counts."""
     order = Window.partitionBy("route_id").orderBy("vehicle", "session_id")
     stops = sessions.select("route_id", F.row_number().over(order).cast("long").alias("id"), F.col("stop_lng").alias("lng"), F.col("stop_lat").alias("lat"))
-    dense = around(stops, km, size)
+    dense = around(stops, km, size, first=most)
     best = Window.partitionBy("route_id").orderBy(F.desc("density"), "a_id")
     return dense.withColumn("rank", F.row_number().over(best).cast("long")).filter(F.col("rank") <= most).select("route_id", F.col("a_id").alias("anchor"), "lng", "lat", "density", "rank")
 
