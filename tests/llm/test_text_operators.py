@@ -116,6 +116,32 @@ def test_repeated_rows_do_not_move_the_forest(spark):
     assert a.threshold == b.threshold and np.array_equal(a.split, b.split)
 
 
+def test_forest_and_threshold_come_from_all_labelled_rows(spark):
+    """9000 labelled rows: each tree counts all the good ones, and tasks find the threshold that one array of all rows gives."""
+    texts = [prose(i, 12 + i % 9) + "!" * (i % 7) for i in range(8600)] + [" ".join(f"{w}{'#' * (1 + i % 3)}" for w in prose(9000 + i, 14).split()) for i in range(400)]
+    good = np.arange(9000) < 8600
+    docs, marks = documents(spark, texts).repartition(5), labels(spark, [(i, int(g), 0) for i, g in enumerate(good)])
+    counts = np.array([quality_rules.text_counts(t) for t in texts])
+    plain, found = quality_rules.calibrated(counts, good), quality_rules.fit(docs, marks)
+    assert np.array_equal(found.split, plain.split) and np.array_equal(found.path, plain.path) and found.threshold == plain.threshold < 1
+    x = quality_rules.statistics(counts[good & ~quality_rules.base_failed(counts)])
+    assert len(x) > 8192 and abs(found.norm - (2 * (np.log(len(x) - 1) + 0.5772156649) - 2 * (len(x) - 1) / len(x))) < 1e-9
+
+
+def test_cuts_of_runs_join():
+    """Runs of scores, cut at any places, give the threshold of the whole run, the highest of equally good ones."""
+    r = np.random.default_rng(8)
+    for _ in range(200):
+        scores, cost = np.sort(r.random(12))[::-1], r.integers(-2, 3, 12)
+        at = np.sort(r.choice(np.arange(1, 12), 3, replace=False))
+        runs = [quality_rules.Cut.of(s, c) for s, c in zip(np.split(scores, at), np.split(cost, at), strict=True)]
+        a, b, c, d = runs
+        along = np.concatenate([[0], np.cumsum(cost)])
+        cut = int(np.argmin(along))
+        wanted = (scores[cut - 1] + (scores[cut] if cut < 12 else 0)) / 2 if cut else np.inf
+        assert a.then(b).then(c).then(d).threshold() == a.then(b.then(c.then(d))).threshold() == wanted
+
+
 def test_boilerplate_lines_by_site(spark):
     texts, sources = [], []
     for i in range(60):

@@ -106,10 +106,14 @@ def crc32_text(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary"))
 
 
+def label_of_ids(labels: DataFrame, label: str) -> DataFrame:
+    """(id, label) of all labelled ids; of several labels of one id the least counts."""
+    return labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy(F.col("doc_id").alias("id")).agg(F.min(F.col(label).cast("int")).alias(label))
+
+
 def labelled_ids(labels: DataFrame, label: str, k: int) -> DataFrame:
-    """(id, label) of k labelled ids at most, chosen by their hashes; of several labels of one id the least counts."""
-    known = labels.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy(F.col("doc_id").alias("id")).agg(F.min(F.col(label).cast("int")).alias(label))
-    return bottom_k(known, "id", k)
+    """label_of_ids() of k ids at most, chosen by their hashes."""
+    return bottom_k(label_of_ids(labels, label), "id", k)
 
 
 def once_an_id(rows: DataFrame) -> DataFrame:
